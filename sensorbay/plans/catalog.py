@@ -55,3 +55,137 @@ SELECT sensor_id, ts, seq, clean_people AS people FROM cleaned""")
 def q_clean_pipeline(spark, sf):
     r = T.readings_from_events(_events(spark, sf), "user")
     return CL.clean(r).select("sensor_id", "ts", "seq", "people")
+
+
+def _stages(spark, sf, by, until, **kw):
+    r = T.readings_from_events(_events(spark, sf), by)
+    return CL.clean_stages(r, until=until, **kw)
+
+
+@register("cap_values", f"""WITH {O.clean_ctes('user')}
+SELECT sensor_id, ts, seq, {O.capacity_sql()} AS capacity, v0 AS people_capped FROM capped""")
+def q_cap_values(spark, sf):
+    return _stages(spark, sf, "user", "v0").select("sensor_id", "ts", "seq", "capacity",
+                                                   F.col("v0").alias("people_capped"))
+
+
+@register("hampel", f"""WITH {O.clean_ctes('type')}
+SELECT sensor_id, ts, seq, v0 AS people_capped, v1 AS people_hampel,
+       (v0 IS NOT NULL AND v1 IS NULL) AS is_outlier FROM hampel_v""")
+def q_hampel(spark, sf):
+    return _stages(spark, sf, "type", "v1").select(
+        "sensor_id", "ts", "seq", F.col("v0").alias("people_capped"), F.col("v1").alias("people_hampel"),
+        (F.col("v0").isNotNull() & F.col("v1").isNull()).alias("is_outlier"))
+
+
+@register("gap_blocks", f"""WITH {O.clean_ctes('user')}
+SELECT sensor_id, gap_start, gap_end, round(gap_hours, 6) AS gap_hours, gap_class, count(*) AS n_rows
+FROM gaps WHERE gap_class IS NOT NULL GROUP BY sensor_id, gap_start, gap_end, gap_hours, gap_class""")
+def q_gap_blocks(spark, sf):
+    g = CL.gap_blocks(_stages(spark, sf, "user", "gaps"))
+    return g.select("sensor_id", "gap_start", "gap_end", _r6(F.col("gap_hours")).alias("gap_hours"),
+                    "gap_class", "n_rows")
+
+
+@register("fill_seasonal", f"""WITH {O.clean_ctes('user')}
+SELECT sensor_id, hr AS hour, round(m, 6) AS median_people FROM med0""")
+def q_fill_seasonal(spark, sf):
+    """A2: clock-hour medians of the Hampel-filtered counts (the stage-0 fill values)."""
+    h = _stages(spark, sf, "user", "v1")
+    return (h.where(F.col("v1").isNotNull()).groupBy("sensor_id", F.hour("ts").alias("hour"))
+            .agg(_r6(F.percentile("v1", 0.5)).alias("median_people")))
+
+
+@register("fill_short", f"""WITH {O.clean_ctes('user')}
+SELECT sensor_id, ts, seq, gap_class, round(s0, 6) AS stage0, round(s1, 6) AS stage1 FROM st1""")
+def q_fill_short(spark, sf):
+    """N3 (and N4 before the first short gap): stage 0 and the positional interpolation."""
+    d = _stages(spark, sf, "user", "v2")
+    return d.select("sensor_id", "ts", "seq", "gap_class", _r6(F.col("s0")).alias("stage0"),
+                    _r6(F.col("s1")).alias("stage1"))
+
+
+@register("fill_gaps", f"""WITH {O.clean_ctes('user')}
+SELECT sensor_id, ts, seq, gap_class, round(s2, 6) AS people_filled FROM st2""")
+def q_fill_gaps(spark, sf):
+    d = _stages(spark, sf, "user", "v2")
+    return d.select("sensor_id", "ts", "seq", "gap_class", _r6(F.col("v2")).alias("people_filled"))
+
+
+@register("bfill_ffill", f"""WITH {O.clean_ctes('user')}
+SELECT sensor_id, ts, seq, round(s3, 6) AS people_edge_filled FROM st3""")
+def q_bfill_ffill(spark, sf):
+    d = _stages(spark, sf, "user", "v3")
+    return d.select("sensor_id", "ts", "seq", _r6(F.col("v3")).alias("people_edge_filled"))
+
+
+@register("smooth_round", f"""WITH {O.clean_ctes('type')}
+SELECT sensor_id, ts, seq, round(s3, 6) AS people_unrounded, clean_people AS people FROM cleaned""")
+def q_smooth_round(spark, sf):
+    """N8/N9 on the five long series (``purchase`` is mapped to the smoothed sensor)."""
+    d = _stages(spark, sf, "type", "people")
+    return d.select("sensor_id", "ts", "seq", _r6(F.col("v3")).alias("people_unrounded"),
+                    F.col("people_clean").alias("people"))
+
+
+@register("clean_status", f"""WITH {O.clean_ctes('user')}
+SELECT sensor_id, count(*) AS n_rows, count(clean_people) AS n_values,
+       CASE WHEN count(clean_people) = 0 THEN 'no_values' ELSE 'ok' END AS status FROM cleaned GROUP BY sensor_id""")
+def q_clean_status(spark, sf):
+    r = T.readings_from_events(_events(spark, sf), "user")
+    return CL.clean_status(CL.clean(r))
+
+
+# --------------------------------------------------------------------------- payloads
+from ..functions import payload as P  # noqa: E402
+from ..sources.messages import messages_from_events  # noqa: E402
+from ..streaming import ingest as IG  # noqa: E402
+
+
+def _messages(spark, sf):
+    return messages_from_events(_events(spark, sf))
+
+
+@register("payload_count", f"""WITH {O.messages_cte()}
+SELECT msg_id, {O.sensor_id_sql()} AS sensor_id, {O.count_from_object()} AS people FROM parsed WHERE is_obj""")
+def q_payload_count(spark, sf):
+    p = IG.parsed(_messages(spark, sf)).where(F.col("_m").isNotNull())
+    return p.select("msg_id", P.sensor_id(F.col("_m")).alias("sensor_id"),
+                    P.count_from_object(F.col("_m")).alias("people"))
+
+
+@register("payload_regex", f"""WITH {O.messages_cte()}
+SELECT msg_id, CASE WHEN is_obj THEN {O.count_from_object()} ELSE {O.count_from_text()} END AS people,
+       {O.count_from_text()} AS people_text FROM parsed""")
+def q_payload_regex(spark, sf):
+    m = _messages(spark, sf)
+    return m.select("msg_id", P.extract_count("payload").alias("people"),
+                    P.count_from_text("payload").alias("people_text"))
+
+
+@register("payload_validate", f"""WITH {O.messages_cte()}
+SELECT msg_id, {O.validate_sql()} AS valid_multi,
+       coalesce({O.count_from_object()} BETWEEN 0 AND {O.cap_validate(O.sensor_id_sql())}, false) AS count_in_bounds
+FROM parsed WHERE is_obj""")
+def q_payload_validate(spark, sf):
+    p = IG.parsed(_messages(spark, sf)).where(F.col("_m").isNotNull())
+    m = F.col("_m")
+    return p.select("msg_id", P.validate_multi_metric(m).alias("valid_multi"),
+                    P.within_bounds(P.sensor_id(m), P.count_from_object(m)).alias("count_in_bounds"))
+
+
+@register("payload_route", f"""WITH {O.messages_cte()}, {O.route_cte()}
+SELECT * FROM routed WHERE people IS NOT NULL OR temperature IS NOT NULL OR humidity IS NOT NULL OR co2 IS NOT NULL""")
+def q_payload_route(spark, sf):
+    return IG.raw_points(_messages(spark, sf), keep_id=True)
+
+
+@register("device_log", f"""WITH {O.messages_cte()}, {O.device_cte()} SELECT * FROM devlog""")
+def q_device_log(spark, sf):
+    return IG.device_log(_messages(spark, sf), keep_id=True)
+
+
+@register("dead_letters", f"""WITH {O.messages_cte()}
+SELECT msg_id, topic, payload, arrival_ts, 'not_json_object' AS reason FROM parsed WHERE NOT is_obj""")
+def q_dead_letters(spark, sf):
+    return IG.dead_letters(_messages(spark, sf), keep_id=True)

@@ -97,3 +97,99 @@ cleaned AS (SELECT *, CAST(round_even(CASE WHEN sensor_id IN ({smooth}) THEN
 
 def r6(x: str) -> str:
     return f"round({x}, 6)"
+
+
+# --------------------------------------------------------------------------- payloads
+NUM = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def messages_cte() -> str:
+    sid = sensor_sql("type")
+    return f"""msgsrc AS (SELECT *, {sid} AS sid, json_extract_string(props, '$.k') AS k FROM events),
+messages AS (SELECT event_id AS msg_id, 'automaatio/' || sid AS topic, CASE event_id % 8
+   WHEN 0 THEN '{{"id":"' || sid || '","pCount":' || k || '}}'
+   WHEN 1 THEN '{{"id":"' || sid || '","people":"' || k || '.9"}}'
+   WHEN 2 THEN '{{"id":"' || sid || '","person count":' || k || ',"count":3}}'
+   WHEN 3 THEN '{{"id":"' || sid || '/b c","person_count":"x","people":' || k || '}}'
+   WHEN 4 THEN '{{"id":"' || sid || '","people":' || k
+   WHEN 5 THEN '[' || k || ',' || k || ']'
+   WHEN 6 THEN '{{"people":' || k || '}}'
+   ELSE '{{"id":"' || sid || '","T":' || CAST(CAST(k AS DOUBLE) - 35.5 AS VARCHAR) || ',"H":' || k
+        || ',"CO2":"' || CAST(CAST(k AS INTEGER) * 50 + 300 AS VARCHAR) || '","pCount":' || k || '}}' END AS payload,
+   ts AS arrival_ts FROM msgsrc),
+parsed AS (SELECT *, CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT'
+   AND regexp_matches(trim(payload), '\\}}$') ELSE false END AS is_obj FROM messages)"""
+
+
+def jhas(k: str) -> str:
+    return f"""coalesce(json_exists(payload, '$."{k}"'), false)"""
+
+
+def jval(k: str) -> str:
+    return f"""json_extract_string(payload, '$."{k}"')"""
+
+
+def to_double(s: str) -> str:
+    return (f"CASE WHEN regexp_matches({s}, '{NUM}') THEN TRY_CAST(trim({s}) AS DOUBLE) "
+            f"WHEN {s} = 'true' THEN 1.0 WHEN {s} = 'false' THEN 0.0 END")
+
+
+def to_count(s: str) -> str:
+    return f"TRY_CAST(trunc({to_double(s)}) AS BIGINT)"
+
+
+def count_from_object() -> str:
+    from ..functions.payload import COUNT_KEYS
+    return "coalesce(" + ", ".join(to_count(jval(k)) for k in COUNT_KEYS) + ")"
+
+
+def count_from_text() -> str:
+    from ..functions.payload import RAW_PATTERN_KEYS
+    parts = [f"""TRY_CAST(NULLIF(regexp_extract(trim(payload), '"{k}"\\s*:\\s*([0-9]+)', 1, 'i'), '') AS BIGINT)"""
+             for k in RAW_PATTERN_KEYS]
+    return "coalesce(" + ", ".join(parts) + ")"
+
+
+def cap_validate(sid: str) -> str:
+    return capacity_sql(sid, C.DEFAULT_CAPACITY_VALIDATE)
+
+
+def sensor_id_sql() -> str:
+    return f"CASE WHEN {jhas('id')} THEN {jval('id')} ELSE 'unknown' END"
+
+
+def validate_sql() -> str:
+    from ..functions.payload import VALIDATED_COUNT_KEYS
+    sid = f"CASE WHEN {jhas('id')} THEN {jval('id')} ELSE 'simulated' END"
+    parts = []
+    for k, (lo, hi) in (("T", C.TEMP_RANGE), ("H", C.HUM_RANGE), ("CO2", C.CO2_RANGE)):
+        parts.append(f"(NOT {jhas(k)} OR coalesce({to_double(jval(k))} BETWEEN {lo} AND {hi}, false))")
+    for k in VALIDATED_COUNT_KEYS:
+        parts.append(f"(NOT {jhas(k)} OR coalesce({to_count(jval(k))} BETWEEN 0 AND {cap_validate(sid)}, false))")
+    return "(" + " AND ".join(parts) + ")"
+
+
+def route_cte() -> str:
+    sid = sensor_id_sql()
+    p_text = f"CASE WHEN {jhas('pCount')} THEN {jval('pCount')} ELSE {jval('people')} END"
+    return f"""routed0 AS (SELECT msg_id, arrival_ts, {sid} AS sensor_id, coalesce({sid} = 'simulated', false) AS is_sim,
+      {validate_sql()} AS multi_ok, {count_from_object()} AS phys_people, {to_count(p_text)} AS sim_people,
+      {to_double(jval('T'))} AS t, {to_double(jval('H'))} AS h, {to_count(jval('CO2'))} AS c,
+      {jhas('T')} AS has_t, {jhas('H')} AS has_h, {jhas('CO2')} AS has_c
+    FROM parsed WHERE is_obj),
+routed AS (SELECT msg_id, sensor_id, arrival_ts AS ts,
+      CASE WHEN is_sim THEN multi_ok ELSE coalesce(phys_people BETWEEN 0 AND {cap_validate('sensor_id')}, false) END AS valid,
+      CASE WHEN is_sim THEN CASE WHEN multi_ok THEN sim_people END ELSE phys_people END AS people,
+      CASE WHEN is_sim AND multi_ok AND has_t THEN t END AS temperature,
+      CASE WHEN is_sim AND multi_ok AND has_h THEN h END AS humidity,
+      CASE WHEN is_sim AND multi_ok AND has_c THEN c END AS co2
+    FROM routed0)"""
+
+
+def device_cte() -> str:
+    sid = sensor_id_sql()
+    return f"""devlog AS (SELECT msg_id, coalesce(NULLIF(regexp_replace({sid}, '[^\\p{{L}}\\p{{N}}_-]', '', 'g'), ''), 'unknown_device') AS device,
+      CASE WHEN epoch_us(arrival_ts) % 1000000 <> 0 THEN strftime(arrival_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00')
+           ELSE strftime(arrival_ts, '%Y-%m-%dT%H:%M:%S+00:00') END AS timestamp,
+      topic, replace(replace(payload, chr(10), ' '), chr(13), '') AS payload
+    FROM parsed WHERE is_obj)"""
