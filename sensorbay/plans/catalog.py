@@ -189,3 +189,168 @@ def q_device_log(spark, sf):
 SELECT msg_id, topic, payload, arrival_ts, 'not_json_object' AS reason FROM parsed WHERE NOT is_obj""")
 def q_dead_letters(spark, sf):
     return IG.dead_letters(_messages(spark, sf), keep_id=True)
+
+
+# --------------------------------------------------------------------------- hourly series, grid, scans
+import datetime as _dt  # noqa: E402
+
+from .. import config as C  # noqa: E402
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import forecast as FC  # noqa: E402
+
+NOW = "2024-01-31T00:00:00"           # fixed "now" so results repeat
+PARTIAL_STOP = "2024-01-29T12:30:00"  # a stop inside an hour
+RANGE = ("2024-01-10T00:00:00", "2024-01-20T00:00:00")
+CUTOFF, TEST_DAYS = "2024-01-23", 7
+
+
+def _clean_type(spark, sf):
+    return CL.clean(T.readings_from_events(_events(spark, sf), "type"))
+
+
+def _history(spark, sf):
+    """Hourly mean of the cleaned counts of the five long series (what the forecaster reads)."""
+    return RS.hourly_mean(_clean_type(spark, sf), "people")
+
+
+def _round(df, cols):
+    for c in cols:
+        df = df.withColumn(c, _r6(F.col(c)))
+    return df
+
+
+_HIST = f"WITH {O.clean_ctes('type')}, {O.hist_cte()}"
+
+
+@register("hourly_mean_partial_last", f"""WITH {O.readings_cte('type')},
+capped AS (SELECT *, CASE WHEN people >= 0 AND people <= {O.capacity_sql()} THEN people END AS v FROM readings
+           WHERE ts < TIMESTAMP '{PARTIAL_STOP.replace('T', ' ')}')
+SELECT sensor_id, least(date_trunc('hour', ts) + INTERVAL 1 HOUR, TIMESTAMP '{PARTIAL_STOP.replace('T', ' ')}') AS ds,
+       round(avg(v), 6) AS y FROM capped WHERE v IS NOT NULL GROUP BY sensor_id, date_trunc('hour', ts)""")
+def q_hourly_mean_partial_last(spark, sf):
+    """A1 with a range stop inside an hour: the open last hour is labelled with the stop."""
+    c = CL.cap_values(T.readings_from_events(_events(spark, sf), "type"), "people", "v")
+    return _round(RS.hourly_mean(c, "v", stop=PARTIAL_STOP, partial_last="keep"), ["y"])
+
+
+@register("range_scan", f"""WITH {O.readings_cte('user')}
+SELECT sensor_id, ts, seq, people FROM readings
+WHERE ts >= TIMESTAMP '{RANGE[0].replace('T', ' ')}' AND ts < TIMESTAMP '{RANGE[1].replace('T', ' ')}'""")
+def q_range_scan(spark, sf):
+    """Absolute half-open range, pushed into the Parquet scan."""
+    ev = T.scan_range(_events(spark, sf), *RANGE)
+    return T.readings_from_events(ev, "user")
+
+
+@register("lookback_scan", f"""WITH {O.readings_cte('user')}
+SELECT sensor_id, ts, seq, people FROM readings
+WHERE ts >= TIMESTAMP '{NOW.replace('T', ' ')}' - INTERVAL 35 DAY AND ts <= TIMESTAMP '{NOW.replace('T', ' ')}'""")
+def q_lookback_scan(spark, sf):
+    """Relative lookback (``35d``) from a fixed ``now``, all sensors at once."""
+    ev = T.scan_lookback(_events(spark, sf), NOW, "35d")
+    return T.readings_from_events(ev, "user")
+
+
+@register("field_pivot", f"""WITH {O.messages_cte()}, {O.route_cte()}
+SELECT sensor_id, ts, CAST(people AS DOUBLE) AS people, temperature, humidity, CAST(co2 AS DOUBLE) AS co2
+FROM routed WHERE people IS NOT NULL OR temperature IS NOT NULL OR humidity IS NOT NULL OR co2 IS NOT NULL""")
+def q_field_pivot(spark, sf):
+    """Narrow ``(sensor, ts, field, value)`` points pivoted back to one row per time."""
+    raw = IG.raw_points(_messages(spark, sf))
+    long = raw.select("sensor_id", "ts", F.expr(
+        "stack(4, 'people', CAST(people AS DOUBLE), 'temperature', temperature, "
+        "'humidity', humidity, 'co2', CAST(co2 AS DOUBLE)) AS (field, value)"))
+    return T.pivot_fields(long)
+
+
+@register("hourly_grid", f"""{_HIST},
+b AS (SELECT sensor_id, min(ds) AS a, max(ds) AS z FROM hist GROUP BY ALL),
+g AS (SELECT sensor_id, unnest(generate_series(a, z, INTERVAL 1 HOUR)) AS ds FROM b),
+j AS (SELECT g.sensor_id, g.ds, h.y FROM g LEFT JOIN hist h ON g.sensor_id = h.sensor_id AND g.ds = h.ds)
+SELECT sensor_id, ds, round(y, 6) AS y, round(coalesce(
+  last_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS y_filled
+FROM j""")
+def q_hourly_grid(spark, sf):
+    """J3 + N7: regular hourly grid of the cleaned hourly series, then ffill/bfill."""
+    g = RS.hourly_grid(_history(spark, sf))
+    g = RS.fill_series(g, "y", "y_filled", backward_first=False)
+    return _round(g, ["y", "y_filled"])
+
+
+# --------------------------------------------------------------------------- evaluation (M2 baseline)
+@register("min_rows_guard", f"""{_HIST}
+SELECT sensor_id, count(*) AS n_hours, count(*) >= {C.MIN_TRAINING_HOURS} AS ok_forecast,
+  count(*) >= {C.MIN_BACKTEST_HOURS} AS ok_backtest, count(*) >= {C.MIN_ACCURACY_HOURS} AS ok_accuracy,
+  count(*) >= {C.MIN_STL_HOURS} AS ok_stl FROM hist GROUP BY sensor_id""")
+def q_min_rows_guard(spark, sf):
+    return FC.min_rows_guard(_history(spark, sf))
+
+
+@register("train_test_split", f"""{_HIST}, {O.split_cte('hist')}
+SELECT sensor_id, ds, round(y, 6) AS y, part FROM split""")
+def q_train_test_split(spark, sf):
+    return _round(EV.split_train_test(_history(spark, sf)), ["y"])
+
+
+@register("profile_forecast", f"""{_HIST}, {O.guard_cte('hist', C.MIN_TRAINING_HOURS, 'gh')},
+{O.profile_ctes('gh', str(C.FORECAST_HORIZON), True)}
+SELECT sensor_id, ds, round(yhat, 6) AS yhat, round(yhat_lower, 6) AS yhat_lower, round(yhat_upper, 6) AS yhat_upper FROM fc""")
+def q_profile_forecast(spark, sf):
+    """M2 + M3 + P8 + P9: 168 future hours for every sensor with >= 168 hourly rows."""
+    f = FC.run_forecast(_history(spark, sf), model="profile")
+    return _round(f, ["yhat", "yhat_lower", "yhat_upper"])
+
+
+@register("backtest_metrics", f"""{_HIST}, {O.guard_cte('hist', C.MIN_BACKTEST_HOURS, 'gh')}, {O.split_cte('gh')},
+tr0 AS (SELECT * FROM split WHERE part = 'train'), te AS (SELECT * FROM split WHERE part = 'test'),
+nt AS (SELECT sensor_id, count(*) AS n_test FROM te GROUP BY ALL),
+ntr AS (SELECT sensor_id, count(*) AS n_train FROM tr0 GROUP BY ALL),
+tr AS (SELECT tr0.*, n_test FROM tr0 JOIN nt USING (sensor_id)),
+{O.profile_ctes('tr', 'n_test', False)},
+m AS (SELECT te.sensor_id, avg(abs(y - yhat)) AS mae, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, count(*) AS n_points
+   FROM te JOIN fc ON te.sensor_id = fc.sensor_id AND te.ds = fc.ds GROUP BY ALL)
+SELECT ntr.sensor_id, n_train, n_test, coalesce(n_points, 0) AS n_points, round(mae, 6) AS MAE, round(rmse, 6) AS RMSE
+FROM ntr JOIN nt USING (sensor_id) LEFT JOIN m USING (sensor_id)""")
+def q_backtest_metrics(spark, sf):
+    """M4 with the M2 baseline: 75/25 split, forecast len(test) steps, MAE and RMSE."""
+    return _round(EV.backtest(_history(spark, sf), model="profile"), ["MAE", "RMSE"])
+
+
+def _cut():
+    c = _dt.datetime.fromisoformat(CUTOFF)
+    return c, c + _dt.timedelta(days=TEST_DAYS)
+
+
+_ACC = f"""{_HIST}, tr0 AS (SELECT * FROM hist WHERE ds < TIMESTAMP '{CUTOFF}'),
+{O.guard_cte('tr0', C.MIN_ACCURACY_HOURS, 'tr')},
+{O.profile_ctes('tr', str(24 * TEST_DAYS), True)},
+act AS (SELECT sensor_id, least(date_trunc('hour', ts) + INTERVAL 1 HOUR, TIMESTAMP '{_cut()[1]}') AS ds, avg(clean_people) AS y
+   FROM cleaned WHERE clean_people IS NOT NULL AND ts >= TIMESTAMP '{CUTOFF}' AND ts < TIMESTAMP '{_cut()[1]}'
+   GROUP BY sensor_id, date_trunc('hour', ts)),
+mj AS (SELECT act.sensor_id, act.ds, y, yhat, y - yhat AS err FROM act JOIN fc ON act.sensor_id = fc.sensor_id AND act.ds = fc.ds),
+summ AS (SELECT sensor_id, '{CUTOFF}' AS cutoff_date, avg(abs(err)) AS MAE, sqrt(avg(err * err)) AS RMSE,
+   avg(abs(err) / NULLIF(y, 0.0)) * 100 AS MAPE, count(*) AS n_points FROM mj GROUP BY sensor_id)"""
+
+
+@register("accuracy_at_cutoff", f"""{_ACC}
+SELECT sensor_id, cutoff_date, round(MAE, 6) AS MAE, round(RMSE, 6) AS RMSE, round(MAPE, 6) AS MAPE, n_points FROM summ""")
+def q_accuracy_at_cutoff(spark, sf):
+    """M5: train before the cutoff, 7-day forecast, MAE / RMSE / MAPE / n against the actual hours."""
+    cr = _clean_type(spark, sf)
+    hist = RS.hourly_mean(cr, "people")
+    summary, _ = EV.accuracy_at_cutoff(hist, cr, CUTOFF, TEST_DAYS, model="profile")
+    return _round(summary, ["MAE", "RMSE", "MAPE"])
+
+
+@register("accuracy_details", f"""{_ACC}
+SELECT sensor_id, '{CUTOFF}' AS cutoff_date, 'forecast' AS type, ds, round(yhat, 6) AS yhat, round(yhat_lower, 6) AS yhat_lower,
+       round(yhat_upper, 6) AS yhat_upper, CAST(NULL AS DOUBLE) AS y FROM fc WHERE sensor_id IN (SELECT sensor_id FROM summ)
+UNION ALL
+SELECT sensor_id, '{CUTOFF}', 'actual', ds, NULL, NULL, NULL, round(y, 6) FROM act WHERE sensor_id IN (SELECT sensor_id FROM summ)""")
+def q_accuracy_details(spark, sf):
+    """Forecast rows and actual rows of the accuracy test in one union."""
+    cr = _clean_type(spark, sf)
+    hist = RS.hourly_mean(cr, "people")
+    _, details = EV.accuracy_at_cutoff(hist, cr, CUTOFF, TEST_DAYS, model="profile")
+    return _round(details, ["yhat", "yhat_lower", "yhat_upper", "y"])

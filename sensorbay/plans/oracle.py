@@ -193,3 +193,48 @@ def device_cte() -> str:
            ELSE strftime(arrival_ts, '%Y-%m-%dT%H:%M:%S+00:00') END AS timestamp,
       topic, replace(replace(payload, chr(10), ' '), chr(13), '') AS payload
     FROM parsed WHERE is_obj)"""
+
+
+# --------------------------------------------------------------------------- hourly / forecast
+Z80 = 1.2815515655446004
+
+
+def hist_cte(src: str = "cleaned", value: str = "clean_people", name: str = "hist", where: str = "") -> str:
+    w = f"AND {where}" if where else ""
+    return f"""{name} AS (SELECT sensor_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS ds, avg({value}) AS y
+   FROM {src} WHERE {value} IS NOT NULL {w} GROUP BY sensor_id, date_trunc('hour', ts))"""
+
+
+def how_sql(ds: str) -> str:
+    return f"((isodow({ds}) - 1) * 24 + hour({ds}))"
+
+
+def profile_ctes(train: str, periods: str, clip: bool, out: str = "fc", p: str = "p") -> str:
+    """Seasonal-profile forecast of CTE ``train`` (sensor_id, ds, y[, periods column])."""
+    g = (lambda x: f"greatest({x}, 0.0)") if clip else (lambda x: x)
+    per = periods if not periods.isidentifier() else f"any_value({periods})"
+    return f"""{p}t AS (SELECT * FROM {train} WHERE y IS NOT NULL),
+{p}how AS (SELECT sensor_id, {how_sql('ds')} AS how, avg(y) AS m_how FROM {p}t GROUP BY ALL),
+{p}hod AS (SELECT sensor_id, hour(ds) AS hod, avg(y) AS m_hod FROM {p}t GROUP BY ALL),
+{p}all AS (SELECT sensor_id, avg(y) AS m_all, max(ds) AS last, {per} AS n_per FROM {p}t GROUP BY ALL),
+{p}sd AS (SELECT {p}t.sensor_id, coalesce(stddev_samp(y - m_how), 0.0) AS sd FROM {p}t JOIN {p}how
+   ON {p}t.sensor_id = {p}how.sensor_id AND {how_sql(p + 't.ds')} = {p}how.how GROUP BY ALL),
+{p}fut0 AS (SELECT sensor_id, last, unnest(generate_series(1, CAST(n_per AS BIGINT))) AS k FROM {p}all),
+{p}fut AS (SELECT sensor_id, last + to_hours(k) AS ds FROM {p}fut0),
+{p}j AS (SELECT f.sensor_id, f.ds, coalesce(m_how, m_hod, m_all) AS yh, sd FROM {p}fut f
+   LEFT JOIN {p}how h ON f.sensor_id = h.sensor_id AND {how_sql('f.ds')} = h.how
+   LEFT JOIN {p}hod d ON f.sensor_id = d.sensor_id AND hour(f.ds) = d.hod
+   LEFT JOIN {p}all a ON f.sensor_id = a.sensor_id
+   LEFT JOIN {p}sd s ON f.sensor_id = s.sensor_id),
+{out} AS (SELECT sensor_id, ds, {g('yh')} AS yhat, {g(f'yh - {Z80} * sd')} AS yhat_lower,
+   {g(f'yh + {Z80} * sd')} AS yhat_upper FROM {p}j)"""
+
+
+def guard_cte(src: str, n: int, name: str) -> str:
+    return f"""{name} AS (SELECT * FROM {src} WHERE sensor_id IN
+   (SELECT sensor_id FROM {src} GROUP BY sensor_id HAVING count(*) >= {n}))"""
+
+
+def split_cte(src: str, name: str = "split", fraction: float = C.TRAIN_FRACTION) -> str:
+    return f"""{name} AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY sensor_id ORDER BY ds)
+   <= floor(count(*) OVER (PARTITION BY sensor_id) * {fraction}) THEN 'train' ELSE 'test' END AS part FROM {src})"""
