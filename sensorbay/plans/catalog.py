@@ -354,3 +354,104 @@ def q_accuracy_details(spark, sf):
     hist = RS.hourly_mean(cr, "people")
     _, details = EV.accuracy_at_cutoff(hist, cr, CUTOFF, TEST_DAYS, model="profile")
     return _round(details, ["yhat", "yhat_lower", "yhat_upper", "y"])
+
+
+# --------------------------------------------------------------------------- decomposition / model forecasts
+from ..operators import decompose as DC  # noqa: E402
+
+
+def _grid(spark, sf):
+    return DC.prepare_grid(_history(spark, sf))
+
+
+def _classical_sql() -> str:
+    half = C.STL_PERIOD // 2
+    w = "OVER (PARTITION BY sensor_id ORDER BY ds)"
+    terms = [f"lag(y, {half}) {w} * 0.5"]
+    for k in range(half - 1, -half, -1):
+        terms.append(f"lag(y, {k}) {w}" if k > 0 else (f"lead(y, {-k}) {w}" if k < 0 else "y"))
+    terms.append(f"lead(y, {half}) {w} * 0.5")
+    tot = terms[0]
+    for t in terms[1:]:
+        tot = f"({tot} + {t})"
+    return f"""{_HIST},
+cb AS (SELECT sensor_id, min(ds) AS a, max(ds) AS z FROM hist GROUP BY ALL),
+cg0 AS (SELECT sensor_id, unnest(generate_series(a, z, INTERVAL 1 HOUR)) AS ds FROM cb),
+cg1 AS (SELECT cg0.sensor_id, cg0.ds, h.y FROM cg0 LEFT JOIN hist h ON cg0.sensor_id = h.sensor_id AND cg0.ds = h.ds),
+cg2 AS (SELECT sensor_id, ds, coalesce(
+  last_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS y FROM cg1),
+grid AS (SELECT * FROM cg2 WHERE sensor_id IN (SELECT sensor_id FROM cg2 GROUP BY ALL HAVING count(*) >= {C.MIN_STL_HOURS})),
+ctr AS (SELECT *, {tot} / {float(C.STL_PERIOD)} AS trend FROM grid),
+idx0 AS (SELECT sensor_id, hour(ds) AS hod, avg(y - trend) AS s FROM ctr WHERE trend IS NOT NULL GROUP BY ALL),
+idx AS (SELECT sensor_id, hod, s - avg(s) OVER (PARTITION BY sensor_id) AS seasonal FROM idx0)
+SELECT ctr.sensor_id, ds, round(y, 6) AS y, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
+       round(y - trend - seasonal, 6) AS residual
+FROM ctr LEFT JOIN idx ON ctr.sensor_id = idx.sensor_id AND hour(ctr.ds) = idx.hod"""
+
+
+@register("classical_decompose", _classical_sql())
+def q_classical_decompose(spark, sf):
+    """M7: 2x24 centred moving-average trend, clock-hour seasonal indices, residual."""
+    return _round(DC.classical_decompose(_grid(spark, sf)), ["y", "trend", "seasonal", "residual"])
+
+
+@register("stl")
+def q_stl(spark, sf):
+    """M6: STL(period 24, seasonal 13) per sensor on the filled hourly grid (rows-only check)."""
+    return DC.stl_decompose(_grid(spark, sf))
+
+
+@register("logistic_forecast")
+def q_logistic_forecast(spark, sf):
+    """M1 + M3: bounded logistic + daily/weekly seasonal model, 168 h per sensor (rows-only check)."""
+    return FC.run_forecast(_history(spark, sf), model="logistic")
+
+
+# --------------------------------------------------------------------------- store
+from ..sinks import store as ST  # noqa: E402
+
+UPSERT_FROM = "2024-01-15"
+
+
+@register("upsert_latest", f"""WITH {O.readings_cte('type')},
+capped AS (SELECT *, CASE WHEN people >= 0 AND people <= {O.capacity_sql()} THEN people END AS v FROM readings),
+o AS (SELECT sensor_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS ds, avg(people) AS y, count(people) AS n_raw
+      FROM readings GROUP BY sensor_id, date_trunc('hour', ts)),
+n AS (SELECT sensor_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS ds, avg(v) AS y, count(v) AS n_values
+      FROM capped WHERE ts >= TIMESTAMP '{UPSERT_FROM}' GROUP BY sensor_id, date_trunc('hour', ts))
+SELECT coalesce(n.sensor_id, o.sensor_id) AS sensor_id, coalesce(n.ds, o.ds) AS ds, round(coalesce(n.y, o.y), 6) AS y,
+       o.n_raw AS n_raw, n.n_values AS n_values
+FROM o FULL OUTER JOIN n ON o.sensor_id = n.sensor_id AND o.ds = n.ds""")
+def q_upsert_latest(spark, sf):
+    """Hourly means of raw counts, then a later run rewrites the hours since
+    ``UPSERT_FROM`` with capped means — NULL fields of the rewrite keep the old values."""
+    r = T.readings_from_events(_events(spark, sf), "type")
+    hour = (F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("ds")
+    old = r.groupBy("sensor_id", hour).agg(F.avg("people").alias("y"), F.count("people").alias("n_raw"))
+    c = CL.cap_values(T.scan_range(r, start=UPSERT_FROM), "people", "v")
+    new = c.groupBy("sensor_id", hour).agg(F.avg("v").alias("y"), F.count("v").alias("n_values"))
+    out = ST.upsert_latest(old, new, ["sensor_id", "ds"])
+    return _round(out, ["y"])
+
+
+@register("delete_where", f"""WITH {O.messages_cte()}, {O.route_cte()}
+SELECT sensor_id, ts, valid, people, temperature, humidity, co2 FROM routed
+WHERE (people IS NOT NULL OR temperature IS NOT NULL OR humidity IS NOT NULL OR co2 IS NOT NULL)
+  AND NOT coalesce(ts >= TIMESTAMP '{RANGE[0].replace('T', ' ')}' AND ts < TIMESTAMP '{RANGE[1].replace('T', ' ')}'
+                   AND sensor_id = 'aiot', false)""")
+def q_delete_where(spark, sf):
+    """Delete sensor ``aiot``'s raw points in a time range; the survivors."""
+    raw = IG.raw_points(_messages(spark, sf))
+    return ST.delete_where(raw, start=RANGE[0], end=RANGE[1], tag_key="sensor_id", tag_value="aiot")
+
+
+@register("delete_tag_present", f"""WITH {O.clean_ctes('type')}, {O.hist_cte()}, {O.split_cte('hist')}
+SELECT sensor_id, ds, round(y, 6) AS y, part FROM split
+WHERE NOT coalesce(ds >= TIMESTAMP '1970-01-01' AND ds < TIMESTAMP '{NOW.replace('T', ' ')}' AND part <> '', false)
+   OR sensor_id IS NULL""")
+def q_delete_tag_present(spark, sf):
+    """W8 with a tag key and no value ("tag present and not empty") and default start."""
+    s = EV.split_train_test(_history(spark, sf))
+    out = ST.delete_where(s, end=NOW, tag_key="part", ts="ds")
+    return _round(out, ["y"])
