@@ -57,13 +57,14 @@ def _median_sorted(a: Column) -> Column:
     n = F.size(a)
     lo = F.element_at(a, ((n + 1) / 2).cast("int"))
     hi = F.element_at(a, (n / 2).cast("int") + 1)
-    return (lo + hi) / F.lit(2.0)
+    return F.when(n > 0, (lo + hi) / F.lit(2.0))
 
 
 def hampel_flag(vals: Column, v: Column, n_sigma: float) -> Column:
     """True when ``v`` is an outlier of the (NULL-free) window values ``vals``.
 
     Fewer than 3 values, or MAD 0, never flag. MAD is raw (no 1.4826 factor).
+    Single-expression form; :func:`hampel` computes the same in steps.
     """
     srt = F.array_sort(vals)
     med = _median_sorted(srt)
@@ -85,8 +86,13 @@ def hampel(df: DataFrame, value: str = "v0", out: str = "v1", window: int = C.HA
     w = Window.partitionBy(key, CHUNK).orderBy(POS)
     vals = F.collect_list(value).over(w.rangeBetween(-(window // 2), window // 2))
     if enabled:
-        h = h.withColumn(out, F.when(F.col(value).isNotNull() & ~hampel_flag(vals, F.col(value), n_sigma),
-                                     F.col(value)))
+        # one column per step, so the sorted window and its median are computed once per row
+        h = h.withColumn("_hw", F.array_sort(vals))
+        h = h.withColumn("_hm", _median_sorted(F.col("_hw")))
+        h = h.withColumn("_hd", _median_sorted(F.array_sort(F.transform("_hw", lambda x: F.abs(x - F.col("_hm"))))))
+        flag = ((F.size("_hw") >= 3) & (F.col("_hd") > 0)
+                & (F.abs(F.col(value) - F.col("_hm")) > F.lit(float(n_sigma)) * F.col("_hd")))
+        h = h.withColumn(out, F.when(F.col(value).isNotNull() & ~flag, F.col(value))).drop("_hw", "_hm", "_hd")
     else:
         h = h.withColumn(out, F.col(value))
     # neighbour timestamps are exact for core rows thanks to the halo
@@ -196,7 +202,15 @@ def cut(df: DataFrame, enabled: bool = True) -> DataFrame:
     """Materialise into ``spark.checkpoint.dir`` (reliable storage): ends the lineage,
     keeps the ``(sensor, chunk)`` partitioning, and is the restart point if
     executors are lost."""
-    return df.checkpoint(eager=True) if enabled else df
+    if not enabled:
+        return df
+    # cached first: the eager checkpoint then writes from the cache instead of
+    # recomputing the lineage a second time
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def clean_stages(readings: DataFrame, value: str = "people", capacity: dict | None = None,

@@ -455,3 +455,22 @@ def q_delete_tag_present(spark, sf):
     s = EV.split_train_test(_history(spark, sf))
     out = ST.delete_where(s, end=NOW, tag_key="part", ts="ds")
     return _round(out, ["y"])
+
+
+# --------------------------------------------------------------------------- streaming
+from ..session import scratch_path  # noqa: E402
+
+_RAW_SQL = ORACLE["payload_route"].replace("SELECT * FROM routed",
+                                          "SELECT sensor_id, ts, valid, people, temperature, humidity, co2 FROM routed")
+
+
+@register("stream_ingest", _RAW_SQL)
+def q_stream_ingest(spark, sf):
+    """Messages as a file stream, several micro-batches (``availableNow``), each
+    written by ``foreachBatch`` to the raw, device-log and dead-letter tables; returns
+    the raw table, which must equal the batch routing (``payload_route``)."""
+    base = scratch_path(spark, "stream")
+    _messages(spark, sf).repartition(4).write.parquet(f"{base}/source")
+    q = IG.start_ingest(spark, f"{base}/source", f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/raw").drop("batch", "date")

@@ -71,12 +71,25 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _swap_in(spark: SparkSession, merged: DataFrame, path: str) -> None:
+def _swap_in(spark: SparkSession, merged: DataFrame, path: str) -> set:
+    """Stage ``merged`` (partitioned by date) and swap its partitions into ``path``.
+
+    Returns the dates written.
+    """
     stage = scratch_path(spark, "stage")
     merged.write.mode("overwrite").partitionBy("date").parquet(stage)
-    staged = spark.read.parquet(stage)
+    staged = spark.read.schema(merged.schema).parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(path))
+    return {r[0] for r in staged.select("date").distinct().collect()}
+
+
+def _drop_partitions(spark: SparkSession, path: str, dates) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for d in dates:
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/date={d}")
+        p.getFileSystem(conf).delete(p, True)
 
 
 def append(spark: SparkSession, df: DataFrame, path: str, ts: str = "ts") -> None:
@@ -108,13 +121,7 @@ def delete_table(spark: SparkSession, path: str, confirm: bool = False, ts: str
         return 0
     touched = df.where(F.col("date").isin(hit_dates))
     n = touched.where(pred).count()
-    _swap_in(spark, touched.where(~pred), path)
-    # partitions left empty by the delete are overwritten only if rows remain: clear the rest
-    remaining = {r[0] for r in spark.read.parquet(path).where(F.col("date").isin(hit_dates))
-                 .where(pred).select("date").distinct().collect()}
-    if remaining:
-        jvm = spark.sparkContext._jvm
-        for d in remaining:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path}/date={d}")
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    written = _swap_in(spark, touched.where(~pred), path)
+    # partitions the delete emptied completely are not rewritten: remove them
+    _drop_partitions(spark, path, [d for d in hit_dates if d not in written])
     return n
