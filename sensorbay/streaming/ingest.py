@@ -16,35 +16,54 @@ RAW_COLUMNS = ["sensor_id", "ts", "valid", "people", "temperature", "humidity",
 
 
 def parsed(messages: DataFrame, capacity: dict | None = None) -> DataFrame:
+    """Adds ``_utf8`` and ``_m`` (the payload as a map, NULL unless one JSON object)."""
     text = P.payload_text("payload")
     return messages.select("*", P.utf8_ok("payload").alias("_utf8"),
                            P.parse_object(text).alias("_m"))
 
 
+def _emit(df: DataFrame, keep, cols: list) -> DataFrame:
+    """Rows of ``cols`` where ``keep`` holds, as a generator instead of a filter.
+
+    A filter on the derived columns would be pushed below the projection that
+    parses the payload and re-parse it once per referenced key; ``inline`` of a
+    0/1-element array keeps the parse to one per message.
+    """
+    # fields first, in a projection (subexpression elimination, whole-stage codegen),
+    # then the generator over plain column references
+    proj = df.select(*cols, F.coalesce(keep, F.lit(False)).alias("_keep"))
+    names = [c for c in proj.columns if c != "_keep"]
+    row = F.when(F.col("_keep"), F.array(F.struct(*[F.col(n) for n in names]))).otherwise(F.array())
+    return proj.select(F.inline(row))
+
+
 def raw_points(messages: DataFrame, capacity: dict | None = None, keep_id: bool = False) -> DataFrame:
-    """W1 rows: ``sensor_id, ts, valid, people, temperature, humidity, co2``."""
-    p = parsed(messages).where(F.col("_utf8") & F.col("_m").isNotNull())
+    """W1 rows: ``sensor_id, ts, valid, people, temperature, humidity, co2``.
+
+    A row per readable JSON object that yields at least one field.
+    """
+    p = parsed(messages)
     f = P.route_fields(F.col("_m"), capacity)
     cols = [f["sensor_id"].alias("sensor_id"), F.col("arrival_ts").cast("timestamp_ntz").alias("ts"),
             f["valid"].alias("valid"), f["people"].alias("people"), f["temperature"].alias("temperature"),
             f["humidity"].alias("humidity"), f["co2"].alias("co2")]
     if keep_id:
-        cols = [F.col("msg_id")] + cols
-    out = p.select(*cols)
-    return out.where(F.coalesce(F.col("people").isNotNull(), F.lit(False))
-                     | F.col("temperature").isNotNull() | F.col("humidity").isNotNull()
-                     | F.col("co2").isNotNull())
+        cols = [F.col("msg_id").alias("msg_id")] + cols
+    proj = p.select(*cols, (F.col("_utf8") & F.col("_m").isNotNull()).alias("_ok"))
+    any_field = (F.col("people").isNotNull() | F.col("temperature").isNotNull()
+                 | F.col("humidity").isNotNull() | F.col("co2").isNotNull())
+    return _emit(proj, F.col("_ok") & any_field, [F.col(c) for c in proj.columns if c != "_ok"])
 
 
 def device_log(messages: DataFrame, keep_id: bool = False) -> DataFrame:
     """W5 rows ``device, timestamp, topic, payload`` for every payload that is a JSON object."""
-    p = parsed(messages).where(F.col("_utf8") & F.col("_m").isNotNull())
+    p = parsed(messages)
     cols = [P.device_name(P.sensor_id(F.col("_m"))).alias("device"),
-            P.iso_utc("arrival_ts").alias("timestamp"), F.col("topic"),
+            P.iso_utc("arrival_ts").alias("timestamp"), F.col("topic").alias("topic"),
             P.flatten_payload("payload").alias("payload")]
     if keep_id:
-        cols = [F.col("msg_id")] + cols
-    return p.select(*cols)
+        cols = [F.col("msg_id").alias("msg_id")] + cols
+    return _emit(p, F.col("_utf8") & F.col("_m").isNotNull(), cols)
 
 
 def dead_letters(messages: DataFrame, keep_id: bool = False) -> DataFrame:
@@ -52,11 +71,11 @@ def dead_letters(messages: DataFrame, keep_id: bool = False) -> DataFrame:
     p = parsed(messages)
     reason = (F.when(~F.col("_utf8"), F.lit("invalid_utf8"))
               .when(F.col("_m").isNull(), F.lit("not_json_object")))
-    cols = [F.col("topic"), P.payload_text("payload").alias("payload"),
+    cols = [F.col("topic").alias("topic"), P.payload_text("payload").alias("payload"),
             F.col("arrival_ts").cast("timestamp_ntz").alias("arrival_ts"), reason.alias("reason")]
     if keep_id:
-        cols = [F.col("msg_id")] + cols
-    return p.select(*cols).where(F.col("reason").isNotNull())
+        cols = [F.col("msg_id").alias("msg_id")] + cols
+    return _emit(p, reason.isNotNull(), cols)
 
 
 def write_batch(messages: DataFrame, out_dir: str, batch_id: int | None = None) -> None:
