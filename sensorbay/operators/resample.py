@@ -58,7 +58,9 @@ def fill_series(df: DataFrame, value: str = "y", out: str | None = None, backwar
     """N7 ``ffill().bfill()`` (default) or N6 ``bfill().ffill()`` on an hourly series."""
     out = out or value
     w = Window.partitionBy(key).orderBy(order)
+    wr = Window.partitionBy(key).orderBy(F.col(order).desc())
     prev = F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.first(value, True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    # next non-NULL as a running scan over the reversed order (linear, not quadratic)
+    nxt = F.last(value, True).over(wr.rowsBetween(Window.unboundedPreceding, 0))
     a, b = (nxt, prev) if backward_first else (prev, nxt)
     return df.withColumn(out, F.coalesce(a, b))

@@ -29,7 +29,10 @@ DEFAULT_CHUNK_ROWS = 200_000
 DEFAULT_BUCKET_SECONDS = 3600
 
 _UNB = Window.unboundedPreceding
-_UNF = Window.unboundedFollowing
+# Scans towards the end of a series are written as scans over the reversed
+# order: a frame "from here to the end" makes Spark re-aggregate all following
+# rows for every row (quadratic), a frame "from the start to here" is updated
+# incrementally (linear).
 
 
 def _micros(ts: str) -> Column:
@@ -87,16 +90,18 @@ def carry_nearest(df: DataFrame, value: str, name: str, key: str = KEY,
     fields = [F.col(POS).alias("pos"), F.col(value).alias("v")] + [c.alias(n) for n, c in extra.items()]
     df = df.withColumn("_o", F.when(F.col(value).isNotNull(), F.struct(*fields)))
     w = Window.partitionBy(key, CHUNK).orderBy(POS)
+    wr = Window.partitionBy(key, CHUNK).orderBy(F.col(POS).desc())
     df = (df.withColumn("_ip", F.last("_o", True).over(w.rowsBetween(_UNB, -1)))
-            .withColumn("_in", F.first("_o", True).over(w.rowsBetween(1, _UNF))))
+            .withColumn("_in", F.last("_o", True).over(wr.rowsBetween(_UNB, -1))))
     aggs = [F.max("_o").alias("_lo"), F.min("_o").alias("_fo")]
     if bounds:
         aggs += [F.min(bounds).alias("_bmin"), F.max(bounds).alias("_bmax")]
     summ = df.groupBy(key, CHUNK).agg(*aggs)
     wc = Window.partitionBy(key).orderBy(CHUNK)
+    wcr = Window.partitionBy(key).orderBy(F.col(CHUNK).desc())
     cols = [key, CHUNK,
             F.last("_lo", True).over(wc.rowsBetween(_UNB, -1)).alias("_cp"),
-            F.first("_fo", True).over(wc.rowsBetween(1, _UNF)).alias("_cn")]
+            F.last("_fo", True).over(wcr.rowsBetween(_UNB, -1)).alias("_cn")]
     if bounds:
         # per-sensor first / last value of ``bounds`` (the series edges)
         wa = Window.partitionBy(key)

@@ -116,21 +116,29 @@ def pivot_fields(long_df: DataFrame, fields=("people", "temperature", "humidity"
 
 
 # --------------------------------------------------------------------------- S6
-def read_backup(spark: SparkSession, path: str) -> DataFrame:
-    """The per-device backup log ``timestamp,topic,payload`` (payload may hold commas).
+BACKUP_SCHEMA = "timestamp string, topic string, payload string"
 
-    Accepts both the reference's unquoted lines and our quoted CSV: the first
-    two fields never contain commas, everything after the second comma is the
-    payload. The device is taken from the ``device=<id>`` folder when present.
+
+def read_backup(spark: SparkSession, path: str, quoted: bool = True) -> DataFrame:
+    """The per-device backup log ``timestamp,topic,payload``.
+
+    ``quoted=True`` reads our RFC-4180 CSV (quotes doubled); ``quoted=False``
+    reads the original unquoted lines, where the first two fields never hold a
+    comma and everything after the second comma is the payload. The device is
+    the ``device=<id>`` folder, or the file name ``<id>.csv``.
     """
-    raw = spark.read.text(path).withColumn("_file", F.input_file_name())
-    parts = F.split(F.col("value"), ",", 3)
-    payload = parts[2]
-    unq = F.when(payload.startswith('"') & payload.endswith('"'),
-                 F.regexp_replace(F.substring(payload, F.lit(2), F.length(payload) - 2), '""', '"')) \
-        .otherwise(payload)
-    dev = F.regexp_extract(F.col("_file"), r"device=([^/]+)/", 1)
-    name = F.regexp_extract(F.col("_file"), r"([^/]+)\.csv$", 1)
-    return (raw.where(F.col("value") != "timestamp,topic,payload")
-            .select(F.when(dev != "", dev).otherwise(name).alias("device"),
-                    parts[0].alias("timestamp"), parts[1].alias("topic"), unq.alias("payload")))
+    if quoted:
+        raw = (spark.read.schema(BACKUP_SCHEMA).option("header", "true").option("quote", '"')
+               .option("escape", '"').csv(path))
+        body = raw.select("timestamp", "topic", "payload")
+    else:
+        txt = spark.read.text(path)
+        parts = F.split(F.col("value"), ",", 3)
+        body = (txt.where(F.col("value") != "timestamp,topic,payload")
+                .select(parts[0].alias("timestamp"), parts[1].alias("topic"), parts[2].alias("payload")))
+    f = F.input_file_name()
+    dev = F.regexp_extract(f, r"device=([^/]+)/", 1)
+    name = F.regexp_extract(f, r"([^/]+)\.csv$", 1)
+    device = F.when(dev != "", F.expr("url_decode(regexp_extract(input_file_name(), 'device=([^/]+)/', 1))")) \
+        .otherwise(name)
+    return body.select(device.alias("device"), "timestamp", "topic", "payload")

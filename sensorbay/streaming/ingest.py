@@ -78,6 +78,12 @@ def dead_letters(messages: DataFrame, keep_id: bool = False) -> DataFrame:
     return _emit(p, reason.isNotNull(), cols)
 
 
+def write_device_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One folder per device, header line, RFC-4180 quoting (the payload holds commas)."""
+    (log.select("device", "timestamp", "topic", "payload").write.mode(mode).partitionBy("device")
+     .option("header", "true").option("quote", '"').option("escape", '"').csv(path))
+
+
 def write_batch(messages: DataFrame, out_dir: str, batch_id: int | None = None) -> None:
     """Write raw points, the device log and dead letters of one (micro-)batch.
 
@@ -89,8 +95,7 @@ def write_batch(messages: DataFrame, out_dir: str, batch_id: int | None = None)
     try:
         (raw_points(messages).withColumn("date", F.to_date("ts"))
          .write.mode("overwrite").partitionBy("date").parquet(f"{out_dir}/raw{sub}"))
-        (device_log(messages).write.mode("overwrite").partitionBy("device")
-         .option("header", "true").csv(f"{out_dir}/device_log{sub}"))
+        write_device_log(device_log(messages), f"{out_dir}/device_log{sub}")
         dead_letters(messages).write.mode("overwrite").parquet(f"{out_dir}/dead_letters{sub}")
     finally:
         messages.unpersist()
