@@ -218,19 +218,23 @@ def clean_stages(readings: DataFrame, value: str = "people", capacity: dict | No
                  window: int = C.HAMPEL_WINDOW, n_sigma: float = C.HAMPEL_N_SIGMA,
                  short_hours: float = C.SHORT_GAP_HOURS, long_hours: float = C.LONG_GAP_HOURS,
                  smooth_sensors=C.SMOOTH_SENSORS, order: tuple = ("ts", "seq"),
-                 chunk_rows: int = S.DEFAULT_CHUNK_ROWS, bucket_seconds: int = S.DEFAULT_BUCKET_SECONDS,
-                 until: str = "people", key: str = KEY) -> DataFrame:
+                 chunk_rows: int = S.DEFAULT_CHUNK_ROWS, bucket_seconds: int | None = S.DEFAULT_BUCKET_SECONDS,
+                 bucket_rows: int = S.DEFAULT_BUCKET_ROWS, until: str = "people", key: str = KEY) -> DataFrame:
     """The cleaning chain with all work columns, stopped after stage ``until``.
 
     Stages: ``v0`` (capped), ``v1`` (Hampel), ``gaps``, ``s0``, ``v2`` (gap
     filled), ``v3`` (edge filled), ``people`` (smoothed and rounded).
+
+    Scale knobs: ``chunk_rows`` consecutive rows of a sensor per window task;
+    ``bucket_rows`` bounds the rows per numbering bucket (or fix the width with
+    ``bucket_seconds``).
     """
     ts = order[0]
     rd = readings.where(F.col(ts).isNotNull())
     df = cap_values(rd, value, "v0", capacity, default_capacity)
     if until == "v0":
         return df
-    df = S.number_rows(df, key, order, chunk_rows, bucket_seconds)
+    df = S.number_rows(df, key, order, chunk_rows, bucket_seconds, bucket_rows)
     df = cut(hampel(df, "v0", "v1", window, n_sigma, chunk_rows, key, ts, enabled=use_hampel))
     if until == "v1":
         return df

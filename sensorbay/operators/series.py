@@ -26,7 +26,8 @@ POS = "pos"
 CHUNK = "chunk"
 
 DEFAULT_CHUNK_ROWS = 200_000
-DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_BUCKET_SECONDS = None   # adaptive per sensor
+DEFAULT_BUCKET_ROWS = 1_000_000
 
 _UNB = Window.unboundedPreceding
 # Scans towards the end of a series are written as scans over the reversed
@@ -39,16 +40,39 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def bucket_widths(df: DataFrame, key: str = KEY, ts: str = "ts",
+                  bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """Per sensor, the time-bucket width (microseconds) used to number its rows.
+
+    The hour is split into ``2**k`` parts, ``k`` the smallest with the sensor's
+    busiest hour under ``bucket_rows`` rows per part: a quiet sensor keeps
+    hourly buckets, a very busy one gets fine buckets. One small row per sensor.
+    """
+    hourly = df.groupBy(key, F.floor(_micros(ts) / F.lit(3_600_000_000)).alias("_h")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    k = F.least(F.lit(30), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_mx") / F.lit(float(bucket_rows))))))
+    return (hourly.groupBy(key).agg(F.max("_n").alias("_mx"))
+            .select(key, F.greatest(F.lit(1), (F.lit(3_600_000_000) / F.pow(F.lit(2.0), k)).cast("long"))
+                    .alias("_w")))
+
+
 def number_rows(df: DataFrame, key: str = KEY, order: tuple = ("ts", "seq"),
-                chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_seconds: int | None = None,
+                bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Add ``pos`` (1-based per ``key`` in ``order``) and ``chunk``.
 
-    ``order[0]`` must be the timestamp column; the rest break ties.
+    ``order[0]`` must be the timestamp column; the rest break ties. With
+    ``bucket_seconds`` every sensor uses that bucket width; by default the
+    width adapts per sensor (:func:`bucket_widths`).
     """
     ts = order[0]
-    b = F.floor(_micros(ts) / F.lit(bucket_seconds * 1_000_000)).alias("_b")
-    df = df.withColumn("_b", b)
+    if bucket_seconds:
+        df = df.withColumn("_b", F.floor(_micros(ts) / F.lit(bucket_seconds * 1_000_000)))
+    else:
+        # small side: one row per sensor (broadcast by AQE when measured small,
+        # otherwise a shuffle join whose hot-sensor partition AQE splits)
+        df = df.join(bucket_widths(df, key, ts, bucket_rows), key, "inner")
+        df = df.withColumn("_b", F.floor(_micros(ts) / F.col("_w"))).drop("_w")
     counts = df.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(key).orderBy("_b").rowsBetween(_UNB, -1)
     offs = counts.select(key, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))

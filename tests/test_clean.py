@@ -204,3 +204,28 @@ def test_properties_on_events(spark):
     assert c.count() == r.count()
     bad = c.where(F.col("people").isNull() | (F.col("people") < 0) | (F.col("people") > 150)).count()
     assert bad == 0
+
+
+def test_number_rows_adaptive_buckets(spark):
+    from pyspark.sql import Window
+
+    from sensorbay.operators import series as S
+    rng = random.Random(3)
+    series = {f"s{i}": _random_series(rng, rng.randint(30, 90)) for i in range(4)}
+    df = readings(spark, {k: list(zip(t, v)) for k, (t, v) in series.items()})
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("sensor_id").orderBy("ts", "seq")))
+    for kw in ({"bucket_rows": 2}, {"bucket_rows": 1_000_000}, {"bucket_seconds": 600}):
+        got = S.number_rows(df, chunk_rows=7, **kw)
+        assert sorted(got.select("sensor_id", "seq", "pos").collect()) == \
+            sorted(exp.select("sensor_id", "seq", "pos").collect())
+    w = S.bucket_widths(df, bucket_rows=2).collect()
+    assert all(r["_w"] <= 3_600_000_000 for r in w)
+
+
+def test_chunked_fine_buckets_equal_plain(spark):
+    rng = random.Random(5)
+    series = {f"s{i}": _random_series(rng, rng.randint(50, 120)) for i in range(4)}
+    s = {k: list(zip(t, v)) for k, (t, v) in series.items()}
+    plain = CL.clean(readings(spark, s)).orderBy("sensor_id", "ts").collect()
+    fine = CL.clean(readings(spark, s), chunk_rows=11, bucket_rows=2).orderBy("sensor_id", "ts").collect()
+    assert plain == fine
