@@ -63,7 +63,7 @@ def _stages(spark, sf, by, until, **kw):
 
 
 @register("cap_values", f"""WITH {O.clean_ctes('user')}
-SELECT sensor_id, ts, seq, {O.capacity_sql()} AS capacity, v0 AS people_capped FROM capped""")
+SELECT sensor_id, ts, seq, CAST({O.capacity_sql()} AS DOUBLE) AS capacity, v0 AS people_capped FROM capped""")
 def q_cap_values(spark, sf):
     return _stages(spark, sf, "user", "v0").select("sensor_id", "ts", "seq", "capacity",
                                                    F.col("v0").alias("people_capped"))
@@ -88,7 +88,7 @@ def q_gap_blocks(spark, sf):
 
 
 @register("fill_seasonal", f"""WITH {O.clean_ctes('user')}
-SELECT sensor_id, hr AS hour, round(m, 6) AS median_people FROM med0""")
+SELECT sensor_id, CAST(hr AS INTEGER) AS hour, round(m, 6) AS median_people FROM med0""")
 def q_fill_seasonal(spark, sf):
     """A2: clock-hour medians of the Hampel-filtered counts (the stage-0 fill values)."""
     h = _stages(spark, sf, "user", "v1")
