@@ -146,10 +146,12 @@ def _interpolate(prev: str, nxt: str) -> Column:
 
 def seasonal_stage0(df: DataFrame, value: str = "v1", ts: str = "ts", key: str = KEY) -> DataFrame:
     """First short gap ``_f`` per sensor and stage 0 ``s0`` (medium gaps before it)."""
-    chunks = _chunks(df, key)
-    df = S.sensor_stat(df, F.when(F.col("gap_class") == "short", F.col(POS)), "min", "_f", key)
-    med0 = S.hour_map(df, value, "_med0", chunks, key, ts)
-    df = df.join(med0, [key, CHUNK], "left")
+    # one per-chunk table carries both the sensor's first short gap and its
+    # clock-hour medians; one join back on (sensor, chunk)
+    summ = df.groupBy(key, CHUNK).agg(F.min(F.when(F.col("gap_class") == "short", F.col(POS))).alias("_s"))
+    summ = summ.select(key, CHUNK, F.min("_s").over(Window.partitionBy(key)).alias("_f"))
+    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts), key, "left")
+    df = df.join(summ, [key, CHUNK], "left")
     early = F.col("_f").isNull() | (F.col(POS) < F.col("_f"))
     df = df.withColumn("s0", F.when(F.col(value).isNotNull(), F.col(value))
                        .when((F.col("gap_class") == "medium") & early, F.col("_med0")[F.hour(ts)]))

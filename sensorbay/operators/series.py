@@ -173,17 +173,20 @@ def sensor_stat(df: DataFrame, value: Column, kind: str, name: str, key: str = K
     return df.join(summ, [key, CHUNK], "left")
 
 
-def hour_map(values: DataFrame, value: str, name: str, chunks: DataFrame, key: str = KEY,
-             ts: str = "ts") -> DataFrame:
-    """Exact median of ``value`` per (sensor, UTC clock hour), as a 24-entry map per chunk.
+def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: str = "ts") -> DataFrame:
+    """Exact median of ``value`` per (sensor, UTC clock hour), as one 24-entry map per sensor.
 
     ``percentile`` keeps a value->count map per group and merges partial maps,
-    so a hot sensor is aggregated map-side across many tasks. The result is at
-    most 24 entries per sensor; it is attached to the chunk list so the big
-    side joins on its own partitioning key ``(sensor, chunk)``.
+    so a hot sensor is aggregated map-side across many tasks.
     """
     med = (values.where(F.col(value).isNotNull())
            .groupBy(key, F.hour(ts).alias("_h"))
            .agg(F.percentile(F.col(value), 0.5).alias("_m")))
-    per_sensor = med.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_h", "_m"))).alias(name))
-    return chunks.join(per_sensor, key, "left")
+    return med.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_h", "_m"))).alias(name))
+
+
+def hour_map(values: DataFrame, value: str, name: str, chunks: DataFrame, key: str = KEY,
+             ts: str = "ts") -> DataFrame:
+    """:func:`hour_medians` attached to the chunk list ``(sensor, chunk)``, so the big
+    side joins on its own partitioning key."""
+    return chunks.join(hour_medians(values, value, name, key, ts), key, "left")
