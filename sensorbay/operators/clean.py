@@ -144,13 +144,19 @@ def _interpolate(prev: str, nxt: str) -> Column:
     return ((qv - pv) / (qp - pp)) * (F.col(POS).cast("double") - pp) + pv
 
 
-def seasonal_stage0(df: DataFrame, value: str = "v1", ts: str = "ts", key: str = KEY) -> DataFrame:
-    """First short gap ``_f`` per sensor and stage 0 ``s0`` (medium gaps before it)."""
+def seasonal_stage0(df: DataFrame, value: str = "v1", ts: str = "ts", key: str = KEY,
+                    median_method: str = "percentile") -> DataFrame:
+    """First short gap ``_f`` per sensor and stage 0 ``s0`` (medium gaps before it).
+
+    The medians here are over observed counts, already capped to
+    ``[0, capacity]``: for integer counts a group has at most ``capacity + 1``
+    distinct values, so Spark's exact ``percentile`` map stays small.
+    """
     # one per-chunk table carries both the sensor's first short gap and its
     # clock-hour medians; one join back on (sensor, chunk)
     summ = df.groupBy(key, CHUNK).agg(F.min(F.when(F.col("gap_class") == "short", F.col(POS))).alias("_s"))
     summ = summ.select(key, CHUNK, F.min("_s").over(Window.partitionBy(key)).alias("_f"))
-    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts), key, "left")
+    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts, median_method), key, "left")
     df = df.join(summ, [key, CHUNK], "left")
     early = F.col("_f").isNull() | (F.col(POS) < F.col("_f"))
     df = df.withColumn("s0", F.when(F.col(value).isNotNull(), F.col(value))
@@ -167,9 +173,14 @@ def interpolate_stage(df: DataFrame, out: str = "s1", key: str = KEY) -> DataFra
     return df.drop("_s0_prev", "_s0_next")
 
 
-def seasonal_stage2(df: DataFrame, out: str = "v2", ts: str = "ts", key: str = KEY) -> DataFrame:
-    """Stage 2: medium gaps after the first short gap take clock-hour medians of ``s1``."""
-    med1 = S.hour_map(df, "s1", "_med1", _chunks(df, key), key, ts)
+def seasonal_stage2(df: DataFrame, out: str = "v2", ts: str = "ts", key: str = KEY,
+                    median_method: str = "histogram") -> DataFrame:
+    """Stage 2: medium gaps after the first short gap take clock-hour medians of ``s1``.
+
+    ``s1`` holds interpolated values (any number of distinct values per group),
+    so the exact median is the histogram-refined one (bounded memory per task).
+    """
+    med1 = S.hour_map(df, "s1", "_med1", _chunks(df, key), key, ts, median_method)
     df = df.join(med1, [key, CHUNK], "left")
     late = F.col("_f").isNotNull() & (F.col(POS) > F.col("_f")) & (F.col("gap_class") == "medium")
     return df.withColumn(out, F.when(late, F.col("_med1")[F.hour(ts)]).otherwise(F.col("s1"))).drop("_med1")

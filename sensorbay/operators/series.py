@@ -173,20 +173,67 @@ def sensor_stat(df: DataFrame, value: Column, kind: str, name: str, key: str = K
     return df.join(summ, [key, CHUNK], "left")
 
 
-def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: str = "ts") -> DataFrame:
+def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: str = "ts",
+                 method: str = "histogram") -> DataFrame:
     """Exact median of ``value`` per (sensor, UTC clock hour), as one 24-entry map per sensor.
 
-    ``percentile`` keeps a value->count map per group and merges partial maps,
-    so a hot sensor is aggregated map-side across many tasks.
+    ``method='percentile'`` uses Spark's exact ``percentile`` (a value->count map
+    per group, merged map-side: memory grows with the distinct values of one
+    group); ``'histogram'`` uses :func:`exact_median` (bounded per task).
     """
-    med = (values.where(F.col(value).isNotNull())
-           .groupBy(key, F.hour(ts).alias("_h"))
-           .agg(F.percentile(F.col(value), 0.5).alias("_m")))
+    if method == "percentile":
+        med = (values.where(F.col(value).isNotNull())
+               .groupBy(key, F.hour(ts).alias("_h"))
+               .agg(F.percentile(F.col(value), 0.5).alias("_m")))
+    else:
+        med = exact_median(values.select(key, F.hour(ts).alias("_h"), value), [key, "_h"], value, "_m")
     return med.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_h", "_m"))).alias(name))
 
 
 def hour_map(values: DataFrame, value: str, name: str, chunks: DataFrame, key: str = KEY,
-             ts: str = "ts") -> DataFrame:
+             ts: str = "ts", method: str = "histogram") -> DataFrame:
     """:func:`hour_medians` attached to the chunk list ``(sensor, chunk)``, so the big
     side joins on its own partitioning key."""
-    return chunks.join(hour_medians(values, value, name, key, ts), key, "left")
+    return chunks.join(hour_medians(values, value, name, key, ts, method), key, "left")
+
+
+def exact_median(values: DataFrame, groups: list[str], value: str, name: str = "median",
+                 buckets: int = 4096) -> DataFrame:
+    """Exact median per group without holding a group's distinct values in one task.
+
+    1. count, min, max per group (partial aggregation);
+    2. a histogram of ``buckets`` equal-width bins per group (partial aggregation;
+       at most ``buckets`` rows per group);
+    3. the bins holding the two middle ranks are found with a running sum over
+       the histogram; only values of those bins are counted per distinct value,
+       and a running sum over them gives the exact middle values.
+
+    The median is ``(a + b) / 2`` of the values at ranks ``(n + 1) // 2`` and
+    ``n // 2 + 1`` — the same as ``percentile(x, 0.5)``.
+    """
+    v = values.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_x"))
+    st = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    width = F.col("_hi") - F.col("_lo")
+    b = F.when(width > 0, F.least(F.lit(buckets - 1),
+                                  F.floor((F.col("_x") - F.col("_lo")) / width * F.lit(buckets)))).otherwise(F.lit(0))
+    vb = v.join(st, groups).withColumn("_b", b.cast("int"))
+    hist = vb.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    hist = hist.join(st.select(*groups, "_n"), groups)
+    wg = Window.partitionBy(*groups).orderBy("_b")
+    hist = hist.withColumn("_cum", F.sum("_c").over(wg.rowsBetween(_UNB, 0)))
+    r1 = F.floor((F.col("_n") + 1) / 2)
+    r2 = F.floor(F.col("_n") / 2) + 1
+    prev = F.col("_cum") - F.col("_c")
+    targets = (hist.select(*groups, "_b", F.explode(F.array(
+        F.when((prev < r1) & (r1 <= F.col("_cum")), F.struct(F.lit(1).alias("k"), (r1 - prev).alias("r"))),
+        F.when((prev < r2) & (r2 <= F.col("_cum")), F.struct(F.lit(2).alias("k"), (r2 - prev).alias("r"))),
+    )).alias("_t")).where(F.col("_t").isNotNull()).select(*groups, "_b", "_t.k", "_t.r"))
+    need = targets.select(*groups, "_b").distinct()
+    dist = vb.join(need, groups + ["_b"], "left_semi").groupBy(*groups, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    wv = Window.partitionBy(*groups, "_b").orderBy("_x")
+    dist = dist.withColumn("_cum", F.sum("_c").over(wv.rowsBetween(_UNB, 0)))
+    picked = (dist.join(targets, groups + ["_b"])
+              .where((F.col("_cum") - F.col("_c") < F.col("r")) & (F.col("r") <= F.col("_cum"))))
+    out = picked.groupBy(*groups).agg(F.max(F.when(F.col("k") == 1, F.col("_x"))).alias("_a"),
+                                      F.max(F.when(F.col("k") == 2, F.col("_x"))).alias("_z"))
+    return out.select(*groups, ((F.col("_a") + F.col("_z")) / F.lit(2.0)).alias(name))

@@ -229,3 +229,17 @@ def test_chunked_fine_buckets_equal_plain(spark):
     plain = CL.clean(readings(spark, s)).orderBy("sensor_id", "ts").collect()
     fine = CL.clean(readings(spark, s), chunk_rows=11, bucket_rows=2).orderBy("sensor_id", "ts").collect()
     assert plain == fine
+
+
+def test_exact_median_matches_percentile(spark):
+    from sensorbay.operators import series as S
+    rng = random.Random(1)
+    rows = []
+    for g in range(25):
+        for _ in range(rng.choice([1, 2, 3, 4, 9, 60, 301])):
+            rows.append((f"s{g % 4}", g, rng.choice([rng.random(), float(rng.randint(0, 5)), 3.0])))
+    df = spark.createDataFrame(rows, "sensor_id string, h int, x double")
+    for b in (1, 8, 4096):
+        got = S.exact_median(df, ["sensor_id", "h"], "x", "m", buckets=b).collect()
+        exp = df.groupBy("sensor_id", "h").agg(F.percentile("x", 0.5).alias("m")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, exp))
