@@ -6,11 +6,14 @@ readings, see :mod:`sensorbay.sources.tables`) in full.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean as CL
 from ..operators import resample as RS
 from ..sources import tables as T
+from ..session import prepare
 from . import oracle as O
 
 QUERIES: dict = {}
@@ -18,8 +21,13 @@ ORACLE: dict = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir)``; the session is prepared (UTC, AQE, checkpoint dir) first."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            prepare(spark)
+            return fn(spark, sf)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

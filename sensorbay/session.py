@@ -50,6 +50,21 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+RUNTIME_CONF = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.")}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the engine's runtime SQL settings (UTC zone, AQE) to a session made
+    elsewhere, and make sure a checkpoint folder is known."""
+    for k, v in RUNTIME_CONF.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # a setting the session does not allow to change
+            pass
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
