@@ -132,6 +132,70 @@ def gap_blocks(classified: DataFrame, key: str = KEY) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def classify_stage0(df: DataFrame, value: str = "v1", short_hours: float = C.SHORT_GAP_HOURS,
+                    long_hours: float = C.LONG_GAP_HOURS, ts: str = "ts", key: str = KEY,
+                    median_method: str = "percentile") -> DataFrame:
+    """:func:`classify_gaps` and :func:`seasonal_stage0` with a single join.
+
+    One per-chunk summary carries the nearest observations across chunk edges,
+    the sensor's first / last time, its first short gap and its clock-hour
+    medians. The first short gap is found on the summary: gaps inside a chunk
+    are classified there (both neighbours in the chunk), gaps that touch a
+    chunk edge from the chunk's last observation and the next chunk's first,
+    the leading gap from the sensor's first observation.
+    """
+    hrs = lambda a, b: (F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))) / F.lit(3_600_000_000.0)  # noqa: E731,E501
+    obs = F.when(F.col(value).isNotNull(), F.struct(F.col(POS).alias("pos"), F.col(value).alias("v"),
+                                                     F.col("_tn").alias("tn"), F.col("_tp").alias("tp")))
+    w = Window.partitionBy(key, CHUNK).orderBy(POS)
+    wr = Window.partitionBy(key, CHUNK).orderBy(F.col(POS).desc())
+    df = (df.withColumn("_o", obs)
+            .withColumn("_ip", F.last("_o", True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("_in", F.last("_o", True).over(wr.rowsBetween(Window.unboundedPreceding, -1))))
+    inner_short = (F.col(value).isNull() & F.col("_ip").isNotNull() & F.col("_in").isNotNull()
+                   & (hrs(F.col("_ip.tn"), F.col("_in.tp")) <= short_hours))
+    summ = df.groupBy(key, CHUNK).agg(
+        F.max("_o").alias("_lo"), F.min("_o").alias("_fo"), F.min(ts).alias("_bmin"), F.max(ts).alias("_bmax"),
+        F.min(F.when(inner_short, F.col(POS))).alias("_fs"))
+    wc = Window.partitionBy(key).orderBy(CHUNK)
+    wcr = Window.partitionBy(key).orderBy(F.col(CHUNK).desc())
+    wa = Window.partitionBy(key)
+    summ = summ.select(
+        "*",
+        F.last("_lo", True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_cp"),
+        F.last("_fo", True).over(wcr.rowsBetween(Window.unboundedPreceding, -1)).alias("_cn"),
+        F.min("_bmin").over(wa).alias("_first_ts"), F.max("_bmax").over(wa).alias("_last_ts"),
+        F.min("_fo").over(wa).alias("_first_obs"))
+    # the gap after the last observation up to this chunk's end (may run into later chunks)
+    a = F.coalesce(F.col("_lo"), F.col("_cp"))
+    gap_after = a.isNotNull() & a["tn"].isNotNull() & (F.col("_cn").isNull() | (F.col("_cn.pos") > a["pos"] + 1))
+    edge_short = gap_after & (hrs(a["tn"], F.coalesce(F.col("_cn.tp"), F.col("_last_ts"))) <= short_hours)
+    # the leading gap (or the whole sensor when nothing is observed)
+    lead_end = F.when(F.col("_first_obs").isNull(), F.col("_last_ts")).otherwise(F.col("_first_obs.tp"))
+    lead_short = ((F.col("_first_obs").isNull() | (F.col("_first_obs.pos") > 1))
+                  & (hrs(F.col("_first_ts"), lead_end) <= short_hours))
+    cand = F.least(F.col("_fs"), F.when(edge_short, a["pos"] + 1), F.when(lead_short, F.lit(1).cast("long")))
+    summ = summ.withColumn("_cand", cand)
+    summ = summ.select(key, CHUNK, "_cp", "_cn", "_first_ts", "_last_ts",
+                       F.min("_cand").over(wa).alias("_f"))
+    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts, median_method), key, "left")
+    df = df.join(summ, [key, CHUNK], "left")
+    prev = F.coalesce(F.col("_ip"), F.col("_cp"))
+    nxt = F.coalesce(F.col("_in"), F.col("_cn"))
+    isnull = F.col(value).isNull()
+    start = F.coalesce(prev["tn"], F.col("_first_ts"))
+    end = F.coalesce(nxt["tp"], F.col("_last_ts"))
+    hours = hrs(start, end)
+    cls = F.when(isnull, F.when(hours <= short_hours, F.lit("short"))
+                 .when(hours <= long_hours, F.lit("medium")).otherwise(F.lit("long")))
+    df = (df.withColumn("gap_start", F.when(isnull, start)).withColumn("gap_end", F.when(isnull, end))
+            .withColumn("gap_hours", F.when(isnull, hours)).withColumn("gap_class", cls))
+    early = F.col("_f").isNull() | (F.col(POS) < F.col("_f"))
+    df = df.withColumn("s0", F.when(F.col(value).isNotNull(), F.col(value))
+                       .when((F.col("gap_class") == "medium") & early, F.col("_med0")[F.hour(ts)]))
+    return df.drop("_o", "_ip", "_in", "_cp", "_cn", "_first_ts", "_last_ts", "_med0")
+
+
 # --------------------------------------------------------------------------- N3-N5
 def _chunks(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, CHUNK).distinct()
@@ -180,7 +244,8 @@ def seasonal_stage2(df: DataFrame, out: str = "v2", ts: str = "ts", key: str = K
     ``s1`` holds interpolated values (any number of distinct values per group),
     so the exact median is the histogram-refined one (bounded memory per task).
     """
-    med1 = S.hour_map(df, "s1", "_med1", _chunks(df, key), key, ts, median_method)
+    # small (one row per chunk) and materialised, so later plans see it as a leaf
+    med1 = S.hour_map(df, "s1", "_med1", _chunks(df, key), key, ts, median_method).checkpoint(eager=True)
     df = df.join(med1, [key, CHUNK], "left")
     late = F.col("_f").isNotNull() & (F.col(POS) > F.col("_f")) & (F.col("gap_class") == "medium")
     return df.withColumn(out, F.when(late, F.col("_med1")[F.hour(ts)]).otherwise(F.col("s1"))).drop("_med1")
@@ -210,6 +275,34 @@ def smooth_round(df: DataFrame, value: str = "v3", out: str = "people",
               .drop("_sv", f"_prev_{value}", f"_next_{value}"))
 
 
+def fill_and_smooth(df: DataFrame, value: str = "v2", fill_out: str = "v3", out: str = "people_clean",
+                    smooth_sensors=C.SMOOTH_SENSORS, key: str = KEY) -> DataFrame:
+    """N6 + N8 + N9 with one cross-chunk carry.
+
+    The edge fill needs the nearest non-NULL rows before and after; the same
+    two rows also give the edge-filled values of the neighbours at ``pos - 1``
+    and ``pos + 1``, so the centred mean needs no second carry.
+    """
+    df = S.carry_nearest(df, value, "_e", key, bounds=POS, bound_names=("_pmin", "_pmax"))
+    v, p, n = F.col(value), F.col("_e_prev"), F.col("_e_next")
+    filled = F.coalesce(v, n["v"], p["v"])
+    # neighbour after: observed if it is the next non-NULL row, else filled from both sides
+    after = F.when(F.col(POS) < F.col("_pmax"),
+                   F.when(n["pos"] == F.col(POS) + 1, n["v"])
+                   .otherwise(F.coalesce(n["v"], F.coalesce(v, p["v"]))))
+    before = F.when(F.col(POS) > F.col("_pmin"),
+                    F.when(p["pos"] == F.col(POS) - 1, p["v"])
+                    .otherwise(F.coalesce(F.coalesce(v, n["v"]), p["v"])))
+    df = df.withColumn(fill_out, filled).withColumn("_sb", before).withColumn("_sa", after)
+    b, c, a = F.col("_sb"), F.col(fill_out), F.col("_sa")
+    cnt = b.isNotNull().cast("int") + c.isNotNull().cast("int") + a.isNotNull().cast("int")
+    tot = F.coalesce(b, F.lit(0.0)) + F.coalesce(c, F.lit(0.0)) + F.coalesce(a, F.lit(0.0))
+    sm = F.col(key).isin(list(smooth_sensors)) if smooth_sensors else F.lit(False)
+    val = F.when(sm, F.when(cnt > 0, tot / cnt)).otherwise(c)
+    return (df.withColumn(out, F.bround(val, 0).cast("long"))
+              .drop("_e_prev", "_e_next", "_pmin", "_pmax", "_sb", "_sa"))
+
+
 # --------------------------------------------------------------------------- pipeline
 def cut(df: DataFrame, enabled: bool = True) -> DataFrame:
     """Materialise into ``spark.checkpoint.dir`` (reliable storage): ends the lineage,
@@ -251,20 +344,20 @@ def clean_stages(readings: DataFrame, value: str = "people", capacity: dict | No
     df = cut(hampel(df, "v0", "v1", window, n_sigma, chunk_rows, key, ts, enabled=use_hampel))
     if until == "v1":
         return df
-    df = classify_gaps(df, "v1", short_hours, long_hours, ts, key)
     if until == "gaps":
-        return df
-    df = cut(seasonal_stage0(df, "v1", ts, key))
+        return classify_gaps(df, "v1", short_hours, long_hours, ts, key)
+    df = cut(classify_stage0(df, "v1", short_hours, long_hours, ts, key))
     if until == "s0":
         return df
-    df = interpolate_stage(df, "s1", key)
-    df = cut(seasonal_stage2(df, "v2", ts, key))
+    # materialised after stage 1: its clock-hour medians, the stage-2 join and
+    # the edge fill all read this one frame
+    df = cut(interpolate_stage(df, "s1", key))
+    df = seasonal_stage2(df, "v2", ts, key)
     if until == "v2":
         return df
-    df = edge_fill(df, "v2", "v3", True, key)
     if until == "v3":
-        return df
-    return smooth_round(df, "v3", "people_clean", smooth_sensors, key)
+        return edge_fill(df, "v2", "v3", True, key)
+    return fill_and_smooth(df, "v2", "v3", "people_clean", smooth_sensors, key)
 
 
 def clean(readings: DataFrame, value: str = "people", **kw) -> DataFrame:

@@ -102,13 +102,14 @@ def with_halo(df: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
 
 
 def carry_nearest(df: DataFrame, value: str, name: str, key: str = KEY,
-                  extra: dict | None = None, bounds: str | None = None) -> DataFrame:
+                  extra: dict | None = None, bounds: str | None = None,
+                  bound_names: tuple = ("_first_ts", "_last_ts")) -> DataFrame:
     """Nearest row before / after each row whose ``value`` is not NULL.
 
     Adds ``{name}_prev`` and ``{name}_next``: structs ``(pos, v, *extra)`` or
     NULL at the series edges. Exact across chunk edges (two-level scan). With
-    ``bounds``, also the sensor's min / max of that column (``_first_ts`` /
-    ``_last_ts``) from the same summary.
+    ``bounds``, also the sensor's min / max of that column (named by
+    ``bound_names``) from the same summary.
     """
     extra = extra or {}
     fields = [F.col(POS).alias("pos"), F.col(value).alias("v")] + [c.alias(n) for n, c in extra.items()]
@@ -129,7 +130,7 @@ def carry_nearest(df: DataFrame, value: str, name: str, key: str = KEY,
     if bounds:
         # per-sensor first / last value of ``bounds`` (the series edges)
         wa = Window.partitionBy(key)
-        cols += [F.min("_bmin").over(wa).alias("_first_ts"), F.max("_bmax").over(wa).alias("_last_ts")]
+        cols += [F.min("_bmin").over(wa).alias(bound_names[0]), F.max("_bmax").over(wa).alias(bound_names[1])]
     summ = summ.select(*cols)
     df = df.join(summ, [key, CHUNK], "left")
     return (df.withColumn(f"{name}_prev", F.coalesce("_ip", "_cp"))
