@@ -17,12 +17,14 @@ KEY = "sensor_id"
 
 
 def hourly_mean(df: DataFrame, value: str = "people", ts: str = "ts", key: str = KEY,
-                start=None, stop=None, partial_last: str = "drop", out: str = "y") -> DataFrame:
+                start=None, stop=None, partial_last: str = "drop", out: str = "y",
+                count: str | None = None) -> DataFrame:
     """Mean per epoch-aligned hour, labelled with the hour's **end** (stop label).
 
     Hours without any value give no row. With ``stop`` given, the last, open
     hour is dropped (``partial_last='drop'``) or labelled ``stop`` as the
-    reference does (``'keep'``). Output ``sensor_id, ds TIMESTAMP_NTZ, y DOUBLE``.
+    original does (``'keep'``). Output ``sensor_id, ds TIMESTAMP_NTZ, y DOUBLE``
+    (plus the number of values when ``count`` names a column).
     Partial averages are combined map-side, so a hot sensor spreads over tasks.
     """
     if start is not None:
@@ -30,8 +32,10 @@ def hourly_mean(df: DataFrame, value: str = "people", ts: str = "ts", key: str =
     if stop is not None:
         df = df.where(F.col(ts) < _ts_lit(stop))
     hour = F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
-    agg = (df.where(F.col(value).isNotNull())
-           .groupBy(key, hour.alias("_h")).agg(F.avg(F.col(value).cast("double")).alias(out)))
+    aggs = [F.avg(F.col(value).cast("double")).alias(out)]
+    if count:
+        aggs.append(F.count(F.lit(1)).alias(count))
+    agg = df.where(F.col(value).isNotNull()).groupBy(key, hour.alias("_h")).agg(*aggs)
     label = F.col("_h") + F.expr("INTERVAL 1 HOUR")
     if stop is not None:
         s = _ts_lit(stop)
@@ -39,7 +43,7 @@ def hourly_mean(df: DataFrame, value: str = "people", ts: str = "ts", key: str =
             agg = agg.where(label <= s)
         else:
             label = F.least(label, s)
-    return agg.select(key, label.cast("timestamp_ntz").alias("ds"), out)
+    return agg.select(key, label.cast("timestamp_ntz").alias("ds"), out, *([count] if count else []))
 
 
 def hourly_grid(hourly: DataFrame, key: str = KEY, ds: str = "ds") -> DataFrame:

@@ -50,11 +50,8 @@ FROM capped WHERE v IS NOT NULL GROUP BY sensor_id, date_trunc('hour', ts)""")
 def q_hourly_mean(spark, sf):
     r = T.readings_from_events(_events(spark, sf), "type")
     c = CL.cap_values(r, "people", "v")
-    h = RS.hourly_mean(c, "v")
-    cnt = (c.where(F.col("v").isNotNull())
-           .groupBy("sensor_id", (F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("ds"))
-           .agg(F.count("v").alias("n")))
-    return h.join(cnt, ["sensor_id", "ds"]).select("sensor_id", "ds", _r6(F.col("y")).alias("y"), "n")
+    h = RS.hourly_mean(c, "v", count="n")
+    return h.select("sensor_id", "ds", _r6(F.col("y")).alias("y"), "n")
 
 
 # --------------------------------------------------------------------------- cleaning

@@ -40,3 +40,17 @@ def test_run_batch_end_to_end(spark, tmpdir_path):
     d = jobs.decomposition(spark, f"{tmpdir_path}/clean", f"{tmpdir_path}/dec", start="2024-01-01",
                            end="2024-01-29", method="classical")
     assert d.count() > 0
+
+
+def test_stream_hourly_equals_batch(spark):
+    s = catalog.QUERIES["stream_hourly_mean"](spark, SF_SMALL)
+    b = catalog.QUERIES["hourly_mean"](spark, SF_SMALL)
+    cols = ["sensor_id", "ds", "y", "n"]
+    assert sorted(map(repr, s.select(cols).collect())) == sorted(map(repr, b.select(cols).collect()))
+
+
+def test_backup_roundtrip(spark):
+    back = catalog.QUERIES["backup_roundtrip"](spark, SF_SMALL)
+    log = catalog.QUERIES["device_log"](spark, SF_SMALL).drop("msg_id")
+    cols = ["device", "timestamp", "topic", "payload"]
+    assert sorted(map(repr, back.select(cols).collect())) == sorted(map(repr, log.select(cols).collect()))
