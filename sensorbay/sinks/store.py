@@ -81,7 +81,7 @@ def _swap_in(spark: SparkSession, merged: DataFrame, path: str) -> set:
     staged = spark.read.schema(merged.schema).parquet(stage)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(path))
-    return {r[0] for r in staged.select("date").distinct().collect()}
+    return {r[0] for r in staged.select("date").distinct().collect()}  # dates: bounded by span in days
 
 
 def _drop_partitions(spark: SparkSession, path: str, dates) -> None:
@@ -103,11 +103,15 @@ def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str]
     if not _exists(spark, path):
         new.write.mode("overwrite").partitionBy("date").parquet(path)
         return
-    # distinct dates of the change: bounded by its time span in days
-    dates = [r[0] for r in new.select("date").distinct().collect()]
-    old = spark.read.parquet(path).where(F.col("date").isin(dates))
-    merged = upsert_latest(old.drop("date"), new.drop("date"), keys)
-    _swap_in(spark, _with_date(merged, ts), path)
+    new = new.persist()  # read twice below: its dates, then the merge
+    try:
+        # distinct dates of the change: bounded by its time span in days
+        dates = [r[0] for r in new.select("date").distinct().collect()]
+        old = spark.read.parquet(path).where(F.col("date").isin(dates))
+        merged = upsert_latest(old.drop("date"), new.drop("date"), keys)
+        _swap_in(spark, _with_date(merged, ts), path)
+    finally:
+        new.unpersist()
 
 
 def delete_table(spark: SparkSession, path: str, confirm: bool = False, ts: str = "ts", **kw) -> int:
@@ -115,7 +119,14 @@ def delete_table(spark: SparkSession, path: str, confirm: bool = False, ts: str
     if not confirm:
         raise PermissionError("delete_table is irreversible: pass confirm=True")
     df = spark.read.parquet(path)
+    start, end = kw.get("start"), kw.get("end")
+    lit = lambda t: F.lit(dt.datetime.fromisoformat(t) if isinstance(t, str) else t)
+    if start is not None:  # prune date partitions outside the range
+        df = df.where(F.col("date") >= F.to_date(lit(start)))
+    if end is not None:
+        df = df.where(F.col("date") <= F.to_date(lit(end)))
     pred = F.coalesce(delete_predicate(df, ts=ts, **kw), F.lit(False))
+    # partition pruning first: only dates the predicate can reach are read and rewritten
     hit_dates = [r[0] for r in df.where(pred).select("date").distinct().collect()]
     if not hit_dates:
         return 0
