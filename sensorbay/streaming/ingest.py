@@ -91,6 +91,11 @@ def write_batch(messages: DataFrame, out_dir: str, batch_id: int | None = None)
     a re-run of the same micro-batch after a failure is idempotent.
     """
     sub = "" if batch_id is None else f"/batch={batch_id}"
+    if "arrival_ts" not in messages.columns:
+        # one arrival instant per micro-batch, shared by every sink
+        messages = messages.withColumn("arrival_ts", F.current_timestamp())
+    if "msg_id" not in messages.columns:
+        messages = messages.withColumn("msg_id", F.lit(None).cast("long"))
     messages = messages.persist()
     try:
         (raw_points(messages).withColumn("date", F.to_date("ts"))
@@ -116,3 +121,28 @@ def start_ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def broker_messages(spark: SparkSession, servers: str, pattern: str = "automaatio/.*",
+                    options: dict | None = None) -> DataFrame:
+    """S1 in production: a Kafka topic-pattern subscription as messages.
+
+    Needs the Kafka connector on the classpath (not part of this image, so not
+    exercised by the tests). The broker timestamp is the arrival time; the
+    value stays binary so undecodable payloads reach the dead letters.
+    """
+    reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+              .option("subscribePattern", pattern))
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    raw = reader.load()
+    return raw.select(F.col("offset").alias("msg_id"), "topic", F.col("value").alias("payload"),
+                      F.col("timestamp").alias("arrival_ts"))
+
+
+def start_stream(messages: DataFrame, out_dir: str, checkpoint_dir: str, available_now: bool = False):
+    """T1/T2 for any streaming message frame (e.g. :func:`broker_messages`)."""
+    w = (messages.writeStream.foreachBatch(lambda df, bid: write_batch(df, out_dir, bid))
+         .option("checkpointLocation", checkpoint_dir))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
