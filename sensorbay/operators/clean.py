@@ -368,6 +368,9 @@ def clean(readings: DataFrame, value: str = "people", **kw) -> DataFrame:
     values are all NULL keeps NULL (see :func:`clean_status`). Keyword
     arguments as :func:`clean_stages`.
     """
+    if value not in readings.columns:
+        # nothing to clean: the other metrics pass through unchanged
+        return readings
     df = clean_stages(readings, value, **kw)
     out_cols = [c for c in readings.columns if c != value]
     return df.select(*out_cols, F.col("people_clean").alias(value))

@@ -243,3 +243,11 @@ def test_exact_median_matches_percentile(spark):
         got = S.exact_median(df, ["sensor_id", "h"], "x", "m", buckets=b).collect()
         exp = df.groupBy("sensor_id", "h").agg(F.percentile("x", 0.5).alias("m")).collect()
         assert sorted(map(tuple, got)) == sorted(map(tuple, exp))
+
+
+def test_no_people_column_passes_through(spark):
+    ts = hourly(n=3)
+    df = spark.createDataFrame([("x", t, i, 20.0 + i) for i, t in enumerate(ts)],
+                               "sensor_id string, ts timestamp_ntz, seq long, temperature double")
+    out = CL.clean(df)
+    assert out.columns == df.columns and out.count() == 3
