@@ -245,7 +245,11 @@ def seasonal_stage2(df: DataFrame, out: str = "v2", ts: str = "ts", key: str = K
     so the exact median is the histogram-refined one (bounded memory per task).
     """
     # small (one row per chunk) and materialised, so later plans see it as a leaf
-    med1 = S.hour_map(df, "s1", "_med1", _chunks(df, key), key, ts, median_method).checkpoint(eager=True)
+    # stage-1 values lie in [0, capacity] (capped observations, their medians and
+    # interpolations between them): the histogram bins need no per-group statistics
+    bounds = (F.lit(0.0), F.col("capacity")) if "capacity" in df.columns else None
+    med1 = S.hour_map(df, "s1", "_med1", _chunks(df, key), key, ts, median_method,
+                      bounds).checkpoint(eager=True)
     df = df.join(med1, [key, CHUNK], "left")
     late = F.col("_f").isNotNull() & (F.col(POS) > F.col("_f")) & (F.col("gap_class") == "medium")
     return df.withColumn(out, F.when(late, F.col("_med1")[F.hour(ts)]).otherwise(F.col("s1"))).drop("_med1")

@@ -175,7 +175,7 @@ def sensor_stat(df: DataFrame, value: Column, kind: str, name: str, key: str = K
 
 
 def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: str = "ts",
-                 method: str = "histogram") -> DataFrame:
+                 method: str = "histogram", bounds: tuple | None = None) -> DataFrame:
     """Exact median of ``value`` per (sensor, UTC clock hour), as one 24-entry map per sensor.
 
     ``method='percentile'`` uses Spark's exact ``percentile`` (a value->count map
@@ -187,19 +187,24 @@ def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: s
                .groupBy(key, F.hour(ts).alias("_h"))
                .agg(F.percentile(F.col(value), 0.5).alias("_m")))
     else:
-        med = exact_median(values.select(key, F.hour(ts).alias("_h"), value), [key, "_h"], value, "_m")
+        if bounds is not None:
+            vals = values.select(key, F.hour(ts).alias("_h"), value,
+                                 bounds[0].alias("_blo"), bounds[1].alias("_bhi"))
+            med = exact_median(vals, [key, "_h"], value, "_m", bounds=(F.col("_blo"), F.col("_bhi")))
+        else:
+            med = exact_median(values.select(key, F.hour(ts).alias("_h"), value), [key, "_h"], value, "_m")
     return med.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_h", "_m"))).alias(name))
 
 
 def hour_map(values: DataFrame, value: str, name: str, chunks: DataFrame, key: str = KEY,
-             ts: str = "ts", method: str = "histogram") -> DataFrame:
+             ts: str = "ts", method: str = "histogram", bounds: tuple | None = None) -> DataFrame:
     """:func:`hour_medians` attached to the chunk list ``(sensor, chunk)``, so the big
     side joins on its own partitioning key."""
-    return chunks.join(hour_medians(values, value, name, key, ts, method), key, "left")
+    return chunks.join(hour_medians(values, value, name, key, ts, method, bounds), key, "left")
 
 
 def exact_median(values: DataFrame, groups: list[str], value: str, name: str = "median",
-                 buckets: int = 4096) -> DataFrame:
+                 buckets: int = 4096, bounds: tuple | None = None) -> DataFrame:
     """Exact median per group without holding a group's distinct values in one task.
 
     1. count, min, max per group (partial aggregation);
@@ -211,17 +216,28 @@ def exact_median(values: DataFrame, groups: list[str], value: str, name: str = "
 
     The median is ``(a + b) / 2`` of the values at ranks ``(n + 1) // 2`` and
     ``n // 2 + 1`` — the same as ``percentile(x, 0.5)``.
+
+    ``bounds`` — a pair of column expressions known to enclose every value of
+    its row's group (e.g. ``0`` and the sensor's capacity) — replaces step 1,
+    so the values are never joined to per-group statistics.
     """
-    v = values.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_x"))
-    st = v.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    if bounds is not None:
+        v = values.where(F.col(value).isNotNull()).select(
+            *groups, F.col(value).cast("double").alias("_x"),
+            bounds[0].cast("double").alias("_lo"), bounds[1].cast("double").alias("_hi"))
+        vb = v
+    else:
+        v = values.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_x"))
+        st = v.groupBy(*groups).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        vb = v.join(st, groups)
     width = F.col("_hi") - F.col("_lo")
-    b = F.when(width > 0, F.least(F.lit(buckets - 1),
-                                  F.floor((F.col("_x") - F.col("_lo")) / width * F.lit(buckets)))).otherwise(F.lit(0))
-    vb = v.join(st, groups).withColumn("_b", b.cast("int"))
+    b = F.when(width > 0, F.least(F.lit(buckets - 1), F.greatest(F.lit(0), F.floor(
+        (F.col("_x") - F.col("_lo")) / width * F.lit(buckets))))).otherwise(F.lit(0))
+    vb = vb.withColumn("_b", b.cast("int")).drop("_lo", "_hi")
     hist = vb.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    hist = hist.join(st.select(*groups, "_n"), groups)
     wg = Window.partitionBy(*groups).orderBy("_b")
-    hist = hist.withColumn("_cum", F.sum("_c").over(wg.rowsBetween(_UNB, 0)))
+    hist = (hist.withColumn("_cum", F.sum("_c").over(wg.rowsBetween(_UNB, 0)))
+            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*groups))))
     r1 = F.floor((F.col("_n") + 1) / 2)
     r2 = F.floor(F.col("_n") / 2) + 1
     prev = F.col("_cum") - F.col("_c")

@@ -239,9 +239,12 @@ def test_exact_median_matches_percentile(spark):
         for _ in range(rng.choice([1, 2, 3, 4, 9, 60, 301])):
             rows.append((f"s{g % 4}", g, rng.choice([rng.random(), float(rng.randint(0, 5)), 3.0])))
     df = spark.createDataFrame(rows, "sensor_id string, h int, x double")
+    exp = df.groupBy("sensor_id", "h").agg(F.percentile("x", 0.5).alias("m")).collect()
     for b in (1, 8, 4096):
         got = S.exact_median(df, ["sensor_id", "h"], "x", "m", buckets=b).collect()
-        exp = df.groupBy("sensor_id", "h").agg(F.percentile("x", 0.5).alias("m")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, exp))
+        got = S.exact_median(df, ["sensor_id", "h"], "x", "m", buckets=b,
+                             bounds=(F.lit(-1.0), F.lit(6.0))).collect()
         assert sorted(map(tuple, got)) == sorted(map(tuple, exp))
 
 
