@@ -16,7 +16,12 @@ RAW_COLUMNS = ["sensor_id", "ts", "valid", "people", "temperature", "humidity",
 
 
 def parsed(messages: DataFrame, capacity: dict | None = None) -> DataFrame:
-    """Adds ``_utf8`` and ``_m`` (the payload as a map, NULL unless one JSON object)."""
+    """Adds ``_utf8`` and ``_m`` (the payload as a map, NULL unless one JSON object).
+
+    A frame that is already parsed is returned as it is.
+    """
+    if "_m" in messages.columns and "_utf8" in messages.columns:
+        return messages
     text = P.payload_text("payload")
     return messages.select("*", P.utf8_ok("payload").alias("_utf8"),
                            P.parse_object(text).alias("_m"))
@@ -96,7 +101,8 @@ def write_batch(messages: DataFrame, out_dir: str, batch_id: int | None = None)
         messages = messages.withColumn("arrival_ts", F.current_timestamp())
     if "msg_id" not in messages.columns:
         messages = messages.withColumn("msg_id", F.lit(None).cast("long"))
-    messages = messages.persist()
+    # parsed once, cached, and read by the three sinks
+    messages = parsed(messages).persist()
     try:
         (raw_points(messages).withColumn("date", F.to_date("ts"))
          .write.mode("overwrite").partitionBy("date").parquet(f"{out_dir}/raw{sub}"))
