@@ -53,6 +53,7 @@ def main():
     q["clean_pipeline"] = timed(lambda: CL.clean(by_user))
     q["clean_skewed_plain"] = timed(lambda: CL.clean(by_type))
     q["clean_skewed_chunked"] = timed(lambda: CL.clean(by_type, chunk_rows=2_000))
+    q["clean_one_sensor"] = timed(lambda: catalog.QUERIES["clean_one_sensor"](spark, SF_DIR))
     q["hourly_mean"] = timed(lambda: catalog.QUERIES["hourly_mean"](spark, SF_DIR))
     for name in ("payload_route", "profile_forecast", "backtest_metrics", "accuracy_at_cutoff",
                  "classical_decompose", "stream_ingest"):
@@ -69,6 +70,7 @@ def main():
         "clean_rows_per_s": n_events / q["clean_pipeline"],
         "clean_skewed_plain_rows_per_s": n_events / q["clean_skewed_plain"],
         "clean_skewed_chunked_rows_per_s": n_events / q["clean_skewed_chunked"],
+        "clean_one_sensor_rows_per_s": n_events / q["clean_one_sensor"],
         "forecast_series_per_s": n_series / q["logistic_forecast"],
         "stl_series_per_s": n_series / q["stl"],
         "stream_messages_per_s": n_events / q["stream_ingest"],

@@ -509,3 +509,14 @@ def q_stream_hourly_mean(spark, sf):
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/hourly")
     return out.select("sensor_id", "ds", _r6(F.col("y")).alias("y"), "n")
+
+
+@register("clean_one_sensor", f"""WITH {O.clean_ctes('one')}
+SELECT sensor_id, ts, seq, clean_people AS people FROM cleaned""")
+def q_clean_one_sensor(spark, sf):
+    """The whole cleaning chain with every event in one sensor (the hot key): the
+    series is numbered by adaptive time buckets and cleaned in position chunks of
+    2,000 rows, so it spreads over many tasks; the result equals the single-window
+    SQL."""
+    r = T.readings_from_events(_events(spark, sf), "one")
+    return CL.clean(r, chunk_rows=2_000).select("sensor_id", "ts", "seq", "people")

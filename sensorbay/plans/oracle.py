@@ -10,7 +10,7 @@ values to match Spark bit for bit.
 from __future__ import annotations
 
 from .. import config as C
-from ..sources.tables import TYPE_SENSORS, USER_SENSORS
+from ..sources.tables import ONE_SENSOR, TYPE_SENSORS, USER_SENSORS
 
 
 def _case(col: str, mapping: dict, default: str, quote_keys: bool) -> str:
@@ -24,6 +24,8 @@ def _case(col: str, mapping: dict, default: str, quote_keys: bool) -> str:
 def sensor_sql(by: str) -> str:
     if by == "user":
         return _case("user_id", USER_SENSORS, "'u' || CAST(user_id AS VARCHAR)", False)
+    if by == "one":
+        return f"'{ONE_SENSOR}'"
     return _case("event_type", TYPE_SENSORS, "event_type", True)
 
 

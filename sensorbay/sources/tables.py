@@ -19,6 +19,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # (capacity, smoothing) occur in the driver's data.
 USER_SENSORS = {1: "simulated", 2: "aiot", 3: "robo"}
 TYPE_SENSORS = {"view": "aiot", "click": "robo", "purchase": "simulated"}
+ONE_SENSOR = "simulated"  # by='one': every event belongs to one sensor (the hot-key case)
 
 
 def _case(col: Column, mapping: dict, default: Column) -> Column:
@@ -33,6 +34,8 @@ def sensor_of(events: DataFrame, by: str = "user") -> Column:
         return _case(F.col("user_id"), USER_SENSORS, F.concat(F.lit("u"), F.col("user_id").cast("string")))
     if by == "type":
         return _case(F.col("event_type"), TYPE_SENSORS, F.col("event_type"))
+    if by == "one":
+        return F.lit(ONE_SENSOR)
     raise ValueError(by)
 
 
@@ -40,7 +43,8 @@ def readings_from_events(events: DataFrame, by: str = "user") -> DataFrame:
     """Raw readings ``sensor_id, ts, seq, people`` from the ``events`` table.
 
     ``by='user'`` gives many short series (one per user), ``by='type'`` a few
-    long ones (one per event type): the skewed case.
+    long ones (one per event type), ``by='one'`` a single series holding every
+    row (the extreme hot key).
     """
     return events.select(sensor_of(events, by).alias("sensor_id"), F.col("ts"),
                          F.col("event_id").alias("seq"), F.col("value").alias("people"))
