@@ -17,6 +17,8 @@ from .. import config as C
 COUNT_KEYS = ["person count", "person_count", "people_total", "pCount", "people", "count"]
 # Keys whose raw-text pattern is tried, in this order, on text that is not a JSON object.
 RAW_PATTERN_KEYS = ["person count", "person_count", "people_total", "pCount", "people"]
+# The raw-text pattern for one key (matched case-insensitively); group 1 is the count.
+RAW_COUNT_PATTERN = r'"{key}"\s*:\s*([0-9]+)'
 # Keys validated against the capacity in a multi-metric payload.
 VALIDATED_COUNT_KEYS = ["pCount", "people", "person_count"]
 SIMULATED_ID = "simulated"
@@ -81,7 +83,7 @@ def count_from_text(text) -> Column:
     t = F.trim(payload_text(text))
     outs = []
     for k in RAW_PATTERN_KEYS:
-        pat = '(?i)"' + k + r'"\s*:\s*([0-9]+)'
+        pat = "(?i)" + RAW_COUNT_PATTERN.format(key=k)
         outs.append(F.nullif(F.regexp_extract(t, pat, 1), F.lit("")).try_cast("bigint"))
     return F.coalesce(*outs)
 

@@ -146,8 +146,8 @@ def count_from_object() -> str:
 
 
 def count_from_text() -> str:
-    from ..functions.payload import RAW_PATTERN_KEYS
-    parts = [f"""TRY_CAST(NULLIF(regexp_extract(trim(payload), '"{k}"\\s*:\\s*([0-9]+)', 1, 'i'), '') AS BIGINT)"""
+    from ..functions.payload import RAW_COUNT_PATTERN, RAW_PATTERN_KEYS
+    parts = [f"""TRY_CAST(NULLIF(regexp_extract(trim(payload), '{RAW_COUNT_PATTERN.format(key=k)}', 1, 'i'), '') AS BIGINT)"""
              for k in RAW_PATTERN_KEYS]
     return "coalesce(" + ", ".join(parts) + ")"
 
