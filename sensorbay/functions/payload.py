@@ -52,7 +52,7 @@ def parse_object(payload) -> Column:
     """
     text = payload_text(payload)
     m = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
-    return F.when(F.trim(text).rlike(r"\}$"), m)
+    return F.when(text.rlike(r"\}\s*$"), m)
 
 
 def has(m: Column, key: str) -> Column:

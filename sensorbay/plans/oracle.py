@@ -120,7 +120,7 @@ messages AS (SELECT event_id AS msg_id, 'automaatio/' || sid AS topic, CASE even
         || ',"CO2":"' || CAST(CAST(k AS INTEGER) * 50 + 300 AS VARCHAR) || '","pCount":' || k || '}}' END AS payload,
    ts AS arrival_ts FROM msgsrc),
 parsed AS (SELECT *, CASE WHEN json_valid(payload) THEN json_type(payload) = 'OBJECT'
-   AND regexp_matches(trim(payload), '\\}}$') ELSE false END AS is_obj FROM messages)"""
+   AND regexp_matches(payload, '\\}}\\s*$') ELSE false END AS is_obj FROM messages)"""
 
 
 def jhas(k: str) -> str:

@@ -86,3 +86,9 @@ def test_invalid_utf8(spark):
 def test_iso_without_fraction(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 5, 6, 7),)], "t timestamp")
     assert df.select(P.iso_utc("t")).first()[0] == "2024-01-01T05:06:07+00:00"
+
+
+def test_trailing_whitespace_and_text(spark):
+    df = spark.createDataFrame([('{"people":3}\t\n',), ('{"people":3} x',), ("{'people':3}",)], "p string")
+    got = [r[0] for r in df.select(P.parse_object("p").isNotNull()).collect()]
+    assert got == [True, False, False]
