@@ -7,11 +7,10 @@ data volume; per-sensor windows are therefore safe there.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..sources.tables import _ts_lit
+from ..sources.tables import ts_literal
 
 KEY = "sensor_id"
 
@@ -28,9 +27,9 @@ def hourly_mean(df: DataFrame, value: str = "people", ts: str = "ts", key: str =
     Partial averages are combined map-side, so a hot sensor spreads over tasks.
     """
     if start is not None:
-        df = df.where(F.col(ts) >= _ts_lit(start))
+        df = df.where(F.col(ts) >= ts_literal(start))
     if stop is not None:
-        df = df.where(F.col(ts) < _ts_lit(stop))
+        df = df.where(F.col(ts) < ts_literal(stop))
     hour = F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
     aggs = [F.avg(F.col(value).cast("double")).alias(out)]
     if count:
@@ -38,7 +37,7 @@ def hourly_mean(df: DataFrame, value: str = "people", ts: str = "ts", key: str =
     agg = df.where(F.col(value).isNotNull()).groupBy(key, hour.alias("_h")).agg(*aggs)
     label = F.col("_h") + F.expr("INTERVAL 1 HOUR")
     if stop is not None:
-        s = _ts_lit(stop)
+        s = ts_literal(stop)
         if partial_last == "drop":
             agg = agg.where(label <= s)
         else:

@@ -79,7 +79,7 @@ def time_range(days: int | None = None, start: str | None = None, end: str | Non
     raise ValueError("either days or both start and end are needed")
 
 
-def _ts_lit(t) -> Column:
+def ts_literal(t) -> Column:
     if isinstance(t, str):
         t = dt.datetime.fromisoformat(t.replace("Z", ""))
     return F.lit(t).cast("timestamp_ntz")
@@ -88,9 +88,9 @@ def _ts_lit(t) -> Column:
 def scan_range(df: DataFrame, start=None, stop=None, ts: str = "ts") -> DataFrame:
     """``start <= ts < stop`` (either bound optional). Pushed to the Parquet scan."""
     if start is not None:
-        df = df.where(F.col(ts) >= _ts_lit(start))
+        df = df.where(F.col(ts) >= ts_literal(start))
     if stop is not None:
-        df = df.where(F.col(ts) < _ts_lit(stop))
+        df = df.where(F.col(ts) < ts_literal(stop))
     return df
 
 
@@ -98,7 +98,7 @@ def scan_lookback(df: DataFrame, now, lookback: str, ts: str = "ts") -> DataFram
     """``ts >= now - lookback``; ``now`` is a parameter so results repeat."""
     if isinstance(now, str):
         now = dt.datetime.fromisoformat(now.replace("Z", ""))
-    return df.where((F.col(ts) >= _ts_lit(now - parse_duration(lookback))) & (F.col(ts) <= _ts_lit(now)))
+    return df.where((F.col(ts) >= ts_literal(now - parse_duration(lookback))) & (F.col(ts) <= ts_literal(now)))
 
 
 def raw_scan(spark: SparkSession, path: str, now, lookback: str = "24h", sensors=None,
