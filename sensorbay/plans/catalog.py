@@ -520,3 +520,21 @@ def q_clean_one_sensor(spark, sf):
     SQL."""
     r = T.readings_from_events(_events(spark, sf), "one")
     return CL.clean(r, chunk_rows=2_000).select("sensor_id", "ts", "seq", "people")
+
+
+from . import jobs as JB  # noqa: E402
+
+
+@register("batch_job", ORACLE["profile_forecast"])
+def q_batch_job(spark, sf):
+    """T3/T4 over stored tables: raw readings are written as a date-partitioned
+    table, re-cleaned over a 35-day lookback and upserted, then the hourly
+    history is forecast and upserted; returns the stored forecast table, which
+    must equal ``profile_forecast``."""
+    base = scratch_path(spark, "batch")
+    raw = T.readings_from_events(_events(spark, sf), "type")
+    raw.withColumn("date", F.to_date("ts")).write.partitionBy("date").parquet(f"{base}/raw")
+    JB.run_batch(spark, f"{base}/raw", f"{base}/clean", f"{base}/forecast", now=NOW, model="profile",
+                 lookback="35d")
+    out = spark.read.parquet(f"{base}/forecast").drop("date")
+    return _round(out, ["yhat", "yhat_lower", "yhat_upper"])

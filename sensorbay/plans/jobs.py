@@ -52,10 +52,10 @@ def forecast_cycle(spark: SparkSession, clean_path: str, forecast_path: str, now
 
 
 def run_batch(spark: SparkSession, raw_path: str, clean_path: str, forecast_path: str, now=None,
-              model: str = "logistic") -> dict:
+              model: str = "logistic", lookback: str = "24h") -> dict:
     """T4: clean, then forecast; a cleaning failure stops the batch before forecasting."""
     t0 = dt.datetime.now()
-    clean_cycle(spark, raw_path, clean_path, now)
+    clean_cycle(spark, raw_path, clean_path, now, lookback)
     forecast_cycle(spark, clean_path, forecast_path, now, model=model)
     return {"seconds": (dt.datetime.now() - t0).total_seconds()}
 
