@@ -538,3 +538,17 @@ def q_batch_job(spark, sf):
                  lookback="35d")
     out = spark.read.parquet(f"{base}/forecast").drop("date")
     return _round(out, ["yhat", "yhat_lower", "yhat_upper"])
+
+
+@register("decomposition_job", f"""SELECT sensor_id, ds, trend, seasonal, residual FROM ({_classical_sql()}) d""")
+def q_decomposition_job(spark, sf):
+    """S5 + M7 + W4 over stored tables: the cleaned readings are stored, the
+    decomposition job resolves ``--start/--end`` dates to ``[start, end + 1 day)``,
+    decomposes every sensor and upserts the components; returns the stored table."""
+    base = scratch_path(spark, "decomposition")
+    ST.upsert_table(spark, _clean_type(spark, sf).select("sensor_id", "ts", "people"), f"{base}/clean",
+                    ["sensor_id", "ts"])
+    JB.decomposition(spark, f"{base}/clean", f"{base}/components", start="2024-01-01", end="2024-01-30",
+                     method="classical")
+    out = spark.read.parquet(f"{base}/components").drop("date")
+    return _round(out, ["trend", "seasonal", "residual"])
