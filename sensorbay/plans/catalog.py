@@ -552,3 +552,18 @@ def q_decomposition_job(spark, sf):
                      method="classical")
     out = spark.read.parquet(f"{base}/components").drop("date")
     return _round(out, ["trend", "seasonal", "residual"])
+
+
+@register("accuracy_job", f"""{_ACC}
+SELECT sensor_id, cutoff_date, round(MAE, 6) AS MAE, round(RMSE, 6) AS RMSE, round(MAPE, 6) AS MAPE, n_points,
+       TIMESTAMP '{NOW.replace('T', ' ')}' AS ts FROM summ""")
+def q_accuracy_job(spark, sf):
+    """M5 + W6 + W7 over stored tables: the accuracy test at the cutoff appends its
+    summary (stamped with the run time) and its detail rows; returns the stored summary."""
+    base = scratch_path(spark, "accuracy")
+    ST.upsert_table(spark, _clean_type(spark, sf).select("sensor_id", "ts", "people"), f"{base}/clean",
+                    ["sensor_id", "ts"])
+    JB.accuracy_test(spark, f"{base}/clean", CUTOFF, TEST_DAYS, f"{base}/summary", f"{base}/details",
+                     now=NOW, model="profile")
+    out = spark.read.parquet(f"{base}/summary").drop("date")
+    return _round(out, ["MAE", "RMSE", "MAPE"])
