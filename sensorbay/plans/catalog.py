@@ -567,3 +567,14 @@ def q_accuracy_job(spark, sf):
                      now=NOW, model="profile")
     out = spark.read.parquet(f"{base}/summary").drop("date")
     return _round(out, ["MAE", "RMSE", "MAPE"])
+
+
+@register("delete_job", ORACLE["delete_where"])
+def q_delete_job(spark, sf):
+    """W8 on a stored table: the raw points are stored by date, then sensor ``aiot``'s
+    points in the range are deleted (date partitions pruned, survivors staged and
+    swapped in); returns the stored table."""
+    path = scratch_path(spark, "raw_points")
+    ST.append(spark, IG.raw_points(_messages(spark, sf)), path)
+    ST.delete_table(spark, path, confirm=True, start=RANGE[0], end=RANGE[1], tag_key="sensor_id", tag_value="aiot")
+    return spark.read.parquet(path).drop("date")
