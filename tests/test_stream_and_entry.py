@@ -72,3 +72,14 @@ def test_ingest_restart_is_idempotent(spark, tmpdir_path):
     IG.write_batch(spark.read.parquet(src), out, 7)
     assert spark.read.parquet(f"{out}/raw/batch=7").count() == len(first)
     assert sorted(map(repr, spark.read.parquet(f"{out}/raw/batch=1").collect())) == b1
+
+
+def test_read_unquoted_backup(spark, tmpdir_path):
+    import pathlib
+    d = pathlib.Path(tmpdir_path) / "logs"
+    d.mkdir()
+    (d / "robo.csv").write_text("timestamp,topic,payload\n"
+                                '2026-02-16T14:50:00.123456+00:00,automaatio/robo,{"id":"robo","people":5,"x":1}\n')
+    rows = T.read_backup(spark, str(d), quoted=False).collect()
+    assert [(r.device, r.topic, r.payload) for r in rows] == [
+        ("robo", "automaatio/robo", '{"id":"robo","people":5,"x":1}')]
