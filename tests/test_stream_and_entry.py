@@ -83,3 +83,11 @@ def test_read_unquoted_backup(spark, tmpdir_path):
     rows = T.read_backup(spark, str(d), quoted=False).collect()
     assert [(r.device, r.topic, r.payload) for r in rows] == [
         ("robo", "automaatio/robo", '{"id":"robo","people":5,"x":1}')]
+
+
+def test_batch_stops_when_cleaning_fails(spark, tmpdir_path):
+    import pytest
+    with pytest.raises(Exception):
+        jobs.run_batch(spark, f"{tmpdir_path}/no_such_raw", f"{tmpdir_path}/clean", f"{tmpdir_path}/fc",
+                       now="2024-01-31T00:00:00", model="profile")
+    assert not os.path.exists(f"{tmpdir_path}/fc")
