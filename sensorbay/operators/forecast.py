@@ -80,7 +80,7 @@ def _design(t_days: np.ndarray, daily: int = 4, weekly: int = 3) -> np.ndarray:
 
 def fit_logistic(ds: np.ndarray, y: np.ndarray, cap: float, future: np.ndarray, seed: int,
                  n_changepoints: int = 25, iters: int = 60, ridge: float = 1.0 / 100.0,
-                 l1: float = 1.0 / 0.05, n_paths: int = 200):
+                 l1: float = 1.0 / 0.05, n_paths: int = 1000):
     """MAP-style fit of ``y = cap / (1 + exp(-(k + a(t)) (t - m))) + s(t)`` by Gauss-Newton.
 
     Rate changes at ``n_changepoints`` points in the first 80 % of the history
