@@ -78,24 +78,46 @@ def _est(y: np.ndarray, n: int, span: int, deg: int, xs: float, nleft: int, nrig
 
 
 def _loess(y: np.ndarray, span: int, deg: int) -> np.ndarray:
+    """Local fits at every position 1..n (jump 1), all positions at once.
+
+    Same neighbourhoods and weights as :func:`_est` point by point: the window
+    of ``span`` points slides with the position (clamped at the ends), tricube
+    weights on the distance scaled by the larger side, and the degree-1
+    correction where the weighted spread of positions is not tiny.
+    """
     n = len(y)
-    out = np.empty(n)
     if n < 2:
         return y.copy()
+    i = np.arange(1, n + 1, dtype=float)
     if span >= n:
-        for i in range(1, n + 1):
-            v = _est(y, n, span, deg, float(i), 1, n)
-            out[i - 1] = y[i - 1] if v is None else v
-        return out
-    nsh = (span + 1) // 2
-    nleft, nright = 1, span
-    for i in range(1, n + 1):
-        if i > nsh and nright != n:
-            nleft += 1
-            nright += 1
-        v = _est(y, n, span, deg, float(i), nleft, nright)
-        out[i - 1] = y[i - 1] if v is None else v
-    return out
+        left = np.ones(n)
+        width = n
+    else:
+        nsh = (span + 1) // 2
+        left = np.minimum(np.maximum(1.0, i - nsh + 1), float(n - span + 1))
+        width = span
+    J = left[:, None] + np.arange(width)[None, :]                 # positions used, 1-based
+    h = np.maximum(i - left, left + width - 1 - i)
+    if span > n:
+        h = h + (span - n) // 2
+    r = np.abs(J - i[:, None])
+    hh = h[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        tri = np.where(r <= 0.001 * hh, 1.0, (1.0 - (r / hh) ** 3) ** 3)
+    w = np.where(hh > 0, np.where(r <= 0.999 * hh, tri, 0.0), np.where(r == 0, 1.0, 0.0))
+    a = w.sum(axis=1)
+    ok = a > 0
+    w = np.where(ok[:, None], w / np.where(ok, a, 1.0)[:, None], 0.0)
+    if deg > 0:
+        m = (w * J).sum(axis=1)
+        b = i - m
+        c = (w * (J - m[:, None]) ** 2).sum(axis=1)
+        adj = (h > 0) & (np.sqrt(c) > 0.001 * (n - 1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            factor = np.where(adj[:, None], (b / np.where(adj, c, 1.0))[:, None] * (J - m[:, None]) + 1.0, 1.0)
+        w = w * factor
+    est = (w * y[J.astype(int) - 1]).sum(axis=1)
+    return np.where(ok, est, y)
 
 
 def _subseries(y: np.ndarray, period: int, span: int, deg: int) -> np.ndarray:

@@ -66,3 +66,28 @@ def test_guard(spark):
     h = _series(spark, n=100)
     g = FC.min_rows_guard(h).collect()
     assert all(r.n_hours == 100 and r.ok_accuracy and not r.ok_forecast for r in g)
+
+
+def test_vectorised_loess_equals_pointwise():
+    rng = np.random.default_rng(3)
+
+    def pointwise(y, span, deg):
+        n = len(y)
+        out = np.empty(n)
+        if span >= n:
+            for i in range(1, n + 1):
+                v = DC._est(y, n, span, deg, float(i), 1, n)
+                out[i - 1] = y[i - 1] if v is None else v
+            return out
+        nsh, nleft, nright = (span + 1) // 2, 1, span
+        for i in range(1, n + 1):
+            if i > nsh and nright != n:
+                nleft, nright = nleft + 1, nright + 1
+            v = DC._est(y, n, span, deg, float(i), nleft, nright)
+            out[i - 1] = y[i - 1] if v is None else v
+        return out
+    for n in (2, 3, 7, 30, 100):
+        y = rng.normal(size=n)
+        for span in (3, 13, 25, 41, 151):
+            for deg in (0, 1):
+                assert np.allclose(DC._loess(y, span, deg), pointwise(y, span, deg), rtol=1e-12, atol=1e-12)
