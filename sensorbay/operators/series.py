@@ -4,7 +4,8 @@ A sensor's readings are numbered 1..n in ``(ts, seq)`` order *without* a
 single-task window over the whole sensor:
 
 1. rows are grouped by ``(sensor, time bucket)`` and counted (partial
-   aggregation, small result);
+   aggregation, small result); the bucket width adapts per sensor so that
+   no bucket holds more than ``bucket_rows`` rows (:func:`bucket_widths`);
 2. a window over the bucket counts of each sensor (one row per bucket, bounded
    by time span / bucket width, not by data volume) gives each bucket's offset;
 3. ``row_number`` inside ``(sensor, bucket)`` plus the offset is the position.
