@@ -350,7 +350,8 @@ def clean_stages(readings: DataFrame, value: str = "people", capacity: dict | No
         return df
     if until == "gaps":
         return classify_gaps(df, "v1", short_hours, long_hours, ts, key)
-    df = cut(classify_stage0(df, "v1", short_hours, long_hours, ts, key))
+    # no cut here: one summary join since the last cut, the next cut follows stage 1
+    df = classify_stage0(df, "v1", short_hours, long_hours, ts, key)
     if until == "s0":
         return df
     # materialised after stage 1: its clock-hour medians, the stage-2 join and
