@@ -45,7 +45,9 @@ def main():
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):
         run(CL.clean(T.readings_from_events(T.load(spark, warm, "events"), "type")))
-        run(catalog.QUERIES["profile_forecast"](spark, warm))
+        for name in ("clean_one_sensor", "payload_route", "profile_forecast", "backtest_metrics",
+                     "accuracy_at_cutoff", "classical_decompose", "stream_ingest"):
+            run(catalog.QUERIES[name](spark, warm))
     run(catalog.QUERIES["hourly_mean"](spark, SF_DIR))
 
     by_user = T.readings_from_events(ev, "user")
