@@ -254,3 +254,17 @@ def test_no_people_column_passes_through(spark):
                                "sensor_id string, ts timestamp_ntz, seq long, temperature double")
     out = CL.clean(df)
     assert out.columns == df.columns and out.count() == 3
+
+
+def test_merged_stage0_equals_stepwise(spark):
+    from sensorbay.operators import series as S
+    rng = random.Random(9)
+    series = {f"s{i}": _random_series(rng, rng.randint(20, 120)) for i in range(8)}
+    series["allnull"] = (series["s0"][0][:10], [None] * 10)
+    df = readings(spark, {k: list(zip(t, v)) for k, (t, v) in series.items()})
+    base = CL.hampel(S.number_rows(CL.cap_values(df, "people", "v0"), chunk_rows=11, bucket_rows=3),
+                     "v0", "v1", chunk_rows=11).checkpoint()
+    cols = ["sensor_id", "pos", "gap_class", "gap_start", "gap_end", "_f", "s0"]
+    merged = CL.classify_stage0(base).select(*cols).collect()
+    stepwise = CL.seasonal_stage0(CL.classify_gaps(base)).select(*cols).collect()
+    assert sorted(map(repr, merged)) == sorted(map(repr, stepwise))
