@@ -268,3 +268,18 @@ def test_merged_stage0_equals_stepwise(spark):
     merged = CL.classify_stage0(base).select(*cols).collect()
     stepwise = CL.seasonal_stage0(CL.classify_gaps(base)).select(*cols).collect()
     assert sorted(map(repr, merged)) == sorted(map(repr, stepwise))
+
+
+def test_merged_fill_smooth_equals_stepwise(spark):
+    from sensorbay.operators import series as S
+    rng = random.Random(21)
+    series = {f"s{i}": _random_series(rng, rng.randint(15, 90)) for i in range(8)}
+    series["allnull"] = (series["s0"][0][:12], [None] * 12)
+    series["one"] = (series["s1"][0][:1], [4.5])
+    df = readings(spark, {k: list(zip(t, v)) for k, (t, v) in series.items()})
+    base = S.number_rows(df.withColumn("v2", F.col("people")), chunk_rows=11, bucket_rows=3).repartition("sensor_id", "chunk")
+    names = list(series)
+    merged = CL.fill_and_smooth(base, "v2", "v3", "p", smooth_sensors=names).select("sensor_id", "pos", "v3", "p")
+    stepwise = CL.smooth_round(CL.edge_fill(base, "v2", "v3"), "v3", "p", smooth_sensors=names) \
+        .select("sensor_id", "pos", "v3", "p")
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, stepwise.collect()))
