@@ -24,3 +24,14 @@ def test_grid_and_fill(spark):
     g = RS.fill_series(RS.hourly_grid(h.where("minute(ds) = 0")), "y", "yf")
     out = [(r.ds.hour, r.y, r.yf) for r in g.orderBy("ds").collect()]
     assert out == [(1, 1.0, 1.0), (2, None, 1.0), (3, None, 1.0), (4, 4.0, 4.0)]
+
+
+def test_grid_drops_off_grid_label(spark):
+    t0 = dt.datetime(2024, 1, 1, 10, 0)
+    pts = [(t0 + dt.timedelta(minutes=m), 1) for m in (0, 70, 130, 200)]
+    df = readings(spark, {"a": pts})
+    h = RS.hourly_mean(df, stop=dt.datetime(2024, 1, 1, 13, 30), partial_last="keep")
+    labels = sorted(r.ds for r in h.collect())
+    assert labels[-1] == dt.datetime(2024, 1, 1, 13, 30)
+    grid = sorted(r.ds for r in RS.hourly_grid(h).collect())
+    assert grid == [dt.datetime(2024, 1, 1, 11), dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 1, 1, 13)]
