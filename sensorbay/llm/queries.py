@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorbay.llm import mixing, url_filter
+from sensorbay.llm import mixing, quality, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -23,6 +23,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"))
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _OP3_SQL = f"""
 WITH rules(rhost, rpath, rverdict) AS (VALUES {_RULES_SQL}),
@@ -37,6 +41,7 @@ SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM fi
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
+    "op7_quality": op7_quality,
 }
 
 ORACLE: dict[str, str] = {
