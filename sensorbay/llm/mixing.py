@@ -35,7 +35,7 @@ SYMBOLS = r"[#*$%&|<>{}\[\]\\^~]"
 TOTAL_SHARE = 1.5
 CAP = 2
 CYCLE = (3, 1, 2)
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 1_000
 
 
 def quality_weight(text: Column) -> Column:
