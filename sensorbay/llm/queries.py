@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorbay.llm import mixing, quality, url_filter
+from sensorbay.llm import langid, mixing, quality, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -14,6 +15,14 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(langid.bucket(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    return (langid.identify(docs.select("doc_id", "text"), model, out_col="p")
+            .select("doc_id", held_out.alias("held_out"), "p.lang_pred", "p.score"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
@@ -39,6 +48,7 @@ fit AS (SELECT h.page_id, h.host, h.path, rhost || rpath AS rule, rverdict,
 SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM fit WHERE rn = 1"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
     "op7_quality": op7_quality,
