@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorbay.llm import langid, mixing, quality, url_filter
+from sensorbay.llm import langid, licenses, mixing, quality, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -36,6 +36,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _OP3_SQL = f"""
 WITH rules(rhost, rpath, rverdict) AS (VALUES {_RULES_SQL}),
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
     "op7_quality": op7_quality,
+    "op8_licenses": op8_licenses,
 }
 
 ORACLE: dict[str, str] = {
