@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorbay.llm import langid, licenses, mixing, quality, url_filter
+from sensorbay.llm import langid, licenses, mixing, quality, toxicity, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -40,6 +40,15 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(langid.bucket(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return (toxicity.score_toxicity(docs, model, out_col="score")
+            .select("doc_id", held_out.alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _OP3_SQL = f"""
 WITH rules(rhost, rpath, rverdict) AS (VALUES {_RULES_SQL}),
@@ -57,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
