@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorbay.llm import langid, licenses, mixing, quality, toxicity, url_filter
+from sensorbay.llm import langid, licenses, mixing, pieces, quality, toxicity, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -32,6 +32,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with dropout, as their number and a hash; ``lossless`` compares the decoded text."""
+    return pieces.encode(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "lossless")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"))
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
+    "op6_pieces": op6_pieces,
     "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
     "op10_toxicity": op10_toxicity,
