@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorbay.llm import langid, licenses, mixing, pieces, quality, toxicity, url_filter
+from sensorbay.llm import langid, licenses, mixing, pieces, quality, substrings, toxicity, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -32,6 +32,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids with dropout, as their number and a hash; ``lossless`` compares the decoded text."""
     return pieces.encode(table(spark, sf_dir, "documents")).select(
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
+    "op5_substrings": op5_substrings,
     "op6_pieces": op6_pieces,
     "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
@@ -79,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op3_url_filter": _OP3_SQL,
     "op4_mixing": mixing.oracle(),
+    "op5_substrings": substrings.ORACLE,
 }
