@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorbay.llm import langid, licenses, mixing, pieces, quality, substrings, toxicity, url_filter
+from sensorbay.llm import jaccard, langid, licenses, mixing, pieces, quality, substrings, toxicity, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -51,6 +51,10 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(langid.bucket(F.col("doc_id"), 3) == 1, F.lit(False))
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pieces": op6_pieces,
     "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
+    "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
 }
 
