@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorbay.llm import jaccard, langid, licenses, mixing, pieces, quality, substrings, toxicity, url_filter
+from sensorbay.llm import jaccard, langid, licenses, mixing, neighbours, pieces, quality, substrings, toxicity, url_filter
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -23,6 +23,11 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "p.lang_pred", "p.score"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), rules)
@@ -77,6 +82,7 @@ SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict FROM fi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_neighbours": op2_neighbours,
     "op3_url_filter": op3_url_filter,
     "op4_mixing": op4_mixing,
     "op5_substrings": op5_substrings,
