@@ -1,8 +1,9 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, scored in context.
 
-The lexicon is learnt from labelled documents: words that occur in toxic ones far more
-often than in clean ones (log-likelihood ratio ``MIN_G2`` and log odds ``MIN_ODDS``),
-weighted by log odds. Each distinct word of a text is looked up exactly, and, if it is
+The lexicon is learnt from labelled documents: words that follow far more different
+words in toxic ones than in clean ones (log-likelihood ratio ``MIN_G2`` and log odds
+``MIN_ODDS``), weighted by log odds. Different contexts are counted, not documents, so
+the rare words of a toxic text that was copied many times are no terms. Each distinct word of a text is looked up exactly, and, if it is
 no ordinary word of clean documents, by the word's Levenshtein automaton walked
 together with the lexicon trie: a branch is cut as soon as no automaton state is
 alive, so all misspellings within one edit (two from ``TWO_EDITS`` letters) are found
@@ -80,41 +81,65 @@ def step(states: dict[int, int], word: str, ch: str, most: int) -> dict[int, int
     return out
 
 
+def letters(word: str) -> int:
+    """Which letters a word has, as bits; one edit changes two bits at most."""
+    m = 0
+    for ch in word:
+        m |= 1 << (ord(ch) & 63)
+    return m
+
+
 class Lexicon:
+    """Terms as a trie, and the pieces by which a word within reach of a term is known.
+
+    A word within k edits of a term holds one of the term's k + 1 pieces unchanged: the
+    first at its start, the last at its end, or a middle one.
+    """
+
     def __init__(self, terms: dict[str, float]):
         self.terms = terms
         self.trie: dict = {}
-        self.heads: set[str] = set()
-        self.tails: set[str] = set()
-        self.middles: set[str] = set()
+        # (piece, length of the word) -> (letters, edits) of its terms
+        self.pieces: tuple[dict, dict, dict] = {}, {}, {}
         for t in terms:
             node = self.trie
             for ch in t:
                 node = node.setdefault(ch, {})
             node[""] = t
-            if len(t) >= MIN_FUZZY:
-                k = self.edits(len(t)) + 1
-                cut = [len(t) * i // k for i in range(k + 1)]
-                self.heads.add(t[:cut[1]])
-                self.tails.add(t[cut[-2]:])
-                self.middles.update(t[cut[i]:cut[i + 1]] for i in range(1, k - 1))
-        self.sizes = [sorted({len(x) for x in s}) for s in (self.heads, self.tails, self.middles)]
-        self.longest = max(map(len, terms), default=0) + 2
+            most = self.edits(len(t))
+            if most:
+                cut = [len(t) * i // (most + 1) for i in range(most + 2)]
+                parts = [t[a:z] for a, z in zip(cut, cut[1:], strict=False)]
+                for n in range(len(t) - most, len(t) + most + 1):
+                    for index, found in zip(self.pieces, ([parts[0]], [parts[-1]], parts[1:-1]), strict=True):
+                        for p in found:
+                            index.setdefault((p, n), set()).add((letters(t), most))
+        self.sizes = [sorted({len(p) for p, _ in index}) for index in self.pieces]
+        self.lengths = {n for index in self.pieces for _, n in index}
 
     @staticmethod
     def edits(n: int) -> int:
         return 0 if n < MIN_FUZZY else 1 if n < TWO_EDITS else 2
 
-    def may_match(self, word: str) -> bool:
-        if not MIN_FUZZY - 1 <= len(word) <= self.longest:
-            return False
-        return (any(word[:n] in self.heads for n in self.sizes[0]) or any(word[-n:] in self.tails for n in self.sizes[1])
-                or any(word[i:i + n] in self.middles for n in self.sizes[2] for i in range(1, len(word) - n + 1)))
-
-    def nearest(self, word: str) -> tuple[int, str] | None:
+    def may_match(self, word: str) -> int:
+        """The most edits by which the word may differ from a term; 0 if it can match none."""
+        n = len(word)
+        if n not in self.lengths:
+            return 0
+        heads, tails, middles = self.pieces
+        hits = [heads.get((word[:k], n)) for k in self.sizes[0]] + [tails.get((word[-k:], n)) for k in self.sizes[1]]
+        hits += [middles.get((word[i:i + k], n)) for k in self.sizes[2] for i in range(1, n - k)]
+        own, most = None, 0
+        for hit in hits:
+            if hit:
+                own = letters(word) if own is None else own
+                most = max([most, *(k for m, k in hit if (m ^ own).bit_count() <= 2 * k)])
+        return most
+
+    def nearest(self, word: str, most: int) -> tuple[int, str] | None:
         """(edits, term) of the nearest term within its allowed edits; ties by weight, then name."""
         best = None
-        start: dict[int, int] = {i: i for i in range(min(2, len(word)) + 1)}
+        start: dict[int, int] = {i: i for i in range(min(most, len(word)) + 1)}
         stack = [(self.trie, start)]
         while stack:
             node, states = stack.pop()
@@ -123,7 +148,7 @@ class Lexicon:
                     e = min((e + len(word) - i for i, e in states.items()), default=9)
                     if e <= self.edits(len(child)) and (found := (e, -self.terms[child], child)) < (best or (9,)):
                         best = found
-                elif alive := step(states, word, ch, 2):
+                elif alive := step(states, word, ch, most):
                     stack.append((child, alive))
         return (best[0], best[2]) if best else None
 
@@ -138,7 +163,8 @@ class Scorer:
         w = self.cache.get(word)
         if w is None:
             w = self.lexicon.terms.get(word, 0.0)
-            if not w and word not in self.clean and self.lexicon.may_match(word) and (hit := self.lexicon.nearest(word)):
+            if not w and word not in self.clean and (most := self.lexicon.may_match(word)) \
+                    and (hit := self.lexicon.nearest(word, most)):
                 w = self.lexicon.terms[hit[1]] * 0.5 ** hit[0]
             if len(self.cache) >= CACHE:
                 self.cache.clear()
@@ -199,13 +225,16 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         n0, n1 = n.get(0, 0), n.get(1, 0)
         if not n0 or not n1:
             return ToxicModel({}, frozenset(), 30.0 if n1 else -30.0, 0.0)
-        df = (sample.select("y", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)")))).alias("w"))
+        found = F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"))
+        after = F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.coalesce(F.get("ws", i - 1), F.lit("")).alias("p")))
+        df = (sample.select("y", found.alias("ws")).select("y", F.inline(F.array_distinct(after))).distinct()
               .groupBy("w").agg(F.sum("y").alias("k1"), F.sum(1 - F.col("y")).alias("k0"))).persist()
-        k, p1 = F.col("k1") + F.col("k0"), n1 / (n0 + n1)
+        c0, c1 = df.agg(F.sum("k0"), F.sum("k1")).first()
+        k, p1 = F.col("k1") + F.col("k0"), (c1 or 0) / max((c0 or 0) + (c1 or 0), 1)
         g2 = 2 * (F.col("k1") * F.log(F.greatest(F.col("k1") / (k * p1), F.lit(1e-9)))
                   + F.when(F.col("k0") > 0, F.col("k0") * F.log(F.col("k0") / (k * (1 - p1)))).otherwise(0.0))
-        odds = F.log((F.col("k1") + 0.5) / (n1 + 1.0)) - F.log((F.col("k0") + 0.5) / (n0 + 1.0))
-        top = (df.withColumn("g2", g2).withColumn("odds", odds).where((F.col("g2") >= MIN_G2) & (F.col("odds") >= MIN_ODDS))
+        odds = F.log((F.col("k1") + 0.5) / (c1 + 1.0)) - F.log((F.col("k0") + 0.5) / (c0 + 1.0))
+        top = (df.withColumn("g2", g2).withColumn("odds", odds).where((F.col("k1") > 0) & (F.col("g2") >= MIN_G2) & (F.col("odds") >= MIN_ODDS))
                .orderBy(F.desc("g2"), "w").limit(MAX_TERMS).collect())
         terms = {r["w"]: round(r["odds"], 6) for r in top}
         clean = frozenset(r["w"] for r in df.where(F.col("k0") >= 2).orderBy(F.desc("k0"), "w").limit(MAX_CLEAN).collect()
