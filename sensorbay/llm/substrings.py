@@ -265,8 +265,13 @@ def seed_marks(docs: DataFrame, hashed: Column, window: int, gram: int) -> DataF
 
 
 def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                     gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (words joined by one space) and factors of every document."""
+                     gram: int = GRAM, carry: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (words joined by one space) and factors of every document.
+
+    With ``carry`` also the whole input row, as the struct ``row``.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), whole)
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
     hashed = F.transform(words("text"), lambda w: F.xxhash64(w)).alias("h")
     marks = seed_marks(docs, hashed, window, gram)
@@ -298,8 +303,12 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 out.append((n, n - len(own), " ".join(own), parsed))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept", "factors"])
 
+    own = F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id")
+    if carry:
+        return (rows.join(factors, "doc_id", "left").select("doc_id", "row", remove(F.col(f"row.{text_col}"), "found").alias("r"))
+                .select(own, "row", "r.*"))
     return (docs.join(factors, "doc_id", "left").select("doc_id", remove("text", "found").alias("r"))
-            .select(F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), "r.*"))
+            .select(own, "r.*"))
 
 
 ORACLE = """
