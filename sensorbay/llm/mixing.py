@@ -15,7 +15,8 @@ so m follows from the source's row count.
 Targets: the sources by code point, NULL last, weigh 3, 1, 2, repeating, and share
 ``total_share`` of all sizes; a target stops at ``cap`` times its source's size and
 the excess is reshared by weight until none is above (closed form: the sources in
-order of cap / weight, the level found at the first that stays below its cap).
+order of cap / weight, the level is the highest that
+the rest of the budget gives the rest of the sources).
 There is one row per source in that step.
 
 Defined cases: NULL or blank text has size 0 and takes 0; a NULL id is a document
@@ -65,9 +66,9 @@ def source_targets(sizes: DataFrame, total_share: float, cap: float, cycle: tupl
     level = ((F.col("budget") - F.coalesce(F.sum("most").over(below), F.lit(0.0)))
              / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(below), F.lit(0.0))))
     per = per.withColumn("level", level)
-    fits = F.min(F.when(F.col("level") <= F.col("full"), F.col("level"))).over(everything)
-    return per.withColumn("target", F.when(fits.isNull(), F.col("most")).otherwise(
-        F.least(F.col("most"), fits * F.col("w")))).select("source", "source_size", "n_docs", "target")
+    # the level rises while sources below it are full and falls after that: its peak is where the excess is used up
+    return per.withColumn("target", F.least(F.col("most"), F.max("level").over(everything) * F.col("w"))) \
+        .select("source", "source_size", "n_docs", "target")
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -120,7 +121,7 @@ lev AS (
       - coalesce(sum(w) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lv
   FROM per),
 tgt AS (
-  SELECT source, source_size, least(most, w * (SELECT min(lv) FROM lev WHERE lv <= fu)) AS target FROM lev),
+  SELECT source, source_size, least(most, w * (SELECT max(lv) FROM lev)) AS target FROM lev),
 ep AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS e FROM tgt),
 run AS (
