@@ -81,7 +81,7 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
                  .select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length(ends) - (k - 1)),
                                                             lambda i, k=k: F.substr(ends, i, F.lit(k)))).alias("g")))
             grams = g if grams is None else grams.unionByName(g)
-        grams = grams.groupBy("lang", "g").agg(F.sum("n").alias("n"))
+        grams = grams.where(~F.col("g").isin("<", ">")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
         totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
         top = counts.where(F.col("n") >= MIN_WORD_COUNT).orderBy(F.desc("n"), "w", "lang").limit(max_words).toPandas()
         words, word_logs = _logs(top, "w", langs, totals, max_words)
@@ -110,6 +110,8 @@ def score_text(model: LanguageModel, text: str | None, find=re.compile(LETTERS).
             continue
         marked = f"<{word}>"
         for k in GRAM_SIZES:
+            if k == 1:
+                marked = word  # an end mark alone says nothing
             hits = [g for j in range(len(marked) - k + 1) if (g := model.grams.get(marked[j:j + k])) is not None]
             if hits:
                 gram_ids += hits
