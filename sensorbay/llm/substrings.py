@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorbay.llm.common import words
+from sensorbay.llm.common import stage, words
 
 WINDOW = 20
 GRAM = 6
@@ -274,7 +274,8 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), whole)
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
     hashed = F.transform(words("text"), lambda w: F.xxhash64(w)).alias("h")
-    marks = seed_marks(docs, hashed, window, gram)
+    # two later steps read the marks: written once, the index is shuffled once
+    marks = stage(seed_marks(docs, hashed, window, gram), "substrings-marks")
     asked = docs.join(marks.where(F.size("compare") > 0).select("doc_id", "compare"), "doc_id")
     single = asked.select("doc_id", hashed, "compare").mapInArrow(
         window_rows(window, gram), "key long, doc_id long, start int, ref_doc long, ref_start int, known boolean")
