@@ -50,7 +50,7 @@ GROUP_ROWS = 1_000_000
 NULL_ID = -(1 << 63)
 MULT = 0x9E3779B97F4A7C15
 FACTOR = "start:int,length:int,ref_doc:long,ref_start:int"
-SEEDS = "key long, context long, doc_id long, pos int, left int, right int, ref_doc long, ref_pos int, state int"
+SEEDS = "key long, context long, doc_id long, meta long, ref_doc long, ref_pos int"
 FIRST, KNOWN, COMPARE, MARK = 0, 1, 2, 3
 
 
@@ -120,6 +120,11 @@ def first_of(*cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def packed(pos: np.ndarray, left: np.ndarray, right: np.ndarray, state: np.ndarray, window: int) -> np.ndarray:
+    """One long for a seed's place, its reach to either side and its state; it sorts by place."""
+    return (((pos * (window + 1) + left) * (window + 1) + right) * 4 + state).astype(np.int64)
+
+
 def seed_rows(window: int, gram: int, hot: int):
     """Seeds with their contexts, settled among the documents of a task as far as they go."""
     reach = window - gram
@@ -146,9 +151,10 @@ def seed_rows(window: int, gram: int, hot: int):
         key = np.concatenate([key, seed[marks]])[at]
         return pa.RecordBatch.from_arrays(
             [pa.array(key.view(np.int64)), pa.array(context[keep].view(np.int64)), pa.array(ids[keep]),
-             pa.array(pos[keep].astype(np.int32)), pa.array(left[keep].astype(np.int32)), pa.array(right[keep].astype(np.int32)),
-             pa.array(ids[ref[keep]]), pa.array(pos[ref[keep]].astype(np.int32)), pa.array(state[at].astype(np.int32))],
-            names=["key", "context", "doc_id", "pos", "left", "right", "ref_doc", "ref_pos", "state"])
+             pa.array(packed(pos[keep], left[keep], right[keep], state[at], window)),
+             pa.array(ids[ref[keep]], mask=state[at] != KNOWN),
+             pa.array(pos[ref[keep]].astype(np.int32), mask=state[at] != KNOWN)],
+            names=["key", "context", "doc_id", "meta", "ref_doc", "ref_pos"])
 
     def run(batches):
         parts, rows = [], 0
@@ -240,22 +246,25 @@ def parse(factors: list[tuple[int, int, int, int]], n: int) -> list[tuple[int, i
 def seed_marks(docs: DataFrame, hashed: Column, window: int, gram: int) -> DataFrame:
     """doc_id, compare (seeds to look at window by window), copies (factors of whole contexts)."""
     rows = docs.select("doc_id", hashed).mapInArrow(seed_rows(window, gram, HOT), SEEDS)
-    by_key = Window.partitionBy("key").orderBy("context", "doc_id", "pos")
+    state, side = F.col("meta") % 4, window + 1
+    by_key = Window.partitionBy("key").orderBy("context", "doc_id", "meta")
     whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    same = Window.partitionBy("key", "context").orderBy("doc_id", "pos")
+    same = Window.partitionBy("key", "context").orderBy("doc_id", "meta")
+    real = state != MARK
     seen = (rows.withColumn("varied", (F.first("context").over(whole) != F.last("context").over(whole))
-                            | (F.max("state").over(whole) == MARK))
-            .withColumn("own_doc", F.first(F.when(F.col("state") != MARK, F.col("doc_id")), True).over(same))
-            .withColumn("own_pos", F.first(F.when(F.col("state") != MARK, F.col("pos")), True).over(same))
-            .where(F.col("state") != MARK)
-            .withColumn("later", (F.col("own_doc") != F.col("doc_id")) | (F.col("own_pos") != F.col("pos"))))
-    first = F.col("state") == FIRST
-    kind = (F.when((F.col("state") == KNOWN) | (first & F.col("later")), KNOWN)
-            .when((F.col("state") == COMPARE) | (first & F.col("varied")), COMPARE))
-    seen = (seen.select("doc_id", "pos", "left", "right", kind.alias("kind"),
-                        F.when(first, F.col("own_doc")).otherwise(F.col("ref_doc")).alias("ref_doc"),
-                        F.when(first, F.col("own_pos")).otherwise(F.col("ref_pos")).alias("ref_pos"))
-            .where("kind IS NOT NULL"))
+                            | F.max(~real).over(whole))
+            .withColumn("own_doc", F.first(F.when(real, F.col("doc_id")), True).over(same))
+            .withColumn("own_meta", F.first(F.when(real, F.col("meta")), True).over(same))
+            .where(real).withColumn("later", (F.col("own_doc") != F.col("doc_id")) | (F.col("own_meta") != F.col("meta"))))
+    first = state == FIRST
+    kind = (F.when((state == KNOWN) | (first & F.col("later")), KNOWN)
+            .when((state == COMPARE) | (first & F.col("varied")), COMPARE))
+    place = lambda meta: F.floor(F.col(meta) / (4 * side * side)).cast("int")
+    seen = (seen.withColumn("kind", kind).where("kind IS NOT NULL")
+            .select("doc_id", "kind", place("meta").alias("pos"), F.floor(F.col("meta") / (4 * side) % side).cast("int").alias("left"),
+                    F.floor(F.col("meta") / 4 % side).cast("int").alias("right"),
+                    F.when(first, F.col("own_doc")).otherwise(F.col("ref_doc")).alias("ref_doc"),
+                    F.when(first, place("own_meta")).otherwise(F.col("ref_pos")).alias("ref_pos")))
     marks = seen.groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("kind") == COMPARE, F.col("pos"))).alias("compare"),
         F.collect_list(F.when((F.col("kind") == KNOWN) & (F.col("left") + F.col("right") >= window), F.struct(
