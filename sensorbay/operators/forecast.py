@@ -62,9 +62,9 @@ def profile_forecast(train: DataFrame, periods=C.FORECAST_HORIZON, clip: bool =
 
 
 def clip_forecast(f: DataFrame) -> DataFrame:
-    """``yhat``, ``yhat_lower``, ``yhat_upper`` not below 0 (no upper clip)."""
+    """``yhat``, ``yhat_lower``, ``yhat_upper`` not below 0 (no upper clip); NULL stays NULL."""
     for c in ("yhat", "yhat_lower", "yhat_upper"):
-        f = f.withColumn(c, F.greatest(F.col(c), F.lit(0.0)))
+        f = f.withColumn(c, F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.lit(0.0))))
     return f
 
 
@@ -164,6 +164,10 @@ def fit_logistic(ds: np.ndarray, y: np.ndarray, cap: float, future: np.ndarray,
 def _fit_group(pdf: pd.DataFrame, periods: int, default_cap: float, capacity: dict) -> pd.DataFrame:
     sid = str(pdf["sensor_id"].iloc[0])
     pdf = pdf.dropna(subset=["y"]).sort_values("ds")
+    failed = pd.DataFrame({"sensor_id": [sid], "ds": [pd.NaT], "yhat": [np.nan], "yhat_lower": [np.nan],
+                           "yhat_upper": [np.nan], "status": ["no_values"]})
+    if pdf.empty:
+        return failed
     ds = pdf["ds"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
     last = ds.max()
     future = last + 3600.0 * np.arange(1, periods + 1)
@@ -172,8 +176,9 @@ def _fit_group(pdf: pd.DataFrame, periods: int, default_cap: float, capacity: di
         yhat, lo, hi, status = fit_logistic(ds, pdf["y"].to_numpy(float), cap, future,
                                             zlib.crc32(sid.encode()))
     except Exception as e:  # one sensor failing must not stop the others
-        yhat = lo = hi = np.full(periods, np.nan)
-        status = f"error: {type(e).__name__}"
+        return failed.assign(status=f"error: {type(e).__name__}")
+    if not np.all(np.isfinite(yhat)):
+        return failed.assign(status=status)
     out = pd.DataFrame({
         "sensor_id": sid,
         "ds": pd.to_datetime((future * 1e6).astype("int64"), unit="us"),
@@ -186,14 +191,37 @@ def _fit_group(pdf: pd.DataFrame, periods: int, default_cap: float, capacity: di
 def logistic_forecast(train: DataFrame, periods: int = C.FORECAST_HORIZON, clip: bool = True,
                       capacity: dict | None = None, default_cap: float = C.DEFAULT_CAPACITY_CLEAN,
                       with_status: bool = False) -> DataFrame:
-    """M1 per sensor in ``applyInPandas``; a failing sensor yields NULLs and a status."""
+    """M1 per sensor in ``applyInPandas``.
+
+    A sensor that cannot be fitted gives no forecast; with ``with_status`` it gives one
+    row without a time that holds its status.
+    """
     cap = dict(C.SENSOR_CAPACITY if capacity is None else capacity)
     schema = FORECAST_SCHEMA + ", status string"
     f = (train.select("sensor_id", "ds", "y").groupBy("sensor_id")
          .applyInPandas(lambda pdf: _fit_group(pdf, periods, default_cap, cap), schema))
     if clip:
         f = clip_forecast(f)
-    return f if with_status else f.drop("status")
+    return f if with_status else f.where(F.col("ds").isNotNull()).drop("status")
+
+
+def forecast_with_status(hourly: DataFrame, model: str = "logistic", periods: int = C.FORECAST_HORIZON,
+                         min_hours: int = C.MIN_TRAINING_HOURS, **kw) -> tuple[DataFrame, DataFrame]:
+    """M3 with its account: the forecast, and a row per sensor ``sensor_id, n_hours, status``.
+
+    ``status`` is ``ok``, ``too_short`` (fewer than ``min_hours`` hourly rows) or why the fit failed.
+    """
+    counts = min_rows_guard(hourly, {"run": min_hours})
+    h = guard(hourly, min_hours)
+    if model == "profile":
+        fc = profile_forecast(h, periods, clip=True).withColumn("status", F.lit("ok"))
+    else:
+        fc = logistic_forecast(h, periods, clip=True, with_status=True, **kw)
+    told = fc.groupBy("sensor_id").agg(F.min("status").alias("_status"))
+    status = counts.join(told, "sensor_id", "left").select(
+        "sensor_id", "n_hours", F.when(~F.col("ok_run"), F.lit("too_short"))
+        .otherwise(F.coalesce("_status", F.lit("no_values"))).alias("status"))
+    return fc.where(F.col("ds").isNotNull()).drop("status"), status
 
 
 def min_rows_guard(hourly: DataFrame, thresholds: dict | None = None, key: str = KEY) -> DataFrame:

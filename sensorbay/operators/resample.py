@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..sources.tables import ts_literal
+from ..sources.tables import scan_range, ts_literal
 
 KEY = "sensor_id"
 
@@ -26,10 +26,7 @@ def hourly_mean(df: DataFrame, value: str = "people", ts: str = "ts", key: str =
     (plus the number of values when ``count`` names a column).
     Partial averages are combined map-side, so a hot sensor spreads over tasks.
     """
-    if start is not None:
-        df = df.where(F.col(ts) >= ts_literal(start))
-    if stop is not None:
-        df = df.where(F.col(ts) < ts_literal(stop))
+    df = scan_range(df, start, stop, ts)
     hour = F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
     aggs = [F.avg(F.col(value).cast("double")).alias(out)]
     if count:

@@ -249,7 +249,7 @@ def q_range_scan(spark, sf):
 
 @register("lookback_scan", f"""WITH {O.readings_cte('user')}
 SELECT sensor_id, ts, seq, people FROM readings
-WHERE ts >= TIMESTAMP '{NOW.replace('T', ' ')}' - INTERVAL 35 DAY AND ts <= TIMESTAMP '{NOW.replace('T', ' ')}'""")
+WHERE ts >= TIMESTAMP '{NOW.replace('T', ' ')}' - INTERVAL 35 DAY AND ts < TIMESTAMP '{NOW.replace('T', ' ')}'""")
 def q_lookback_scan(spark, sf):
     """Relative lookback (``35d``) from a fixed ``now``, all sensors at once."""
     ev = T.scan_lookback(_events(spark, sf), NOW, "35d")

@@ -82,7 +82,7 @@ def decomposition(spark: SparkSession, clean_path: str, out_path: str | None = N
                   start: str | None = None, end: str | None = None, now=None, sensors=None,
                   method: str = "stl") -> DataFrame:
     """M6 (or M7) for the range given as ``days`` or ``start``/``end`` dates; upserted."""
-    lo, hi = T.time_range(days, start, end, _now(now))
+    lo, hi = T.job_interval(_now(now), days, start, end)
     clean = spark.read.parquet(clean_path)
     if sensors:
         clean = clean.where(F.col("sensor_id").isin(list(sensors)))

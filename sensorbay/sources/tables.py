@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -63,42 +64,61 @@ def parse_duration(text: str) -> dt.timedelta:
     return dt.timedelta(**{_UNIT[m.group(2)]: int(m.group(1))})
 
 
-def time_range(days: int | None = None, start: str | None = None, end: str | None = None,
-               now: dt.datetime | None = None) -> tuple[dt.datetime, dt.datetime]:
-    """``days`` -> ``[now - days, now]``; ``start/end`` dates -> ``[start, end + 1 day)``.
-
-    ``days=0`` counts as absent.
-    """
-    if days:
-        stop = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        return stop - dt.timedelta(days=days), stop
-    if start and end:
-        s = dt.datetime.strptime(start, "%Y-%m-%d")
-        e = dt.datetime.strptime(end, "%Y-%m-%d") + dt.timedelta(days=1)
-        return s, e
-    raise ValueError("either days or both start and end are needed")
+def _moment(t) -> dt.datetime:
+    return dt.datetime.fromisoformat(t.replace("Z", "")) if isinstance(t, str) else t
 
 
 def ts_literal(t) -> Column:
-    if isinstance(t, str):
-        t = dt.datetime.fromisoformat(t.replace("Z", ""))
-    return F.lit(t).cast("timestamp_ntz")
+    return F.lit(_moment(t)).cast("timestamp_ntz")
+
+
+class Interval(NamedTuple):
+    """Half-open time range ``[start, stop)``; an open bound is None. Every scan uses it."""
+
+    start: dt.datetime | None
+    stop: dt.datetime | None
+
+    @classmethod
+    def ending(cls, now: dt.datetime, length: dt.timedelta) -> Interval:
+        return cls(now - length, now)
+
+    @classmethod
+    def of_dates(cls, first: dt.date, last: dt.date) -> Interval:
+        """Whole days, both included."""
+        midnight = dt.time()
+        return cls(dt.datetime.combine(first, midnight), dt.datetime.combine(last + dt.timedelta(days=1), midnight))
+
+    def rows(self, df: DataFrame, ts: str = "ts") -> DataFrame:
+        """The rows inside; a table partitioned by ``date`` is pruned to the days it reaches."""
+        dated = "date" in df.columns
+        if self.start is not None:
+            df = df.where(F.col(ts) >= ts_literal(self.start))
+            if dated:
+                df = df.where(F.col("date") >= F.lit(_moment(self.start).date()))
+        if self.stop is not None:
+            df = df.where(F.col(ts) < ts_literal(self.stop))
+            if dated:
+                df = df.where(F.col("date") <= F.lit((_moment(self.stop) - dt.timedelta(microseconds=1)).date()))
+        return df
+
+
+def job_interval(now: dt.datetime, days: int | None = None, first: str | None = None, last: str | None = None) -> Interval:
+    """The last ``days`` before ``now`` (0 or None: not given), else the days ``first`` to ``last``."""
+    if days:
+        return Interval.ending(now, dt.timedelta(days=days))
+    if not (first and last):
+        raise ValueError("a number of days or a first and a last date must be given")
+    return Interval.of_dates(dt.date.fromisoformat(first), dt.date.fromisoformat(last))
 
 
 def scan_range(df: DataFrame, start=None, stop=None, ts: str = "ts") -> DataFrame:
     """``start <= ts < stop`` (either bound optional). Pushed to the Parquet scan."""
-    if start is not None:
-        df = df.where(F.col(ts) >= ts_literal(start))
-    if stop is not None:
-        df = df.where(F.col(ts) < ts_literal(stop))
-    return df
+    return Interval(start, stop).rows(df, ts)
 
 
 def scan_lookback(df: DataFrame, now, lookback: str, ts: str = "ts") -> DataFrame:
-    """``ts >= now - lookback``; ``now`` is a parameter so results repeat."""
-    if isinstance(now, str):
-        now = dt.datetime.fromisoformat(now.replace("Z", ""))
-    return df.where((F.col(ts) >= ts_literal(now - parse_duration(lookback))) & (F.col(ts) <= ts_literal(now)))
+    """``now - lookback <= ts < now``; ``now`` is a parameter so results repeat."""
+    return Interval.ending(_moment(now), parse_duration(lookback)).rows(df, ts)
 
 
 def raw_scan(spark: SparkSession, path: str, now, lookback: str = "24h", sensors=None,
@@ -108,15 +128,20 @@ def raw_scan(spark: SparkSession, path: str, now, lookback: str = "24h", sensors
     df = scan_lookback(df, now, lookback)
     if sensors:
         df = df.where(F.col("sensor_id").isin(list(sensors)))
-    cols = [c for c in columns if c in df.columns] + [c for c in ("seq",) if c in df.columns]
-    return df.select(*cols)
+    order = next((c for c in ("seq", "msg_id") if c in df.columns), None)  # breaks ties of equal times
+    return df.select(*[c for c in columns if c in df.columns], *([F.col(order).alias("seq")] if order else []))
 
 
 # --------------------------------------------------------------------------- P4
 def pivot_fields(long_df: DataFrame, fields=("people", "temperature", "humidity", "co2"),
                  key: str = "sensor_id", ts: str = "ts") -> DataFrame:
-    """Narrow ``(sensor_id, ts, field, value)`` rows to one wide row per ``(sensor_id, ts)``."""
-    return long_df.groupBy(key, ts).pivot("field", list(fields)).agg(F.first("value", ignorenulls=True))
+    """Narrow ``(sensor_id, ts, field, value)`` rows to one wide row per ``(sensor_id, ts)``.
+
+    Of several values of one field the latest (largest ``seq``) wins, without ``seq`` the largest.
+    """
+    version = [F.col("seq")] if "seq" in long_df.columns else []
+    latest = F.max_by("value", F.when(F.col("value").isNotNull(), F.struct(*version, F.col("value"))))
+    return long_df.groupBy(key, ts).pivot("field", list(fields)).agg(latest)
 
 
 # --------------------------------------------------------------------------- S6

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from sensorbay.sources.tables import parse_duration, time_range
+from sensorbay.sources.tables import Interval, job_interval, parse_duration, scan_lookback, scan_range
 
 
 def test_parse_duration():
@@ -12,13 +12,24 @@ def test_parse_duration():
         parse_duration("soon")
 
 
-def test_time_range_resolution():
+def test_job_interval():
     now = dt.datetime(2024, 1, 31, 12)
-    assert time_range(days=7, now=now) == (dt.datetime(2024, 1, 24, 12), now)
-    # start/end dates: the end day is included, the range is half-open
-    assert time_range(start="2024-01-01", end="2024-01-30") == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31))
+    assert job_interval(now, days=7) == (dt.datetime(2024, 1, 24, 12), now)
+    # dates: the last day is included, the range is half-open
+    assert job_interval(now, None, "2024-01-01", "2024-01-30") == (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 31))
     # days=0 counts as absent
-    assert time_range(days=0, start="2024-01-01", end="2024-01-01", now=now) == \
-        (dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
+    assert job_interval(now, 0, "2024-01-01", "2024-01-01") == Interval(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
     with pytest.raises(ValueError):
-        time_range(days=0)
+        job_interval(now, days=0)
+
+
+def test_scans_are_half_open_and_prune_date_partitions(spark, tmpdir_path):
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=6 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "seq long, ts timestamp_ntz")
+    df.selectExpr("*", "to_date(ts) AS date").write.partitionBy("date").parquet(f"{tmpdir_path}/t")
+    t = spark.read.parquet(f"{tmpdir_path}/t")
+    for got, lo, hi in ((scan_range(t, "2024-01-02T00:00:00", "2024-01-03T00:00:00"), 4, 8),
+                        (scan_lookback(t, "2024-01-05T06:00:00", "24h"), 13, 17), (scan_range(t, stop="2024-01-01T06:00:00"), 0, 1)):
+        assert sorted(r.seq for r in got.collect()) == list(range(lo, hi))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(date" in plan, plan
