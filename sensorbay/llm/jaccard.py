@@ -18,13 +18,15 @@ sets count once per task). The most frequent ``MAX_FREQUENT`` are shipped; any c
 of them is correct as all documents use the same, so the bound costs no links. What is
 not among them stays rare and is joined like any other token.
 
-Joining without all pairs. Only components are asked for, so a signature's members are
-first compared with one member, the star's centre, under ``ROUNDS`` centres; members
-that came together need no further pair. What is still apart after that is compared
-pair by pair, so no link between different components is lost. A signature with more
+Joining without all pairs. Members of a signature with at most ``SMALL`` of them are
+paired. Larger ones are first compared with one member, the star's centre, under
+``ROUNDS`` centres: only components are asked for, so members that came together need
+no further pair. What is still apart after that is compared pair by pair, so no link
+between different components is lost. A signature with more
 than ``HOT`` members in a task is settled there (its first member goes on to the
-shuffle, the others beside it), so no reducer gets a whole hot signature. Pairs are
-verified on sorted token sets, after the size filter.
+shuffle, the others beside it), so no reducer gets a whole hot signature. Pairs whose
+sizes or token histograms (a byte for about four tokens) rule a link out are dropped;
+the rest is verified on whole token sets, made for the nodes of such pairs only.
 
 Defined cases: NULL or blank text has an empty set, 0 shingles and its own component;
 texts of one to four words are one token; repeated ids give a row each with the same
@@ -52,7 +54,9 @@ MAX_FREQUENT = 400_000
 HOT = 32
 ROUNDS = 4
 TOKEN_BYTES = 5
-SIGNED = "key long, sig long, node long, n int, first long, hot boolean"
+SIGNED = "key long, node long, sig long"
+SURVEY = "doc_id long, node long, n int, histogram binary, token long, df long"
+SMALL = 16
 
 
 def word_hashes(text_col: str) -> Column:
@@ -100,21 +104,46 @@ def set_groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
             at = stop
 
 
-def count_tokens(size: int):
-    """(token, documents) of what a batch holds in two different sets or more."""
+def histograms(token: np.ndarray, starts: np.ndarray) -> list[bytes | None]:
+    """For each set, how many of its tokens have which leading bits: a byte for about four tokens.
+
+    The overlap of two sets is at most the sum of the smaller counts. None where a count passes 255.
+    """
+    n = np.diff(starts)
+    bits = np.maximum(np.frexp(n.astype(float))[1] - 2, 1)
+    base = np.concatenate([[0], np.cumsum(1 << bits)])
+    place = np.repeat(base[:-1], n) + (token >> (64 - np.repeat(bits, n)).astype(np.uint64)).astype(np.int64)
+    counts = np.bincount(place, minlength=base[-1])
+    raw, over = counts.astype(np.uint8).tobytes(), np.add.reduceat(counts > 255, base[:-1]) if len(n) else []
+    return [None if o else raw[a:z] for o, a, z in zip(over, base[:-1], base[1:], strict=True)]
+
+
+def survey(size: int):
+    """A row per document (node, n, histogram), and a row per token that a task holds in two different sets or more."""
+    def nothing(n, kind):
+        return pa.nulls(n, kind)
+
     def settle(parts):
         nodes = np.concatenate([p[0] for p in parts])
         sizes = np.concatenate([p[1] for p in parts])
         token = np.concatenate([p[2] for p in parts])
         first = np.zeros(len(nodes), bool)
         first[np.unique(nodes, return_index=True)[1]] = True
-        token, counts = np.unique(token[np.repeat(first, sizes)], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(token[counts > 1].view(np.int64)), pa.array(counts[counts > 1])],
-                                          names=["token", "n"])
+        token, df = np.unique(token[np.repeat(first, sizes)], return_counts=True)
+        token, df = token[df > 1].view(np.int64), df[df > 1]
+        n = len(df)
+        return pa.RecordBatch.from_arrays([nothing(n, pa.int64()), nothing(n, pa.int64()), nothing(n, pa.int32()),
+                                           nothing(n, pa.binary()), pa.array(token), pa.array(df)],
+                                          names=["doc_id", "node", "n", "histogram", "token", "df"])
 
     def run(batches):
         parts, held = [], 0
-        for _, token, starts, nodes in set_groups(batches, size):
+        for part, token, starts, nodes in set_groups(batches, size):
+            k = len(nodes)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(nodes), pa.array(np.diff(starts).astype(np.int32)),
+                 pa.array(histograms(token, starts), pa.binary()), nothing(k, pa.int64()), nothing(k, pa.int64())],
+                names=["doc_id", "node", "n", "histogram", "token", "df"])
             parts.append((nodes, np.diff(starts), token))
             held += len(token)
             if held >= 4 * GROUP_WORDS:
@@ -165,24 +194,22 @@ def signatures(token: np.ndarray, rank: np.ndarray, threshold: int) -> np.ndarra
 
 
 def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray, hot: int):
-    """A row per signature and set; hot signatures settled among the sets of a task."""
+    """A row per signature and set. Of a signature that is hot in a task the first set goes to the
+    signature's own key, the others to keys of their own; ``sig`` is set on the rows of such signatures."""
     def settle(parts):
-        sig, node, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        sig, node = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((node, sig))
-        sig, node, n = sig[order], node[order], n[order]
+        sig, node = sig[order], node[order]
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])  # equal sets of a task once
-        sig, node, n = sig[new], node[new], n[new]
+        sig, node = sig[new], node[new]
         head = np.ones(len(sig), bool)
         head[1:] = sig[1:] != sig[:-1]
         lead = np.maximum.accumulate(np.where(head, np.arange(len(sig)), 0))
         many = np.bincount(lead, minlength=len(sig))[lead] > hot
-        key = sig.copy()
-        beside = many & ~head
-        key[beside] = mix(sig[beside] * np.uint64(31) + node[beside].view(np.uint64))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(key.view(np.int64)), pa.array(sig.view(np.int64)), pa.array(node), pa.array(n.astype(np.int32)),
-             pa.array(node[lead]), pa.array(many)], names=["key", "sig", "node", "n", "first", "hot"])
+        key = np.where(many & ~head, mix(sig * np.uint64(31) + node.view(np.uint64)), sig)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node), pa.array(sig.view(np.int64), mask=~many)],
+                                          names=["key", "node", "sig"])
 
     def run(batches):
         parts, held = [], 0
@@ -194,7 +221,7 @@ def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray
                 if sizes[k] > 2:  # sets of one or two tokens link with equal sets only
                     own = slice(starts[k], starts[k + 1])
                     sig = signatures(token[own], rank[own], threshold)
-                    parts.append((sig, np.full(len(sig), nodes[k]), np.full(len(sig), sizes[k])))
+                    parts.append((sig, np.full(len(sig), nodes[k])))
                     held += len(sig)
             if held >= GROUP_WORDS:
                 yield settle(parts)
@@ -205,15 +232,6 @@ def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray
     return run
 
 
-def members(batches_size: int):
-    """doc_id, node, n of every document."""
-    def run(batches):
-        for part, _, starts, nodes in set_groups(batches, batches_size):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(nodes), pa.array(np.diff(starts).astype(np.int32))],
-                                             names=["doc_id", "node", "n"])
-    return run
-
-
 def packed_sets(size: int):
     """node and its sorted tokens, the upper ``TOKEN_BYTES`` bytes of each."""
     def run(batches):
@@ -230,6 +248,28 @@ def unpack(blob: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and histograms leave a link possible; none that links is lost."""
+    @F.pandas_udf("boolean")
+    def may(na: pd.Series, nb: pd.Series, ha: pd.Series, hb: pd.Series) -> pd.Series:
+        out = np.ones(len(na), bool)
+        for k, (m, n, x, y) in enumerate(zip(na, nb, ha, hb, strict=True)):
+            if x is None or y is None:
+                continue
+            x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+            if len(x) != len(y):  # the finer one is folded
+                x, y = (x, y) if len(x) > len(y) else (y, x)
+                x = x.reshape(len(y), -1).sum(axis=1, dtype=np.int64)
+            both = int(np.minimum(x, y).sum(dtype=np.int64))
+            out[k] = 100 * both >= threshold * (m + n - both)
+        return pd.Series(out)
+
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("histogram").alias("ha"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("histogram").alias("hb"))
+    near = 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+    return pairs.join(a, "a").join(b, "b").where(near).where(may("na", "nb", "ha", "hb")).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) of nodes that link."""
     @F.pandas_udf("boolean")
@@ -271,9 +311,9 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                        .select("node", F.coalesce("p", "comp").alias("comp")), "jaccard-labels")
 
 
-def frequent_tokens(base: DataFrame, size: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def frequent_tokens(counts: DataFrame, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens in hash order and their ranks, 1 for the least frequent; at most ``limit``."""
-    top = (base.mapInArrow(count_tokens(size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    top = (counts.groupBy("token").agg(F.sum("df").alias("n"))
            .where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(limit).toPandas())
     token = top["token"].to_numpy(np.int64).view(np.uint64)
     by_count = np.lexsort((token, top["n"].to_numpy(np.int64)))
@@ -284,59 +324,81 @@ def frequent_tokens(base: DataFrame, size: int, limit: int) -> tuple[np.ndarray,
 
 
 def shared_signatures(signed: DataFrame) -> DataFrame:
-    """sig, node, n of the signatures that two nodes or more have; of equal groups one."""
-    w = Window.partitionBy("key").orderBy("node")
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    again = F.lag("node").over(w).eqNullSafe(F.col("node"))
-    own = signed.withColumn("again", again).withColumn("any_hot", F.max("hot").over(whole))
-    apart = (F.first("node").over(whole) != F.last("node").over(whole)) | F.col("hot")
+    """sig, node, members of the signatures that two nodes or more have; of groups with equal members one."""
+    key = Window.partitionBy("key")
+    own = (signed.withColumn("lo", F.min("node").over(key)).withColumn("hi", F.max("node").over(key))
+           .where("lo <> hi OR sig IS NOT NULL").select("key", "node", "sig"))
+    by_node = key.orderBy("node")
+    whole = by_node.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = own.withColumn("again", F.lag("node").over(by_node).eqNullSafe(F.col("node")))
     print_ = [F.sum(F.when(~F.col("again"), F.xxhash64(F.lit(s), "node").bitwiseAND(F.lit((1 << 50) - 1))))
               .over(whole).alias(f"g{s}") for s in (1, 2)]
-    own = (own.withColumn("apart", apart).select("*", *print_).where("apart AND (hot OR NOT again)"))
+    own = own.select("*", *print_, F.sum(F.when(F.col("again"), 0).otherwise(1)).over(whole).alias("members"),
+                     F.max(F.col("sig").isNotNull()).over(whole).alias("any_hot")).where("any_hot OR NOT again")
     # one signature stands for all that have the very same members
-    least = F.min("sig").over(Window.partitionBy("node", "g1", "g2"))
-    cold = own.where("NOT any_hot").withColumn("least", least).where("sig = least")
-    return cold.select("sig", "node", "n").unionByName(own.where("any_hot").select("sig", "node", "n"))
+    least = F.min("key").over(Window.partitionBy("node", "g1", "g2"))
+    cold = own.where("NOT any_hot").withColumn("least", least).where("key = least")
+    hot = own.where("any_hot").select(F.coalesce("sig", "key").alias("sig"), "node", F.lit(1 << 30).cast("long").alias("members"))
+    return cold.select(F.col("key").alias("sig"), "node", "members").unionByName(hot)
 
 
 def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     threshold: int = THRESHOLD, max_frequent: int = MAX_FREQUENT, rounds: int = ROUNDS,
-                    hot: int = HOT) -> DataFrame:
+                    hot: int = HOT, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable by links) of every document."""
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_hashes(text_col))
-    frequent, ranks = frequent_tokens(base, size, max_frequent)
-    members_ = stage(base.mapInArrow(members(size), "doc_id long, node long, n int"), "jaccard-members")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    base = texts.select("doc_id", word_hashes("text"))
+    seen = stage(base.mapInArrow(survey(size), SURVEY), "jaccard-survey")
+    members = seen.where("node IS NOT NULL").select("doc_id", "node", "n", "histogram")
+    frequent, ranks = frequent_tokens(seen.where("token IS NOT NULL").select("token", "df"), max_frequent)
     shared = stage(shared_signatures(base.mapInArrow(sign_sets(size, threshold, frequent, ranks, hot), SIGNED)),
                    "jaccard-shared")
-    nodes = stage(shared.select("node").distinct().select("node", F.col("node").alias("comp")), "jaccard-nodes")
-    first = members_.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes.select("node"), "node", "left_semi")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    wanted = texts.join(first.select("doc_id"), "doc_id", "left_semi").select("doc_id", word_hashes("text"))
-    sets = stage(wanted.mapInArrow(packed_sets(size), "node long, tokens binary").dropDuplicates(["node"]), "jaccard-sets")
-
-    def fits(x: str, y: str) -> Column:
-        return 100 * F.least(x, y) >= threshold * F.greatest(x, y)
-
-    labels = nodes
+    labels = stage(shared.select("node").distinct().select("node", F.col("node").alias("comp")), "jaccard-nodes")
+    nodes = stage(members.join(labels.select("node"), "node", "left_semi").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("histogram")), "jaccard-histograms")
+
+    def linked(pairs: DataFrame, fetched: list[DataFrame]) -> DataFrame | None:
+        """Links among the pairs (a, b); sets are made for nodes of possible pairs only, once."""
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = stage(possible(pairs, nodes, threshold), "jaccard-pairs")
+        if not pairs.take(1):
+            return None
+        new = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        for done in fetched:
+            new = new.join(done.select("node"), "node", "left_anti")
+        ids = stage(nodes.select("node", "doc_id").join(new, "node", "left_semi").select("doc_id"), "jaccard-wanted")
+        fresh = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("doc_id", word_hashes("text"))
+        fetched.append(stage(fresh.mapInArrow(packed_sets(size), "node long, tokens binary"), "jaccard-sets"))
+        sets = fetched[0]
+        for more in fetched[1:]:
+            sets = sets.unionByName(more)
+        return stage(verified(pairs, sets, threshold).distinct(), "jaccard-links")
+
+    def pairs_of(members_: DataFrame, where: Column) -> DataFrame:
+        left = members_.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
+        right = members_.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
+        return left.join(right, "sig").where((F.col("a") < F.col("b")) & where).select("a", "b")
+
+    fetched: list[DataFrame] = []
+    big = F.col("members") > small
     for k in range(rounds + 1):
-        here = shared.join(labels, "node")
+        here = shared.where(big).join(labels, "node")
         split = here.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("o"), "node", "n", "comp")).alias("c"))
+                                        F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("o"), "node", "comp")).alias("c"))
         here = here.join(split.where("lo <> hi").select("sig", "c"), "sig")
         if k < rounds:
-            pairs = here.where((F.col("comp") != F.col("c.comp")) & fits("n", "c.n")).select(
-                F.col("c.node").alias("a"), F.col("node").alias("b"))
+            pairs = here.where(F.col("comp") != F.col("c.comp")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+            if k == 0:
+                few = shared.where(~big).select("sig", "node", F.col("node").alias("comp"))
+                pairs = pairs.unionByName(pairs_of(few, F.lit(True)))
         else:
-            here = stage(here.select("sig", "node", "n", "comp"), "jaccard-apart")
-            left = here.select("sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-            right = here.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = left.join(right, "sig").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits("na", "nb")) \
-                .select("a", "b")
-        pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-pairs")
-        if not pairs.take(1):
+            pairs = pairs_of(stage(here.select("sig", "node", "comp"), "jaccard-apart"), F.col("ca") != F.col("cb"))
+        links = linked(pairs, fetched)
+        if links is None and k:
             break
-        labels = components(labels, stage(verified(pairs, sets, threshold), "jaccard-links"))
-    named = members_.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        if links is not None:
+            labels = components(labels, links)
+    named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return (named.join(least, "comp", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),

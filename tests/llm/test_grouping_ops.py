@@ -216,12 +216,12 @@ def brute_components(rows, threshold=75):
     return {i: (len(sets[i]), top(i)) for i in ids}
 
 
-@pytest.mark.parametrize("frequent_from,rounds,hot,group", [(16, 4, 32, 1_000_000), (2, 0, 2, 500), (3, 1, 3, 2_000), (10**9, 1, 2, 800)])
-def test_jaccard_against_brute_force(spark, monkeypatch, frequent_from, rounds, hot, group):
+@pytest.mark.parametrize("frequent_from,rounds,hot,group,small", [(16, 4, 32, 1_000_000, 16), (2, 0, 2, 500, 2), (3, 1, 3, 2_000, 4), (10**9, 1, 2, 800, 1)])
+def test_jaccard_against_brute_force(spark, monkeypatch, frequent_from, rounds, hot, group, small):
     monkeypatch.setattr(jaccard, "FREQUENT_FROM", frequent_from)
     monkeypatch.setattr(jaccard, "GROUP_WORDS", group)
     rows = corpus(3) + [(4_000 + k, " ".join(f"q{j}" for j in range(k % 7, 12 + k % 7))) for k in range(30)]
-    got = jaccard.link_components(frame(spark, rows + rows[:2]).repartition(4), rounds=rounds, hot=hot).collect()
+    got = jaccard.link_components(frame(spark, rows + rows[:2]).repartition(4), rounds=rounds, hot=hot, small=small).collect()
     want = brute_components(rows)
     assert len(got) == len(rows) + 2
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
