@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for the same results.
 # ---------------------------------------------------------------------------
-SENSOR_IDS = ["aiot", "robo", "simulated"]
 SENSOR_CAPACITY = {"aiot": 60, "robo": 60, "simulated": 150}
 DEFAULT_CAPACITY_CLEAN = 60      # unknown sensor, cleaning and forecasting
 DEFAULT_CAPACITY_VALIDATE = 50   # unknown sensor, payload validation

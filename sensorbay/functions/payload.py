@@ -33,6 +33,10 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Key of the object put after a payload to see that the payload ended.
+END_MARK = "__end_of_payload__"
+
+
 # --------------------------------------------------------------------------- F15 / F1
 def payload_text(payload) -> Column:
     """Binary payloads (e.g. a Kafka ``value``) decoded as UTF-8; strings unchanged."""
@@ -50,9 +54,13 @@ def parse_object(payload) -> Column:
     Single quotes and text after the closing brace are refused, as a strict
     JSON parser does; arrays, scalars and malformed text give NULL.
     """
+    # as the first of two elements of an array: anything after the object, or a second
+    # object, leaves the array malformed, longer, or without the closing mark
     text = payload_text(payload)
-    m = F.from_json(text, "map<string,string>", {"allowSingleQuotes": "false"})
-    return F.when(text.rlike(r"\}\s*$"), m)
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{END_MARK}":"1"}}]')), "array<map<string,string>>",
+                       {"allowSingleQuotes": "false"})
+    whole = (F.size(both) == 2) & F.map_contains_key(F.get(both, F.lit(1)), F.lit(END_MARK))
+    return F.when(text.rlike(r"^\s*\{") & F.coalesce(whole, F.lit(False)), F.get(both, F.lit(0)))
 
 
 def has(m: Column, key: str) -> Column:

@@ -14,6 +14,7 @@ from ..operators import decompose as DC
 from ..operators import evaluate as EV
 from ..operators import forecast as FC
 from ..operators import resample as RS
+from ..session import scratch_path
 from ..sinks import store as ST
 from ..sources import tables as T
 
@@ -40,23 +41,38 @@ def clean_cycle(spark: SparkSession, raw_path: str, clean_path: str, now=None, l
 def forecast_cycle(spark: SparkSession, clean_path: str, forecast_path: str, now=None,
                    days: int = C.TRAINING_DAYS, periods: int = C.FORECAST_HORIZON,
                    min_hours: int = C.MIN_TRAINING_HOURS, model: str = "logistic",
-                   partial_last: str = "drop") -> DataFrame:
-    """M3: hourly history of the last ``days``, forecast every sensor, upsert."""
+                   partial_last: str = "drop", status_path: str | None = None) -> DataFrame:
+    """M3: hourly history of the last ``days``, forecast every sensor, upsert.
+
+    With ``status_path`` a row per sensor and run is appended: its hours, and ``ok``,
+    ``too_short`` or why its fit failed. Only ``ok`` sensors have forecast rows.
+    """
     now = _now(now)
     clean = spark.read.parquet(clean_path)
     hist = RS.hourly_mean(clean, "people", start=now - dt.timedelta(days=days), stop=now,
                           partial_last=partial_last)
-    fc = FC.run_forecast(hist, model=model, periods=periods, min_hours=min_hours)
+    fc, status = FC.forecast_with_status(hist, model=model, periods=periods, min_hours=min_hours)
     ST.upsert_table(spark, fc, forecast_path, ["sensor_id", "ds"], ts="ds")
+    if status_path:
+        ST.append(spark, status.withColumn("ts", F.lit(now).cast("timestamp_ntz")), status_path)
     return fc
 
 
+def backtest_job(spark: SparkSession, clean_path: str, now=None, days: int = C.TRAINING_DAYS,
+                 model: str = "logistic", capacity: dict | None = None) -> DataFrame:
+    """M4 over the stored clean table: all sensors, hourly history of the last ``days``."""
+    now = _now(now)
+    hist = RS.hourly_mean(spark.read.parquet(clean_path), "people", start=now - dt.timedelta(days=days), stop=now,
+                          partial_last="drop")
+    return EV.backtest(hist, model=model, capacity=capacity)
+
+
 def run_batch(spark: SparkSession, raw_path: str, clean_path: str, forecast_path: str, now=None,
-              model: str = "logistic", lookback: str = "24h") -> dict:
+              model: str = "logistic", lookback: str = "24h", status_path: str | None = None) -> dict:
     """T4: clean, then forecast; a cleaning failure stops the batch before forecasting."""
     t0 = dt.datetime.now()
     clean_cycle(spark, raw_path, clean_path, now, lookback)
-    forecast_cycle(spark, clean_path, forecast_path, now, model=model)
+    forecast_cycle(spark, clean_path, forecast_path, now, model=model, status_path=status_path)
     return {"seconds": (dt.datetime.now() - t0).total_seconds()}
 
 
@@ -69,7 +85,13 @@ def accuracy_test(spark: SparkSession, clean_path: str, cutoff: str, days: int =
     clean = spark.read.parquet(clean_path)
     hist = RS.hourly_mean(clean, "people", start=now - dt.timedelta(days=C.TRAINING_DAYS), stop=now,
                           partial_last="drop")
-    summary, details = EV.accuracy_at_cutoff(hist, clean, cutoff, days, model=model)
+
+    def once(fc: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "forecast")
+        fc.write.parquet(path)
+        return spark.read.schema(fc.schema).parquet(path)
+
+    summary, details = EV.accuracy_at_cutoff(hist, clean, cutoff, days, model=model, once=once)
     summary = summary.withColumn("ts", F.lit(now).cast("timestamp_ntz"))
     if summary_path:
         ST.append(spark, summary, summary_path)

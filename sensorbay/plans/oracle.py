@@ -108,7 +108,7 @@ NUM = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 def messages_cte() -> str:
     sid = sensor_sql("type")
     return f"""msgsrc AS (SELECT *, {sid} AS sid, json_extract_string(props, '$.k') AS k FROM events),
-messages AS (SELECT event_id AS msg_id, 'automaatio/' || sid AS topic, CASE event_id % 8
+messages AS (SELECT event_id AS msg_id, 'sensors/' || sid AS topic, CASE event_id % 8
    WHEN 0 THEN '{{"id":"' || sid || '","pCount":' || k || '}}'
    WHEN 1 THEN '{{"id":"' || sid || '","people":"' || k || '.9"}}'
    WHEN 2 THEN '{{"id":"' || sid || '","person count":' || k || ',"count":3}}'

@@ -75,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="sensorbay-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:

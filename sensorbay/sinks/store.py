@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 
+#: Tasks that write one day of a table; a day's rows are dealt over them by hash.
+FILES_PER_DAY = 4
+
 
 def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], fields: list[str] | None = None,
                   version: str | None = None) -> DataFrame:
     """Merge ``new`` into ``old`` on ``keys``: per field, the latest non-NULL write wins.
 
     A point rewritten with fewer fields keeps the fields it does not mention.
-    ``version`` names an ordering column present in both (latest = largest);
-    without it ``new`` beats ``old``. One shuffle on ``keys`` with map-side
+    ``version`` names an ordering column present in both (latest = largest), kept in the
+    result; without it ``new`` beats ``old``. Writes of equal version: the largest value. One shuffle on ``keys`` with map-side
     partial aggregation (``max_by``).
     """
     cols = list(dict.fromkeys([c for c in old.columns + new.columns if c not in keys and c != version]))
@@ -30,8 +33,9 @@ def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], fields: list[
     ver_new = F.col(version) if version else F.lit(1)
     u = (old.withColumn("_ver", ver_old)
          .unionByName(new.withColumn("_ver", ver_new), allowMissingColumns=True))
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_ver"))).alias(c) for c in fields]
-    return u.groupBy(*keys).agg(*aggs)
+    # writes of one version: the largest value, so reruns agree
+    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct("_ver", F.col(c)))).alias(c) for c in fields]
+    return u.groupBy(*keys).agg(*aggs, *([F.max("_ver").alias(version)] if version else []))
 
 
 def delete_predicate(df: DataFrame, start=None, end=None, tag_key: str | None = None,
@@ -77,19 +81,25 @@ def _swap_in(spark: SparkSession, merged: DataFrame, path: str) -> set:
     Returns the dates written.
     """
     stage = scratch_path(spark, "stage")
-    merged.write.mode("overwrite").partitionBy("date").parquet(stage)
+    # one task (or a few, for a large day) per date, not one file per task and date
+    merged.repartition("date", F.pmod(F.xxhash64(*[c for c in merged.columns if c != "date"]), F.lit(FILES_PER_DAY))) \
+        .write.mode("overwrite").partitionBy("date").parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
+    written = {r[0] for r in staged.select("date").distinct().collect()}  # folder names only: bounded by span in days
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date").parquet(path))
-    return {r[0] for r in staged.select("date").distinct().collect()}  # dates: bounded by span in days
+    _delete(spark, stage)
+    return written
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _drop_partitions(spark: SparkSession, path: str, dates) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for d in dates:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path}/date={d}")
-        p.getFileSystem(conf).delete(p, True)
+        _delete(spark, f"{path}/date={d}")
 
 
 def append(spark: SparkSession, df: DataFrame, path: str, ts: str = "ts") -> None:
@@ -97,18 +107,28 @@ def append(spark: SparkSession, df: DataFrame, path: str, ts: str = "ts") -> Non
     _with_date(df, ts).write.mode("append").partitionBy("date").parquet(path)
 
 
-def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str], ts: str = "ts") -> None:
-    """Merge ``new`` into the table at ``path`` touching only its dates."""
+def write_part(df: DataFrame, path: str, run: str, batch: int) -> None:
+    """Write one micro-batch's rows into its own folder: a replay replaces them, another run adds to them."""
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
+
+
+def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str], ts: str = "ts",
+                 version: str | None = None) -> None:
+    """Merge ``new`` into the table at ``path`` touching only its dates.
+
+    The first write merges too, so equal keys in ``new`` come out the same whenever they are written.
+    """
     new = _with_date(new, ts)
     if not _exists(spark, path):
-        new.write.mode("overwrite").partitionBy("date").parquet(path)
+        merged = upsert_latest(new.limit(0).drop("date"), new.drop("date"), keys, version=version)
+        _swap_in(spark, _with_date(merged, ts), path)
         return
     new = new.persist()  # read twice below: its dates, then the merge
     try:
         # distinct dates of the change: bounded by its time span in days
         dates = [r[0] for r in new.select("date").distinct().collect()]
         old = spark.read.parquet(path).where(F.col("date").isin(dates))
-        merged = upsert_latest(old.drop("date"), new.drop("date"), keys)
+        merged = upsert_latest(old.drop("date"), new.drop("date"), keys, version=version)
         _swap_in(spark, _with_date(merged, ts), path)
     finally:
         new.unpersist()
@@ -127,12 +147,23 @@ def delete_table(spark: SparkSession, path: str, confirm: bool = False, ts: str
         df = df.where(F.col("date") <= F.to_date(lit(end)))
     pred = F.coalesce(delete_predicate(df, ts=ts, **kw), F.lit(False))
     # partition pruning first: only dates the predicate can reach are read and rewritten
-    hit_dates = [r[0] for r in df.where(pred).select("date").distinct().collect()]
-    if not hit_dates:
+    hit = [(r["date"], r["count"]) for r in df.where(pred).groupBy("date").count().collect()]
+    if not hit:
         return 0
-    touched = df.where(F.col("date").isin(hit_dates))
-    n = touched.where(pred).count()
+    touched = df.where(F.col("date").isin([d for d, _ in hit]))
     written = _swap_in(spark, touched.where(~pred), path)
     # partitions the delete emptied completely are not rewritten: remove them
-    _drop_partitions(spark, path, [d for d in hit_dates if d not in written])
-    return n
+    _drop_partitions(spark, path, [d for d, _ in hit if d not in written])
+    return sum(n for _, n in hit)
+
+
+def delete_tables(spark: SparkSession, paths: dict[str, str], confirm: bool = False, table: str | None = None,
+                  ts: dict[str, str] | None = None, **kw) -> dict[str, int]:
+    """W8 over several stored tables (name -> path): the named one, or all when none is named.
+
+    ``ts`` names a table's time column where it is not ``ts``. Returns the rows deleted per table.
+    """
+    if not confirm:
+        raise PermissionError("delete_tables is irreversible: pass confirm=True")
+    names = [table] if table else sorted(paths)
+    return {n: delete_table(spark, paths[n], confirm=True, ts=(ts or {}).get(n, "ts"), **kw) for n in names}

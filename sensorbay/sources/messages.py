@@ -21,7 +21,7 @@ MESSAGE_SCHEMA = StructType([
 ])
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
+def messages_from_events(events: DataFrame, topic_root: str = "sensors") -> DataFrame:
     sid = sensor_of(events, "type")
     k = F.get_json_object("props", "$.k")
     q = lambda s: F.concat(F.lit('"'), s, F.lit('"'))
@@ -40,6 +40,6 @@ def messages_from_events(events: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit('{"id":'), q(sid), F.lit(',"T":'), t, F.lit(',"H":'), k,
                             F.lit(',"CO2":"'), co2, F.lit('","pCount":'), k, F.lit("}"))))
     return events.select(F.col("event_id").alias("msg_id"),
-                         F.concat(F.lit("automaatio/"), sid).alias("topic"),
+                         F.concat(F.lit(topic_root + "/"), sid).alias("topic"),
                          payload.alias("payload"),
                          F.col("ts").cast("timestamp").alias("arrival_ts"))

@@ -7,10 +7,13 @@ letter. All stateless, so a micro-batch is processed exactly like a batch.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import payload as P
 from ..sources.messages import MESSAGE_SCHEMA
+from . import run_id
 
 RAW_COLUMNS = ["sensor_id", "ts", "valid", "people", "temperature", "humidity", "co2"]
 
@@ -89,22 +92,23 @@ def write_device_log(log: DataFrame, path: str, mode: str = "overwrite") -> None
      .option("header", "true").option("quote", '"').option("escape", '"').csv(path))
 
 
-def write_batch(messages: DataFrame, out_dir: str, batch_id: int | None = None) -> None:
+def write_batch(messages: DataFrame, out_dir: str, batch_id: int = 0, run: str | None = None) -> None:
     """Write raw points, the device log and dead letters of one (micro-)batch.
 
-    Each batch lands in its own ``batch=<id>`` folder, overwritten on replay, so
-    a re-run of the same micro-batch after a failure is idempotent.
+    Each batch lands in its own ``run=<run>/batch=<id>`` folder. A replay of a run's
+    batch replaces what it wrote before; another run (without ``run``: every call)
+    only adds. F13: each message brings its arrival time; a source without one is
+    refused, as one instant for a whole batch would make different messages one point.
     """
-    sub = "" if batch_id is None else f"/batch={batch_id}"
     if "arrival_ts" not in messages.columns:
-        # one arrival instant per micro-batch, shared by every sink
-        messages = messages.withColumn("arrival_ts", F.current_timestamp())
+        raise ValueError("messages need an arrival time (arrival_ts) of their own")
+    sub = f"/run={run or uuid.uuid4()}/batch={batch_id}"
     if "msg_id" not in messages.columns:
         messages = messages.withColumn("msg_id", F.lit(None).cast("long"))
     # parsed once, cached, and read by the three sinks
     messages = parsed(messages).persist()
     try:
-        (raw_points(messages).withColumn("date", F.to_date("ts"))
+        (raw_points(messages, keep_id=True).withColumn("date", F.to_date("ts"))
          .write.mode("overwrite").partitionBy("date").parquet(f"{out_dir}/raw{sub}"))
         write_device_log(device_log(messages), f"{out_dir}/device_log{sub}")
         dead_letters(messages).write.mode("overwrite").parquet(f"{out_dir}/dead_letters{sub}")
@@ -123,13 +127,10 @@ def start_ingest(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
-    w = (stream.writeStream.foreachBatch(lambda df, bid: write_batch(df, out_dir, bid))
-         .option("checkpointLocation", checkpoint_dir))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return start_stream(stream, out_dir, checkpoint_dir, available_now)
 
 
-def broker_messages(spark: SparkSession, servers: str, pattern: str = "automaatio/.*",
+def broker_messages(spark: SparkSession, servers: str, pattern: str = "sensors/.*",
                     options: dict | None = None) -> DataFrame:
     """S1 in production: a Kafka topic-pattern subscription as messages.
 
@@ -148,7 +149,10 @@ def broker_messages(spark: SparkSession, servers: str, pattern: str = "automaati
 
 def start_stream(messages: DataFrame, out_dir: str, checkpoint_dir: str, available_now: bool = False):
     """T1/T2 for any streaming message frame (e.g. :func:`broker_messages`)."""
-    w = (messages.writeStream.foreachBatch(lambda df, bid: write_batch(df, out_dir, bid))
+    def sink(df: DataFrame, batch_id: int) -> None:
+        write_batch(df, out_dir, batch_id, run_id(df.sparkSession, checkpoint_dir))
+
+    w = (messages.writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

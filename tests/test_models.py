@@ -91,3 +91,15 @@ def test_vectorised_loess_equals_pointwise():
         for span in (3, 13, 25, 41, 151):
             for deg in (0, 1):
                 assert np.allclose(DC._loess(y, span, deg), pointwise(y, span, deg), rtol=1e-12, atol=1e-12)
+
+
+def test_failed_sensors_give_a_status_and_no_zeros(spark):
+    t0 = dt.datetime(2024, 1, 1, 1)
+    rows = [("short", t0, 3.0)] + [("null", t0 + dt.timedelta(hours=i), None) for i in range(60)]
+    h = _series(spark, n=60, sensors=("good",)).unionByName(
+        spark.createDataFrame(rows, "sensor_id string, ds timestamp_ntz, y double"))
+    fc, status = FC.forecast_with_status(h, "logistic", periods=5, min_hours=48)
+    assert {(r.sensor_id, r.status) for r in status.collect()} == {("good", "ok"), ("short", "too_short"), ("null", "no_values")}
+    assert {r.sensor_id for r in fc.collect()} == {"good"} and fc.count() == 5
+    empty = spark.createDataFrame([("x", t0, None, None, None)], FC.FORECAST_SCHEMA)
+    assert FC.clip_forecast(empty).first()["yhat"] is None

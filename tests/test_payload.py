@@ -34,7 +34,7 @@ CASES = [
 @pytest.fixture(scope="module")
 def msgs(spark):
     t = dt.datetime(2026, 2, 16, 14, 50, 0, 123456)
-    rows = [(i, "automaatio/x", p, t) for i, (p, _, _) in enumerate(CASES)]
+    rows = [(i, "sensors/x", p, t) for i, (p, _, _) in enumerate(CASES)]
     return spark.createDataFrame(rows, "msg_id long, topic string, payload string, arrival_ts timestamp")
 
 
@@ -92,3 +92,12 @@ def test_trailing_whitespace_and_text(spark):
     df = spark.createDataFrame([('{"people":3}\t\n',), ('{"people":3} x',), ("{'people':3}",)], "p string")
     got = [r[0] for r in df.select(P.parse_object("p").isNotNull()).collect()]
     assert got == [True, False, False]
+
+
+def test_only_one_whole_object_is_an_object(spark):
+    from sensorbay.functions import payload as P
+    whole = ['{"people":5}', ' {"a":{"x":[1,2]},"b":null}\n', "{}", '{"a":"}"}']
+    broken = ['{"people":5} {"people":6}', '{"people":5} x}', '{"people":5},{"people":6}', '{"people":5}}', '{"a":1}],[{"b":2}',
+              "{'a':1}", "[1]", "null", '"x"', "", '{"a":1', '{"a":"line\nbreak"}', None]
+    df = spark.createDataFrame([(t,) for t in whole + broken], "t string").select("t", P.parse_object("t").alias("m"))
+    assert {r.t for r in df.collect() if r.m is not None} == set(whole)

@@ -46,3 +46,34 @@ def test_table_upsert_and_delete(spark, tmpdir_path):
     n = ST.delete_table(spark, path, confirm=True, start=_t(0), end=_t(5))
     assert n == 1
     assert [r.people for r in spark.read.parquet(path).collect()] == [2]
+
+
+def test_first_write_merges_like_later_ones(spark, tmpdir_path):
+    rows = [("a", _t(1), 1, 20.0), ("a", _t(1), 3, None), ("a", _t(2), 2, 21.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = [(_t(1), 3, 20.0), (_t(2), 2, 21.0)]
+    for _ in range(2):  # first write, then a merge of the same rows
+        ST.upsert_table(spark, df, f"{tmpdir_path}/t", ["sensor_id", "ts"])
+        assert sorted((r.ts, r.people, r.temperature) for r in spark.read.parquet(f"{tmpdir_path}/t").collect()) == want
+
+
+def test_version_decides_and_is_kept(spark, tmpdir_path):
+    schema = SCHEMA + ", ver long"
+    write = lambda *rows: ST.upsert_table(spark, spark.createDataFrame(list(rows), schema), f"{tmpdir_path}/v",
+                                          ["sensor_id", "ts"], version="ver")
+    write(("a", _t(1), 5, 1.0, 7), ("a", _t(1), 4, 2.0, 9))
+    write(("a", _t(1), 6, 3.0, 8))  # arrives late: older than what is stored
+    assert [(r.people, r.temperature, r.ver) for r in spark.read.parquet(f"{tmpdir_path}/v").collect()] == [(4, 2.0, 9)]
+    write(("a", _t(1), None, 3.0, 10))
+    assert [(r.people, r.temperature, r.ver) for r in spark.read.parquet(f"{tmpdir_path}/v").collect()] == [(4, 3.0, 10)]
+
+
+def test_delete_from_all_tables(spark, tmpdir_path):
+    paths = {n: f"{tmpdir_path}/{n}" for n in ("raw", "clean")}
+    for p in paths.values():
+        ST.append(spark, spark.createDataFrame([("a", _t(1), 1, 1.0), ("b", _t(2), 2, 2.0)], SCHEMA), p)
+    with pytest.raises(PermissionError):
+        ST.delete_tables(spark, paths)
+    assert ST.delete_tables(spark, paths, confirm=True, tag_key="sensor_id", tag_value="a") == {"raw": 1, "clean": 1}
+    assert ST.delete_tables(spark, paths, confirm=True, table="raw") == {"raw": 1}
+    assert spark.read.parquet(paths["clean"]).count() == 1

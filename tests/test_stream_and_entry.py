@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -49,6 +50,19 @@ def test_stream_hourly_equals_batch(spark):
     assert sorted(map(repr, s.select(cols).collect())) == sorted(map(repr, b.select(cols).collect()))
 
 
+@pytest.mark.parametrize("files,per_trigger", [(1, 1), (6, 2), (20, 3)])
+def test_stream_hourly_is_independent_of_files_and_order(spark, tmpdir_path, files, per_trigger):
+    from sensorbay.streaming import hourly as SH
+    r = T.readings_from_events(T.load(spark, SF_SMALL, "events"), "type").withColumn("v", F.col("people"))
+    r.repartition(files, F.rand(5)).write.parquet(f"{tmpdir_path}/src")
+    SH.start_hourly_stream(spark, f"{tmpdir_path}/src", f"{tmpdir_path}/h", f"{tmpdir_path}/ck",
+                           max_files_per_trigger=per_trigger).awaitTermination()
+    got = {(x.sensor_id, x.ds): (round(x.y, 6), x.n) for x in SH.read_hourly(spark, f"{tmpdir_path}/h").collect()}
+    from sensorbay.operators.resample import hourly_mean
+    want = {(x.sensor_id, x.ds): (round(x.y, 6), x.k) for x in hourly_mean(r, "v", count="k").collect()}
+    assert got == want and sum(n for _, n in got.values()) == r.where("v IS NOT NULL").count()
+
+
 def test_backup_roundtrip(spark):
     back = catalog.QUERIES["backup_roundtrip"](spark, SF_SMALL)
     log = catalog.QUERIES["device_log"](spark, SF_SMALL).drop("msg_id")
@@ -66,12 +80,18 @@ def test_ingest_restart_is_idempotent(spark, tmpdir_path):
     # a restart on the same checkpoint finds nothing new and leaves the output as it was
     IG.start_ingest(spark, src, out, ck, max_files_per_trigger=1).awaitTermination()
     assert sorted(map(repr, spark.read.parquet(f"{out}/raw").collect())) == first
-    # replaying a micro-batch rewrites its own folder with the same rows
-    b1 = sorted(map(repr, spark.read.parquet(f"{out}/raw/batch=1").collect()))
-    IG.write_batch(spark.read.parquet(src), out, 7)
-    IG.write_batch(spark.read.parquet(src), out, 7)
-    assert spark.read.parquet(f"{out}/raw/batch=7").count() == len(first)
-    assert sorted(map(repr, spark.read.parquet(f"{out}/raw/batch=1").collect())) == b1
+    # replaying a run's micro-batch replaces its own folder with the same rows
+    for _ in range(2):
+        IG.write_batch(spark.read.parquet(src), out, 7, "replayed")
+        assert spark.read.parquet(f"{out}/raw").count() == 2 * len(first)
+    # a second query with a checkpoint of its own adds its rows and destroys none
+    few = f"{tmpdir_path}/few"
+    spark.read.parquet(src).where("msg_id % 3 = 0").repartition(1).write.parquet(few)
+    IG.start_ingest(spark, few, out, f"{tmpdir_path}/ck2", max_files_per_trigger=1).awaitTermination()
+    assert len(set(map(repr, spark.read.parquet(f"{out}/raw").select("sensor_id", "ts", "msg_id").collect()))) == len(first)
+    assert spark.read.parquet(f"{out}/raw").count() > 2 * len(first)
+    with pytest.raises(ValueError):
+        IG.write_batch(spark.read.parquet(src).drop("arrival_ts"), out)
 
 
 def test_read_unquoted_backup(spark, tmpdir_path):
@@ -79,10 +99,10 @@ def test_read_unquoted_backup(spark, tmpdir_path):
     d = pathlib.Path(tmpdir_path) / "logs"
     d.mkdir()
     (d / "robo.csv").write_text("timestamp,topic,payload\n"
-                                '2026-02-16T14:50:00.123456+00:00,automaatio/robo,{"id":"robo","people":5,"x":1}\n')
+                                '2026-02-16T14:50:00.123456+00:00,sensors/robo,{"id":"robo","people":5,"x":1}\n')
     rows = T.read_backup(spark, str(d), quoted=False).collect()
     assert [(r.device, r.topic, r.payload) for r in rows] == [
-        ("robo", "automaatio/robo", '{"id":"robo","people":5,"x":1}')]
+        ("robo", "sensors/robo", '{"id":"robo","people":5,"x":1}')]
 
 
 def test_batch_stops_when_cleaning_fails(spark, tmpdir_path):
