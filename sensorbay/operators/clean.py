@@ -5,8 +5,7 @@ Hampel -> gap filling -> back-fill then forward-fill -> (smoothing for the
 configured sensors) -> round half to even. All sensors are cleaned in one job;
 see :mod:`sensorbay.operators.series` for how a single huge sensor is split.
 
-Gap filling (closed form of the reference's block loop, no sequential pass):
-a *gap* is a maximal run of rows whose value is NULL; its length in hours is
+Gap filling (no sequential pass over the rows): a *gap* is a maximal run of rows whose value is NULL; its length in hours is
 ``ts(last NULL) - ts(first NULL)``: short ``<= short_hours``, medium
 ``<= long_hours``, else long. With ``f`` the position of the first short gap:
 
@@ -16,12 +15,16 @@ a *gap* is a maximal run of rows whose value is NULL; its length in hours is
   interpolated by *row position* between its nearest non-NULL neighbours — the
   reference interpolates the whole series at its first short gap, so long gaps
   and later gaps are filled here too;
-* stage 2: medium gaps after ``f`` take the clock-hour median of stage 1;
+* stage 2: medium gaps after ``f`` take, in time order, the clock-hour median of the
+  series with all earlier ones already replaced (a fold per sensor and clock hour
+  over counted values, :func:`late_medians`);
 * then back-fill, then forward-fill.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import config as C
@@ -197,10 +200,6 @@ def classify_stage0(df: DataFrame, value: str = "v1", short_hours: float = C.SHO
 
 
 # --------------------------------------------------------------------------- N3-N5
-def _chunks(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, CHUNK).distinct()
-
-
 def _interpolate(prev: str, nxt: str) -> Column:
     """Linear interpolation by row position between two carried observations."""
     pp, pv = F.col(f"{prev}.pos").cast("double"), F.col(f"{prev}.v")
@@ -237,22 +236,81 @@ def interpolate_stage(df: DataFrame, out: str = "s1", key: str = KEY) -> DataFra
     return df.drop("_s0_prev", "_s0_next")
 
 
-def seasonal_stage2(df: DataFrame, out: str = "v2", ts: str = "ts", key: str = KEY,
-                    median_method: str = "histogram") -> DataFrame:
-    """Stage 2: medium gaps after the first short gap take clock-hour medians of ``s1``.
+def fold_medians(values: np.ndarray, counts: np.ndarray, gaps: np.ndarray) -> dict[int, float]:
+    """Median per gap, the gaps taken in order; each gap's rows turn into copies of its median.
 
-    ``s1`` holds interpolated values (any number of distinct values per group),
-    so the exact median is the histogram-refined one (bounded memory per task).
+    ``gaps`` is 0 for rows outside the late medium gaps, else the gap's number; a NaN
+    value is a row that has none yet. Gap j sees the medians of all earlier gaps.
+    """
+    order = np.argsort(values, kind="stable")  # NaN last
+    values, weight, gaps = values[order], counts[order].astype(np.int64), gaps[order]
+    weight_now = np.where(np.isnan(values), 0, weight)
+    out: dict[int, float] = {}
+    filled: list[tuple[float, int]] = []  # sorted (median, rows)
+    for g in np.unique(gaps[gaps > 0]):
+        fv = np.array([v for v, _ in filled])
+        fc = np.array([c for _, c in filled], np.int64)
+        n = int(weight_now.sum() + fc.sum())
+        m = np.nan
+        if n:
+            below, picked = np.cumsum(weight_now), []
+            at = np.searchsorted(values[:len(values) - int(np.isnan(values).sum())], fv, "left")
+            # rank of the fills among the sorted values: those before a fill, then the fills before it
+            start = np.concatenate([[0], below])[at] + np.concatenate([[0], np.cumsum(fc)])[:-1]
+            for r in ((n + 1) // 2, n // 2 + 1):
+                hit = np.flatnonzero((start < r) & (r <= start + fc))
+                if len(hit):
+                    picked.append(fv[hit[0]])
+                else:
+                    picked.append(values[np.searchsorted(below, r - int(fc[start < r].sum()), "left")])
+            m = (picked[0] + picked[1]) / 2
+        out[int(g)] = m
+        own = gaps == g
+        weight_now[own] = 0
+        if not np.isnan(m):
+            filled = sorted([*filled, (float(m), int(weight[own].sum()))])
+    return out
+
+
+def late_medians(df: DataFrame, late: Column, ts: str = "ts", key: str = KEY) -> DataFrame:
+    """``key, _h, gap_start, gap_end, _m``: the clock-hour median that each late medium gap takes.
+
+    Rows are first counted per (sensor, clock hour, value, gap): a group then holds the
+    hour's distinct values, not its rows. Only hours with such a gap are folded.
     """
-    # small (one row per chunk) and materialised, so later plans see it as a leaf
-    # stage-1 values lie in [0, capacity] (capped observations, their medians and
-    # interpolations between them): the histogram bins need no per-group statistics
-    bounds = (F.lit(0.0), F.col("capacity")) if "capacity" in df.columns else None
-    med1 = S.hour_map(df, "s1", "_med1", _chunks(df, key), key, ts, median_method,
-                      bounds).checkpoint(eager=True)
-    df = df.join(med1, [key, CHUNK], "left")
+    at = df.select(key, F.hour(ts).alias("_h"), F.col("s1").alias("_x"), F.when(late, F.col("gap_start")).alias("gap_start"),
+                   F.when(late, F.col("gap_end")).alias("gap_end"), F.when(late, F.col(POS)).alias("_p"))
+    hours = at.where(F.col("_p").isNotNull()).select(key, "_h").distinct()
+    counted = (at.where(F.col("_x").isNotNull() | F.col("_p").isNotNull()).join(hours, [key, "_h"], "left_semi")
+               .groupBy(key, "_h", "_x", "gap_start", "gap_end").agg(F.count(F.lit(1)).alias("_c"), F.min("_p").alias("_p")))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        gaps = pdf[pdf["_p"].notna()].groupby(["gap_start", "gap_end"], as_index=False)["_p"].min() \
+            .sort_values("_p", ignore_index=True)
+        number = {(a, z): i + 1 for i, (a, z) in enumerate(zip(gaps["gap_start"], gaps["gap_end"], strict=True))}
+        which = np.array([number.get((a, z), 0) for a, z in zip(pdf["gap_start"], pdf["gap_end"], strict=True)])
+        medians = fold_medians(pdf["_x"].to_numpy(float), pdf["_c"].to_numpy(), which)
+        return pd.DataFrame({key: pdf[key].iloc[0], "_h": pdf["_h"].iloc[0], "gap_start": gaps["gap_start"],
+                             "gap_end": gaps["gap_end"], "_m": [medians[i + 1] for i in range(len(gaps))]})
+
+    schema = f"{key} string, _h int, gap_start timestamp_ntz, gap_end timestamp_ntz, _m double"
+    return counted.groupBy(key, "_h").applyInPandas(fold, schema).withColumn("_m", F.nanvl("_m", F.lit(None).cast("double")))
+
+
+def seasonal_stage2(df: DataFrame, out: str = "v2", ts: str = "ts", key: str = KEY) -> DataFrame:
+    """Stage 2: medium gaps after the first short gap take clock-hour medians of the series
+    as it stands when their turn comes: ``s1`` with all earlier such gaps already replaced."""
     late = F.col("_f").isNotNull() & (F.col(POS) > F.col("_f")) & (F.col("gap_class") == "medium")
-    return df.withColumn(out, F.when(late, F.col("_med1")[F.hour(ts)]).otherwise(F.col("s1"))).drop("_med1")
+    medians = late_medians(df, late, ts, key)
+    # one small map per (sensor, chunk), so the big side joins on its own partitioning key;
+    # materialised, so later plans see it as a leaf
+    where = df.where(late).select(key, CHUNK, F.hour(ts).alias("_h"), "gap_start", "gap_end").distinct()
+    maps = (where.join(medians, [key, "_h", "gap_start", "gap_end"]).groupBy(key, CHUNK)
+            .agg(F.map_from_entries(F.collect_list(F.struct(F.struct("gap_start", "gap_end", "_h"), "_m"))).alias("_med1"))
+            .checkpoint(eager=True))
+    df = df.join(maps, [key, CHUNK], "left")
+    mine = F.col("_med1")[F.struct("gap_start", "gap_end", F.hour(ts).alias("_h"))]
+    return df.withColumn(out, F.when(late, mine).otherwise(F.col("s1"))).drop("_med1")
 
 
 # --------------------------------------------------------------------------- N6 / N7

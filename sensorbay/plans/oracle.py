@@ -82,10 +82,18 @@ st1a AS (SELECT *,
    FROM st0),
 st1 AS (SELECT *, CASE WHEN s0 IS NOT NULL THEN s0 WHEN f IS NOT NULL AND pp0 IS NOT NULL AND np0 IS NOT NULL
    THEN ((nv0 - pv0) / CAST(np0 - pp0 AS DOUBLE)) * CAST(pos - pp0 AS DOUBLE) + pv0 END AS s1 FROM st1a),
-med1 AS (SELECT sensor_id, hr, {med('l')} AS m FROM (SELECT sensor_id, hour(ts) AS hr, list_sort(list(s1)) AS l
-   FROM st1 WHERE s1 IS NOT NULL GROUP BY ALL)),
-st2 AS (SELECT st1.*, CASE WHEN f IS NOT NULL AND pos > f AND gap_class = 'medium' THEN med1.m ELSE s1 END AS s2
-   FROM st1 LEFT JOIN med1 ON st1.sensor_id = med1.sensor_id AND hour(st1.ts) = med1.hr),
+late AS (SELECT *, hour(ts) AS hr, CASE WHEN f IS NOT NULL AND pos > f AND gap_class = 'medium' THEN
+   dense_rank() OVER (PARTITION BY sensor_id, hour(ts), f IS NOT NULL AND pos > f AND gap_class = 'medium' ORDER BY gap_start) END AS g FROM st1),
+fold AS (WITH RECURSIVE r AS (
+   SELECT sensor_id, hr, 0 AS j, max(g) AS last, list({{'g': g, 'v': s1}}) AS l, CAST(NULL AS DOUBLE) AS m
+   FROM late WHERE s1 IS NOT NULL OR g IS NOT NULL GROUP BY sensor_id, hr HAVING max(g) IS NOT NULL
+   UNION ALL
+   SELECT sensor_id, hr, j + 1, last, list_transform(l, lambda x: CASE WHEN x.g = j + 1 THEN {{'g': x.g, 'v': now}} ELSE x END), now
+   FROM (SELECT *, {med('vs')} AS now FROM (SELECT *, list_sort(list_filter(list_transform(l, lambda x: x.v), lambda x: x IS NOT NULL)) AS vs
+         FROM r WHERE j < last)))
+   SELECT sensor_id, hr, j, m FROM r WHERE j > 0),
+st2 AS (SELECT late.* EXCLUDE (hr, g), CASE WHEN late.g IS NOT NULL THEN fold.m ELSE s1 END AS s2
+   FROM late LEFT JOIN fold ON late.sensor_id = fold.sensor_id AND late.hr = fold.hr AND late.g = fold.j),
 st3 AS (SELECT *, coalesce(s2,
    first_value(s2 IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
    last_value(s2 IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS s3 FROM st2),
