@@ -30,6 +30,8 @@ STL_PERIOD = 24
 STL_SEASONAL = 13
 # ---------------------------------------------------------------------------
 
+# A configuration map of at most this many entries becomes a literal expression.
+LITERAL_CONFIG_ROWS = 64
 # A configuration map larger than this is joined by shuffle instead of broadcast.
 BROADCAST_CONFIG_ROWS = 100_000
 
@@ -52,7 +54,7 @@ def with_capacity(df: DataFrame, capacity: dict | None = None, default: float =
     cap = SENSOR_CAPACITY if capacity is None else capacity
     if len(cap) == 0:
         return df.withColumn(out, F.lit(float(default)))
-    if len(cap) <= 64:
+    if len(cap) <= LITERAL_CONFIG_ROWS:
         # tiny maps become a literal CASE expression: no join at all
         expr = None
         for k, v in cap.items():

@@ -104,8 +104,13 @@ def extract_count(payload) -> Column:
 
 # --------------------------------------------------------------------------- F5 / F6
 def capacity_of(sensor: Column, default: float = C.DEFAULT_CAPACITY_VALIDATE,
-                capacity: dict | None = None) -> Column:
+                capacity: dict | Column | None = None) -> Column:
+    """Capacity of a sensor as an expression: a short map, or a column already looked up."""
+    if isinstance(capacity, Column):
+        return capacity
     cap = C.SENSOR_CAPACITY if capacity is None else capacity
+    if len(cap) > C.LITERAL_CONFIG_ROWS:
+        raise ValueError("look a large capacity map up with config.with_capacity and pass the column")
     expr = None
     for k, v in cap.items():
         cond = sensor == F.lit(k)
@@ -113,7 +118,7 @@ def capacity_of(sensor: Column, default: float = C.DEFAULT_CAPACITY_VALIDATE,
     return expr.otherwise(F.lit(float(default))) if expr is not None else F.lit(float(default))
 
 
-def within_bounds(sensor: Column, count: Column, capacity: dict | None = None) -> Column:
+def within_bounds(sensor: Column, count: Column, capacity: dict | Column | None = None) -> Column:
     """``0 <= count <= capacity`` (unknown sensors 50); NULL count is out of bounds."""
     return F.coalesce(count.between(F.lit(0), capacity_of(sensor, capacity=capacity)), F.lit(False))
 
@@ -123,7 +128,7 @@ def _in_range(m: Column, key: str, lo: float, hi: float) -> Column:
     return ~has(m, key) | F.coalesce(v.between(F.lit(lo), F.lit(hi)), F.lit(False))
 
 
-def validate_multi_metric(m: Column, capacity: dict | None = None) -> Column:
+def validate_multi_metric(m: Column, capacity: dict | Column | None = None) -> Column:
     """T, H, CO2 each, if present, numeric and inside the inclusive limits; every
     present key of ``VALIDATED_COUNT_KEYS`` an integer in ``[0, capacity]``, the
     capacity taken by the payload's own id (default ``simulated``)."""
@@ -162,7 +167,7 @@ def iso_utc(ts) -> Column:
 
 
 # --------------------------------------------------------------------------- F7 / F8
-def route_fields(m: Column, capacity: dict | None = None) -> dict:
+def route_fields(m: Column, capacity: dict | Column | None = None) -> dict:
     """The raw-point fields of a parsed payload.
 
     Simulated sensor: fields only when :func:`validate_multi_metric` holds;

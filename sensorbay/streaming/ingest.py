@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import config as C
 from ..functions import payload as P
 from ..sources.messages import MESSAGE_SCHEMA
 from . import run_id
@@ -51,7 +52,11 @@ def raw_points(messages: DataFrame, capacity: dict | None = None, keep_id: bool
     A row per readable JSON object that yields at least one field.
     """
     p = parsed(messages)
-    f = P.route_fields(F.col("_m"), capacity)
+    looked_up = capacity
+    if capacity is not None and len(capacity) > C.LITERAL_CONFIG_ROWS:
+        p = C.with_capacity(p.withColumn("_sid", P.sensor_id(F.col("_m"))), capacity, C.DEFAULT_CAPACITY_VALIDATE, "_sid", "_bound")
+        looked_up = F.col("_bound")
+    f = P.route_fields(F.col("_m"), looked_up)
     cols = [f["sensor_id"].alias("sensor_id"), F.col("arrival_ts").cast("timestamp_ntz").alias("ts"),
             f["valid"].alias("valid"), f["people"].alias("people"), f["temperature"].alias("temperature"),
             f["humidity"].alias("humidity"), f["co2"].alias("co2")]

@@ -101,3 +101,17 @@ def test_only_one_whole_object_is_an_object(spark):
               "{'a':1}", "[1]", "null", '"x"', "", '{"a":1', '{"a":"line\nbreak"}', None]
     df = spark.createDataFrame([(t,) for t in whole + broken], "t string").select("t", P.parse_object("t").alias("m"))
     assert {r.t for r in df.collect() if r.m is not None} == set(whole)
+
+
+def test_large_capacity_maps_are_joined(spark):
+    import datetime as dt
+
+    from sensorbay import config as C
+    t = dt.datetime(2024, 1, 1)
+    small = {f"s{i}": 10 + i for i in range(C.LITERAL_CONFIG_ROWS)}
+    rows = [(i, "t", f'{{"id":"s{i}","people":{12 + i % 3 + i}}}', t) for i in range(C.LITERAL_CONFIG_ROWS + 3)]
+    m = spark.createDataFrame(rows, "msg_id long, topic string, payload string, arrival_ts timestamp")
+    big = small | {f"other{i}": 1 for i in range(5)}  # one path more, the same answers
+    cols = ["msg_id", "sensor_id", "valid", "people"]
+    got = [sorted(map(tuple, IG.raw_points(m, c, keep_id=True).select(cols).collect())) for c in (small, big)]
+    assert got[0] == got[1] and {r[2] for r in got[0]} == {True, False}
