@@ -109,7 +109,7 @@ def test_large_capacity_maps_are_joined(spark):
     from sensorbay import config as C
     t = dt.datetime(2024, 1, 1)
     small = {f"s{i}": 10 + i for i in range(C.LITERAL_CONFIG_ROWS)}
-    rows = [(i, "t", f'{{"id":"s{i}","people":{12 + i % 3 + i}}}', t) for i in range(C.LITERAL_CONFIG_ROWS + 3)]
+    rows = [(i, "t", f'{{"id":"s{i}","people":{9 + i % 3 + i}}}', t) for i in range(C.LITERAL_CONFIG_ROWS + 3)]
     m = spark.createDataFrame(rows, "msg_id long, topic string, payload string, arrival_ts timestamp")
     big = small | {f"other{i}": 1 for i in range(5)}  # one path more, the same answers
     cols = ["msg_id", "sensor_id", "valid", "people"]
