@@ -27,7 +27,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each linked group stays, the one with the least id; of repeated rows one."""
-    found = stage(jaccard.link_components(docs), "pipeline-groups")
+    found = jaccard.link_components(docs)
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
     rows = docs.select(F.col("doc_id").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     kept = rows.join(keep, F.col("_id").eqNullSafe(F.col("_keep")), "left_semi")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,18 +32,41 @@ def ascii_lower(text: Column | str) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_UPPER.lower())
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Paths staged in the innermost ``scratch`` block.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table below ``spark.checkpoint.dir`` and read it back.
 
     The files are shared by all executors, so what follows survives the loss of any
     of them; they are narrow, columnar and compressed, unlike a checkpointed RDD.
+    Inside a ``scratch`` block they go at its end, unless ``keep``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    paths = _staged.get()
+    if paths is not None and not keep:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes what was staged inside; results that outlive the block are staged with ``keep``."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
 def partitions(spark: SparkSession, rows: int, rows_per_part: int) -> int:
     """Enough parts for ``rows_per_part`` rows each, and no fewer than a shuffle has."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_part), 1)

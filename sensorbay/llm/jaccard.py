@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorbay.llm.common import ascii_lower, stage, words
+from sensorbay.llm.common import ascii_lower, scratch, stage, words
 from sensorbay.llm.substrings import GROUP_WORDS, Hashes, mix
 
 SHINGLE = 5
@@ -346,6 +346,12 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     threshold: int = THRESHOLD, max_frequent: int = MAX_FREQUENT, rounds: int = ROUNDS,
                     hot: int = HOT, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable by links) of every document."""
+    with scratch(docs.sparkSession):
+        return stage(_link(docs, id_col, text_col, size, threshold, max_frequent, rounds, hot, small), "jaccard-components", keep=True)
+
+
+def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int, max_frequent: int, rounds: int,
+          hot: int, small: int) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = texts.select("doc_id", word_hashes("text"))
     seen = stage(base.mapInArrow(survey(size), SURVEY), "jaccard-survey")
