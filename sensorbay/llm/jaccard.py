@@ -21,8 +21,8 @@ not among them stays rare and is joined like any other token.
 Joining without all pairs. Members of a signature with at most ``SMALL`` of them are
 paired. Larger ones are first compared with one member, the star's centre, under
 ``ROUNDS`` centres: only components are asked for, so members that came together need
-no further pair. What is still apart after that is compared pair by pair, so no link
-between different components is lost. A signature with more
+no further pair. What is still apart after that is compared block against block, so no
+link between different components is lost. A signature with more
 than ``HOT`` members in a task is settled there (its first member goes on to the
 shuffle, the others beside it), so no reducer gets a whole hot signature. Pairs whose
 sizes or token histograms (a byte for about four tokens) rule a link out are dropped;
@@ -52,7 +52,9 @@ THRESHOLD = 75
 FREQUENT_FROM = 16
 MAX_FREQUENT = 400_000
 HOT = 32
-ROUNDS = 4
+ROUNDS = 2
+BLOCK_ROWS = 1_500
+DENSE = 2_048
 TOKEN_BYTES = 5
 SIGNED = "key long, node long, sig long"
 SURVEY = "doc_id long, node long, n int, histogram binary, token long, df long"
@@ -288,6 +290,54 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return joined.where(links("ta", "tb")).select("a", "b")
 
 
+def block_links(threshold: int):
+    """Links between the components of two blocks of nodes, at most one per pair of components it joins.
+
+    All overlaps come from products of 0/1 matrices over the tokens that two nodes or more hold.
+    """
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        pdf = pdf.drop_duplicates("node", ignore_index=True)
+        sets = [unpack(t) for t in pdf["tokens"]]
+        sizes = np.array([len(s) for s in sets])
+        _, where, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), sizes)
+        number = np.cumsum(counts > 1) - 1
+        row, col = row[counts[where] > 1], number[where[counts[where] > 1]]
+        block = pdf["block"].to_numpy()
+        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        both = np.zeros((len(a), len(b)), np.float32)
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        for at in range(0, int((counts > 1).sum()), DENSE):
+            lo, hi = np.searchsorted(col, [at, at + DENSE])
+            x = np.zeros((len(sets), DENSE), np.float32)
+            x[row[lo:hi], col[lo:hi] - at] = 1
+            both += x[a] @ x[b].T
+        both = both.astype(np.int64)
+        comp = np.unique(pdf["comp"].to_numpy(), return_inverse=True)[1]
+        link = 100 * both >= threshold * (sizes[a][:, None] + sizes[b][None, :] - both)
+        link &= comp[a][:, None] != comp[b][None, :]
+        p, q = np.nonzero(link)
+        pairs = np.sort(np.column_stack([comp[a][p], comp[b][q]]), axis=1)
+        first = np.unique(pairs, axis=0, return_index=True)[1] if len(pairs) else []
+        up = np.arange(len(sets))
+
+        def top(c: int) -> int:
+            while up[c] != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        out = []
+        for k in first:
+            u, v = top(pairs[k, 0]), top(pairs[k, 1])
+            if u != v:
+                up[v] = u
+                out.append((pdf["node"][a[p[k]]], pdf["node"][b[q[k]]]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    return run
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, comp: the least comp of ``nodes`` (node, comp) that edges (a, b) between nodes reach.
 
@@ -344,14 +394,15 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     threshold: int = THRESHOLD, max_frequent: int = MAX_FREQUENT, rounds: int = ROUNDS,
-                    hot: int = HOT, small: int = SMALL) -> DataFrame:
+                    hot: int = HOT, small: int = SMALL, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (the least id reachable by links) of every document."""
     with scratch(docs.sparkSession):
-        return stage(_link(docs, id_col, text_col, size, threshold, max_frequent, rounds, hot, small), "jaccard-components", keep=True)
+        return stage(_link(docs, id_col, text_col, size, threshold, max_frequent, rounds, hot, small, block_rows),
+                     "jaccard-components", keep=True)
 
 
 def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int, max_frequent: int, rounds: int,
-          hot: int, small: int) -> DataFrame:
+          hot: int, small: int, block_rows: int) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = texts.select("doc_id", word_hashes("text"))
     seen = stage(base.mapInArrow(survey(size), SURVEY), "jaccard-survey")
@@ -369,7 +420,10 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
         pairs = stage(possible(pairs, nodes, threshold), "jaccard-pairs")
         if not pairs.take(1):
             return None
-        new = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), fetched)
+        return stage(verified(pairs, sets, threshold).distinct(), "jaccard-links")
+
+    def sets_of(new: DataFrame, fetched: list[DataFrame]) -> DataFrame:
         for done in fetched:
             new = new.join(done.select("node"), "node", "left_anti")
         ids = stage(nodes.select("node", "doc_id").join(new, "node", "left_semi").select("doc_id"), "jaccard-wanted")
@@ -378,12 +432,28 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
         sets = fetched[0]
         for more in fetched[1:]:
             sets = sets.unionByName(more)
-        return stage(verified(pairs, sets, threshold).distinct(), "jaccard-links")
+        return sets
 
-    def pairs_of(members_: DataFrame, where: Column) -> DataFrame:
-        left = members_.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
-        right = members_.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
-        return left.join(right, "sig").where((F.col("a") < F.col("b")) & where).select("a", "b")
+    def apart_links(here: DataFrame, fetched: list[DataFrame]) -> DataFrame | None:
+        """Links across components among nodes that share a signature, block against block.
+
+        Nodes that signatures hold together form a cluster; its nodes are dealt to blocks by
+        hash and every two blocks are one group, so each pair of nodes is compared once.
+        """
+        rows = stage(here.select("node", "comp", F.col("c.node").alias("centre")).distinct(), "jaccard-apart")
+        if not rows.take(1):
+            return None
+        own = rows.select("node", "comp").distinct()
+        held = components(own.select("node", F.col("node").alias("comp")), rows.select(F.col("centre").alias("a"), F.col("node").alias("b")))
+        own = own.join(held.select("node", F.col("comp").alias("cluster")), "node")
+        blocks = own.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("k"))
+        own = stage(own.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")), "jaccard-blocks")
+        sets = sets_of(own.select("node"), fetched)
+        mate = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("mate")
+        dealt = (own.select("*", mate).join(sets, "node")
+                 .select("cluster", F.least("block", "mate").alias("i"), F.greatest("block", "mate").alias("j"),
+                         "block", "node", "comp", "tokens"))
+        return stage(dealt.groupBy("cluster", "i", "j").applyInPandas(block_links(threshold), "a long, b long"), "jaccard-links")
 
     fetched: list[DataFrame] = []
     big = F.col("members") > small
@@ -395,13 +465,12 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
         if k < rounds:
             pairs = here.where(F.col("comp") != F.col("c.comp")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
             if k == 0:
-                few = shared.where(~big).select("sig", "node", F.col("node").alias("comp"))
-                pairs = pairs.unionByName(pairs_of(few, F.lit(True)))
+                few = shared.where(~big)
+                pairs = pairs.unionByName(few.select("sig", F.col("node").alias("a")).join(
+                    few.select("sig", F.col("node").alias("b")), "sig").where("a < b").select("a", "b"))
+            links = linked(pairs, fetched)
         else:
-            pairs = pairs_of(stage(here.select("sig", "node", "comp"), "jaccard-apart"), F.col("ca") != F.col("cb"))
-        links = linked(pairs, fetched)
-        if links is None and k:
-            break
+            links = apart_links(here, fetched)
         if links is not None:
             labels = components(labels, links)
     named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

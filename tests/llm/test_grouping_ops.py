@@ -221,7 +221,7 @@ def test_jaccard_against_brute_force(spark, monkeypatch, frequent_from, rounds,
     monkeypatch.setattr(jaccard, "FREQUENT_FROM", frequent_from)
     monkeypatch.setattr(jaccard, "GROUP_WORDS", group)
     rows = corpus(3) + [(4_000 + k, " ".join(f"q{j}" for j in range(k % 7, 12 + k % 7))) for k in range(30)]
-    got = jaccard.link_components(frame(spark, rows + rows[:2]).repartition(4), rounds=rounds, hot=hot, small=small).collect()
+    got = jaccard.link_components(frame(spark, rows + rows[:2]).repartition(4), rounds=rounds, hot=hot, small=small, block_rows=7).collect()
     want = brute_components(rows)
     assert len(got) == len(rows) + 2
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
