@@ -63,18 +63,6 @@ def _median_sorted(a: Column) -> Column:
     return F.when(n > 0, (lo + hi) / F.lit(2.0))
 
 
-def hampel_flag(vals: Column, v: Column, n_sigma: float) -> Column:
-    """True when ``v`` is an outlier of the (NULL-free) window values ``vals``.
-
-    Fewer than 3 values, or MAD 0, never flag. MAD is raw (no 1.4826 factor).
-    Single-expression form; :func:`hampel` computes the same in steps.
-    """
-    srt = F.array_sort(vals)
-    med = _median_sorted(srt)
-    mad = _median_sorted(F.array_sort(F.transform(srt, lambda x: F.abs(x - med))))
-    return (F.size(srt) >= 3) & (mad > 0) & (F.abs(v - med) > F.lit(float(n_sigma)) * mad)
-
-
 def hampel(df: DataFrame, value: str = "v0", out: str = "v1", window: int = C.HAMPEL_WINDOW,
            n_sigma: float = C.HAMPEL_N_SIGMA, chunk_rows: int = S.DEFAULT_CHUNK_ROWS,
            key: str = KEY, ts: str = "ts", enabled: bool = True) -> DataFrame:

@@ -162,19 +162,6 @@ def carry_neighbours(df: DataFrame, cols: list[str], key: str = KEY) -> DataFram
     return df.drop("_pl", "_nf", "_mn", "_mx")
 
 
-def sensor_stat(df: DataFrame, value: Column, kind: str, name: str, key: str = KEY) -> DataFrame:
-    """Attach a per-sensor ``min``/``max`` of ``value`` to every row.
-
-    Computed per chunk (partial aggregation), folded over the sensor's chunks on
-    the small summary, joined back on ``(sensor, chunk)``: no single-task window
-    over a whole sensor.
-    """
-    fn = {"min": F.min, "max": F.max}[kind]
-    summ = df.groupBy(key, CHUNK).agg(fn(value).alias("_s"))
-    summ = summ.select(key, CHUNK, fn("_s").over(Window.partitionBy(key)).alias(name))
-    return df.join(summ, [key, CHUNK], "left")
-
-
 def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: str = "ts",
                  method: str = "histogram", bounds: tuple | None = None) -> DataFrame:
     """Exact median of ``value`` per (sensor, UTC clock hour), as one 24-entry map per sensor.
@@ -197,13 +184,6 @@ def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: s
     return med.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_h", "_m"))).alias(name))
 
 
-def hour_map(values: DataFrame, value: str, name: str, chunks: DataFrame, key: str = KEY,
-             ts: str = "ts", method: str = "histogram", bounds: tuple | None = None) -> DataFrame:
-    """:func:`hour_medians` attached to the chunk list ``(sensor, chunk)``, so the big
-    side joins on its own partitioning key."""
-    return chunks.join(hour_medians(values, value, name, key, ts, method, bounds), key, "left")
-
-
 def exact_median(values: DataFrame, groups: list[str], value: str, name: str = "median",
                  buckets: int = 4096, bounds: tuple | None = None) -> DataFrame:
     """Exact median per group without holding a group's distinct values in one task.

@@ -105,10 +105,6 @@ cleaned AS (SELECT *, CAST(round_even(CASE WHEN sensor_id IN ({smooth}) THEN
      ELSE s3 END, 0) AS BIGINT) AS clean_people FROM st4)"""
 
 
-def r6(x: str) -> str:
-    return f"round({x}, 6)"
-
-
 # --------------------------------------------------------------------------- payloads
 NUM = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
