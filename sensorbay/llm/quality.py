@@ -2,10 +2,14 @@
 
 Each document gets a histogram of character classes and one of common words. The
 reference of a language is the sum of the histograms of all its documents (``lang``;
-NULL is a group of its own). A document fails the method when the Jensen-Shannon
-distance (base 2, 0 to 1) to its language's reference exceeds ``MAX_CHAR_JSD`` for
-characters or ``MAX_WORD_JSD`` for words. Short samples diverge by chance, so each
-histogram is judged only from a minimum length (``MIN_CHARS``, ``MIN_WORDS``).
+NULL is a group of its own). A document fails the method when
+
+* the Jensen-Shannon distance (base 2, 0 to 1) of its characters to the reference
+  exceeds ``MAX_CHAR_JSD``, from ``MIN_CHARS`` characters on;
+* that of its common words, other words left out, exceeds ``MAX_WORD_JSD`` plus
+  ``WORD_NOISE`` / sqrt(number of its common words), as few words diverge by chance;
+* the common words' share of its words is less than ``MIN_COMMON_SHARE`` of the
+  reference's share, if by that share it should have ``MIN_EXPECTED`` of them or more.
 
 The base rules come first: fewer than ``MIN_WORDS`` words, or more than half of the
 words inside three-word windows that occur again in the text.
@@ -30,7 +34,10 @@ from sensorbay.llm.common import stage, words
 MIN_WORDS = 50
 MIN_CHARS = 200
 MAX_CHAR_JSD = 0.3
-MAX_WORD_JSD = 0.75
+MAX_WORD_JSD = 0.4
+WORD_NOISE = 1.3
+MIN_COMMON_SHARE = 0.25
+MIN_EXPECTED = 8
 SYMBOLS = r"[#*$%&|<>]"
 #: Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = (
@@ -105,12 +112,13 @@ def js_distance(p: str, q: str) -> Column:
 
 def score_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   max_char_jsd: float = MAX_CHAR_JSD, max_word_jsd: float = MAX_WORD_JSD,
-                  min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+                  word_noise: float = WORD_NOISE, min_common_share: float = MIN_COMMON_SHARE,
+                  min_expected: float = MIN_EXPECTED, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Base counts, both distances, ``base_failed`` and ``kept`` for every document."""
     counted = stage(base_counts(docs, id_col, text_col, lang_col), "quality-counts")
     char_cols = list(CHAR_CLASSES)
-    word_cols = [f"w{i}" for i in range(len(COMMON_WORDS))] + ["w_other"]
-    refs = counted.groupBy("lang").agg(*[F.sum(c).cast("double").alias(f"r_{c}") for c in char_cols + word_cols])
+    word_cols = [f"w{i}" for i in range(len(COMMON_WORDS))]
+    refs = counted.groupBy("lang").agg(*[F.sum(c).cast("double").alias(f"r_{c}") for c in [*char_cols, *word_cols, "w_other"]])
     df = counted.join(refs.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")))
     for name, cols in (("_c", char_cols), ("_w", word_cols)):
         for side, prefix in (("p", ""), ("q", "r_")):
@@ -120,7 +128,10 @@ def score_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     char_jsd, word_jsd = js_distance("_cp", "_cq"), js_distance("_wp", "_wq")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     df = (df.withColumn("char_jsd", char_jsd).withColumn("word_jsd", word_jsd).withColumn("base_failed", failed))
+    ref_words = F.col("_wq_sum") + F.col("r_w_other")
+    expected = F.when(ref_words > 0, F.col("n_words") * F.col("_wq_sum") / ref_words).otherwise(0.0)
     diverges = (((F.col("_chars") >= min_chars) & (F.col("char_jsd") > max_char_jsd))
-                | ((F.col("n_words") >= min_words) & (F.col("word_jsd") > max_word_jsd)))
+                | ((F.col("_wp_sum") > 0) & (F.col("word_jsd") > max_word_jsd + word_noise / F.sqrt("_wp_sum")))
+                | ((expected >= min_expected) & (F.col("_wp_sum") < min_common_share * expected)))
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                      (~F.col("base_failed") & ~diverges).alias("kept"), "char_jsd", "word_jsd")

@@ -99,6 +99,21 @@ def test_quality_rejects_symbol_noise(spark):
     assert not out[99] and all(out[i] for i in range(30))
 
 
+def test_quality_rejects_texts_without_function_words_and_of_another_language(spark):
+    def prose(lang, i):
+        common = {"en": "the of the and to the in", "fr": "de la le de et les des", "es": "de que la el y los en"}[lang].split()
+        return " ".join(f"{common[(i + j) % 7]} river{i + j} tree{j} bank{i} stone{j}" for j in range(24))
+
+    good = [(100 * k + i, prose(lang, i), lang) for k, lang in enumerate(("en", "fr", "es")) for i in range(40)]
+    menu = (900, " | ".join(f"river{j} tree{j}" for j in range(60)), "en")
+    wrong = [(901, prose("fr", 3), "en"), (902, prose("fr", 4), "es"), (903, prose("en", 5), "fr")]
+    out = {r["doc_id"]: r for r in quality.score_quality(
+        spark.createDataFrame([*good, menu, *wrong], "doc_id long, text string, lang string")).collect()}
+    assert all(out[i]["kept"] for i, _, _ in good)
+    for i in (900, 901, 902, 903):
+        assert not out[i]["kept"] and not out[i]["base_failed"] and out[i]["char_jsd"] < quality.MAX_CHAR_JSD, i
+
+
 def test_quality_empty(edge):
     assert quality.score_quality(edge.limit(0)).count() == 0
 
