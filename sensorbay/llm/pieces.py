@@ -4,10 +4,11 @@ The vocabulary is a public BPE model file (``path``); only pieces and scores are
 from it and shipped, a bounded table. A text is cut where no piece can span (before
 runs of spaces, around line feeds) and each part is merged by an agenda: candidate
 merges ordered by score, then leftmost. A popped candidate is skipped when a keyed
-hash of (seed, variant, part, position, piece) falls below the dropout rate, so the
-segmentation varies by document and place and is the same in every rerun. A part's
-variant, one of ``VARIANTS``, follows from the document's id and the part's position;
-equal parts of equal variant are segmented once and kept in a bounded cache.
+hash of (seed, document id, the part's number, position, piece) falls below the dropout
+rate, so every occurrence of a part is drawn by itself, the same in every rerun. A
+bounded cache keeps the merges and the result of each part without dropout; an
+occurrence for which none of those merges is drawn has that result, all others are
+merged anew with their own draws.
 
 What no piece covers becomes byte pieces. U+2581, the model's mark for a space, is
 written as bytes when it occurs in the text itself, so decoding always gives the text
@@ -35,7 +36,6 @@ from pyspark.sql import functions as F
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 11
-VARIANTS = 4
 CACHE = 300_000
 BLOCK = 20_000
 FLUSH = 1_500_000
@@ -187,11 +187,31 @@ class Table:
         return out
 
 
-def segment_many(parts: list[str], keys: np.ndarray, table: Table, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+def draw_offsets(starts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """What the merges to ``ids`` at ``starts`` add to a part's key."""
+    return starts.astype(np.uint32) * np.uint32(0x9E3779B1) + ids.astype(np.uint32) * np.uint32(0x85EBCA77)
+
+
+def mixed_many(x: np.ndarray) -> np.ndarray:
+    """``mixed`` for an array of uint32."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x21F0AAAD)
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x735A2D97)
+    return x ^ (x >> np.uint32(15))
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices of all spans, one after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def segment_many(parts: list[str], keys: np.ndarray, table: Table, dropout: float,
+                 path: list[tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """``segment`` for many parts at once, one merge of each in every round: all ids, and the number of each.
 
     Parts must have no U+0000 and only characters that are pieces. Column 0 and the last
     column of the arrays are stops; symbols are linked, so a merge moves nothing.
+    ``path`` gets each round's merges: the parts' places, and what the merges add to the
+    key for their draws.
     """
     n, width = len(parts), max(map(len, parts))
     points = np.frombuffer("".join(p.ljust(width, "\0") for p in parts).encode("utf-32-le"), np.uint32).reshape(n, width)
@@ -220,6 +240,8 @@ def segment_many(parts: list[str], keys: np.ndarray, table: Table, dropout: floa
         j = nxt[w, i]
         k, h = nxt[w, j], prv[w, i]
         s = pid[w, i]
+        if path is not None:
+            path.append((w, draw_offsets(i - 1, s)))
         sym[w, i], sym[w, j], rank[w, j] = s, -1, NEVER
         nxt[w, i], prv[w, k] = k, i
         p = table.merged(s, sym[w, k])
@@ -235,49 +257,81 @@ class Encoder:
         self.voc, self.dropout, self.seed = voc, dropout, seed
         self.table = Table(voc)
         self.find = re.compile(PARTS).findall
-        self.variants = VARIANTS if dropout else 1
-        self.keys = [mixed(seed * 0x9E3779B1 + v + 1 & MASK) for v in range(self.variants)]
-        self.caches: list[dict[str, tuple[int, ...]]] = [{} for _ in self.keys]
         self.plain = set(voc.ids) - {MARK} | {" "}
-
-    def learn(self, wanted: list[tuple[int, str]]) -> None:
-        """Segments (variant, part) pairs and keeps the result."""
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties the cache: parts by number, their ids and merges without dropout as spans of flat arrays."""
+        self.number: dict[str, int] = {}
+        self.parts: list[str] = []
+        self.hard = np.zeros(0, bool)
+        self.ids, self.merges = np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.n_ids, self.n_merges = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, wanted: set[str]) -> None:
+        """Numbers the parts and keeps the plain result and merges of all that go into arrays."""
         easy, hard = [], []
-        for v, p in wanted:
-            (easy if len(p) <= SHORT and self.plain.issuperset(p) else hard).append((len(p), v, p))
-        easy.sort()
+        for p in wanted:
+            (easy if len(p) <= SHORT and self.plain.issuperset(p) else hard).append(p)
+        easy.sort(key=len)
+        ids, n_ids, merges, n_merges = [self.ids], [self.n_ids], [self.merges], [self.n_merges]
         for at in range(0, len(easy), BLOCK):
-            block = easy[at:at + BLOCK]
-            keys = np.array([zlib.crc32(p.encode(), self.keys[v]) for _, v, p in block], np.int64)
-            flat, sizes = segment_many([p for _, _, p in block], keys, self.table, self.dropout)
-            flat, a = flat.tolist(), 0
-            for (_, v, p), b in zip(block, np.cumsum(sizes).tolist(), strict=True):
-                self.caches[v][p] = flat[a:b]
-                a = b
-        for _, v, p in hard:
-            self.caches[v][p] = segment(p, self.voc, self.dropout, zlib.crc32(p.encode(), self.keys[v]))
+            block, path = easy[at:at + BLOCK], []
+            flat, sizes = segment_many(block, np.zeros(len(block), np.int64), self.table, 0.0, path)
+            who = np.concatenate([w for w, _ in path] or [np.zeros(0, np.int64)])
+            what = np.concatenate([o for _, o in path] or [np.zeros(0, np.uint32)])
+            ids.append(flat)
+            n_ids.append(sizes)
+            merges.append(what[np.argsort(who, kind="stable")])
+            n_merges.append(np.bincount(who, minlength=len(block)))
+        none = np.zeros(len(hard), np.int64)
+        self.ids, self.n_ids = np.concatenate(ids), np.concatenate([*n_ids, none])
+        self.merges, self.n_merges = np.concatenate(merges), np.concatenate([*n_merges, none])
+        self.hard = np.concatenate([self.hard, np.zeros(len(easy), bool), np.ones(len(hard), bool)])
+        for p in easy + hard:
+            self.number[p] = len(self.parts)
+            self.parts.append(p)
+        self.at_ids, self.at_merges = np.cumsum(self.n_ids) - self.n_ids, np.cumsum(self.n_merges) - self.n_merges
+
+    def part_keys(self, doc_key: str, n: int) -> np.ndarray:
+        """The keys of a document's first ``n`` parts."""
+        places = np.arange(n, dtype=np.uint32) * np.uint32(0xC2B2AE35)
+        return mixed_many(places + np.uint32(zlib.crc32(doc_key.encode(), self.seed)))
 
     def encode(self, texts: list[str | None], doc_keys: list[str]) -> list[list[int]]:
-        """Ids of each text; the parts that none has met before are segmented together."""
-        if sum(map(len, self.caches)) > CACHE:
-            for c in self.caches:
-                c.clear()
-        n, caches = self.variants, self.caches
-        docs, wanted = [], [set() for _ in range(n)]
-        for text, key in zip(texts, doc_keys, strict=True):
-            parts, v = self.find(" " + text) if text else [], zlib.crc32(key.encode(), self.seed) % n
-            docs.append((parts, v))
-            for k in range(n):
-                wanted[(v + k) % n].update(parts[k::n])
-        self.learn([(v, p) for v, w in enumerate(wanted) for p in w.difference(caches[v])])
-        out = []
-        for parts, v in docs:
-            ids: list[int] = []
-            turn = [caches[(v + k) % n] for k in range(n)]
-            for k, part in enumerate(parts):
-                ids += turn[k % n][part]
-            out.append(ids)
-        return out
+        """Ids of each text; the parts of all texts are drawn and merged together."""
+        if len(self.parts) > CACHE:
+            self.forget()
+        own = [self.find(" " + t) if t else [] for t in texts]
+        parts = [p for x in own for p in x]
+        if not parts:
+            return [[] for _ in own]
+        if new := set(parts).difference(self.number):
+            self.learn(new)
+        no = np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+        keys = np.concatenate([self.part_keys(k, len(x)) for k, x in zip(doc_keys, own, strict=True)])
+        anew = self.hard[no]
+        if below := int(self.dropout * (MASK + 1)):
+            n = self.n_merges[no]
+            x = np.repeat(keys, n) + self.merges[spans(self.at_merges[no], n)]
+            anew[np.repeat(np.arange(len(no)), n)[mixed_many(x) < below]] = True
+        start, size, found = self.at_ids[no], self.n_ids[no], [self.ids]
+        easy, base = np.flatnonzero(anew & ~self.hard[no]), len(self.ids)
+        easy = easy[np.argsort([len(parts[i]) for i in easy.tolist()], kind="stable")]
+        for at in range(0, len(easy), BLOCK):
+            block = easy[at:at + BLOCK]
+            flat, size[block] = segment_many([parts[i] for i in block.tolist()], keys[block], self.table, self.dropout)
+            start[block] = base + np.cumsum(size[block]) - size[block]
+            found.append(flat)
+            base += len(flat)
+        for i in np.flatnonzero(self.hard[no]).tolist():
+            ids = segment(parts[i], self.voc, self.dropout, int(keys[i]))
+            start[i], size[i] = base, len(ids)
+            found.append(np.array(ids, np.int32))
+            base += len(ids)
+        ids = np.concatenate(found)[spans(start, size)].tolist()
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, own)])].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def piece_bytes(voc: Vocabulary) -> list[bytes]:

@@ -230,6 +230,22 @@ def test_dropout_varies_is_seeded_and_lossless():
     assert len({tuple(e.encode(["international understanding"], [str(k)])[0]) for k in range(40)}) > 1
 
 
+def test_dropout_draws_every_occurrence():
+    voc = pieces.load_vocabulary()
+    e, table = pieces.Encoder(voc, 0.1), pieces.piece_bytes(voc)
+    assert "he" in voc.ids  # one merge: a tenth of the occurrences stays split, in every document
+    for key in ("1", "2"):
+        ids = e.encode(["\n".join(["he"] * 5_001)], [key])[0]
+        assert 0.08 < (len(ids) - 10_002) / 5_000 < 0.12
+    word = "internationalisation"
+    docs = e.encode([word] * 3_000, [str(i) for i in range(3_000)])
+    assert len({tuple(x) for x in docs}) > 20 and e.encode([word], ["7"])[0] == docs[7]
+    for text in (f"{word} the house\nof {word}", "日本 he \0 he " * 30):
+        want = [i for p, k in zip(e.find(" " + text), e.part_keys("x", 1_000).tolist(), strict=False)
+                for i in pieces.segment(p, voc, 0.1, k)]
+        assert e.encode([text], ["x"])[0] == want and pieces.decode_ids(want, table) == text
+
+
 def test_short_long_and_array_merges_agree():
     voc = pieces.load_vocabulary()
     table = pieces.Table(voc)
