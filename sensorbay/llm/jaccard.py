@@ -391,7 +391,10 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
         here = shared.where(big).join(labels, "node")
         split = here.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                         F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("o"), "node", "comp")).alias("c"))
-        here = here.join(split.where("lo <> hi").select("sig", "c"), "sig")
+        split = stage(split.where("lo <> hi").select("sig", "c"), "jaccard-split")
+        if k and not split.take(1):
+            break  # every signature's members are in one component
+        here = here.join(split, "sig")
         if k < rounds:
             pairs = here.where(F.col("comp") != F.col("c.comp")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
             if k == 0:
@@ -400,9 +403,7 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
         else:
             pairs = pairs_of(stage(here.select("sig", "node", "comp"), "jaccard-apart"), F.col("ca") != F.col("cb"))
         links = linked(pairs, fetched)
-        if links is None and k:
-            break
-        if links is not None:
+        if links is not None:  # without possible pairs, other centres or the exact rest may have some
             labels = components(labels, links)
     named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))

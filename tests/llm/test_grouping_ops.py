@@ -245,6 +245,19 @@ def test_signatures_meet_for_every_similar_pair():
         assert len(np.intersect1d(*sig)), (len(x), len(y), both)
 
 
+def test_jaccard_goes_on_when_no_centre_is_possible(spark, monkeypatch):
+    # all documents share one large signature; sizes rule out every pair but 0 and 1, which are no centres in rounds 0 and 1
+    def one(signed):
+        return signed.select("node").distinct().select(F.lit(1).cast("long").alias("sig"), "node", F.lit(99).cast("long").alias("members"))
+
+    monkeypatch.setattr(jaccard, "shared_signatures", one)
+    rows = [(0, " ".join(f"a{j}" for j in range(30))), (1, " ".join(f"a{j}" for j in range(31)))]
+    rows += [(10 + i, " ".join(f"b{i}x{j}" for j in range(40 * 2 ** i))) for i in range(7)]
+    for rounds in (1, 2, 3):
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.link_components(frame(spark, rows), rounds=rounds).collect()}
+        assert got == {i: 0 if i == 1 else i for i, _ in rows}, rounds
+
+
 def test_jaccard_empty_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string")
     got = jaccard.link_components(df).collect()
