@@ -10,8 +10,12 @@ alive, so all misspellings within one edit (two from ``TWO_EDITS`` letters) are
 without listing them. Words that share no piece with any term (an edit can spoil only
 one of k + 1 pieces) skip the walk.
 
-A hit counts by its context window of ``WINDOW`` words on either side: quotation marks
-and reporting verbs lower it (quoting is not abusing), direct address and other hits
+Words with digits or symbols inside ('id1ot', 'st*pid') are looked up whole as well as
+by their runs of letters; whichever weighs more counts. Clean documents' words of that
+kind are ordinary words, too.
+
+A hit counts by its context window of ``WINDOW`` words on either side: a pair of opening
+and closing quotation marks around it (never an apostrophe between letters) and reporting verbs lower it (quoting is not abusing), direct address and other hits
 nearby raise it, each edit halves it. The document's feature is the sum over its hits;
 a logistic curve fitted on the labelled sample turns it into a score.
 
@@ -41,14 +45,18 @@ MAX_TERMS = 2_000
 MAX_CLEAN = 100_000
 MIN_G2 = 24.0
 MIN_ODDS = 2.0
-MIN_FUZZY = 5
+MIN_FUZZY = 4
 TWO_EDITS = 9
 WINDOW = 8
 THRESHOLD = 0.7
 CACHE = 200_000
 WORD = r"[^\W\d_]+"
+DOUBLE = "\"“”„«»"
+#: From the first to the last letter or digit of what stands between white space or double quotes.
+CORE = rf"[^\W_](?:[^\s{DOUBLE}]*[^\W_])?"
+JVM_CORE = rf"([\p{{L}}\p{{N}}](?:[^\s{DOUBLE}]*[\p{{L}}\p{{N}}])?)"
 #: Cues of quotation and of direct address.
-QUOTES = "\"“”„«»‘’"
+QUOTES = DOUBLE + "‘’"
 REPORTING = frozenset("said says say called calls wrote quote quoted term word phrase sagte schrieb wort dit écrit mot "
                       "dijo escribió palabra".split())
 ADDRESS = frozenset("you your youre u du dich dein deine ihr tu toi vous votre tú usted tus".split())
@@ -153,10 +161,32 @@ class Lexicon:
         return (best[0], best[2]) if best else None
 
 
+def quotations(marks: list[tuple[int, str, bool, bool]]) -> list[tuple[int, int]]:
+    """(opening, closing) places of the pairs among marks (place, mark, space before, space after)."""
+    opened: dict[str, tuple[int, str]] = {}
+    out = []
+    for i, mark, before, after in marks:
+        kind = next(k for k in ('"', "“”„", "«»", "‘’") if mark in k)
+        first = opened.get(kind, (0, ""))[1]
+        if mark == '"':
+            closes, opens = first and (after or not before), not (after and not before)
+        elif kind == "«»":
+            closes, opens = first and mark != first, True
+        else:
+            closes, opens = first and (mark in "”’" or (first, mark) == ("„", "“")), mark in "“„‘"
+        if closes:
+            out.append((opened.pop(kind)[0], i))
+        elif opens:
+            opened[kind] = i, mark
+    return out
+
+
 class Scorer:
     def __init__(self, terms: dict[str, float], clean: frozenset[str]):
         self.lexicon, self.clean, self.cache = Lexicon(terms), clean, {}
-        self.find, self.tokens = re.compile(WORD).findall, re.compile(rf"{WORD}|[{QUOTES}]")
+        self.longest = max(map(len, terms), default=0) + 2  # by two edits
+        self.find, self.fragments = re.compile(CORE).findall, re.compile(WORD).findall
+        self.tokens = re.compile(rf"{CORE}|[{QUOTES}]").finditer
 
     def match(self, word: str) -> float:
         """Weight of the lexicon term that the word is or misspells; 0 without one."""
@@ -171,18 +201,37 @@ class Scorer:
             self.cache[word] = w
         return w
 
+    def words(self, core: str) -> list[str]:
+        """The word itself if it has only letters or weighs more than its runs of letters; these otherwise."""
+        if core.isalpha():
+            return [core]
+        runs = self.fragments(core)
+        if len(core) > self.longest:
+            return runs
+        return [core] if self.match(core) > max(map(self.match, runs), default=0.0) else runs
+
     def feature(self, text: str | None) -> float:
         """Sum over the hits of weight times context factor."""
         low = text.lower() if text else ""
-        hits = {w: m for w in set(self.find(low)) if (m := self.match(w))}
+        read, hits = {}, {}
+        for core in set(self.find(low)):
+            read[core] = self.words(core)
+            hits.update((w, m) for w in read[core] if (m := self.match(w)))
         if not hits:
             return 0.0
-        toks = self.tokens.findall(low)
+        toks, marks = [], []
+        for m in self.tokens(low):
+            if (t := m[0]) in QUOTES:
+                marks.append((len(toks), t, low[m.start() - 1:m.start()].strip() == "", low[m.end():m.end() + 1].strip() == ""))
+                toks.append(t)
+            else:
+                toks += read[t]
+        pairs = quotations(marks)
         at = [i for i, t in enumerate(toks) if t in hits]
         total = 0.0
         for k, i in enumerate(at):
             left, right = toks[max(0, i - WINDOW):i], toks[i + 1:i + 1 + WINDOW]
-            quoted = any(t in QUOTES for t in left) and any(t in QUOTES for t in right)
+            quoted = any(i - WINDOW <= a < i < z <= i + WINDOW for a, z in pairs)
             factor = 0.3 if quoted else 1.0
             if any(t in REPORTING for t in left):
                 factor *= 0.5
@@ -227,7 +276,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             return ToxicModel({}, frozenset(), 30.0 if n1 else -30.0, 0.0)
         found = F.regexp_extract_all(F.lower("t"), F.lit(r"(\p{L}+)"))
         after = F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.coalesce(F.get("ws", i - 1), F.lit("")).alias("p")))
-        df = (sample.select("y", found.alias("ws")).select("y", F.inline(F.array_distinct(after))).distinct()
+        cores = F.filter(F.regexp_extract_all(F.lower("t"), F.lit(JVM_CORE)), lambda w: w.rlike(r"[^\p{L}]"))
+        whole = F.transform("cs", lambda w, i: F.struct(w.alias("w"), F.coalesce(F.get("cs", i - 1), F.lit("")).alias("p")))
+        df = (sample.select("y", found.alias("ws"), cores.alias("cs"))
+              .select("y", F.inline(F.array_distinct(F.concat(after, whole)))).distinct()
               .groupBy("w").agg(F.sum("y").alias("k1"), F.sum(1 - F.col("y")).alias("k0"))).persist()
         c0, c1 = df.agg(F.sum("k0"), F.sum("k1")).first()
         k, p1 = F.col("k1") + F.col("k0"), (c1 or 0) / max((c0 or 0) + (c1 or 0), 1)

@@ -188,6 +188,22 @@ def test_quotation_scores_less_than_abuse():
     assert s.feature(None) == s.feature("") == 0.0
 
 
+def test_misspellings_with_digits_and_symbols_and_short_terms():
+    s = toxicity.Scorer({"idiot": 3.0, "stupid": 3.0, "moron": 3.0, "scum": 3.0}, frozenset(["scam", "m00n"]))
+    for w in ("id1ot", "st*pid", "mo_ron", "m0ron", "1diot", "scumm", "skum", "(id1ot),"):
+        assert s.feature(f"old {w} tree") == 1.5, w
+    assert s.feature("old idiot/moron tree") == s.feature("old idiot / moron tree") > 6
+    assert s.feature("old idiot2 tree") == 3.0 and s.feature("old scam m00n tree") == 0.0
+
+
+def test_only_pairs_of_quotation_marks_quote():
+    s = toxicity.Scorer({"idiot": 3.0}, frozenset())
+    for text in ("he’s an idiot that’s all", "the dogs’ idiot and cats’ tree", 'a "tree" an idiot a "house"', "”x” idiot „x"):
+        assert s.feature(text) == 3.0, text
+    for text in ("an ‘idiot’ here", "an “old idiot” here", "ein „idiot“ hier", "un « idiot » ici", "ein »idiot« hier", 'a "idiot", b'):
+        assert s.feature(text) == pytest.approx(0.9), text
+
+
 def test_toxicity_held_out(spark):
     sf = SF_SMALL.replace("0.001", "0.1")
     got = queries.op10_toxicity(spark, sf).toPandas()
