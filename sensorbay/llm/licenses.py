@@ -1,16 +1,18 @@
 """License scans by conditional compression.
 
-A document's candidate blocks are the passages around lines that speak of licensing
-(``KEYWORDS``); documents without such a word never leave the JVM. Each block is
-compressed by itself and with every template as a zstandard raw-content dictionary;
-the size reductions rank the templates. The best ``FINALISTS`` are confirmed by exact
-wording: words of the template missing from the block plus words put between the
-matched ones must be at most ``MAX_DIFF`` of the template's words; the fewest
-differences win, then the larger reduction, then the name.
-
-Equal blocks are judged once per task (licence lines repeat across documents). A
-passage's length is bounded (``WINDOW`` words around the keywords), so a long text is
-scanned whole at a cost that grows with its length.
+A document's candidate blocks are the passages around words that speak of licensing
+(``KEYWORDS``), across lines, with as many words on either side as the longest template
+and its differences can have; documents without such a word never leave the JVM. Each
+block is compressed by itself and with every template as a zstandard raw-content
+dictionary; the size reductions rank the templates. Templates are confirmed by exact
+wording at any place of the block: words of the template missing there plus words put
+between the matched ones must be at most ``MAX_DIFF`` of the template's words. Where
+confirmed places overlap the fewest differences win, then the longer template, the
+larger reduction and the name; all that remain are returned, the best one with its text.
+
+Blocks that lack more of a template's words than ``MAX_DIFF`` allows are not aligned
+with it, and not compressed if that holds for all templates. Equal blocks are judged
+once per task. A long text is scanned whole at a cost that grows with its length.
 
 Defined cases: NULL, blank or keyword-free text has no blocks and no license;
 repeated ids give a row each; an empty table gives no rows; other columns are not read.
@@ -19,8 +21,8 @@ repeated ids give a row each; an empty table gives no rows; other columns are no
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pandas as pd
 import zstandard as zstd
@@ -50,69 +52,63 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     "All-rights-reserved": "All rights reserved.",
 }
-FINALISTS = 4
 MAX_DIFF = 0.1
 LEVEL = 9
 WINDOW = 200
-GAP_LINES = 2
 CACHE = 50_000
-OUT = "n_blocks int, n_confirmed int, license string, reduction double, n_missing int, n_extra int, block string"
-
-
-def blocks(text: str, keywords: re.Pattern) -> list[str]:
-    """Passages that hold keyword lines; lines at most ``GAP_LINES`` apart are one passage."""
-    lines = text.split("\n")
-    out: list[str] = []
-    last = None
-    for i, line in enumerate(lines):
-        if not keywords.search(line):
-            continue
-        if last is not None and i - last <= GAP_LINES + 1:
-            out[-1] = "\n".join([out[-1], *lines[last + 1:i + 1]])
-        else:
-            out.append(line)
-        last = i
-    return [piece for block in out for piece in _windows(block, keywords)]
+WORD = re.compile(r"\w+")
+OUT = ("n_blocks int, n_confirmed int, license string, reduction double, n_missing int, n_extra int, block string, "
+       "licenses array<string>")
 
 
-def _windows(block: str, keywords: re.Pattern) -> list[str]:
-    spans = [m.span() for m in re.finditer(r"\S+", block)]
-    if len(spans) <= 2 * WINDOW:
-        return [block]
-    starts = [a for a, _ in spans]
+def blocks(text: str, keywords: re.Pattern, reach: int = WINDOW) -> list[str]:
+    """Passages of ``reach`` words on either side of the keywords; those that overlap are one passage."""
+    spans = [m.span() for m in WORD.finditer(text)]
     out: list[list[int]] = []
     at = 0
-    for m in keywords.finditer(block):
-        while at + 1 < len(starts) and starts[at + 1] <= m.start():
+    for m in keywords.finditer(text):
+        while at + 1 < len(spans) and spans[at + 1][0] <= m.start():
             at += 1
-        lo, hi = max(0, at - WINDOW), min(len(spans) - 1, at + WINDOW)
+        lo, hi = max(0, at - reach), min(len(spans) - 1, at + reach)
         if out and lo <= out[-1][1]:
             out[-1][1] = hi
         else:
             out.append([lo, hi])
-    return [block[spans[a][0]:spans[b][1]] for a, b in out]
+    return [text[spans[a][0]:spans[b][1]] for a, b in out if b >= a]
 
 
 def tokens(text: str) -> list[str]:
-    return re.findall(r"\w+", text.lower())
-
-
-def wording_diff(template: list[str], block: list[str]) -> tuple[int, int]:
-    """Template words missing from the block; other words between the first and last matched one."""
-    runs = [m for m in SequenceMatcher(None, template, block, autojunk=False).get_matching_blocks() if m.size]
-    if not runs:
-        return len(template), 0
-    matched = sum(m.size for m in runs)
-    return len(template) - matched, runs[-1].b + runs[-1].size - runs[0].b - matched
+    return [w.lower() for w in WORD.findall(text)]
+
+
+def places(template: list[str], block: list[str], most: int) -> list[tuple[int, int, int]]:
+    """(differences, first word, end) of the best match to each end in the block with at most ``most`` differences."""
+    cost, start = [0] * (len(block) + 1), list(range(len(block) + 1))
+    for word in template:
+        last, first = cost[0], start[0]
+        cost[0] += 1
+        for j, own in enumerate(block, 1):
+            up, up_start = cost[j], start[j]
+            if own == word:
+                cost[j], start[j] = last, first
+            elif up <= cost[j - 1]:
+                cost[j] = up + 1  # the template's word is missing
+            else:
+                cost[j], start[j] = cost[j - 1] + 1, start[j - 1]  # the block's word was put in
+            last, first = up, up_start
+    return [(c, a, z) for z, (c, a) in enumerate(zip(cost, start, strict=True)) if c <= most and a < z]
 
 
 class Judge:
     def __init__(self, templates: dict[str, str]):
         self.words = {k: tokens(v) for k, v in templates.items()}
+        self.bags = {k: Counter(w) for k, w in self.words.items()}
+        self.most = {k: int(MAX_DIFF * len(w)) for k, w in self.words.items()}
+        self.reach = max((len(w) + self.most[k] for k, w in self.words.items()), default=0)
         self.plain = zstd.ZstdCompressor(level=LEVEL)
         self.given = {k: zstd.ZstdCompressor(level=LEVEL, dict_data=zstd.ZstdCompressionDict(
             v.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)) for k, v in templates.items()}
-        self.cache: dict[str, tuple | None] = {}
+        self.cache: dict[str, list[tuple]] = {}
 
     def ranked(self, block: str) -> list[tuple[float, str]]:
         """(size reduction, template), the largest reduction first."""
@@ -120,32 +116,48 @@ class Judge:
         alone = len(self.plain.compress(raw))
         return sorted(((1 - len(c.compress(raw)) / alone, k) for k, c in self.given.items()), key=lambda x: (-x[0], x[1]))
 
-    def judge(self, block: str) -> tuple | None:
-        """(differences, reduction, template, missing, extra) of the confirmed winner."""
+    def confirmed(self, block: str) -> list[tuple]:
+        """(differences, reduction, template, missing, extra, text) of all confirmed templates, the best one first."""
         if block not in self.cache:
             if len(self.cache) >= CACHE:
                 self.cache.clear()
-            own, found = tokens(block), []
-            for reduction, name in self.ranked(block)[:FINALISTS]:
-                missing, extra = wording_diff(self.words[name], own)
-                if reduction > 0 and missing + extra <= MAX_DIFF * len(self.words[name]):
-                    found.append((missing + extra, -len(self.words[name]), -reduction, name, missing, extra))
-            best = min(found, default=None)
-            self.cache[block] = best and (best[0], -best[2], best[3], best[4], best[5])
+            self.cache[block] = self.confirm(block)
         return self.cache[block]
 
+    def confirm(self, block: str) -> list[tuple]:
+        own, bag = tokens(block), Counter(tokens(block))
+        able = {k for k, n in self.bags.items() if (n - bag).total() <= self.most[k]}
+        if not able:
+            return []
+        found = []
+        for reduction, name in self.ranked(block):
+            if name in able and reduction > 0:
+                n = len(self.words[name])
+                found += [(c, -n, -reduction, name, a, z) for c, a, z in places(self.words[name], own, self.most[name])]
+        spans, taken, out = [m.span() for m in WORD.finditer(block)], bytearray(len(own)), []
+        for c, n, reduction, name, a, z in sorted(found):
+            if not any(taken[a:z]):
+                taken[a:z] = b"\1" * (z - a)
+                extra = (c + z - a + n) // 2
+                out.append((c, -reduction, name, c - extra, extra, block[spans[a][0]:spans[z - 1][1]]))
+        return out
+
+    def judge(self, block: str) -> tuple | None:
+        """(differences, reduction, template, missing, extra, text) of the confirmed winner."""
+        return next(iter(self.confirmed(block)), None)
+
     def document(self, text: str | None, keywords: re.Pattern) -> tuple:
-        found = blocks(text, keywords) if text else []
-        hits = [(h[0], -h[1], h[2], h[3], h[4], b) for b in found if (h := self.judge(b))]
-        if not hits:
-            return len(found), 0, None, None, None, None, None
-        d = min(hits)
-        return len(found), len(hits), d[2], -d[1], d[3], d[4], d[5]
+        found = blocks(text, keywords, self.reach) if text else []
+        own = [h for b in found if (h := self.confirmed(b))]
+        if not own:
+            return len(found), 0, None, None, None, None, None, []
+        d = min((h for x in own for h in x), key=lambda h: (h[0], -h[1], *h[2:]))
+        return len(found), len(own), d[2], d[1], d[3], d[4], d[5], sorted({h[2] for x in own for h in x})
 
 
 def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   templates: dict[str, str] | None = None) -> DataFrame:
-    """One row per document: its blocks, the confirmed ones, and the best license with its differences."""
+    """One row per document: its blocks, those with a license, the best license with its differences, and all of them."""
     templates = dict(templates or TEMPLATES)
 
     @F.pandas_udf(OUT)
@@ -153,7 +165,8 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         judge, keywords = Judge(templates), re.compile(KEYWORDS)
         for texts in batches:
             rows = pd.DataFrame([judge.document(t, keywords) for t in texts],
-                                columns=["n_blocks", "n_confirmed", "license", "reduction", "n_missing", "n_extra", "block"])
+                                columns=["n_blocks", "n_confirmed", "license", "reduction", "n_missing", "n_extra", "block",
+                                         "licenses"])
             yield rows.astype({"n_missing": "Int32", "n_extra": "Int32", "reduction": "float64"})
 
     spoken = F.when(F.col(text_col).rlike(KEYWORDS), F.col(text_col))

@@ -138,6 +138,23 @@ def test_license_blocks_of_long_lines_are_windows():
     assert len(found) == 1 and "MIT License." in found[0] and len(found[0].split()) <= 2 * licenses.WINDOW + 2
 
 
+def test_wrapped_licenses_are_found_and_all_of_them(spark):
+    import textwrap
+
+    around = " ".join(f"river{i} tree of the house" for i in range(40))
+    rows = [(i, "\n".join(f"{mark}{x}" for x in textwrap.wrap(f"{around[:60 + shift]} {t} {around}", 70)), k)
+            for i, (k, t, mark, shift) in enumerate((k, t, mark, shift) for k, t in licenses.TEMPLATES.items()
+                                                    for mark in ("", "# ") for shift in (0, 9, 25, 50))]
+    rows.append((900, "\n".join(f"{licenses.TEMPLATES[k]}\n{around}" for k in ("MIT", "BSD-text", "MIT")), "MIT"))
+    rows.append((901, "Licensed under CC BY 4.0. Released under the MIT License. All rights reserved.", ""))
+    rows.append((902, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0"))
+    out = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string, k string")).collect()}
+    for i, _, k in rows[:-3] + rows[-1:]:
+        assert out[i]["licenses"] == [k] and out[i]["license"] == k and out[i]["n_missing"] == out[i]["n_extra"] == 0, (i, k)
+    assert out[900]["licenses"] == ["BSD-text", "MIT"] and out[900]["n_confirmed"] == 3
+    assert out[901]["licenses"] == ["All-rights-reserved", "CC-BY-4.0", "MIT"]
+
+
 def test_license_scan_edges(spark, edge):
     docs = edge.select("doc_id", "text", F.lit("x").alias("license")).unionByName(spark.createDataFrame(
         [(20, "a\nAll rights reserved.\nb", "y"), (21, "Copyright of nobody here", "y")], "doc_id long, text string, license string"))
