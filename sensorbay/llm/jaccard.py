@@ -331,8 +331,7 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
     by_node = key.orderBy("node")
     whole = by_node.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     own = own.withColumn("again", F.lag("node").over(by_node).eqNullSafe(F.col("node")))
-    print_ = [F.sum(F.when(~F.col("again"), F.xxhash64(F.lit(s), "node").bitwiseAND(F.lit((1 << 50) - 1))))
-              .over(whole).alias(f"g{s}") for s in (1, 2)]
+    print_ = [F.bit_xor(F.when(~F.col("again"), F.xxhash64(F.lit(s), "node"))).over(whole).alias(f"g{s}") for s in (1, 2)]
     own = own.select("*", *print_, F.sum(F.when(F.col("again"), 0).otherwise(1)).over(whole).alias("members"),
                      F.max(F.col("sig").isNotNull()).over(whole).alias("any_hot")).where("any_hot OR NOT again")
     # one signature stands for all that have the very same members

@@ -258,6 +258,12 @@ def test_jaccard_goes_on_when_no_centre_is_possible(spark, monkeypatch):
         assert got == {i: 0 if i == 1 else i for i, _ in rows}, rounds
 
 
+def test_signature_of_many_nodes_has_a_print(spark):
+    signed = spark.range(40_000).selectExpr("id % 2 AS key", "id DIV 2 AS node", "CAST(NULL AS BIGINT) AS sig")
+    got = jaccard.shared_signatures(signed).groupBy("sig").count().collect()
+    assert [tuple(r) for r in got] == [(0, 20_000)]  # of two signatures with the same nodes one is left
+
+
 def test_jaccard_empty_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string")
     got = jaccard.link_components(df).collect()
