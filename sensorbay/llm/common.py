@@ -52,6 +52,25 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir`` that goes with the innermost ``scratch`` block."""
+    path = scratch_path(spark, name)
+    paths = _staged.get()
+    if paths is not None:
+        paths.append(path)
+    return path
+
+
+#: Narrow rows (ids, digests) that may be shipped to every task: some 12 MB.
+SHIPPED_ROWS = 200_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join with a staged table of narrow rows: shipped if counted small enough, else a shuffled join."""
+    few = small.limit(SHIPPED_ROWS + 1).count() <= SHIPPED_ROWS
+    return big.join(F.broadcast(small) if few else small, on, how)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Deletes what was staged inside; results that outlive the block are staged with ``keep``."""

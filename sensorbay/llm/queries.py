@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorbay.llm import jaccard, langid, licenses, mixing, neighbours, pieces, quality, substrings, toxicity, url_filter
+from sensorbay.llm import (centroids, exact_dedup, hard_negatives, jaccard, langid, licenses, mixing, neighbours, pieces, quality,
+                           substrings, toxicity, url_filter)
 from sensorbay.llm.common import table
 
 #: host, path, verdict
@@ -69,6 +70,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh id's label is shifted first; anchors are the ids divisible by 50."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda c: c.cast("string")), ","), 256)
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the ids is a frozen snapshot, the other half arrives as a batch."""
+    found = exact_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _OP3_SQL = f"""
 WITH rules(rhost, rpath, rverdict) AS (VALUES {_RULES_SQL}),
@@ -91,10 +111,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_jaccard": op9_jaccard,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_centroids": op12_centroids,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op3_url_filter": _OP3_SQL,
     "op4_mixing": mixing.oracle(),
     "op5_substrings": substrings.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_centroids": centroids.oracle(),
+    "op13_exact_dedup": exact_dedup.ORACLE,
 }
