@@ -42,6 +42,8 @@ NEGATIVES = 3
 #: Percent of the positive's score between which a hard negative's lies.
 LEAST, MOST = 50, 95
 SHARD_ROWS = 131_072
+#: Tables too small for as many shards as a shuffle has parts get shards of this size.
+LEAST_SHARD_ROWS = 4_096
 SAMPLE_ANCHORS = 20_000
 #: Anchors a cluster has on average in the sample, and the most clusters there are.
 CLUSTER_ANCHORS, MAX_CLUSTERS = 16, 256
@@ -234,7 +236,8 @@ def mine(vectors: DataFrame, anchors: Column, *, id_col: str = "vec_id", vector_
         usable = usable.groupBy("vec_id", "label", "x").agg(F.max("anchor").alias("anchor"))
         rows = stage(usable.withColumn("dim", F.size("x")).withColumn("node", F.monotonically_increasing_id()), "negatives-rows")
         sizes = {r["dim"]: r for r in rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("anchor").cast("int")).alias("a")).collect()}
-        shards = max([1, *(-(-r["n"] // shard_rows) for r in sizes.values())])
+        most_rows, parts = max([0, *(r["n"] for r in sizes.values())]), int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shards = max(1, -(-most_rows // shard_rows), min(parts, most_rows // LEAST_SHARD_ROWS))
         centroids = {}
         for dim, r in sizes.items():
             if r["a"]:
@@ -266,8 +269,7 @@ def mine(vectors: DataFrame, anchors: Column, *, id_col: str = "vec_id", vector_
             """``asked`` goes to every shard, behind the shard's candidates."""
             sent = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("kind", F.lit(1))
             both = candidates.unionByName(sent.select(*shared, *more), allowMissingColumns=True)
-            parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
-            return (both.repartition(parts, "dim", "shard").sortWithinPartitions("dim", "shard", "kind", "cluster", "node")
+            return (both.repartition(max(parts, shards), "dim", "shard").sortWithinPartitions("dim", "shard", "kind", "cluster", "node")
                     .mapInArrow(sweep(centroids, widest, collect), schema))
 
         best = Window.partitionBy("node").orderBy(F.desc("score"), "vec_id")
