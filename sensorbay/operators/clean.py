@@ -16,19 +16,18 @@ Gap filling (no sequential pass over the rows): a *gap* is a maximal run of rows
   reference interpolates the whole series at its first short gap, so long gaps
   and later gaps are filled here too;
 * stage 2: medium gaps after ``f`` take, in time order, the clock-hour median of the
-  series with all earlier ones already replaced (a fold per sensor and clock hour
-  over counted values, :func:`late_medians`);
+  series with all earlier ones already replaced (a fold over value bins per sensor and
+  clock hour, :mod:`sensorbay.operators.medians`);
 * then back-fill, then forward-fill.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import config as C
 from . import series as S
+from .medians import late_medians
 from .series import CHUNK, KEY, POS
 
 NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -124,8 +123,7 @@ def gap_blocks(classified: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def classify_stage0(df: DataFrame, value: str = "v1", short_hours: float = C.SHORT_GAP_HOURS,
-                    long_hours: float = C.LONG_GAP_HOURS, ts: str = "ts", key: str = KEY,
-                    median_method: str = "percentile") -> DataFrame:
+                    long_hours: float = C.LONG_GAP_HOURS, ts: str = "ts", key: str = KEY) -> DataFrame:
     """:func:`classify_gaps` and :func:`seasonal_stage0` with a single join.
 
     One per-chunk summary carries the nearest observations across chunk edges,
@@ -147,7 +145,7 @@ def classify_stage0(df: DataFrame, value: str = "v1", short_hours: float = C.SHO
                    & (hrs(F.col("_ip.tn"), F.col("_in.tp")) <= short_hours))
     summ = df.groupBy(key, CHUNK).agg(
         F.max("_o").alias("_lo"), F.min("_o").alias("_fo"), F.min(ts).alias("_bmin"), F.max(ts).alias("_bmax"),
-        F.min(F.when(inner_short, F.col(POS))).alias("_fs"))
+        F.min(F.when(inner_short, F.col(POS))).alias("_fs"), F.min(POS).alias("_p0"))
     wc = Window.partitionBy(key).orderBy(CHUNK)
     wcr = Window.partitionBy(key).orderBy(F.col(CHUNK).desc())
     wa = Window.partitionBy(key)
@@ -156,20 +154,20 @@ def classify_stage0(df: DataFrame, value: str = "v1", short_hours: float = C.SHO
         F.last("_lo", True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_cp"),
         F.last("_fo", True).over(wcr.rowsBetween(Window.unboundedPreceding, -1)).alias("_cn"),
         F.min("_bmin").over(wa).alias("_first_ts"), F.max("_bmax").over(wa).alias("_last_ts"),
-        F.min("_fo").over(wa).alias("_first_obs"))
+        F.min("_fo").over(wa).alias("_first_obs"), F.min("_p0").over(wa).alias("_first_pos"))
     # the gap after the last observation up to this chunk's end (may run into later chunks)
     a = F.coalesce(F.col("_lo"), F.col("_cp"))
     gap_after = a.isNotNull() & a["tn"].isNotNull() & (F.col("_cn").isNull() | (F.col("_cn.pos") > a["pos"] + 1))
     edge_short = gap_after & (hrs(a["tn"], F.coalesce(F.col("_cn.tp"), F.col("_last_ts"))) <= short_hours)
     # the leading gap (or the whole sensor when nothing is observed)
     lead_end = F.when(F.col("_first_obs").isNull(), F.col("_last_ts")).otherwise(F.col("_first_obs.tp"))
-    lead_short = ((F.col("_first_obs").isNull() | (F.col("_first_obs.pos") > 1))
+    lead_short = ((F.col("_first_obs").isNull() | (F.col("_first_obs.pos") > F.col("_first_pos")))
                   & (hrs(F.col("_first_ts"), lead_end) <= short_hours))
-    cand = F.least(F.col("_fs"), F.when(edge_short, a["pos"] + 1), F.when(lead_short, F.lit(1).cast("long")))
+    cand = F.least(F.col("_fs"), F.when(edge_short, a["pos"] + 1), F.when(lead_short, F.col("_first_pos")))
     summ = summ.withColumn("_cand", cand)
     summ = summ.select(key, CHUNK, "_cp", "_cn", "_first_ts", "_last_ts",
                        F.min("_cand").over(wa).alias("_f"))
-    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts, median_method), key, "left")
+    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts), key, "left")
     df = df.join(summ, [key, CHUNK], "left")
     prev = F.coalesce(F.col("_ip"), F.col("_cp"))
     nxt = F.coalesce(F.col("_in"), F.col("_cn"))
@@ -195,19 +193,13 @@ def _interpolate(prev: str, nxt: str) -> Column:
     return ((qv - pv) / (qp - pp)) * (F.col(POS).cast("double") - pp) + pv
 
 
-def seasonal_stage0(df: DataFrame, value: str = "v1", ts: str = "ts", key: str = KEY,
-                    median_method: str = "percentile") -> DataFrame:
-    """First short gap ``_f`` per sensor and stage 0 ``s0`` (medium gaps before it).
-
-    The medians here are over observed counts, already capped to
-    ``[0, capacity]``: for integer counts a group has at most ``capacity + 1``
-    distinct values, so Spark's exact ``percentile`` map stays small.
-    """
+def seasonal_stage0(df: DataFrame, value: str = "v1", ts: str = "ts", key: str = KEY) -> DataFrame:
+    """First short gap ``_f`` per sensor and stage 0 ``s0`` (medium gaps before it)."""
     # one per-chunk table carries both the sensor's first short gap and its
     # clock-hour medians; one join back on (sensor, chunk)
     summ = df.groupBy(key, CHUNK).agg(F.min(F.when(F.col("gap_class") == "short", F.col(POS))).alias("_s"))
     summ = summ.select(key, CHUNK, F.min("_s").over(Window.partitionBy(key)).alias("_f"))
-    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts, median_method), key, "left")
+    summ = summ.join(S.hour_medians(df, value, "_med0", key, ts), key, "left")
     df = df.join(summ, [key, CHUNK], "left")
     early = F.col("_f").isNull() | (F.col(POS) < F.col("_f"))
     df = df.withColumn("s0", F.when(F.col(value).isNotNull(), F.col(value))
@@ -224,72 +216,11 @@ def interpolate_stage(df: DataFrame, out: str = "s1", key: str = KEY) -> DataFra
     return df.drop("_s0_prev", "_s0_next")
 
 
-def fold_medians(values: np.ndarray, counts: np.ndarray, gaps: np.ndarray) -> dict[int, float]:
-    """Median per gap, the gaps taken in order; each gap's rows turn into copies of its median.
-
-    ``gaps`` is 0 for rows outside the late medium gaps, else the gap's number; a NaN
-    value is a row that has none yet. Gap j sees the medians of all earlier gaps.
-    """
-    order = np.argsort(values, kind="stable")  # NaN last
-    values, weight, gaps = values[order], counts[order].astype(np.int64), gaps[order]
-    weight_now = np.where(np.isnan(values), 0, weight)
-    out: dict[int, float] = {}
-    filled: list[tuple[float, int]] = []  # sorted (median, rows)
-    for g in np.unique(gaps[gaps > 0]):
-        fv = np.array([v for v, _ in filled])
-        fc = np.array([c for _, c in filled], np.int64)
-        n = int(weight_now.sum() + fc.sum())
-        m = np.nan
-        if n:
-            below, picked = np.cumsum(weight_now), []
-            at = np.searchsorted(values[:len(values) - int(np.isnan(values).sum())], fv, "left")
-            # rank of the fills among the sorted values: those before a fill, then the fills before it
-            start = np.concatenate([[0], below])[at] + np.concatenate([[0], np.cumsum(fc)])[:-1]
-            for r in ((n + 1) // 2, n // 2 + 1):
-                hit = np.flatnonzero((start < r) & (r <= start + fc))
-                if len(hit):
-                    picked.append(fv[hit[0]])
-                else:
-                    picked.append(values[np.searchsorted(below, r - int(fc[start < r].sum()), "left")])
-            m = (picked[0] + picked[1]) / 2
-        out[int(g)] = m
-        own = gaps == g
-        weight_now[own] = 0
-        if not np.isnan(m):
-            filled = sorted([*filled, (float(m), int(weight[own].sum()))])
-    return out
-
-
-def late_medians(df: DataFrame, late: Column, ts: str = "ts", key: str = KEY) -> DataFrame:
-    """``key, _h, gap_start, gap_end, _m``: the clock-hour median that each late medium gap takes.
-
-    Rows are first counted per (sensor, clock hour, value, gap): a group then holds the
-    hour's distinct values, not its rows. Only hours with such a gap are folded.
-    """
-    at = df.select(key, F.hour(ts).alias("_h"), F.col("s1").alias("_x"), F.when(late, F.col("gap_start")).alias("gap_start"),
-                   F.when(late, F.col("gap_end")).alias("gap_end"), F.when(late, F.col(POS)).alias("_p"))
-    hours = at.where(F.col("_p").isNotNull()).select(key, "_h").distinct()
-    counted = (at.where(F.col("_x").isNotNull() | F.col("_p").isNotNull()).join(hours, [key, "_h"], "left_semi")
-               .groupBy(key, "_h", "_x", "gap_start", "gap_end").agg(F.count(F.lit(1)).alias("_c"), F.min("_p").alias("_p")))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        gaps = pdf[pdf["_p"].notna()].groupby(["gap_start", "gap_end"], as_index=False)["_p"].min() \
-            .sort_values("_p", ignore_index=True)
-        number = {(a, z): i + 1 for i, (a, z) in enumerate(zip(gaps["gap_start"], gaps["gap_end"], strict=True))}
-        which = np.array([number.get((a, z), 0) for a, z in zip(pdf["gap_start"], pdf["gap_end"], strict=True)])
-        medians = fold_medians(pdf["_x"].to_numpy(float), pdf["_c"].to_numpy(), which)
-        return pd.DataFrame({key: pdf[key].iloc[0], "_h": pdf["_h"].iloc[0], "gap_start": gaps["gap_start"],
-                             "gap_end": gaps["gap_end"], "_m": [medians[i + 1] for i in range(len(gaps))]})
-
-    schema = f"{key} string, _h int, gap_start timestamp_ntz, gap_end timestamp_ntz, _m double"
-    return counted.groupBy(key, "_h").applyInPandas(fold, schema).withColumn("_m", F.nanvl("_m", F.lit(None).cast("double")))
-
-
 def seasonal_stage2(df: DataFrame, out: str = "v2", ts: str = "ts", key: str = KEY) -> DataFrame:
     """Stage 2: medium gaps after the first short gap take clock-hour medians of the series
     as it stands when their turn comes: ``s1`` with all earlier such gaps already replaced."""
     late = F.col("_f").isNotNull() & (F.col(POS) > F.col("_f")) & (F.col("gap_class") == "medium")
-    medians = late_medians(df, late, ts, key)
+    medians = late_medians(df, late, "s1", ts=ts, key=key)
     # one small map per (sensor, chunk), so the big side joins on its own partitioning key;
     # materialised, so later plans see it as a leaf
     where = df.where(late).select(key, CHUNK, F.hour(ts).alias("_h"), "gap_start", "gap_end").distinct()
@@ -360,13 +291,7 @@ def cut(df: DataFrame, enabled: bool = True) -> DataFrame:
     executors are lost."""
     if not enabled:
         return df
-    # cached first: the eager checkpoint then writes from the cache instead of
-    # recomputing the lineage a second time
-    df = df.persist()
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    return df.checkpoint(eager=True)
 
 
 def clean_stages(readings: DataFrame, value: str = "people", capacity: dict | None = None,
@@ -374,23 +299,23 @@ def clean_stages(readings: DataFrame, value: str = "people", capacity: dict | No
                  window: int = C.HAMPEL_WINDOW, n_sigma: float = C.HAMPEL_N_SIGMA,
                  short_hours: float = C.SHORT_GAP_HOURS, long_hours: float = C.LONG_GAP_HOURS,
                  smooth_sensors=C.SMOOTH_SENSORS, order: tuple = ("ts", "seq"),
-                 chunk_rows: int = S.DEFAULT_CHUNK_ROWS, bucket_seconds: int | None = S.DEFAULT_BUCKET_SECONDS,
-                 bucket_rows: int = S.DEFAULT_BUCKET_ROWS, until: str = "people", key: str = KEY) -> DataFrame:
+                 chunk_rows: int = S.DEFAULT_CHUNK_ROWS, part_rows: int | None = None, until: str = "people",
+                 key: str = KEY) -> DataFrame:
     """The cleaning chain with all work columns, stopped after stage ``until``.
 
     Stages: ``v0`` (capped), ``v1`` (Hampel), ``gaps``, ``s0``, ``v2`` (gap
     filled), ``v3`` (edge filled), ``people`` (smoothed and rounded).
 
     Scale knobs: ``chunk_rows`` consecutive rows of a sensor per window task;
-    ``bucket_rows`` bounds the rows per numbering bucket (or fix the width with
-    ``bucket_seconds``).
+    ``part_rows`` bounds the rows that one task orders (by default the shuffle
+    partitions decide).
     """
     ts = order[0]
     rd = readings.where(F.col(ts).isNotNull())
     df = cap_values(rd, value, "v0", capacity, default_capacity)
     if until == "v0":
         return df
-    df = S.number_rows(df, key, order, chunk_rows, bucket_seconds, bucket_rows)
+    df = S.number_rows(df, key, order, chunk_rows, part_rows)
     df = cut(hampel(df, "v0", "v1", window, n_sigma, chunk_rows, key, ts, enabled=use_hampel))
     if until == "v1":
         return df

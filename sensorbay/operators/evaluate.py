@@ -42,10 +42,6 @@ def error_metrics(joined: DataFrame, key: str = KEY, mape: bool = True) -> DataF
     return joined.groupBy(key).agg(*aggs)
 
 
-def _forecaster(model: str):
-    return FC.profile_forecast if model == "profile" else FC.logistic_forecast
-
-
 def backtest(hourly: DataFrame, model: str = "profile", min_hours: int = C.MIN_BACKTEST_HOURS,
              fraction: float = C.TRAIN_FRACTION, capacity: dict | None = None) -> DataFrame:
     """M4: per sensor with enough history, train on the first 75 %, forecast as many
@@ -60,41 +56,36 @@ def backtest(hourly: DataFrame, model: str = "profile", min_hours: int = C.MIN_B
     if model == "profile":
         fc = FC.profile_forecast(tr, "n_test", clip=False)
     else:
-        fc = _backtest_logistic(tr, capacity)
+        fc = FC.logistic_forecast(tr, "n_test", clip=False, capacity=capacity)
     m = error_metrics(join_actuals(fc, test), mape=False)
     return n_train.join(n_test, KEY).join(m, KEY, "left").select(
         KEY, "n_train", "n_test", F.coalesce("n_points", F.lit(0)).alias("n_points"), "MAE", "RMSE")
 
 
-def _backtest_logistic(tr: DataFrame, capacity: dict | None = None) -> DataFrame:
-    import pandas as pd
-
-    cap = dict(C.SENSOR_CAPACITY if capacity is None else capacity)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        return FC._fit_group(pdf, int(pdf["n_test"].iloc[0]), C.DEFAULT_CAPACITY_CLEAN, cap)
-    return (tr.select(KEY, "ds", "y", "n_test").groupBy(KEY)
-            .applyInPandas(fit, FC.FORECAST_SCHEMA + ", status string").drop("status"))
-
-
 def _ts(x) -> dt.datetime:
     return dt.datetime.fromisoformat(x) if isinstance(x, str) else x
 
 
 def accuracy_at_cutoff(history: DataFrame, clean_readings: DataFrame, cutoff: str,
                        days: int = 7, model: str = "profile", min_hours: int = C.MIN_ACCURACY_HOURS,
-                       value: str = "people", once=lambda df: df) -> tuple[DataFrame, DataFrame]:
+                       value: str = "people", capacity: dict | None = None,
+                       once=lambda df: df) -> tuple[DataFrame, DataFrame]:
     """M5: train on hourly labels ``< cutoff``, forecast ``24 * days`` hours (clipped),
     compare with the hourly means of ``[cutoff, cutoff + days)``.
 
     Returns ``(summary, details)``: summary ``sensor_id, cutoff_date, MAE, RMSE,
-    MAPE, n_points``; details the forecast rows and the actual rows (W7). ``once`` may
+    MAPE, n_points``; details the forecast rows and the actual rows (W7). ``capacity`` bounds
+    the logistic model's sensors (default: the configured ones). ``once`` may
     write the forecast down and read it back, so that both share one model run.
     """
     c = _ts(cutoff)
     end = c + dt.timedelta(days=days)
     train = FC.guard(history.where(F.col("ds") < F.lit(c).cast("timestamp_ntz")), min_hours)
-    fc = once(_forecaster(model)(train, 24 * days, clip=True))
+    if model == "profile":
+        fc = FC.profile_forecast(train, 24 * days, clip=True)
+    else:
+        fc = FC.logistic_forecast(train, 24 * days, clip=True, capacity=capacity)
+    fc = once(fc)
     actual = hourly_mean(clean_readings, value, start=c, stop=end, partial_last="keep")
     summary = error_metrics(join_actuals(fc, actual)).withColumn("cutoff_date", F.lit(cutoff))
     summary = summary.select(KEY, "cutoff_date", "MAE", "RMSE", "MAPE", "n_points")

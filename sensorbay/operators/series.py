@@ -1,21 +1,20 @@
 """Ordered-series machinery that stays parallel when one sensor is huge.
 
-A sensor's readings are numbered 1..n in ``(ts, seq)`` order *without* a
-single-task window over the whole sensor:
-
-1. rows are grouped by ``(sensor, time bucket)`` and counted (partial
-   aggregation, small result); the bucket width adapts per sensor so that
-   no bucket holds more than ``bucket_rows`` rows (:func:`bucket_widths`);
-2. a window over the bucket counts of each sensor (one row per bucket, bounded
-   by time span / bucket width, not by data volume) gives each bucket's offset;
-3. ``row_number`` inside ``(sensor, bucket)`` plus the offset is the position.
-
-Rows are then cut into chunks of ``chunk_rows`` consecutive positions; every
-later window runs per ``(sensor, chunk)``. Whatever must cross a chunk edge
-(nearest observed value before/after, a neighbour row) is carried by a small
-per-chunk summary table, a window over that table, and a join back on
-``(sensor, chunk)`` — the big side keeps its partitioning, only the summary
-moves.
+Readings are numbered in ``(sensor, ts, seq)`` order *without* a window over a sensor:
+
+1. rows are dealt by range of the whole order key, so a partition holds a stretch of
+   rows in order, wherever sensors begin and end; a burst within one instant is split
+   by ``seq`` and, among equal keys, by a hash of the row;
+2. the rows of each partition are counted, and the running sum over the partitions (one
+   row each) gives a partition's offset;
+3. the place in the sorted partition plus the offset is the position.
+
+Positions are consecutive within a sensor and ascend from sensor to sensor. Rows are
+then cut into chunks of ``chunk_rows`` consecutive positions; every later window runs per
+``(sensor, chunk)``. Whatever must cross a chunk edge (nearest observed value
+before/after, a neighbour row) is carried by a small per-chunk summary table, a window
+over that table, and a join back on ``(sensor, chunk)`` — the big side keeps its
+partitioning, only the summary moves.
 """
 
 from __future__ import annotations
@@ -27,8 +26,8 @@ POS = "pos"
 CHUNK = "chunk"
 
 DEFAULT_CHUNK_ROWS = 200_000
-DEFAULT_BUCKET_SECONDS = None   # adaptive per sensor
-DEFAULT_BUCKET_ROWS = 1_000_000
+#: monotonically_increasing_id: the partition above these bits, the place in it below.
+PLACE_BITS = 33
 
 _UNB = Window.unboundedPreceding
 # Scans towards the end of a series are written as scans over the reversed
@@ -37,51 +36,46 @@ _UNB = Window.unboundedPreceding
 # incrementally (linear).
 
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
+def number_rows(df: DataFrame, key: str = KEY, order: tuple = ("ts", "seq"),
+                chunk_rows: int = DEFAULT_CHUNK_ROWS, part_rows: int | None = None) -> DataFrame:
+    """Add ``pos`` (consecutive per ``key`` in ``order``) and ``chunk``.
 
-def bucket_widths(df: DataFrame, key: str = KEY, ts: str = "ts",
-                  bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Per sensor, the time-bucket width (microseconds) used to number its rows.
+    ``order[0]`` must be the timestamp column; the rest break ties, a hash of the row
+    breaks those that remain. ``part_rows`` bounds the rows of a range partition (the
+    rows are counted first); by default there are ``spark.sql.shuffle.partitions``.
 
-    The hour is split into ``2**k`` parts, ``k`` the smallest with the sensor's
-    busiest hour under ``bucket_rows`` rows per part: a quiet sensor keeps
-    hourly buckets, a very busy one gets fine buckets. One small row per sensor.
+    The ordered rows are checkpointed: offsets and places must come from one and the same
+    deal, also when an executor is lost between the two.
     """
-    hourly = df.groupBy(key, F.floor(_micros(ts) / F.lit(3_600_000_000)).alias("_h")) \
-        .agg(F.count(F.lit(1)).alias("_n"))
-    k = F.least(F.lit(30), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_mx") / F.lit(float(bucket_rows))))))
-    return (hourly.groupBy(key).agg(F.max("_n").alias("_mx"))
-            .select(key, F.greatest(F.lit(1), (F.lit(3_600_000_000) / F.pow(F.lit(2.0), k)).cast("long"))
-                    .alias("_w")))
-
-
-def number_rows(df: DataFrame, key: str = KEY, order: tuple = ("ts", "seq"),
-                chunk_rows: int = DEFAULT_CHUNK_ROWS, bucket_seconds: int | None = None,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Add ``pos`` (1-based per ``key`` in ``order``) and ``chunk``.
-
-    ``order[0]`` must be the timestamp column; the rest break ties. With
-    ``bucket_seconds`` every sensor uses that bucket width; by default the
-    width adapts per sensor (:func:`bucket_widths`).
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if part_rows:
+        # range bounds come from a sample: twice the parts keep the larger ones within bounds
+        parts = max(parts, -(-2 * df.count() // part_rows))
+    rest = [c for c in df.columns if c not in (key, *order)]
+    by = [F.col(key), *(F.col(c) for c in order), F.xxhash64(*rest) if rest else F.lit(0)]
+    dealt = (df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+             .withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    part = F.shiftright("_id", PLACE_BITS).cast("int")
+    # one row per range partition
+    counts = sorted((r["_part"], r["_n"]) for r in dealt.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, total = [], 0
+    for at, n in counts:
+        offsets.append((at, total))
+        total += n
+    offs = F.broadcast(spark.createDataFrame(offsets, "_part int, _off long"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    df = dealt.withColumn("_part", part).join(offs, "_part").withColumn(POS, F.col("_off") + place + 1)
+    return df.withColumn(CHUNK, F.floor((F.col(POS) - 1) / F.lit(chunk_rows)).cast("long")).drop("_id", "_part", "_off")
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by ``keys`` where work per row outweighs its bytes.
+
+    Twice the shuffle partitions: a number that no exchange below has, so this one is
+    neither dropped as redundant nor merged by size into a few tasks.
     """
-    ts = order[0]
-    if bucket_seconds:
-        df = df.withColumn("_b", F.floor(_micros(ts) / F.lit(bucket_seconds * 1_000_000)))
-    else:
-        # small side: one row per sensor (broadcast by AQE when measured small,
-        # otherwise a shuffle join whose hot-sensor partition AQE splits)
-        df = df.join(bucket_widths(df, key, ts, bucket_rows), key, "inner")
-        df = df.withColumn("_b", F.floor(_micros(ts) / F.col("_w"))).drop("_w")
-    counts = df.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    wb = Window.partitionBy(key).orderBy("_b").rowsBetween(_UNB, -1)
-    offs = counts.select(key, "_b", F.coalesce(F.sum("_n").over(wb), F.lit(0)).alias("_off"))
-    df = df.join(offs, [key, "_b"], "inner")
-    wr = Window.partitionBy(key, "_b").orderBy(*order)
-    df = df.withColumn(POS, (F.col("_off") + F.row_number().over(wr)).cast("long"))
-    df = df.withColumn(CHUNK, F.floor((F.col(POS) - 1) / F.lit(chunk_rows)).cast("long"))
-    return df.drop("_b", "_off")
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def with_halo(df: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
@@ -163,24 +157,14 @@ def carry_neighbours(df: DataFrame, cols: list[str], key: str = KEY) -> DataFram
 
 
 def hour_medians(values: DataFrame, value: str, name: str, key: str = KEY, ts: str = "ts",
-                 method: str = "histogram", bounds: tuple | None = None) -> DataFrame:
+                 span: Column | None = None) -> DataFrame:
     """Exact median of ``value`` per (sensor, UTC clock hour), as one 24-entry map per sensor.
 
-    ``method='percentile'`` uses Spark's exact ``percentile`` (a value->count map
-    per group, merged map-side: memory grows with the distinct values of one
-    group); ``'histogram'`` uses :func:`exact_median` (bounded per task).
+    Values lie in ``[0, span]`` (default: the sensor's capacity); see :func:`exact_median`.
     """
-    if method == "percentile":
-        med = (values.where(F.col(value).isNotNull())
-               .groupBy(key, F.hour(ts).alias("_h"))
-               .agg(F.percentile(F.col(value), 0.5).alias("_m")))
-    else:
-        if bounds is not None:
-            vals = values.select(key, F.hour(ts).alias("_h"), value,
-                                 bounds[0].alias("_blo"), bounds[1].alias("_bhi"))
-            med = exact_median(vals, [key, "_h"], value, "_m", bounds=(F.col("_blo"), F.col("_bhi")))
-        else:
-            med = exact_median(values.select(key, F.hour(ts).alias("_h"), value), [key, "_h"], value, "_m")
+    span = F.col("capacity") if span is None else span
+    vals = values.select(key, F.hour(ts).alias("_h"), value, F.lit(0.0).alias("_least"), span.alias("_most"))
+    med = exact_median(vals, [key, "_h"], value, "_m", bounds=(F.col("_least"), F.col("_most")))
     return med.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_h", "_m"))).alias(name))
 
 
@@ -189,11 +173,12 @@ def exact_median(values: DataFrame, groups: list[str], value: str, name: str = "
     """Exact median per group without holding a group's distinct values in one task.
 
     1. count, min, max per group (partial aggregation);
-    2. a histogram of ``buckets`` equal-width bins per group (partial aggregation;
-       at most ``buckets`` rows per group);
-    3. the bins holding the two middle ranks are found with a running sum over
-       the histogram; only values of those bins are counted per distinct value,
-       and a running sum over them gives the exact middle values.
+    2. a histogram of ``buckets`` equal-width bins per group with each bin's least and
+       greatest value (partial aggregation; at most ``buckets`` rows per group);
+    3. the bins holding the two middle ranks are found with a running sum over the
+       histogram. A bin of one distinct value gives it away; only for the others the
+       values of those bins are counted per distinct value, and a running sum over them
+       gives the exact middle values.
 
     The median is ``(a + b) / 2`` of the values at ranks ``(n + 1) // 2`` and
     ``n // 2 + 1`` — the same as ``percentile(x, 0.5)``.
@@ -215,23 +200,25 @@ def exact_median(values: DataFrame, groups: list[str], value: str, name: str = "
     b = F.when(width > 0, F.least(F.lit(buckets - 1), F.greatest(F.lit(0), F.floor(
         (F.col("_x") - F.col("_lo")) / width * F.lit(buckets))))).otherwise(F.lit(0))
     vb = vb.withColumn("_b", b.cast("int")).drop("_lo", "_hi")
-    hist = vb.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    hist = vb.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_x").alias("_a"), F.max("_x").alias("_z"))
     wg = Window.partitionBy(*groups).orderBy("_b")
     hist = (hist.withColumn("_cum", F.sum("_c").over(wg.rowsBetween(_UNB, 0)))
             .withColumn("_n", F.sum("_c").over(Window.partitionBy(*groups))))
     r1 = F.floor((F.col("_n") + 1) / 2)
     r2 = F.floor(F.col("_n") / 2) + 1
     prev = F.col("_cum") - F.col("_c")
-    targets = (hist.select(*groups, "_b", F.explode(F.array(
-        F.when((prev < r1) & (r1 <= F.col("_cum")), F.struct(F.lit(1).alias("k"), (r1 - prev).alias("r"))),
-        F.when((prev < r2) & (r2 <= F.col("_cum")), F.struct(F.lit(2).alias("k"), (r2 - prev).alias("r"))),
-    )).alias("_t")).where(F.col("_t").isNotNull()).select(*groups, "_b", "_t.k", "_t.r"))
-    need = targets.select(*groups, "_b").distinct()
-    dist = vb.join(need, groups + ["_b"], "left_semi").groupBy(*groups, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    wv = Window.partitionBy(*groups, "_b").orderBy("_x")
-    dist = dist.withColumn("_cum", F.sum("_c").over(wv.rowsBetween(_UNB, 0)))
-    picked = (dist.join(targets, groups + ["_b"])
-              .where((F.col("_cum") - F.col("_c") < F.col("r")) & (F.col("r") <= F.col("_cum"))))
+    holds = [F.when((prev < r) & (r <= F.col("_cum")), F.struct(F.lit(k).alias("k"), (r - prev).alias("r"))) for k, r in ((1, r1), (2, r2))]
+    targets = (hist.select(*groups, "_b", "_a", "_z", F.explode(F.array(*holds)).alias("_t")).where(F.col("_t").isNotNull())
+               .select(*groups, "_b", "_a", "_z", "_t.k", "_t.r").checkpoint(eager=True))
+    picked = targets.where("_a = _z").select(*groups, "k", F.col("_a").alias("_x"))
+    open_ = targets.where("_a < _z").select(*groups, "_b", "k", "r")
+    if open_.take(1):
+        need = open_.select(*groups, "_b").distinct()
+        dist = vb.join(need, groups + ["_b"], "left_semi").groupBy(*groups, "_b", "_x").agg(F.count(F.lit(1)).alias("_c"))
+        wv = Window.partitionBy(*groups, "_b").orderBy("_x")
+        dist = dist.withColumn("_cum", F.sum("_c").over(wv.rowsBetween(_UNB, 0)))
+        picked = picked.unionByName(dist.join(open_, groups + ["_b"])
+                                    .where((F.col("_cum") - F.col("_c") < F.col("r")) & (F.col("r") <= F.col("_cum"))).select(*groups, "k", "_x"))
     out = picked.groupBy(*groups).agg(F.max(F.when(F.col("k") == 1, F.col("_x"))).alias("_a"),
                                       F.max(F.when(F.col("k") == 2, F.col("_x"))).alias("_z"))
     return out.select(*groups, ((F.col("_a") + F.col("_z")) / F.lit(2.0)).alias(name))

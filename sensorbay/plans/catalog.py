@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators import clean as CL
 from ..operators import resample as RS
@@ -249,10 +249,10 @@ def q_range_scan(spark, sf):
 
 @register("lookback_scan", f"""WITH {O.readings_cte('user')}
 SELECT sensor_id, ts, seq, people FROM readings
-WHERE ts >= TIMESTAMP '{NOW.replace('T', ' ')}' - INTERVAL 35 DAY AND ts < TIMESTAMP '{NOW.replace('T', ' ')}'""")
+WHERE ts >= TIMESTAMP '2024-01-15 06:30:00' AND ts < TIMESTAMP '2024-01-25 06:30:00'""")
 def q_lookback_scan(spark, sf):
-    """Relative lookback (``35d``) from a fixed ``now``, all sensors at once."""
-    ev = T.scan_lookback(_events(spark, sf), NOW, "35d")
+    """Relative lookback (``10d``) from a fixed ``now`` inside the data, so both ends cut."""
+    ev = T.scan_lookback(_events(spark, sf), "2024-01-25T06:30:00", "10d")
     return T.readings_from_events(ev, "user")
 
 
@@ -369,8 +369,17 @@ def _grid(spark, sf):
     return DC.prepare_grid(_history(spark, sf))
 
 
-def _classical_sql() -> str:
-    half = C.STL_PERIOD // 2
+_GRID_CTES = f"""cb AS (SELECT sensor_id, min(ds) AS a, max(ds) AS z FROM hist GROUP BY ALL),
+cg0 AS (SELECT sensor_id, unnest(generate_series(a, z, INTERVAL 1 HOUR)) AS ds FROM cb),
+cg1 AS (SELECT cg0.sensor_id, cg0.ds, h.y FROM cg0 LEFT JOIN hist h ON cg0.sensor_id = h.sensor_id AND cg0.ds = h.ds),
+cg2 AS (SELECT sensor_id, ds, coalesce(
+  last_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS y FROM cg1),
+grid AS (SELECT * FROM cg2 WHERE sensor_id IN (SELECT sensor_id FROM cg2 GROUP BY ALL HAVING count(*) >= 48))"""
+
+
+def _classical_sql(where: str = "") -> str:
+    half = 12
     w = "OVER (PARTITION BY sensor_id ORDER BY ds)"
     terms = [f"lag(y, {half}) {w} * 0.5"]
     for k in range(half - 1, -half, -1):
@@ -379,15 +388,8 @@ def _classical_sql() -> str:
     tot = terms[0]
     for t in terms[1:]:
         tot = f"({tot} + {t})"
-    return f"""{_HIST},
-cb AS (SELECT sensor_id, min(ds) AS a, max(ds) AS z FROM hist GROUP BY ALL),
-cg0 AS (SELECT sensor_id, unnest(generate_series(a, z, INTERVAL 1 HOUR)) AS ds FROM cb),
-cg1 AS (SELECT cg0.sensor_id, cg0.ds, h.y FROM cg0 LEFT JOIN hist h ON cg0.sensor_id = h.sensor_id AND cg0.ds = h.ds),
-cg2 AS (SELECT sensor_id, ds, coalesce(
-  last_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-  first_value(y IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY ds ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS y FROM cg1),
-grid AS (SELECT * FROM cg2 WHERE sensor_id IN (SELECT sensor_id FROM cg2 GROUP BY ALL HAVING count(*) >= {C.MIN_STL_HOURS})),
-ctr AS (SELECT *, {tot} / {float(C.STL_PERIOD)} AS trend FROM grid),
+    return f"""WITH {O.clean_ctes('type')}, {O.hist_cte(where=where)}, {_GRID_CTES},
+ctr AS (SELECT *, {tot} / 24.0 AS trend FROM grid),
 idx0 AS (SELECT sensor_id, hour(ds) AS hod, avg(y - trend) AS s FROM ctr WHERE trend IS NOT NULL GROUP BY ALL),
 idx AS (SELECT sensor_id, hod, s - avg(s) OVER (PARTITION BY sensor_id) AS seasonal FROM idx0)
 SELECT ctr.sensor_id, ds, round(y, 6) AS y, round(trend, 6) AS trend, round(seasonal, 6) AS seasonal,
@@ -395,16 +397,56 @@ SELECT ctr.sensor_id, ds, round(y, 6) AS y, round(trend, 6) AS trend, round(seas
 FROM ctr LEFT JOIN idx ON ctr.sensor_id = idx.sensor_id AND hour(ctr.ds) = idx.hod"""
 
 
+def _stl_sql() -> str:
+    """STL as joins of every point with its window, the weights by formula in SQL; five passes unrolled."""
+    def weights(name: str, keys: str, at: str, src: str, length: str) -> str:
+        """Weights of the values ``lo..hi`` at ``at``; ``extra`` is the reach beyond a short series."""
+        return f"""{name}_r AS MATERIALIZED (SELECT {keys}, {at} AS x0, {length} AS len, j, CASE WHEN abs(j - {at}) > 0.999 * h THEN 0.0
+     WHEN abs(j - {at}) <= 0.001 * h THEN 1.0 ELSE pow(1.0 - pow(abs(j - {at}) / h, 3), 3) END AS raw
+   FROM (SELECT *, greatest({at} - lo, hi - {at}) + extra AS h, unnest(generate_series(lo, hi)) AS j FROM {src})),
+{name}_m AS (SELECT *, raw / sum(raw) OVER p AS w, sum(raw * j) OVER p / sum(raw) OVER p AS m FROM {name}_r WINDOW p AS (PARTITION BY {keys}, x0)),
+{name}_v AS (SELECT *, sum(w * (j - m) * (j - m)) OVER (PARTITION BY {keys}, x0) AS v FROM {name}_m),
+{name} AS MATERIALIZED (SELECT {keys}, x0, j, CASE WHEN sqrt(v) > 0.001 * (len - 1) THEN w * ((x0 - m) / v * (j - m) + 1.0) ELSE w END AS w FROM {name}_v)"""
+
+    parts = [f"""{_HIST}, {_GRID_CTES},
+sp AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ds) AS i, count(*) OVER (PARTITION BY sensor_id) AS n FROM grid),
+sub AS (SELECT sensor_id, (i - 1) % 24 AS ph, count(*) AS k FROM sp GROUP BY ALL),
+sw AS (SELECT *, greatest(1, least(c - 6, k - 12)) AS lo, least(k, greatest(1, least(c - 6, k - 12)) + 12) AS hi,
+   CASE WHEN k < 13 THEN (13 - k) // 2 ELSE 0 END AS extra FROM (SELECT *, unnest(generate_series(0, k + 1)) AS c FROM sub)),
+{weights('wseas', 'sensor_id, ph', 'c', 'sw', 'k')}"""]
+    for name, half in (("wlow", 12), ("wtrend", 20)):
+        src = f"(SELECT *, greatest(1, least(i - {half}, n - {2 * half})) AS lo, greatest(1, least(i - {half}, n - {2 * half})) + {2 * half} AS hi, 0 AS extra FROM sp)"
+        parts.append(weights(name, "sensor_id", "i", src, "n"))
+    parts.append("zt0 AS (SELECT sensor_id, i, 0.0 AS t FROM sp)")
+    for p in range(5):
+        avg = "OVER (PARTITION BY sensor_id ORDER BY i ROWS BETWEEN {} PRECEDING AND {} FOLLOWING)"
+        parts.append(f"""zd{p} AS MATERIALIZED (SELECT sp.sensor_id, (sp.i - 1) % 24 AS ph, (sp.i - 1) // 24 + 1 AS j, y - t AS d
+   FROM sp JOIN zt{p} t ON sp.sensor_id = t.sensor_id AND sp.i = t.i),
+zc{p} AS MATERIALIZED (SELECT w.sensor_id, (w.x0 - 1) * 24 + w.ph + 1 AS i, sum(w.w * d.d) AS c FROM wseas w
+   JOIN zd{p} d ON w.sensor_id = d.sensor_id AND w.ph = d.ph AND w.j = d.j GROUP BY w.sensor_id, w.x0, w.ph),
+ze{p} AS (SELECT sensor_id, i, avg(c) {avg.format(12, 11)} AS c FROM zc{p}),
+zf{p} AS (SELECT sensor_id, i, avg(c) {avg.format(11, 12)} AS c FROM ze{p}),
+zg{p} AS MATERIALIZED (SELECT sensor_id, i, avg(c) {avg.format(1, 1)} AS c FROM zf{p}),
+zl{p} AS (SELECT w.sensor_id, w.x0 AS i, sum(w.w * g.c) AS low FROM wlow w JOIN zg{p} g ON w.sensor_id = g.sensor_id AND w.j = g.i GROUP BY w.sensor_id, w.x0),
+zs{p} AS MATERIALIZED (SELECT l.sensor_id, l.i, c.c - l.low AS s, sp.y - (c.c - l.low) AS rest FROM zl{p} l
+   JOIN zc{p} c ON l.sensor_id = c.sensor_id AND l.i = c.i JOIN sp ON l.sensor_id = sp.sensor_id AND l.i = sp.i),
+zt{p + 1} AS MATERIALIZED (SELECT w.sensor_id, w.x0 AS i, sum(w.w * s.rest) AS t FROM wtrend w
+   JOIN zs{p} s ON w.sensor_id = s.sensor_id AND w.j = s.i GROUP BY w.sensor_id, w.x0)""")
+    return ",\n".join(parts) + """
+SELECT sp.sensor_id, sp.ds, round(y, 6) AS y, round(t, 6) AS trend, round(s, 6) AS seasonal, round(y - t - s, 6) AS residual
+FROM sp JOIN zt5 t ON sp.sensor_id = t.sensor_id AND sp.i = t.i JOIN zs4 s ON sp.sensor_id = s.sensor_id AND sp.i = s.i"""
+
+
 @register("classical_decompose", _classical_sql())
 def q_classical_decompose(spark, sf):
     """M7: 2x24 centred moving-average trend, clock-hour seasonal indices, residual."""
     return _round(DC.classical_decompose(_grid(spark, sf)), ["y", "trend", "seasonal", "residual"])
 
 
-@register("stl")
+@register("stl", _stl_sql())
 def q_stl(spark, sf):
-    """M6: STL(period 24, seasonal 13) per sensor on the filled hourly grid (rows-only check)."""
-    return DC.stl_decompose(_grid(spark, sf))
+    """M6: STL(period 24, seasonal 13) per sensor on the filled hourly grid."""
+    return _round(DC.stl_decompose(_grid(spark, sf)), ["y", "trend", "seasonal", "residual"])
 
 
 @register("logistic_forecast")
@@ -413,6 +455,35 @@ def q_logistic_forecast(spark, sf):
     return FC.run_forecast(_history(spark, sf), model="logistic")
 
 
+@register("forecast_checks", f"""{_HIST}
+SELECT h.sensor_id, count(*) AS n_hours, CASE WHEN count(*) >= 168 THEN 'ok' ELSE 'too_short' END AS status,
+  CASE WHEN count(*) >= 168 THEN 168 ELSE 0 END AS n_forecast,
+  CASE WHEN count(*) >= 168 THEN max(ds) + INTERVAL 1 HOUR END AS first_ds,
+  CASE WHEN count(*) >= 168 THEN max(ds) + INTERVAL 168 HOUR END AS last_ds,
+  CASE WHEN count(*) >= 168 THEN true END AS hourly, CASE WHEN count(*) >= 168 THEN true END AS ordered,
+  CASE WHEN count(*) >= 168 THEN true END AS widens, CASE WHEN count(*) >= 168 THEN true END AS near_history
+FROM hist h GROUP BY h.sensor_id""")
+def q_forecast_checks(spark, sf):
+    """M1 + M3 by what must hold of every sensor: the fit converged; 168 hourly rows follow its last
+    label; 0 <= lower <= yhat <= upper; the interval of the last day is no narrower than nine tenths
+    of the first day's; the forecast's mean lies within half the capacity of the history's."""
+    h = _history(spark, sf)
+    mean = h.groupBy("sensor_id").agg(F.avg("y").alias("_mean"))
+    fc = FC.forecast_told(h, model="logistic")
+    first = F.min("ds").over(Window.partitionBy("sensor_id"))
+    step = F.floor((F.unix_timestamp(F.col("ds").cast("timestamp")) - F.unix_timestamp(first.cast("timestamp"))) / 3600)
+    width = F.col("yhat_upper") - F.col("yhat_lower")
+    return (fc.withColumn("_k", step).groupBy("sensor_id").agg(
+        F.max("n_hours").alias("n_hours"), F.min("status").alias("status"), F.count("ds").alias("n_forecast"),
+        F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"), (F.count_distinct("_k") == F.max("_k") + 1).alias("_steps"),
+        F.min((F.col("yhat_lower") >= 0) & (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).alias("ordered"),
+        (F.avg(F.when(F.col("_k") >= 144, width)) >= 0.9 * F.avg(F.when(F.col("_k") < 24, width))).alias("widens"),
+        F.avg("yhat").alias("_fc")).join(mean, "sensor_id")
+        .select("sensor_id", "n_hours", "status", "n_forecast", "first_ds", "last_ds",
+                F.when(F.col("n_forecast") > 0, F.col("_steps")).alias("hourly"), "ordered", "widens",
+                (F.abs(F.col("_fc") - F.col("_mean")) <= 30).alias("near_history")))
+
+
 # --------------------------------------------------------------------------- store
 from ..sinks import store as ST  # noqa: E402
 

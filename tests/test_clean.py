@@ -200,23 +200,56 @@ def test_regular_hourly_series_against_block_loop(spark):
         assert got[k] == brute_clean(t, v), k
 
 
-def test_fold_medians_against_plain_lists():
-    import numpy as np
+def _plain_fold(rows, gaps):
+    """Median per gap over plain lists; rows are [gap, value]."""
+    out = {}
+    for g in gaps:
+        have = sorted(v for _, v in rows if not np.isnan(v))
+        out[g] = (have[(len(have) - 1) // 2] + have[len(have) // 2]) / 2 if have else np.nan
+        for r in rows:
+            if r[0] == g:
+                r[1] = out[g]
+    return out
+
+
+@pytest.mark.parametrize("width", [0.0, 0.5, 2.0, 100.0])
+def test_fold_bins_against_plain_lists(width):
+    """Exact bins give the medians; wide bins either the same or windows that hold them."""
+    from sensorbay.operators import medians as M
     rng = np.random.default_rng(4)
+    told = 0
     for _ in range(200):
         n = int(rng.integers(1, 30))
-        values = np.where(rng.random(n) < 0.1, np.nan, rng.integers(0, 6, n) / 2)
+        values = np.where(rng.random(n) < 0.1, np.nan, rng.integers(0, 12, n) / 2)
         gaps, counts = rng.integers(0, 4, n), rng.integers(1, 4, n)
         values[(gaps == 0) & np.isnan(values)] = 1.0
-        got = CL.fold_medians(values, counts, gaps)
-        rows = [[g, v] for g, v, c in zip(gaps, values, counts) for _ in range(c)]
-        for g in sorted(set(gaps) - {0}):
-            have = sorted(v for _, v in rows if not np.isnan(v))
-            m = (have[(len(have) - 1) // 2] + have[len(have) // 2]) / 2 if have else np.nan
-            assert got[g] == m or (np.isnan(m) and np.isnan(got[g]))
-            for r in rows:
-                if r[0] == g:
-                    r[1] = m
+        names = sorted(set(gaps) - {0})
+        number = np.array([names.index(g) + 1 if g else 0 for g in gaps])
+        rows = np.bincount(number, weights=counts, minlength=len(names) + 1)[1:]
+        plain = _plain_fold([[g, v] for g, v, c in zip(gaps, values, counts) for _ in range(c)], names)
+        bins = {}
+        for g, v, c in zip(number, values, counts):
+            if not np.isnan(v):
+                b = bins.setdefault((g, v // width if width else v), [v, v, 0])
+                b[0], b[1], b[2] = min(b[0], v), max(b[1], v), b[2] + c
+        cols = [np.array([b[i] for b in bins.values()], float if i < 2 else np.int64) for i in range(3)]
+        got, windows = M.fold_bins(*cols, np.array([g for g, _ in bins], np.int64), rows)
+        if not windows:
+            told += 1
+            assert [(x if not np.isnan(x) else None) for x in got] == [(plain[g] if not np.isnan(plain[g]) else None) for g in names]
+    assert told == 200 if width in (0.0, 0.5) else 0 < told
+
+
+@pytest.mark.parametrize("bins", [1, 3, 4_096])
+def test_late_medians_refine_their_windows(spark, monkeypatch, bins):
+    """However coarse the bins are, the medians of late gaps are exact, and no group is seen whole with fine ones."""
+    from sensorbay.operators import medians as M
+    monkeypatch.setattr(M, "BINS", bins)
+    rng = random.Random(23)
+    series = {f"s{i}": _random_series(rng, 150) for i in range(6)}
+    got = run(spark, {k: list(zip(t, v)) for k, (t, v) in series.items()})
+    for k, (t, v) in series.items():
+        assert got[k] == brute_clean(t, v), k
 
 
 def test_chunked_equals_plain(spark):
@@ -224,7 +257,7 @@ def test_chunked_equals_plain(spark):
     series = {f"s{i}": _random_series(rng, rng.randint(50, 200)) for i in range(6)}
     s = {k: list(zip(t, v)) for k, (t, v) in series.items()}
     plain = CL.clean(readings(spark, s)).orderBy("sensor_id", "ts").collect()
-    chunked = CL.clean(readings(spark, s), chunk_rows=13, bucket_seconds=3 * 3600).orderBy("sensor_id", "ts").collect()
+    chunked = CL.clean(readings(spark, s), chunk_rows=13, part_rows=40).orderBy("sensor_id", "ts").collect()
     assert plain == chunked
 
 
@@ -237,28 +270,38 @@ def test_properties_on_events(spark):
     assert bad == 0
 
 
-def test_number_rows_adaptive_buckets(spark):
+def test_number_rows(spark):
     from pyspark.sql import Window
 
     from sensorbay.operators import series as S
     rng = random.Random(3)
     series = {f"s{i}": _random_series(rng, rng.randint(30, 90)) for i in range(4)}
     df = readings(spark, {k: list(zip(t, v)) for k, (t, v) in series.items()})
-    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("sensor_id").orderBy("ts", "seq")))
-    for kw in ({"bucket_rows": 2}, {"bucket_rows": 1_000_000}, {"bucket_seconds": 600}):
+    exp = df.withColumn("pos", F.row_number().over(Window.partitionBy("sensor_id").orderBy("ts", "seq")).cast("long"))
+    for kw in ({"part_rows": 2}, {"part_rows": 1_000_000}, {}):
         got = S.number_rows(df, chunk_rows=7, **kw)
+        got = got.withColumn("pos", F.col("pos") - F.min("pos").over(Window.partitionBy("sensor_id")) + 1)
         assert sorted(got.select("sensor_id", "seq", "pos").collect()) == \
             sorted(exp.select("sensor_id", "seq", "pos").collect())
-    w = S.bucket_widths(df, bucket_rows=2).collect()
-    assert all(r["_w"] <= 3_600_000_000 for r in w)
 
 
-def test_chunked_fine_buckets_equal_plain(spark):
+def test_a_burst_within_one_instant_is_split(spark):
+    """4,000 rows of one sensor at one time stay within a bound of 100 rows a task, with or without a tie-break."""
+    from sensorbay.operators import series as S
+    rows = [("x", dt.datetime(2024, 1, 1), i, float(i % 50)) for i in range(4_000)]
+    df = spark.createDataFrame(rows, "sensor_id string, ts timestamp_ntz, seq long, people double")
+    for order in (("ts", "seq"), ("ts",)):
+        got = S.number_rows(df, order=order, part_rows=100)
+        assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) <= 100
+        assert sorted(r["pos"] for r in got.select("pos").collect()) == list(range(1, 4_001))
+
+
+def test_chunked_small_parts_equal_plain(spark):
     rng = random.Random(5)
     series = {f"s{i}": _random_series(rng, rng.randint(50, 120)) for i in range(4)}
     s = {k: list(zip(t, v)) for k, (t, v) in series.items()}
     plain = CL.clean(readings(spark, s)).orderBy("sensor_id", "ts").collect()
-    fine = CL.clean(readings(spark, s), chunk_rows=11, bucket_rows=2).orderBy("sensor_id", "ts").collect()
+    fine = CL.clean(readings(spark, s), chunk_rows=11, part_rows=3).orderBy("sensor_id", "ts").collect()
     assert plain == fine
 
 
@@ -293,7 +336,7 @@ def test_merged_stage0_equals_stepwise(spark):
     series = {f"s{i}": _random_series(rng, rng.randint(20, 120)) for i in range(8)}
     series["allnull"] = (series["s0"][0][:10], [None] * 10)
     df = readings(spark, {k: list(zip(t, v)) for k, (t, v) in series.items()})
-    base = CL.hampel(S.number_rows(CL.cap_values(df, "people", "v0"), chunk_rows=11, bucket_rows=3),
+    base = CL.hampel(S.number_rows(CL.cap_values(df, "people", "v0"), chunk_rows=11, part_rows=9),
                      "v0", "v1", chunk_rows=11).checkpoint()
     cols = ["sensor_id", "pos", "gap_class", "gap_start", "gap_end", "_f", "s0"]
     merged = CL.classify_stage0(base).select(*cols).collect()
@@ -308,7 +351,7 @@ def test_merged_fill_smooth_equals_stepwise(spark):
     series["allnull"] = (series["s0"][0][:12], [None] * 12)
     series["one"] = (series["s1"][0][:1], [4.5])
     df = readings(spark, {k: list(zip(t, v)) for k, (t, v) in series.items()})
-    base = S.number_rows(df.withColumn("v2", F.col("people")), chunk_rows=11, bucket_rows=3).repartition("sensor_id", "chunk")
+    base = S.number_rows(df.withColumn("v2", F.col("people")), chunk_rows=11, part_rows=9).repartition("sensor_id", "chunk")
     names = list(series)
     merged = CL.fill_and_smooth(base, "v2", "v3", "p", smooth_sensors=names).select("sensor_id", "pos", "v3", "p")
     stepwise = CL.smooth_round(CL.edge_fill(base, "v2", "v3"), "v3", "p", smooth_sensors=names) \

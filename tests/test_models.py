@@ -68,29 +68,109 @@ def test_guard(spark):
     assert all(r.n_hours == 100 and r.ok_accuracy and not r.ok_forecast for r in g)
 
 
-def test_vectorised_loess_equals_pointwise():
+def _local_fit(y, at, span):
+    """Tricube-weighted least-squares line through the span values nearest to ``at``, read off there."""
+    n = len(y)
+    left = 1 if span >= n else min(max(1, at - (span - 1) // 2), n - span + 1)
+    j = np.arange(left, left + min(span, n), dtype=float)
+    reach = max(at - j[0], j[-1] - at) + max(span - n, 0) // 2
+    d = np.abs(j - at)
+    w = np.where(d > 0.999 * reach, 0, np.where(d <= 0.001 * reach, 1, (1 - (d / max(reach, 1e-9)) ** 3) ** 3))
+    if (w > 0).sum() < 2:
+        return float((w * y[j.astype(int) - 1]).sum() / w.sum())
+    a = np.vstack([np.ones(len(j)), j - at]).T * np.sqrt(w)[:, None]
+    return float(np.linalg.lstsq(a, y[j.astype(int) - 1] * np.sqrt(w), rcond=None)[0][0])
+
+
+def test_loess_weights_are_local_lines():
     rng = np.random.default_rng(3)
-
-    def pointwise(y, span, deg):
-        n = len(y)
-        out = np.empty(n)
-        if span >= n:
-            for i in range(1, n + 1):
-                v = DC._est(y, n, span, deg, float(i), 1, n)
-                out[i - 1] = y[i - 1] if v is None else v
-            return out
-        nsh, nleft, nright = (span + 1) // 2, 1, span
-        for i in range(1, n + 1):
-            if i > nsh and nright != n:
-                nleft, nright = nleft + 1, nright + 1
-            v = DC._est(y, n, span, deg, float(i), nleft, nright)
-            out[i - 1] = y[i - 1] if v is None else v
-        return out
-    for n in (2, 3, 7, 30, 100):
-        y = rng.normal(size=n)
-        for span in (3, 13, 25, 41, 151):
-            for deg in (0, 1):
-                assert np.allclose(DC._loess(y, span, deg), pointwise(y, span, deg), rtol=1e-12, atol=1e-12)
+    for span, outside in ((3, 0), (13, 1), (25, 0), (41, 0)):
+        for n, places in DC.loess_table(span, 2, outside).items():
+            y = rng.normal(size=n)
+            for at, (sloped, flat, _) in enumerate(places, 1 - outside):
+                assert abs(np.dot(sloped, y) - _local_fit(y, at, span)) < 1e-9
+                assert abs(sum(flat) - 1) < 1e-12
+
+
+def _plain_stl(y, period=24, seasonal=13, trend=41, low=25, passes=5):
+    n, t = len(y), np.zeros(len(y))
+    for _ in range(passes):
+        d, c = y - t, np.empty(n + 2 * period)
+        for j in range(period):
+            sub = d[j::period]
+            c[j::period] = [_local_fit(sub, at, seasonal) for at in range(len(sub) + 2)]
+        m = c
+        for width in (period, period, 3):
+            m = np.convolve(m, np.ones(width) / width, "valid")
+        s = c[period:period + n] - [_local_fit(m, i, low) for i in range(1, n + 1)]
+        t = np.array([_local_fit(y - s, i, trend) for i in range(1, n + 1)])
+    return t, s
+
+
+def test_stl_against_plain_loops(spark):
+    """Sensors of very different lengths in one job, the shortest with two cycles."""
+    rng = np.random.default_rng(8)
+    t0 = dt.datetime(2024, 1, 1, 1)
+    data = {f"s{n}": 20 + 10 * np.sin(np.arange(n) * 2 * np.pi / 24) + rng.normal(0, 3, n) for n in (48, 61, 24 * 9 + 5, 24 * 16)}
+    rows = [(s, t0 + dt.timedelta(hours=i), float(v)) for s, y in data.items() for i, v in enumerate(y)]
+    g = spark.createDataFrame(rows, "sensor_id string, ds timestamp_ntz, y double")
+    out = DC.stl_decompose(g)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = out.toPandas().sort_values("ds")
+    for s, y in data.items():
+        mine, (t, season) = got[got["sensor_id"] == s], _plain_stl(y)
+        assert len(mine) == len(y)
+        assert np.allclose(mine["trend"], t, atol=1e-8) and np.allclose(mine["seasonal"], season, atol=1e-8)
+
+
+def _bending(n=24 * 40):
+    """A rate that changes every few days, far from the capacity."""
+    rng = np.random.default_rng(1)
+    level = 30 + np.cumsum(np.repeat(rng.normal(0, 0.05, n // 96), 96))
+    return np.clip(level + 4 * np.sin(np.arange(n) * 2 * np.pi / 24) + rng.normal(0, 0.3, n), 0, 60)
+
+
+def test_curve_jacobian_and_convergence():
+    seconds = np.arange(24 * 40) * 3600.0
+    c = FC.BoundedCurve(seconds, _bending(), 60.0)
+    start = c.objective(c.theta)
+    c.fit()
+    assert c.status == "ok" and c.objective(c.theta) < start
+    # at the minimum no single coefficient lowers the objective
+    for j in range(len(c.theta)):
+        for e in (-1e-3, 1e-3):
+            moved = c.theta.copy()
+            moved[j] += e
+            assert c.objective(moved) > c.objective(c.theta) - 1e-3
+    assert FC.BoundedCurve(seconds, _bending(), 60.0).fit(iterations=2).status == "not_converged"
+
+
+def test_interval_grows_with_the_horizon_and_repeats():
+    seconds = np.arange(24 * 40) * 3600.0
+    c = FC.BoundedCurve(seconds, _bending(), 60.0).fit()
+    future = seconds[-1] + 3600.0 * np.arange(1, 169)
+    mean, low, high = c.forecast(future, seed=7)
+    width = high - low
+    assert width[-24:].mean() > 1.5 * width[:24].mean()
+    assert ((low <= mean) & (mean <= high)).all()
+    again = c.forecast(future, seed=7)
+    assert np.array_equal(low, again[1]) and np.array_equal(high, again[2])
+    assert not np.array_equal(low, c.forecast(future, seed=8)[1])
+
+
+def test_status_tells_a_fit_that_did_not_converge(spark):
+    h = _series(spark, n=24 * 10, sensors=("a", "b"))
+    _, status = FC.forecast_with_status(h, "logistic", periods=5, min_hours=48, iterations=1)
+    assert {r.status for r in status.collect()} == {"not_converged"}
+    _, status = FC.forecast_with_status(h, "logistic", periods=5, min_hours=48, capacity={"a": 0})
+    assert {(r.sensor_id, r.status) for r in status.collect()} == {("a", "error: ValueError"), ("b", "ok")}
+
+
+def test_accuracy_uses_the_callers_capacity(spark):
+    h = _series(spark, n=24 * 12, sensors=("a",))
+    readings = h.select("sensor_id", (F.col("ds") - F.expr("INTERVAL 30 MINUTES")).alias("ts"), F.col("y").alias("people"))
+    out = [EV.accuracy_at_cutoff(h, readings, "2024-01-10", 2, model="logistic", capacity=c)[0].first() for c in (None, {"a": 4_000})]
+    assert out[0]["n_points"] == out[1]["n_points"] and out[0]["MAE"] != out[1]["MAE"]
 
 
 def test_failed_sensors_give_a_status_and_no_zeros(spark):
