@@ -86,6 +86,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             p.getFileSystem(conf).delete(p, True)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows of a Python batch for the jobs run inside: fewer where a row is large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession, rows: int, rows_per_part: int) -> int:
     """Enough parts for ``rows_per_part`` rows each, and no fewer than a shuffle has."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_part), 1)

@@ -21,12 +21,15 @@ not among them stays rare and is joined like any other token.
 Joining without all pairs. Members of a signature with at most ``SMALL`` of them are
 paired. Larger ones are first compared with one member, the star's centre, under
 ``ROUNDS`` centres: only components are asked for, so members that came together need
-no further pair. What is still apart after that is compared pair by pair, so no link
-between different components is lost. A signature with more
+no further pair. What is still apart after that is compared in blocks: a signature's
+members, with their sizes and token histograms (a byte for about four tokens), are dealt
+over blocks of ``BLOCK`` nodes; a task holds two blocks, goes through the pairs whose
+sizes allow a link, and gives on only those whose histograms do. So no link between
+different components is lost, and no join makes a row per pair. A signature with more
 than ``HOT`` members in a task is settled there (its first member goes on to the
-shuffle, the others beside it), so no reducer gets a whole hot signature. Pairs whose
-sizes or token histograms (a byte for about four tokens) rule a link out are dropped;
-the rest is verified on whole token sets, made for the nodes of such pairs only.
+shuffle, the others beside it), so no reducer gets a whole hot signature. What sizes and
+histograms leave possible is verified on whole token sets, made for the nodes of such
+pairs only.
 
 Defined cases: NULL or blank text has an empty set, 0 shingles and its own component;
 texts of one to four words are one token; repeated ids give a row each with the same
@@ -44,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorbay.llm.common import ascii_lower, scratch, stage, words
+from sensorbay.llm.common import ascii_lower, batch_rows, scratch, stage, words
 from sensorbay.llm.substrings import GROUP_WORDS, Hashes, mix
 
 SHINGLE = 5
@@ -57,6 +60,10 @@ TOKEN_BYTES = 5
 SIGNED = "key long, node long, sig long"
 SURVEY = "doc_id long, node long, n int, histogram binary, token long, df long"
 SMALL = 16
+#: Nodes of a signature that one task compares with as many others.
+BLOCK = 1_024
+#: Rows a Python batch takes: of documents, of pairs of histograms, of pairs of whole sets.
+DOC_ROWS, HISTOGRAM_ROWS, SET_ROWS = 2_000, 4_000, 256
 
 
 def word_hashes(text_col: str) -> Column:
@@ -270,6 +277,75 @@ def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(near).where(may("na", "nb", "ha", "hb")).select("a", "b")
 
 
+def folded(blobs: np.ndarray, bins: int) -> np.ndarray:
+    """Histograms of equal length as rows of ``bins`` counts."""
+    h = np.frombuffer(b"".join(blobs), np.uint8).reshape(len(blobs), -1)
+    return h.astype(np.int32).reshape(len(blobs), bins, -1).sum(axis=2, dtype=np.int32) if h.shape[1] > bins else h.astype(np.int32)
+
+
+def block_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, blob: np.ndarray, side: np.ndarray, threshold: int
+                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one block (side 0 only) or between two, of different components, that sizes and histograms allow."""
+    order = np.argsort(n, kind="stable")
+    node, comp, n, blob, side = node[order], comp[order], n[order].astype(np.int64), blob[order], side[order]
+    one, two = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(n)),) * 2
+    size = np.array([0 if b is None else len(b) for b in blob])
+    at = {}  # by histogram length (0: none), the second side's places in order of size
+    for length in np.unique(size[two]):
+        at[int(length)] = two[size[two] == length]
+    table: dict[tuple[int, int], np.ndarray] = {}
+    for i in one:
+        for length, rows in at.items():
+            lo = np.searchsorted(n[rows], -(-n[i] * threshold // 100), "left")
+            hi = np.searchsorted(n[rows], n[i] * 100 // threshold, "right")
+            mine = rows[lo:hi]
+            if one is two or not side.any():
+                keep = (mine > i) & (comp[mine] != comp[i])
+            else:
+                keep = comp[mine] != comp[i]
+            if not keep.any():
+                continue
+            if length and size[i]:
+                bins = min(length, int(size[i]))
+                if (length, bins) not in table:
+                    table[length, bins] = folded(blob[rows], bins)
+                h = folded(blob[i:i + 1], bins)[0]
+                both = np.minimum(table[length, bins][lo:hi][keep], h).sum(axis=1)
+                j = mine[keep]
+                j = j[100 * both >= threshold * (n[i] + n[j] - both)]
+            else:
+                j = mine[keep]
+            if len(j):
+                yield np.full(len(j), node[i]), node[j]
+
+
+def compare_blocks(threshold: int):
+    """Sweeps rows sorted by signature and pair of blocks; holds one pair of blocks at a time."""
+    names = ["sig", "x", "y", "side", "node", "comp", "n", "histogram"]
+
+    def pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = list(block_pairs(*(rows[c] for c in ("node", "comp", "n", "histogram", "side")), threshold))
+        if found:
+            a, b = (np.concatenate(v) for v in zip(*found, strict=True))
+            a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            if rest is not None:
+                cols = {c: np.concatenate([rest[c], cols[c]]) for c in names}
+            change = np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in ("sig", "x", "y")])
+            cuts = [0, *(np.flatnonzero(change) + 1), len(cols["sig"])]
+            for lo, hi in zip(cuts[:-2], cuts[1:-1], strict=True):
+                yield from pairs({c: v[lo:hi] for c, v in cols.items()})
+            rest = {c: v[cuts[-2]:] for c, v in cols.items()}
+        if rest is not None and len(rest["sig"]):
+            yield from pairs(rest)
+    return run
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) of nodes that link."""
     @F.pandas_udf("boolean")
@@ -351,21 +427,25 @@ def link_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int, max_frequent: int, rounds: int,
           hot: int, small: int) -> DataFrame:
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     base = texts.select("doc_id", word_hashes("text"))
-    seen = stage(base.mapInArrow(survey(size), SURVEY), "jaccard-survey")
+    with batch_rows(spark, DOC_ROWS):
+        seen = stage(base.mapInArrow(survey(size), SURVEY), "jaccard-survey")
     members = seen.where("node IS NOT NULL").select("doc_id", "node", "n", "histogram")
     frequent, ranks = frequent_tokens(seen.where("token IS NOT NULL").select("token", "df"), max_frequent)
-    shared = stage(shared_signatures(base.mapInArrow(sign_sets(size, threshold, frequent, ranks, hot), SIGNED)),
-                   "jaccard-shared")
+    with batch_rows(spark, DOC_ROWS):
+        shared = stage(shared_signatures(base.mapInArrow(sign_sets(size, threshold, frequent, ranks, hot), SIGNED)),
+                       "jaccard-shared")
     labels = stage(shared.select("node").distinct().select("node", F.col("node").alias("comp")), "jaccard-nodes")
     nodes = stage(members.join(labels.select("node"), "node", "left_semi").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("histogram")), "jaccard-histograms")
 
-    def linked(pairs: DataFrame, fetched: list[DataFrame]) -> DataFrame | None:
-        """Links among the pairs (a, b); sets are made for nodes of possible pairs only, once."""
+    def linked(pairs: DataFrame, fetched: list[DataFrame], told: bool = False) -> DataFrame | None:
+        """Links among the pairs (a, b); sets are made for nodes of possible (``told``: all) pairs only, once."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stage(possible(pairs, nodes, threshold), "jaccard-pairs")
+        with batch_rows(spark, HISTOGRAM_ROWS):
+            pairs = stage(pairs if told else possible(pairs, nodes, threshold), "jaccard-pairs")
         if not pairs.take(1):
             return None
         new = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -373,35 +453,51 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
             new = new.join(done.select("node"), "node", "left_anti")
         ids = stage(nodes.select("node", "doc_id").join(new, "node", "left_semi").select("doc_id"), "jaccard-wanted")
         fresh = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("doc_id", word_hashes("text"))
-        fetched.append(stage(fresh.mapInArrow(packed_sets(size), "node long, tokens binary"), "jaccard-sets"))
+        with batch_rows(spark, DOC_ROWS):
+            fetched.append(stage(fresh.mapInArrow(packed_sets(size), "node long, tokens binary"), "jaccard-sets"))
         sets = fetched[0]
         for more in fetched[1:]:
             sets = sets.unionByName(more)
-        return stage(verified(pairs, sets, threshold).distinct(), "jaccard-links")
-
-    def pairs_of(members_: DataFrame, where: Column) -> DataFrame:
-        left = members_.select("sig", F.col("node").alias("a"), F.col("comp").alias("ca"))
-        right = members_.select("sig", F.col("node").alias("b"), F.col("comp").alias("cb"))
-        return left.join(right, "sig").where((F.col("a") < F.col("b")) & where).select("a", "b")
+        with batch_rows(spark, SET_ROWS):
+            return stage(verified(pairs, sets, threshold).distinct(), "jaccard-links")
+
+    def pairs_of(members_: DataFrame) -> DataFrame:
+        """Pairs of signatures with at most ``small`` members."""
+        left = members_.select("sig", F.col("node").alias("a"))
+        right = members_.select("sig", F.col("node").alias("b"))
+        return left.join(right, "sig").where(F.col("a") < F.col("b"))
+
+    def pairs_in_blocks(here: DataFrame) -> DataFrame:
+        """Possible pairs between different components among the members of each signature (sig, node, comp, m)."""
+        blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+        rows = here.join(nodes.select("node", "n", "histogram"), "node")
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        rows = rows.select("sig", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                           (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp", "n", "histogram")
+        parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        with batch_rows(spark, HISTOGRAM_ROWS):
+            return stage(rows.repartition(parts, "sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+                         .mapInArrow(compare_blocks(threshold), "a long, b long"), "jaccard-blocks")
 
     fetched: list[DataFrame] = []
     big = F.col("members") > small
     for k in range(rounds + 1):
         here = shared.where(big).join(labels, "node")
-        split = here.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        split = here.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
                                         F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("o"), "node", "comp")).alias("c"))
-        split = stage(split.where("lo <> hi").select("sig", "c"), "jaccard-split")
+        split = stage(split.where("lo <> hi").select("sig", "m", "c"), "jaccard-split")
         if k and not split.take(1):
             break  # every signature's members are in one component
         here = here.join(split, "sig")
         if k < rounds:
             pairs = here.where(F.col("comp") != F.col("c.comp")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
             if k == 0:
-                few = shared.where(~big).select("sig", "node", F.col("node").alias("comp"))
-                pairs = pairs.unionByName(pairs_of(few, F.lit(True)))
+                few = shared.where(~big).select("sig", "node")
+                pairs = pairs.unionByName(pairs_of(few).select("a", "b"))
         else:
-            pairs = pairs_of(stage(here.select("sig", "node", "comp"), "jaccard-apart"), F.col("ca") != F.col("cb"))
-        links = linked(pairs, fetched)
+            pairs = pairs_in_blocks(here.select("sig", "node", "comp", "m"))
+        links = linked(pairs, fetched, told=k == rounds)
         if links is not None:  # without possible pairs, other centres or the exact rest may have some
             labels = components(labels, links)
     named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

@@ -8,12 +8,16 @@ score per language is the sum over its words; ``score`` is the winner's posterio
 
 Training counts come from at most about ``MAX_TRAIN_DOCS`` labelled documents, dealt
 evenly over the languages and picked by a hash of the id; the model keeps the most
-frequent ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams, so what is shipped to the
-tasks is bounded whatever the corpus. Every document is scored over its whole text.
+frequent ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams, each with its counts in every
+language, so what is shipped to the tasks is bounded whatever the corpus; totals are
+taken over all words and n-grams of the sample. Every document is scored over its whole
+text.
 
 Defined cases: NULL text or text without letters is ``und`` with score 0; so is any
-text when nothing was learnt; ties go to the language first by code point; NULL
-labels never train; repeated ids give a row each; other columns are not read.
+text when nothing was learnt; a text whose letters say nothing (an unknown script) gets
+the language with most labelled rows and its share as score; ties go to the language
+first by code point; NULL labels never train; repeated ids give a row each; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -43,6 +47,7 @@ class LanguageModel(NamedTuple):
     word_logs: np.ndarray  # words x langs
     grams: dict[str, int]
     gram_logs: np.ndarray
+    shares: np.ndarray  # of the labelled rows, by language
 
 
 def bucket(doc_id: Column, n: int) -> Column:
@@ -67,7 +72,7 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
+        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)), np.zeros(0))
     share = {x: min(1.0, max_docs / len(langs) / sizes[x]) for x in langs}
     picked = F.create_map(*[F.lit(v) for x in langs for v in (x, int(share[x] * (1 << 30)))])[F.col("lang")]
     sample = labelled.where(F.pmod(F.xxhash64("i"), F.lit(1 << 30)) < picked)
@@ -81,19 +86,28 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
                  .select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length(ends) - (k - 1)),
                                                             lambda i, k=k: F.substr(ends, i, F.lit(k)))).alias("g")))
             grams = g if grams is None else grams.unionByName(g)
-        grams = grams.where(~F.col("g").isin("<", ">")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
+        grams = grams.where(~F.col("g").isin("", "<", ">")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
+
+        def kept(table: DataFrame, key: str, limit: int) -> pd.DataFrame:
+            """All languages' rows of the ``limit`` most frequent keys."""
+            top = (table.groupBy(key).agg(F.sum("n").alias("all")).where(F.col("all") >= MIN_WORD_COUNT)
+                   .orderBy(F.desc("all"), key).limit(limit).select(key))
+            return table.join(F.broadcast(top), key).toPandas()
+
         totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-        top = counts.where(F.col("n") >= MIN_WORD_COUNT).orderBy(F.desc("n"), "w", "lang").limit(max_words).toPandas()
-        words, word_logs = _logs(top, "w", langs, totals, max_words)
-        top = grams.where(F.col("n") >= MIN_WORD_COUNT).orderBy(F.desc("n"), "g", "lang").limit(max_grams).toPandas()
-        parts = [_logs(top[top["g"].str.len() == k], "g", langs,
-                       top[top["g"].str.len() == k].groupby("lang")["n"].sum().to_dict(), max_grams) for k in GRAM_SIZES]
+        words, word_logs = _logs(kept(counts, "w", max_words), "w", langs, totals, max_words)
+        sums: dict[int, dict] = {k: {} for k in GRAM_SIZES}
+        for r in grams.groupBy("lang", F.length("g").alias("k")).agg(F.sum("n").alias("n")).collect():
+            sums[r["k"]][r["lang"]] = r["n"]
+        top = kept(grams, "g", max_grams)
+        parts = [_logs(top[top["g"].str.len() == k], "g", langs, sums[k], max_grams) for k in GRAM_SIZES]
     finally:
         counts.unpersist()
     at: dict[str, int] = {}
     for known, _ in parts:
         at.update({g: len(at) + i for g, i in known.items()})
-    return LanguageModel(langs, words, word_logs, at, np.concatenate([m for _, m in parts]))
+    shares = np.array([sizes[x] for x in langs], float)
+    return LanguageModel(langs, words, word_logs, at, np.concatenate([m for _, m in parts]), shares / shares.sum())
 
 
 def score_text(model: LanguageModel, text: str | None, find=re.compile(LETTERS).findall) -> tuple[str, float]:
@@ -122,7 +136,8 @@ def score_text(model: LanguageModel, text: str | None, find=re.compile(LETTERS).
     if gram_ids:
         total += np.asarray(gram_weights) @ model.gram_logs[gram_ids]
     if not ids and not gram_ids:
-        return UNKNOWN, 0.0
+        best = int(model.shares.argmax())
+        return model.langs[best], float(model.shares[best])
     best = int(total.argmax())
     return model.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 

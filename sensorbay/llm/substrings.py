@@ -24,9 +24,10 @@ contexts in a task skips to step 3 and sends one mark, so a block gets a bounded
 of rows per task for any seed. Text is shuffled once, by document.
 
 Defined cases: NULL or blank text has no words, nothing removed and an empty ``kept``;
-repeated rows of one id are one document and keep or lose the same words (rows that
-share an id must share the text); a NULL id is one id, before all others; an empty
-table gives no rows; other columns are not read.
+rows that share id and text are one document and keep or lose the same words; rows that
+share an id but not the text are documents of their own, in order of a hash of the text;
+NULL ids share one id, before all others; ids are whole numbers, others a cast error; an
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -47,7 +48,6 @@ GRAM = 6
 HOT = 4
 GROUP_WORDS = 1_000_000
 GROUP_ROWS = 1_000_000
-NULL_ID = -(1 << 63)
 MULT = 0x9E3779B97F4A7C15
 FACTOR = "start:int,length:int,ref_doc:long,ref_start:int"
 SEEDS = "key long, context long, doc_id long, meta long, ref_doc long, ref_pos int"
@@ -273,6 +273,25 @@ def seed_marks(docs: DataFrame, hashed: Column, window: int, gram: int) -> DataF
     return marks
 
 
+def numbered_documents(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` (id, text, ...) with ``doc_id``, a number per (id, text) that orders by id, and the ids of the numbers.
+
+    Where ids tell texts apart the number is the id itself, and no table is needed.
+    """
+    h = F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
+    spread = rows.select("id", h.alias("h")).groupBy("id").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    if not spread.where("id IS NULL OR lo <> hi").take(1):
+        return rows.withColumn("doc_id", F.col("id")), None
+    # dealt by range and sorted: the number grows with (id, hash)
+    by = [F.col("id").asc_nulls_first(), F.col("h")]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = stage(rows.select("id", h.alias("h")).distinct().repartitionByRange(parts, *by).sortWithinPartitions(*by)
+                 .withColumn("doc_id", F.monotonically_increasing_id()), "substrings-documents")
+    named = keys.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "doc_id")
+    rows = rows.withColumn("h", h).join(named, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))).drop("_id", "_h", "h")
+    return rows, keys
+
+
 def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                      gram: int = GRAM, carry: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept (words joined by one space) and factors of every document.
@@ -280,8 +299,9 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     With ``carry`` also the whole input row, as the struct ``row``.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), whole)
-    docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *([whole] if carry else []))
+    rows, keys = numbered_documents(rows)
+    docs = rows.select("doc_id", "text")
     hashed = F.transform(words("text"), lambda w: F.xxhash64(w)).alias("h")
     # two later steps read the marks: written once, the index is shuffled once
     marks = stage(seed_marks(docs, hashed, window, gram), "substrings-marks")
@@ -295,8 +315,12 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                       F.when(F.col("known"), F.col("ref_start")).otherwise(F.col("own_start")).alias("ref_start"))
               .where((F.col("ref_doc") != F.col("doc_id")) | (F.col("ref_start") != F.col("start"))))
     copies = marks.select("doc_id", F.inline("copies"))
-    factors = copies.unionByName(single).groupBy("doc_id").agg(
-        F.collect_list(F.struct("start", "length", "ref_doc", "ref_start")).alias("found"))
+    factors = copies.unionByName(single)
+    if keys is None:
+        factors = factors.withColumn("ref_id", F.col("ref_doc"))
+    else:
+        factors = factors.join(keys.select(F.col("doc_id").alias("ref_doc"), F.col("id").alias("ref_id")), "ref_doc")
+    factors = factors.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length", "ref_doc", "ref_start", "ref_id")).alias("found"))
     find = re.compile(r"[^\x20\x09-\x0D]+").findall
 
     @F.pandas_udf(f"n_words long, n_removed long, kept string, factors array<struct<{FACTOR}>>")
@@ -310,15 +334,13 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     parsed = parse([(f["start"], f["length"], f["ref_doc"], f["ref_start"]) for f in fs], n)
                     for s, size, _, _ in reversed(parsed):
                         del own[s:s + size]
+                    ids = {f["ref_doc"]: f["ref_id"] for f in fs}
+                    parsed = [(s, size, ids[doc], ref) for s, size, doc, ref in parsed]
                 out.append((n, n - len(own), " ".join(own), parsed))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept", "factors"])
 
-    own = F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id")
-    if carry:
-        return (rows.join(factors, "doc_id", "left").select("doc_id", "row", remove(F.col(f"row.{text_col}"), "found").alias("r"))
-                .select(own, "row", "r.*"))
-    return (docs.join(factors, "doc_id", "left").select("doc_id", remove("text", "found").alias("r"))
-            .select(own, "r.*"))
+    out = rows.join(factors, "doc_id", "left").select(F.col("id").alias("doc_id"), *(["row"] if carry else []), remove("text", "found").alias("r"))
+    return out.select("doc_id", *(["row"] if carry else []), "r.*")
 
 
 ORACLE = """

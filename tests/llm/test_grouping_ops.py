@@ -173,12 +173,24 @@ def test_substrings_against_brute_force(spark, monkeypatch, hot, group):
     for r in got:  # a factor copies an earlier place
         for f in r["factors"]:
             own = texts[r["doc_id"]][f["start"]:f["start"] + f["length"]]
-            ref = None if f["ref_doc"] == substrings.NULL_ID else f["ref_doc"]
+            ref = f["ref_doc"]
             assert own == texts[ref][f["ref_start"]:f["ref_start"] + f["length"]]
             assert (ref is not None, ref or 0, f["ref_start"]) < (r["doc_id"] is not None, r["doc_id"] or 0, f["start"])
     assert substrings.dedup_substrings(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("ids, sizes", [((5, 5), (61, 30)), ((5, 5), (61, 90)), ((None, None), (61, 30)), ((None, None), (61, 90)), ((None, 3), (61, 90))])
+def test_substrings_of_rows_that_share_an_id(spark, ids, sizes):
+    """Texts of one id are documents of their own; what one loses is not cut from the other."""
+    a, b = [f"a{i}" for i in range(sizes[0])], [f"b{i}" for i in range(sizes[1])]
+    shared = [f"s{i}" for i in range(25)]
+    rows = [(ids[0], " ".join(a[:20] + shared + a[20:])), (ids[1], " ".join(b)), (-9, " ".join(shared)), (-9, " ".join(shared))]
+    got = sorted((r["n_words"], r["n_removed"]) for r in substrings.dedup_substrings(frame(spark, rows)).collect())
+    # a NULL id comes before -9 and keeps its words
+    first = ids[0] is None
+    assert got == sorted([(sizes[0] + 25, 0 if first else 25), (sizes[1], 0), (25, 25 if first else 0), (25, 25 if first else 0)])
+
+
 def test_substring_query_against_brute_force(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(SF_SMALL + "/documents.parquet").collect()]
     want = brute_dedup(rows)
@@ -228,6 +240,24 @@ def test_jaccard_against_brute_force(spark, monkeypatch, frequent_from, rounds,
     assert len({v[1] for v in want.values()}) < len(want)
 
 
+@pytest.mark.parametrize("block", [1_024, 7])
+def test_jaccard_dense_cluster_below_the_threshold(spark, monkeypatch, block):
+    """Documents that share frequent passages and lie just below the threshold, a few pairs just above it."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "FREQUENT_FROM", 3)
+    rng = random.Random(6)
+    passages = [[f"p{k}w{i}" for i in range(40)] for k in range(4)]
+    rows = []
+    for i in range(90):
+        own = [w for k in rng.sample(range(4), 4) for w in passages[k]] + [f"d{i}x{j}" for j in range(rng.choice([30, 32, 40, 60]))]
+        rows.append((i, " ".join(own)))
+        if i % 10 == 0:
+            rows.append((1_000 + i, " ".join(own[:-6] + [f"e{i}x{j}" for j in range(6)])))
+    got = jaccard.link_components(frame(spark, rows), rounds=1, small=2, hot=8).collect()
+    want = brute_components(rows)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 def test_signatures_meet_for_every_similar_pair():
     rng = np.random.default_rng(8)
     for _ in range(300):

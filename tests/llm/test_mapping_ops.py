@@ -33,11 +33,22 @@ def test_language_model_backs_off_from_words_to_shorter_grams(spark):
     assert langid.score_text(m, "The tree of the house")[0] == "en"
     assert "riverbank" not in m.words and langid.score_text(m, "riverbank")[0] == "en"  # by its four-letter runs
     assert langid.score_text(m, "flussbaum")[0] == "de"
-    lang, score = langid.score_text(m, "zzz")
-    assert lang == "und" and score == 0.0  # no run of any length is known
+    # letters that say nothing fall back to the share of the labelled rows
+    for text in ("zzz", "\u6f22\u5b57 \u4eee\u540d", "\u03a9", "\u043f\u0440\u0438\u0432\u0435\u0442 \u043c\u0438\u0440"):
+        assert langid.score_text(m, text) == ("de", 0.5)
     assert langid.score_text(m, None) == ("und", 0.0) and langid.score_text(m, "12 !!") == ("und", 0.0)
 
 
+def test_language_counts_are_whole(spark):
+    """A word kept for one language keeps its counts in all, and totals are taken before the cut."""
+    docs = spark.createDataFrame([(i, "same " * 50 + "same uno due", "it") for i in range(4)] + [(10 + i, "same two", "en") for i in range(4)],
+                                 "doc_id long, text string, lang string")
+    m = langid.fit(docs, max_words=1, max_grams=5)
+    assert list(m.words) == ["same"]
+    en, it = m.word_logs[m.words["same"]]
+    assert abs(en - (np.log(4.5) - np.log(8 + 1.5))) < 1e-9 and abs(it - (np.log(204.5) - np.log(212 + 1.5))) < 1e-9
+
+
 def test_language_edge_cases(edge):
     m = langid.fit(edge)
     out = {(r["doc_id"], r["text"]): r["language"] for r in langid.identify(edge, m).collect()}
