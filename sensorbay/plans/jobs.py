@@ -16,6 +16,7 @@ from ..operators import forecast as FC
 from ..operators import resample as RS
 from ..session import scratch_path
 from ..sinks import store as ST
+from ..sinks.compact import open_raw
 from ..sources import tables as T
 
 
@@ -26,32 +27,68 @@ def _now(now) -> dt.datetime:
 
 
 def clean_cycle(spark: SparkSession, raw_path: str, clean_path: str, now=None, lookback: str = "24h",
-                **clean_kw) -> DataFrame:
-    """Re-clean the last ``lookback`` of every sensor and upsert it."""
+                halo: str | None = None, status_path: str | None = None, sensors=None, **clean_kw) -> DataFrame:
+    """Re-clean the last ``lookback`` of every sensor and upsert it.
+
+    With ``halo`` (a duration) that much more is read before the range and cleaned along,
+    so the range's first rows see their neighbours and the gap they may lie in; only the
+    range is written. With ``status_path`` a row per sensor and run is appended
+    (:func:`clean_account`), also for each of ``sensors`` (default: the configured ones)
+    that has no rows.
+    """
     now = _now(now)
-    raw = T.raw_scan(spark, raw_path, now, lookback)
+    start = now - T.parse_duration(lookback)
+    raw = T.raw_scan(spark, raw_path, now, lookback, halo=halo)
     order = ("ts", "seq") if "seq" in raw.columns else ("ts",)
     cleaned = CL.clean(raw, order=order, **clean_kw)
     keep = [c for c in ("sensor_id", "ts", "people", "temperature", "humidity", "co2") if c in cleaned.columns]
-    cleaned = cleaned.select(*keep)
+    cleaned = T.scan_range(cleaned.select(*keep), start=start)
     ST.upsert_table(spark, cleaned, clean_path, ["sensor_id", "ts"])
+    if status_path:
+        untimed = open_raw(spark, raw_path).where(F.col("ts").isNull())
+        account = clean_account(cleaned, untimed, C.SENSOR_CAPACITY if sensors is None else sensors)
+        ST.append(spark, account.withColumn("ts", F.lit(now).cast("timestamp_ntz")), status_path)
     return cleaned
 
 
+def clean_account(cleaned: DataFrame, untimed: DataFrame, sensors) -> DataFrame:
+    """``sensor_id, n_rows, n_values, n_untimed, status`` of a cleaning run.
+
+    ``status``: ``no_rows`` (an expected sensor without rows in the range), ``no_values``
+    (rows, but no usable count) or ``ok``; ``n_untimed`` counts its raw rows without a
+    time, which no range can hold.
+    """
+    spark = cleaned.sparkSession
+    expected = spark.createDataFrame([(str(s),) for s in sensors], "sensor_id string")
+    counts = cleaned.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count("people").alias("n_values"))
+    lost = untimed.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n_untimed"))
+    out = expected.join(counts, "sensor_id", "full").join(lost, "sensor_id", "full").na.fill(0, ["n_rows", "n_values", "n_untimed"])
+    return out.withColumn("status", F.when(F.col("n_rows") == 0, F.lit("no_rows")).when(F.col("n_values") == 0, F.lit("no_values"))
+                          .otherwise(F.lit("ok")))
+
+
+def _once(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` down and reads it back, so several uses share one run of what made it."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def forecast_cycle(spark: SparkSession, clean_path: str, forecast_path: str, now=None,
                    days: int = C.TRAINING_DAYS, periods: int = C.FORECAST_HORIZON,
                    min_hours: int = C.MIN_TRAINING_HOURS, model: str = "logistic",
-                   partial_last: str = "drop", status_path: str | None = None) -> DataFrame:
+                   partial_last: str = "drop", status_path: str | None = None, **model_kw) -> DataFrame:
     """M3: hourly history of the last ``days``, forecast every sensor, upsert.
 
     With ``status_path`` a row per sensor and run is appended: its hours, and ``ok``,
-    ``too_short`` or why its fit failed. Only ``ok`` sensors have forecast rows.
+    ``not_converged``, ``too_short`` or why its fit failed. Each sensor is fitted once.
     """
     now = _now(now)
     clean = spark.read.parquet(clean_path)
     hist = RS.hourly_mean(clean, "people", start=now - dt.timedelta(days=days), stop=now,
                           partial_last=partial_last)
-    fc, status = FC.forecast_with_status(hist, model=model, periods=periods, min_hours=min_hours)
+    told = _once(spark, FC.forecast_told(hist, model=model, periods=periods, min_hours=min_hours, **model_kw), "forecast")
+    fc, status = FC.split_told(told)
     ST.upsert_table(spark, fc, forecast_path, ["sensor_id", "ds"], ts="ds")
     if status_path:
         ST.append(spark, status.withColumn("ts", F.lit(now).cast("timestamp_ntz")), status_path)
@@ -68,17 +105,18 @@ def backtest_job(spark: SparkSession, clean_path: str, now=None, days: int = C.T
 
 
 def run_batch(spark: SparkSession, raw_path: str, clean_path: str, forecast_path: str, now=None,
-              model: str = "logistic", lookback: str = "24h", status_path: str | None = None) -> dict:
+              model: str = "logistic", lookback: str = "24h", status_path: str | None = None,
+              clean_status_path: str | None = None, halo: str | None = None) -> dict:
     """T4: clean, then forecast; a cleaning failure stops the batch before forecasting."""
     t0 = dt.datetime.now()
-    clean_cycle(spark, raw_path, clean_path, now, lookback)
+    clean_cycle(spark, raw_path, clean_path, now, lookback, halo=halo, status_path=clean_status_path)
     forecast_cycle(spark, clean_path, forecast_path, now, model=model, status_path=status_path)
     return {"seconds": (dt.datetime.now() - t0).total_seconds()}
 
 
 def accuracy_test(spark: SparkSession, clean_path: str, cutoff: str, days: int = 7,
                   summary_path: str | None = None, details_path: str | None = None, now=None,
-                  model: str = "logistic") -> DataFrame:
+                  model: str = "logistic", capacity: dict | None = None) -> DataFrame:
     """M5 over the stored clean table; W6 appends the summary stamped with the run time,
     W7 appends the detail rows when ``details_path`` is given."""
     now = _now(now)
@@ -86,12 +124,8 @@ def accuracy_test(spark: SparkSession, clean_path: str, cutoff: str, days: int =
     hist = RS.hourly_mean(clean, "people", start=now - dt.timedelta(days=C.TRAINING_DAYS), stop=now,
                           partial_last="drop")
 
-    def once(fc: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "forecast")
-        fc.write.parquet(path)
-        return spark.read.schema(fc.schema).parquet(path)
-
-    summary, details = EV.accuracy_at_cutoff(hist, clean, cutoff, days, model=model, once=once)
+    summary, details = EV.accuracy_at_cutoff(hist, clean, cutoff, days, model=model, capacity=capacity,
+                                             once=lambda fc: _once(spark, fc, "forecast"))
     summary = summary.withColumn("ts", F.lit(now).cast("timestamp_ntz"))
     if summary_path:
         ST.append(spark, summary, summary_path)

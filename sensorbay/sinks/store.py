@@ -1,9 +1,11 @@
 """Parquet tables with point semantics: append, upsert (W2-W4), predicate delete.
 
 A table is a Parquet folder partitioned by ``date`` (from its time column).
-Writes touch only the partitions the change reaches: the merged partitions are
-staged to a fresh folder first and then swapped in with dynamic partition
-overwrite, so the folder being read is never overwritten while it is read.
+Writes touch only the partitions the change reaches. The old partitions are read as
+folders of their own and the merged ones written with dynamic partition overwrite: Spark
+writes them beside the table and puts them in place when the whole job is done, so a
+folder is replaced only after it was read, and a failed job leaves the table as it was.
+A day is written by as many tasks, and files, as its rows need.
 """
 
 from __future__ import annotations
@@ -12,10 +14,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import scratch_path
-
-#: Tasks that write one day of a table; a day's rows are dealt over them by hash.
-FILES_PER_DAY = 4
+#: Rows of a file, and of the task that writes it.
+FILE_ROWS = 1_000_000
 
 
 def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], fields: list[str] | None = None,
@@ -75,21 +75,41 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _swap_in(spark: SparkSession, merged: DataFrame, path: str) -> set:
-    """Stage ``merged`` (partitioned by date) and swap its partitions into ``path``.
+def _days(spark: SparkSession, path: str, dates) -> DataFrame:
+    """The table's partitions of these dates, each read as a folder of its own."""
+    table = spark.read.parquet(path)
+    folders = [f for f in (f"{path}/date={d}" for d in dates) if _exists(spark, f)]
+    if not folders:
+        return table.limit(0)
+    return spark.read.option("basePath", path).schema(table.schema).parquet(*folders)
+
+
+def rows_by_date(df: DataFrame) -> dict[dt.date, int]:
+    """Rows per date: as many entries as the frame spans days."""
+    return {r["date"]: r["count"] for r in df.groupBy("date").count().collect()}
+
 
-    Returns the dates written.
+def write_days(df: DataFrame, path: str, rows: dict[dt.date, int], keys: list[str], file_rows: int = FILE_ROWS,
+               mode: str = "overwrite") -> None:
+    """Replaces (``mode``: or adds to) the ``date`` partitions that occur in ``df``.
+
+    ``rows`` holds at least the number of rows of every date. A day of more than
+    ``file_rows`` is dealt by a hash of ``keys`` over as many tasks as it needs, a smaller
+    one is written by one; each task writes one file.
     """
-    stage = scratch_path(spark, "stage")
-    # one task (or a few, for a large day) per date, not one file per task and date
-    merged.repartition("date", F.pmod(F.xxhash64(*[c for c in merged.columns if c != "date"]), F.lit(FILES_PER_DAY))) \
-        .write.mode("overwrite").partitionBy("date").parquet(stage)
-    staged = spark.read.schema(merged.schema).parquet(stage)
-    written = {r[0] for r in staged.select("date").distinct().collect()}  # folder names only: bounded by span in days
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("date").parquet(path))
-    _delete(spark, stage)
-    return written
+    spark, first, plan = df.sparkSession, 0, []
+    for date, n in sorted(rows.items(), key=lambda r: str(r[0])):
+        files = max(1, -(-n // file_rows))
+        plan.append((date, first, files))
+        first += files
+    if not plan:
+        return
+    # one row per day
+    parts = F.broadcast(spark.createDataFrame(plan, "_date date, _first int, _files int"))
+    at = (F.col("_first") + F.pmod(F.xxhash64(*keys), F.col("_files"))).cast("int")
+    dealt = df.join(parts, F.col("date").eqNullSafe(F.col("_date"))).withColumn("_at", at)
+    (dealt.repartitionById(first, F.col("_at")).drop("_date", "_first", "_files", "_at")
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -113,28 +133,27 @@ def write_part(df: DataFrame, path: str, run: str, batch: int) -> None:
 
 
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, keys: list[str], ts: str = "ts",
-                 version: str | None = None) -> None:
+                 version: str | None = None, file_rows: int = FILE_ROWS) -> None:
     """Merge ``new`` into the table at ``path`` touching only its dates.
 
     The first write merges too, so equal keys in ``new`` come out the same whenever they are written.
     """
-    new = _with_date(new, ts)
-    if not _exists(spark, path):
-        merged = upsert_latest(new.limit(0).drop("date"), new.drop("date"), keys, version=version)
-        _swap_in(spark, _with_date(merged, ts), path)
-        return
-    new = new.persist()  # read twice below: its dates, then the merge
+    new = _with_date(new, ts).persist()  # read twice below: its rows by date, then the merge
     try:
-        # distinct dates of the change: bounded by its time span in days
-        dates = [r[0] for r in new.select("date").distinct().collect()]
-        old = spark.read.parquet(path).where(F.col("date").isin(dates))
+        rows = rows_by_date(new)
+        if _exists(spark, path):
+            old = _days(spark, path, rows)
+            for date, n in rows_by_date(old).items():
+                rows[date] += n
+        else:
+            old = new.limit(0)
         merged = upsert_latest(old.drop("date"), new.drop("date"), keys, version=version)
-        _swap_in(spark, _with_date(merged, ts), path)
+        write_days(_with_date(merged, ts), path, rows, keys, file_rows)
     finally:
         new.unpersist()
 
 
-def delete_table(spark: SparkSession, path: str, confirm: bool = False, ts: str = "ts", **kw) -> int:
+def delete_table(spark: SparkSession, path: str, confirm: bool = False, ts: str = "ts", file_rows: int = FILE_ROWS, **kw) -> int:
     """W8 on a stored table; returns the number of deleted rows. Needs ``confirm=True``."""
     if not confirm:
         raise PermissionError("delete_table is irreversible: pass confirm=True")
@@ -147,14 +166,17 @@ def delete_table(spark: SparkSession, path: str, confirm: bool = False, ts: str
         df = df.where(F.col("date") <= F.to_date(lit(end)))
     pred = F.coalesce(delete_predicate(df, ts=ts, **kw), F.lit(False))
     # partition pruning first: only dates the predicate can reach are read and rewritten
-    hit = [(r["date"], r["count"]) for r in df.where(pred).groupBy("date").count().collect()]
+    hit = rows_by_date(df.where(pred))
     if not hit:
         return 0
-    touched = df.where(F.col("date").isin([d for d, _ in hit]))
-    written = _swap_in(spark, touched.where(~pred), path)
+    touched = _days(spark, path, hit)
+    rows = rows_by_date(touched)
+    keys = [c for c in touched.columns if c != "date"]
+    left = {d: n - hit[d] for d, n in rows.items()}
+    write_days(touched.where(~pred), path, {d: n for d, n in left.items() if n}, keys, file_rows)
     # partitions the delete emptied completely are not rewritten: remove them
-    _drop_partitions(spark, path, [d for d, _ in hit if d not in written])
-    return sum(n for _, n in hit)
+    _drop_partitions(spark, path, [d for d, n in left.items() if not n])
+    return sum(hit.values())
 
 
 def delete_tables(spark: SparkSession, paths: dict[str, str], confirm: bool = False, table: str | None = None,

@@ -8,6 +8,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..sinks.compact import open_raw
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -121,11 +123,11 @@ def scan_lookback(df: DataFrame, now, lookback: str, ts: str = "ts") -> DataFram
     return Interval.ending(_moment(now), parse_duration(lookback)).rows(df, ts)
 
 
-def raw_scan(spark: SparkSession, path: str, now, lookback: str = "24h", sensors=None,
+def raw_scan(spark: SparkSession, path: str, now, lookback: str = "24h", sensors=None, halo: str | None = None,
              columns=("sensor_id", "ts", "people", "temperature", "humidity", "co2")) -> DataFrame:
-    """Raw readings of all (or the given) sensors within the lookback, needed columns only."""
-    df = spark.read.parquet(path)
-    df = scan_lookback(df, now, lookback)
+    """Raw readings of all (or the given) sensors within the lookback (and ``halo`` before it), needed columns only."""
+    length = parse_duration(lookback) + (parse_duration(halo) if halo else dt.timedelta())
+    df = Interval.ending(_moment(now), length).rows(open_raw(spark, path))
     if sensors:
         df = df.where(F.col("sensor_id").isin(list(sensors)))
     order = next((c for c in ("seq", "msg_id") if c in df.columns), None)  # breaks ties of equal times
@@ -146,28 +148,31 @@ def pivot_fields(long_df: DataFrame, fields=("people", "temperature", "humidity"
 
 # --------------------------------------------------------------------------- S6
 BACKUP_SCHEMA = "timestamp string, topic string, payload string"
+#: Folders over which the devices of a backup log are dealt.
+DEVICE_BUCKETS = 16
+
+
+def device_bucket(device: Column, buckets: int = DEVICE_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(device), F.lit(buckets)).cast("int")
 
 
-def read_backup(spark: SparkSession, path: str, quoted: bool = True) -> DataFrame:
-    """The per-device backup log ``timestamp,topic,payload``.
+def read_backup(spark: SparkSession, path: str, quoted: bool = True, device: str | None = None,
+                buckets: int = DEVICE_BUCKETS) -> DataFrame:
+    """The backup log ``device, timestamp, topic, payload``, of one ``device`` or all.
 
-    ``quoted=True`` reads our RFC-4180 CSV (quotes doubled); ``quoted=False``
-    reads the original unquoted lines, where the first two fields never hold a
-    comma and everything after the second comma is the payload. The device is
-    the ``device=<id>`` folder, or the file name ``<id>.csv``.
+    ``quoted=True`` reads our RFC-4180 CSV (quotes doubled), where ``bucket=`` folders hold
+    the devices by hash: of a single device only its folder is read. ``quoted=False``
+    reads the original unquoted lines, one file ``<id>.csv`` per device, where the first
+    two fields never hold a comma and everything after the second comma is the payload.
     """
     if quoted:
-        raw = (spark.read.schema(BACKUP_SCHEMA).option("header", "true").option("quote", '"')
+        out = (spark.read.schema("device string, " + BACKUP_SCHEMA + ", bucket int").option("header", "true").option("quote", '"')
                .option("escape", '"').csv(path))
-        body = raw.select("timestamp", "topic", "payload")
-    else:
-        txt = spark.read.text(path)
-        parts = F.split(F.col("value"), ",", 3)
-        body = (txt.where(F.col("value") != "timestamp,topic,payload")
-                .select(parts[0].alias("timestamp"), parts[1].alias("topic"), parts[2].alias("payload")))
-    f = F.input_file_name()
-    dev = F.regexp_extract(f, r"device=([^/]+)/", 1)
-    name = F.regexp_extract(f, r"([^/]+)\.csv$", 1)
-    device = F.when(dev != "", F.expr("url_decode(regexp_extract(input_file_name(), 'device=([^/]+)/', 1))")) \
-        .otherwise(name)
-    return body.select(device.alias("device"), "timestamp", "topic", "payload")
+        if device is not None:
+            out = out.where((F.col("bucket") == device_bucket(F.lit(device), buckets)) & (F.col("device") == device))
+        return out.select("device", "timestamp", "topic", "payload")
+    parts = F.split(F.col("value"), ",", 3)
+    body = spark.read.text(path).where(F.col("value") != "timestamp,topic,payload").select(
+        F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv$", 1).alias("device"),
+        parts[0].alias("timestamp"), parts[1].alias("topic"), parts[2].alias("payload"))
+    return body if device is None else body.where(F.col("device") == device)

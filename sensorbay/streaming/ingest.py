@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import config as C
 from ..functions import payload as P
 from ..sources.messages import MESSAGE_SCHEMA
+from ..sources.tables import DEVICE_BUCKETS, device_bucket
 from . import run_id
 
 RAW_COLUMNS = ["sensor_id", "ts", "valid", "people", "temperature", "humidity", "co2"]
@@ -91,9 +92,15 @@ def dead_letters(messages: DataFrame, keep_id: bool = False) -> DataFrame:
     return _emit(p, reason.isNotNull(), cols)
 
 
-def write_device_log(log: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One folder per device, header line, RFC-4180 quoting (the payload holds commas)."""
-    (log.select("device", "timestamp", "topic", "payload").write.mode(mode).partitionBy("device")
+def write_device_log(log: DataFrame, path: str, mode: str = "overwrite", buckets: int = DEVICE_BUCKETS) -> None:
+    """Header line, RFC-4180 quoting (the payload holds commas), lines ordered by device and time.
+
+    Devices are dealt by hash over ``buckets`` folders, so a batch writes as many files at
+    most, however many devices it holds; :func:`sensorbay.sources.tables.read_backup` opens
+    one device's folder alone.
+    """
+    (log.select("device", "timestamp", "topic", "payload").withColumn("bucket", device_bucket(F.col("device"), buckets))
+     .repartition("bucket").sortWithinPartitions("bucket", "device", "timestamp").write.mode(mode).partitionBy("bucket")
      .option("header", "true").option("quote", '"').option("escape", '"').csv(path))
 
 
