@@ -13,7 +13,7 @@ def test_entry_and_registry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert {"stl", "logistic_forecast"} <= set(E.queries()) - set(E.oracle_sql())
+    assert {"logistic_forecast"} <= set(E.queries()) - set(E.oracle_sql())
 
 
 def test_stream_equals_batch(spark):
