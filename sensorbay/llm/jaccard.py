@@ -22,14 +22,14 @@ Joining without all pairs. Members of a signature with at most ``SMALL`` of them
 paired. Larger ones are first compared with one member, the star's centre, under
 ``ROUNDS`` centres: only components are asked for, so members that came together need
 no further pair. What is still apart after that is compared in blocks: a signature's
-members, with their sizes and token histograms (a byte for about four tokens), are dealt
-over blocks of ``BLOCK`` nodes; a task holds two blocks, goes through the pairs whose
-sizes allow a link, and gives on only those whose histograms do. So no link between
-different components is lost, and no join makes a row per pair. A signature with more
-than ``HOT`` members in a task is settled there (its first member goes on to the
-shuffle, the others beside it), so no reducer gets a whole hot signature. What sizes and
-histograms leave possible is verified on whole token sets, made for the nodes of such
-pairs only.
+members, each with 16 bits of every token, are dealt over blocks of ``BLOCK`` nodes; a
+task holds two blocks, goes through the pairs whose sizes allow a link, and gives on only
+those whose prints do, nearly all of them links. So no link between different components
+is lost, and no join makes a row per pair. A signature with more than ``HOT`` members in
+a task is settled there (its first member goes on to the shuffle, the others beside it),
+so no reducer gets a whole hot signature. Pairs with a star's centre pass by size and by
+token histogram (a byte for about four tokens) first; what is left possible is verified
+on whole token sets, made for the nodes of such pairs only.
 
 Defined cases: NULL or blank text has an empty set, 0 shingles and its own component;
 texts of one to four words are one token; repeated ids give a row each with the same
@@ -62,8 +62,8 @@ SURVEY = "doc_id long, node long, n int, histogram binary, token long, df long"
 SMALL = 16
 #: Nodes of a signature that one task compares with as many others.
 BLOCK = 1_024
-#: Rows a Python batch takes: of documents, of pairs of histograms, of pairs of whole sets.
-DOC_ROWS, HISTOGRAM_ROWS, SET_ROWS = 2_000, 4_000, 256
+#: Rows a Python batch takes: of documents, of pairs of histograms, of prints, of pairs of whole sets.
+DOC_ROWS, HISTOGRAM_ROWS, PRINT_ROWS, SET_ROWS = 2_000, 4_000, 1_024, 256
 
 
 def word_hashes(text_col: str) -> Column:
@@ -277,54 +277,68 @@ def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(near).where(may("na", "nb", "ha", "hb")).select("a", "b")
 
 
-def folded(blobs: np.ndarray, bins: int) -> np.ndarray:
-    """Histograms of equal length as rows of ``bins`` counts."""
-    h = np.frombuffer(b"".join(blobs), np.uint8).reshape(len(blobs), -1)
-    return h.astype(np.int32).reshape(len(blobs), bins, -1).sum(axis=2, dtype=np.int32) if h.shape[1] > bins else h.astype(np.int32)
+def printed_sets(size: int):
+    """node, its number of tokens, and the distinct upper 16 bits of them in order, two bytes each."""
+    def run(batches):
+        for _, token, starts, nodes in set_groups(batches, size):
+            top = (token >> np.uint64(48)).astype(np.uint16)
+            blobs = [np.unique(top[a:b]).tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.diff(starts).astype(np.int32)), pa.array(blobs, pa.binary())],
+                                             names=["node", "n", "prints"])
+    return run
 
 
-def block_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, blob: np.ndarray, side: np.ndarray, threshold: int
+def bitmaps(prints: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of ``bits`` bits per set, one for each value of its prints' leading bits."""
+    shift, out = 16 - (bits.bit_length() - 1), np.zeros((len(prints), bits // 64), np.uint64)
+    for at in range(0, len(prints), 64):
+        part = prints[at:at + 64]
+        flags = np.zeros((len(part), bits), np.uint8)
+        flags[np.repeat(np.arange(len(part)), [len(p) for p in part]), np.concatenate(part) >> shift] = 1
+        out[at:at + 64] = np.packbits(flags, axis=1).view(np.uint64)
+    return out
+
+
+def block_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, prints: np.ndarray, side: np.ndarray, threshold: int
                 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one block (side 0 only) or between two, of different components, that sizes and histograms allow."""
+    """Pairs of one block (side 0 only) or between two, of different components, that sizes and prints allow.
+
+    Of a's tokens, those whose print b lacks are not in b; so a and b share at most
+    ``n(a) - prints(a) + shared prints``, and as much by b. Shortened prints, as bitmaps,
+    come first, whole ones decide.
+    """
     order = np.argsort(n, kind="stable")
-    node, comp, n, blob, side = node[order], comp[order], n[order].astype(np.int64), blob[order], side[order]
-    one, two = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(n)),) * 2
-    size = np.array([0 if b is None else len(b) for b in blob])
-    at = {}  # by histogram length (0: none), the second side's places in order of size
-    for length in np.unique(size[two]):
-        at[int(length)] = two[size[two] == length]
-    table: dict[tuple[int, int], np.ndarray] = {}
-    for i in one:
-        for length, rows in at.items():
-            lo = np.searchsorted(n[rows], -(-n[i] * threshold // 100), "left")
-            hi = np.searchsorted(n[rows], n[i] * 100 // threshold, "right")
-            mine = rows[lo:hi]
-            if one is two or not side.any():
-                keep = (mine > i) & (comp[mine] != comp[i])
-            else:
-                keep = comp[mine] != comp[i]
-            if not keep.any():
-                continue
-            if length and size[i]:
-                bins = min(length, int(size[i]))
-                if (length, bins) not in table:
-                    table[length, bins] = folded(blob[rows], bins)
-                h = folded(blob[i:i + 1], bins)[0]
-                both = np.minimum(table[length, bins][lo:hi][keep], h).sum(axis=1)
-                j = mine[keep]
-                j = j[100 * both >= threshold * (n[i] + n[j] - both)]
-            else:
-                j = mine[keep]
-            if len(j):
-                yield np.full(len(j), node[i]), node[j]
+    node, comp, n, side = node[order], comp[order], n[order].astype(np.int64), side[order]
+    values = [np.frombuffer(prints[k], np.uint16) for k in order]
+    many = np.array([len(v) for v in values])
+    bits = 1 << min(16, max(6, int(16 * n[-1] - 1).bit_length()))
+    maps = bitmaps(values, bits)
+    ones = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+    own = not side.any()
+    two = np.arange(len(n)) if own else np.flatnonzero(side == 1)
+    least, most = -(-n * threshold // 100), n * 100 // threshold
+
+    def fits(i: int, j: np.ndarray, shared: np.ndarray, kept: np.ndarray) -> np.ndarray:
+        both = shared + np.minimum(n[i] - kept[i], n[j] - kept[j])
+        return 100 * both >= threshold * (n[i] + n[j] - both)
+
+    for i in range(len(n)) if own else np.flatnonzero(side == 0):
+        j = two[np.searchsorted(n[two], least[i], "left"):np.searchsorted(n[two], most[i], "right")]
+        j = j[(comp[j] != comp[i]) & (j > i)] if own else j[comp[j] != comp[i]]
+        if len(j):
+            j = j[fits(i, j, np.bitwise_count(maps[j] & maps[i]).sum(axis=1, dtype=np.int64), ones)]
+        if len(j) and bits < 1 << 16:
+            j = j[fits(i, j, np.array([len(np.intersect1d(values[i], values[k], assume_unique=True)) for k in j]), many)]
+        if len(j):
+            yield np.full(len(j), node[i]), node[j]
 
 
 def compare_blocks(threshold: int):
     """Sweeps rows sorted by signature and pair of blocks; holds one pair of blocks at a time."""
-    names = ["sig", "x", "y", "side", "node", "comp", "n", "histogram"]
+    names = ["sig", "x", "y", "side", "node", "comp", "n", "prints"]
 
     def pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found = list(block_pairs(*(rows[c] for c in ("node", "comp", "n", "histogram", "side")), threshold))
+        found = list(block_pairs(*(rows[c] for c in ("node", "comp", "n", "prints", "side")), threshold))
         if found:
             a, b = (np.concatenate(v) for v in zip(*found, strict=True))
             a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
@@ -469,14 +483,18 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
 
     def pairs_in_blocks(here: DataFrame) -> DataFrame:
         """Possible pairs between different components among the members of each signature (sig, node, comp, m)."""
+        ids = stage(nodes.select("node", "doc_id").join(here.select("node").distinct(), "node", "left_semi").select("doc_id"), "jaccard-apart")
+        fresh = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("doc_id", word_hashes("text"))
+        with batch_rows(spark, DOC_ROWS):
+            sets = stage(fresh.mapInArrow(printed_sets(size), "node long, n int, prints binary").dropDuplicates(["node"]), "jaccard-prints")
         blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-        rows = here.join(nodes.select("node", "n", "histogram"), "node")
+        rows = here.join(sets, "node")
         rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         rows = rows.select("sig", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                           (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp", "n", "histogram")
+                           (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp", "n", "prints")
         parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        with batch_rows(spark, HISTOGRAM_ROWS):
+        with batch_rows(spark, PRINT_ROWS):
             return stage(rows.repartition(parts, "sig", "x", "y").sortWithinPartitions("sig", "x", "y")
                          .mapInArrow(compare_blocks(threshold), "a long, b long"), "jaccard-blocks")
 
