@@ -4,15 +4,17 @@ A document's candidate blocks are the passages around words that speak of licens
 (``KEYWORDS``), across lines, with as many words on either side as the longest template
 and its differences can have; documents without such a word never leave the JVM. Each
 block is compressed by itself and with every template as a zstandard raw-content
-dictionary; the size reductions rank the templates. Templates are confirmed by exact
-wording at any place of the block: words of the template missing there plus words put
-between the matched ones must be at most ``MAX_DIFF`` of the template's words. Where
-confirmed places overlap the fewest differences win, then the longer template, the
-larger reduction and the name; all that remain are returned, the best one with its text.
-
-Blocks that lack more of a template's words than ``MAX_DIFF`` allows are not aligned
-with it, and not compressed if that holds for all templates. Equal blocks are judged
-once per task. A long text is scanned whole at a cost that grows with its length.
+dictionary. What a template saves, as a share of its own compressed size, ranks it: the
+share of its information that the block repeats, so short and long templates compare.
+The ``TOP`` first are confirmed by exact wording at any place of the block: words of the
+template missing there plus words put between the matched ones must be at most
+``MAX_DIFF`` of the template's words. Where confirmed places overlap the fewest
+differences win, then the longer template, the larger share and the name. What was
+confirmed is cut out and the rest ranked again, until nothing more is; all licences are
+returned, the best one with its text.
+
+Equal blocks are judged once per task. A long text is scanned whole at a cost that grows
+with its length.
 
 Defined cases: NULL, blank or keyword-free text has no blocks and no license;
 repeated ids give a row each; an empty table gives no rows; other columns are not read.
@@ -21,7 +23,6 @@ repeated ids give a row each; an empty table gives no rows; other columns are no
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,6 +54,8 @@ TEMPLATES = {
     "All-rights-reserved": "All rights reserved.",
 }
 MAX_DIFF = 0.1
+#: Templates that are aligned with a block, by rank.
+TOP = 4
 LEVEL = 9
 WINDOW = 200
 CACHE = 50_000
@@ -100,21 +103,24 @@ def places(template: list[str], block: list[str], most: int) -> list[tuple[int,
 
 
 class Judge:
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], top: int = TOP):
         self.words = {k: tokens(v) for k, v in templates.items()}
-        self.bags = {k: Counter(w) for k, w in self.words.items()}
         self.most = {k: int(MAX_DIFF * len(w)) for k, w in self.words.items()}
         self.reach = max((len(w) + self.most[k] for k, w in self.words.items()), default=0)
+        self.top = top
         self.plain = zstd.ZstdCompressor(level=LEVEL)
         self.given = {k: zstd.ZstdCompressor(level=LEVEL, dict_data=zstd.ZstdCompressionDict(
             v.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)) for k, v in templates.items()}
+        empty = len(self.plain.compress(b""))
+        self.sizes = {k: max(1, len(self.plain.compress(v.encode())) - empty) for k, v in templates.items()}
         self.cache: dict[str, list[tuple]] = {}
 
-    def ranked(self, block: str) -> list[tuple[float, str]]:
-        """(size reduction, template), the largest reduction first."""
+    def ranked(self, block: str) -> list[tuple[float, float, str]]:
+        """(share of the template that the block repeats, size reduction, template), the largest share first."""
         raw = block.encode("utf-8", "replace")
         alone = len(self.plain.compress(raw))
-        return sorted(((1 - len(c.compress(raw)) / alone, k) for k, c in self.given.items()), key=lambda x: (-x[0], x[1]))
+        saved = {k: alone - len(c.compress(raw)) for k, c in self.given.items()}
+        return sorted(((n / self.sizes[k], n / alone, k) for k, n in saved.items()), key=lambda x: (-x[0], x[2]))
 
     def confirmed(self, block: str) -> list[tuple]:
         """(differences, reduction, template, missing, extra, text) of all confirmed templates, the best one first."""
@@ -125,22 +131,26 @@ class Judge:
         return self.cache[block]
 
     def confirm(self, block: str) -> list[tuple]:
-        own, bag = tokens(block), Counter(tokens(block))
-        able = {k for k, n in self.bags.items() if (n - bag).total() <= self.most[k]}
-        if not able:
-            return []
-        found = []
-        for reduction, name in self.ranked(block):
-            if name in able and reduction > 0:
-                n = len(self.words[name])
-                found += [(c, -n, -reduction, name, a, z) for c, a, z in places(self.words[name], own, self.most[name])]
-        spans, taken, out = [m.span() for m in WORD.finditer(block)], bytearray(len(own)), []
-        for c, n, reduction, name, a, z in sorted(found):
-            if not any(taken[a:z]):
-                taken[a:z] = b"\1" * (z - a)
-                extra = (c + z - a + n) // 2
-                out.append((c, -reduction, name, c - extra, extra, block[spans[a][0]:spans[z - 1][1]]))
-        return out
+        out, rest = [], [block]
+        while rest:
+            part = rest.pop()
+            own, spans = tokens(part), [m.span() for m in WORD.finditer(part)]
+            found = []
+            for share, reduction, name in self.ranked(part)[:self.top] if own else []:
+                if share > 0:
+                    n = len(self.words[name])
+                    found += [(c, -n, -share, name, a, z, reduction) for c, a, z in places(self.words[name], own, self.most[name])]
+            taken = bytearray(len(own))
+            for c, n, _, name, a, z, reduction in sorted(found):
+                if not any(taken[a:z]):
+                    taken[a:z] = b"\1" * (z - a)
+                    extra = (c + z - a + n) // 2
+                    out.append((c, reduction, name, c - extra, extra, part[spans[a][0]:spans[z - 1][1]]))
+            if any(taken):
+                # the stretches between what was confirmed are ranked by themselves
+                for run in re.finditer(rb"\0+", bytes(taken)):
+                    rest.append(part[spans[run.start()][0]:spans[run.end() - 1][1]])
+        return sorted(out, key=lambda h: (h[0], -len(self.words[h[2]]), -h[1], *h[2:]))
 
     def judge(self, block: str) -> tuple | None:
         """(differences, reduction, template, missing, extra, text) of the confirmed winner."""

@@ -1,6 +1,7 @@
 """Quality rules by distribution divergence, all in built-in functions.
 
-Each document gets a histogram of character classes and one of common words. The
+Each document gets a histogram of character classes (every character is in one of them)
+and one of common words. The
 reference of a language is the sum of the histograms of all its documents (``lang``;
 NULL is a group of its own). A document fails the method when
 
@@ -72,7 +73,8 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> D
         F.regexp_count("_t", F.lit("[A-Z]")).cast("long").alias("c_upper"),
         F.regexp_count("_t", F.lit("[0-9]")).cast("long").alias("c_digit"),
         F.regexp_count("_t", F.lit(r"[!-/:-@\[-`{-~&&[^#*$%&|<>]]")).cast("long").alias("c_punct"),
-        (F.octet_length("_t") - F.length("_t")).cast("long").alias("c_wide"),
+        # characters beyond ASCII; a text without them has as many octets as characters
+        F.when(F.octet_length("_t") > F.length("_t"), F.regexp_count("_t", F.lit(r"[^\x00-\x7F]"))).otherwise(0).cast("long").alias("c_wide"),
         F.array_join(F.transform(F.filter("_w", lambda w: F.lower(w).isin(*COMMON_WORDS)),
                                  lambda w: F.element_at(F.create_map(*[F.lit(x) for kv in _CODES.items() for x in kv]),
                                                         F.lower(w))), "").alias("_codes"),
@@ -92,11 +94,10 @@ def base_counts(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> D
     hist = [(code_len - F.length(F.replace(F.col("_codes"), F.lit(c), F.lit("")))).cast("long").alias(f"w{i}")
             for i, c in enumerate(_CODES.values())]
     space = F.col("_chars") - F.col("word_chars")
-    lower = (F.col("_chars") - space - F.col("c_upper") - F.col("c_digit") - F.col("c_punct") - F.col("n_symbols")
-             - F.least(F.col("c_wide"), F.col("_chars")))
+    lower = F.col("_chars") - space - F.col("c_upper") - F.col("c_digit") - F.col("c_punct") - F.col("n_symbols") - F.col("c_wide")
     return df.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                      repeated.cast("long").alias("n_repeat_words"), "_chars",
-                     F.greatest(F.lit(0), lower).alias("c_lower"), "c_upper", "c_digit", space.alias("c_space"),
+                     lower.alias("c_lower"), "c_upper", "c_digit", space.alias("c_space"),
                      F.col("n_symbols").alias("c_symbol"), "c_punct", "c_wide", *hist,
                      F.greatest(F.lit(0), F.col("n_words") - code_len).cast("long").alias("w_other"))
 
