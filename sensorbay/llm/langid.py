@@ -82,11 +82,11 @@ def fit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
         ends = F.concat(F.lit("<"), F.col("w"), F.lit(">"))
         grams = None
         for k in GRAM_SIZES:
-            g = (counts.where(F.length(ends) >= k)
-                 .select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length(ends) - (k - 1)),
-                                                            lambda i, k=k: F.substr(ends, i, F.lit(k)))).alias("g")))
+            size = F.lit(k)  # a second parameter of the lambda would be the place in the sequence
+            runs = F.transform(F.sequence(F.lit(1), F.length(ends) - (k - 1)), lambda i: F.substr(ends, i, size))  # noqa: B023
+            g = counts.where(F.length(ends) >= k).select("lang", "n", F.explode(runs).alias("g"))
             grams = g if grams is None else grams.unionByName(g)
-        grams = grams.where(~F.col("g").isin("", "<", ">")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
+        grams = grams.where(~F.col("g").isin("<", ">")).groupBy("lang", "g").agg(F.sum("n").alias("n"))
 
         def kept(table: DataFrame, key: str, limit: int) -> pd.DataFrame:
             """All languages' rows of the ``limit`` most frequent keys."""

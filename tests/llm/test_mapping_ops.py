@@ -49,6 +49,12 @@ def test_language_counts_are_whole(spark):
     assert abs(en - (np.log(4.5) - np.log(8 + 1.5))) < 1e-9 and abs(it - (np.log(204.5) - np.log(212 + 1.5))) < 1e-9
 
 
+def test_language_grams_are_all_runs_of_each_length(spark):
+    m = langid.fit(spark.createDataFrame([(i, "abcde", "x") for i in range(4)], "doc_id long, text string, lang string"))
+    marked = "<abcde>"
+    assert set(m.grams) == {marked[i:i + k] for k in langid.GRAM_SIZES for i in range(len(marked) - k + 1)} - {"<", ">"}
+
+
 def test_language_edge_cases(edge):
     m = langid.fit(edge)
     out = {(r["doc_id"], r["text"]): r["language"] for r in langid.identify(edge, m).collect()}
