@@ -19,17 +19,22 @@ of them is correct as all documents use the same, so the bound costs no links. W
 not among them stays rare and is joined like any other token.
 
 Joining without all pairs. Members of a signature with at most ``SMALL`` of them are
-paired. Larger ones are first compared with one member, the star's centre, under
+paired where their sizes allow a link. Larger signatures come in bundles, as texts that
+share a passage share many of them: those with the same hub (the member with the most
+signatures) are one group, so two nodes meet once and not under every signature they
+share. A group's members are first compared with one of them, the star's centre, under
 ``ROUNDS`` centres: only components are asked for, so members that came together need
-no further pair. What is still apart after that is compared in blocks: a signature's
-members, each with 16 bits of every token, are dealt over blocks of ``BLOCK`` nodes; a
-task holds two blocks, goes through the pairs whose sizes allow a link, and gives on only
-those whose prints do, nearly all of them links. So no link between different components
-is lost, and no join makes a row per pair. A signature with more than ``HOT`` members in
-a task is settled there (its first member goes on to the shuffle, the others beside it),
-so no reducer gets a whole hot signature. Pairs with a star's centre pass by size and by
-token histogram (a byte for about four tokens) first; what is left possible is verified
-on whole token sets, made for the nodes of such pairs only.
+no further pair. What is still apart after that is compared in blocks: a group's members,
+with their whole token sets, are dealt over blocks of at most about ``BLOCK`` nodes and
+``BLOCK_TOKENS`` tokens; a task holds two blocks, goes through the pairs whose sizes allow
+a link, verifies what bitmaps of the tokens' leading bits leave possible, and gives on a
+link only where it joins what the block's earlier links did not: fewer rows than nodes.
+So no link between different components is lost, and no join makes a row per pair. A
+signature with more than ``HOT`` members in a task is settled there (its first member
+goes on to the shuffle, the others beside it), so no reducer gets a whole hot signature.
+Pairs of small signatures and with a star's centre pass by size and by token histogram
+(a byte for about four tokens) first; what is left possible is verified on whole token
+sets, made for the nodes of such pairs only.
 
 Defined cases: NULL or blank text has an empty set, 0 shingles and its own component;
 texts of one to four words are one token; repeated ids give a row each with the same
@@ -55,15 +60,15 @@ THRESHOLD = 75
 FREQUENT_FROM = 16
 MAX_FREQUENT = 400_000
 HOT = 32
-ROUNDS = 4
+ROUNDS = 2
 TOKEN_BYTES = 5
 SIGNED = "key long, node long, sig long"
 SURVEY = "doc_id long, node long, n int, histogram binary, token long, df long"
 SMALL = 16
-#: Nodes of a signature that one task compares with as many others.
-BLOCK = 1_024
-#: Rows a Python batch takes: of documents, of pairs of histograms, of prints, of pairs of whole sets.
-DOC_ROWS, HISTOGRAM_ROWS, PRINT_ROWS, SET_ROWS = 2_000, 4_000, 1_024, 256
+#: Nodes of a group that one task compares with as many others, and their tokens.
+BLOCK, BLOCK_TOKENS = 1_024, 2_000_000
+#: Rows a Python batch takes: of documents, of pairs of histograms, of blocks, of pairs of whole sets.
+DOC_ROWS, HISTOGRAM_ROWS, BLOCK_ROWS, SET_ROWS = 2_000, 4_000, 512, 256
 
 
 def word_hashes(text_col: str) -> Column:
@@ -255,8 +260,13 @@ def unpack(blob: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def near(m: str, n: str, threshold: int) -> Column:
+    """Sizes that allow a link."""
+    return 100 * F.least(m, n) >= threshold * F.greatest(m, n)
+
+
 def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and histograms leave a link possible; none that links is lost."""
+    """The pairs (a, b) whose histograms leave a link possible; none that links is lost."""
     @F.pandas_udf("boolean")
     def may(na: pd.Series, nb: pd.Series, ha: pd.Series, hb: pd.Series) -> pd.Series:
         out = np.ones(len(na), bool)
@@ -273,76 +283,86 @@ def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
 
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("histogram").alias("ha"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("histogram").alias("hb"))
-    near = 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
-    return pairs.join(a, "a").join(b, "b").where(near).where(may("na", "nb", "ha", "hb")).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(may("na", "nb", "ha", "hb")).select("a", "b")
 
 
-def printed_sets(size: int):
-    """node, its number of tokens, and the distinct upper 16 bits of them in order, two bytes each."""
-    def run(batches):
-        for _, token, starts, nodes in set_groups(batches, size):
-            top = (token >> np.uint64(48)).astype(np.uint16)
-            blobs = [np.unique(top[a:b]).tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.diff(starts).astype(np.int32)), pa.array(blobs, pa.binary())],
-                                             names=["node", "n", "prints"])
-    return run
-
+def bundles(members: DataFrame) -> DataFrame:
+    """grp, node, n: signatures (sig, node, n) with the same hub as one group.
 
-def bitmaps(prints: list[np.ndarray], bits: int) -> np.ndarray:
-    """A row of ``bits`` bits per set, one for each value of its prints' leading bits."""
-    shift, out = 16 - (bits.bit_length() - 1), np.zeros((len(prints), bits // 64), np.uint64)
-    for at in range(0, len(prints), 64):
-        part = prints[at:at + 64]
+    A pair under a signature is a pair of its group. Signatures stay by themselves where
+    their union would neither fit a block nor cost no more than they do one by one.
+    """
+    members = members.select("sig", "node", "n")
+    degree = members.groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+    hubs = (members.join(degree, "node").groupBy("sig")
+            .agg(F.min(F.struct(-F.col("d"), F.xxhash64("node"), "node")).alias("first"), F.count(F.lit(1)).cast("double").alias("m"))
+            .select("sig", F.col("first.node").alias("hub"), "m"))
+    hubs = stage(hubs, "jaccard-hubs")
+    rows = members.join(hubs, "sig")
+    union = stage(rows.select("hub", "node", "n").distinct(), "jaccard-unions")
+    size = union.groupBy("hub").agg(F.count(F.lit(1)).alias("u"))
+    cost = hubs.groupBy("hub").agg(F.sum(F.col("m") * F.col("m")).alias("cost"))
+    alone = size.join(cost, "hub").where((F.col("u") > BLOCK) & (F.col("u") * F.col("u").cast("double") > F.col("cost"))).select("hub")
+    alone = stage(alone, "jaccard-alone")
+    whole = union.join(alone, "hub", "left_anti").select(F.col("hub").alias("grp"), "node", "n")
+    own = rows.join(alone, "hub", "left_semi").select(F.col("sig").alias("grp"), "node", "n").distinct()
+    return stage(whole.unionByName(own), "jaccard-groups")
+
+
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """A row of ``bits`` bits per set, one for each value of its tokens' leading bits."""
+    shift, out = np.uint64(64 - (bits.bit_length() - 1)), np.zeros((len(sets), bits // 64), np.uint64)
+    for at in range(0, len(sets), 64):
+        part = sets[at:at + 64]
         flags = np.zeros((len(part), bits), np.uint8)
         flags[np.repeat(np.arange(len(part)), [len(p) for p in part]), np.concatenate(part) >> shift] = 1
         out[at:at + 64] = np.packbits(flags, axis=1).view(np.uint64)
     return out
 
 
-def block_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, prints: np.ndarray, side: np.ndarray, threshold: int
-                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one block (side 0 only) or between two, of different components, that sizes and prints allow.
+def block_links(node: np.ndarray, comp: np.ndarray, n: np.ndarray, tokens: np.ndarray, side: np.ndarray, threshold: int
+                ) -> list[tuple[int, int]]:
+    """Links of one block (side 0 only) or between two that join different components, less those that earlier ones imply.
 
-    Of a's tokens, those whose print b lacks are not in b; so a and b share at most
-    ``n(a) - prints(a) + shared prints``, and as much by b. Shortened prints, as bitmaps,
-    come first, whole ones decide.
+    Of a's tokens, those whose leading bits b lacks are not in b; so a and b share at most
+    ``n(a) - bits(a) + shared bits``, and as much by b. What that allows is compared whole.
     """
     order = np.argsort(n, kind="stable")
-    node, comp, n, side = node[order], comp[order], n[order].astype(np.int64), side[order]
-    values = [np.frombuffer(prints[k], np.uint16) for k in order]
-    many = np.array([len(v) for v in values])
+    node, n, side = node[order], n[order].astype(np.int64), side[order]
+    comp = np.unique(comp[order], return_inverse=True)[1]
+    sets = [unpack(tokens[k]) for k in order]
     bits = 1 << min(16, max(6, int(16 * n[-1] - 1).bit_length()))
-    maps = bitmaps(values, bits)
+    maps = bitmaps(sets, bits)
     ones = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
     own = not side.any()
     two = np.arange(len(n)) if own else np.flatnonzero(side == 1)
     least, most = -(-n * threshold // 100), n * 100 // threshold
-
-    def fits(i: int, j: np.ndarray, shared: np.ndarray, kept: np.ndarray) -> np.ndarray:
-        both = shared + np.minimum(n[i] - kept[i], n[j] - kept[j])
-        return 100 * both >= threshold * (n[i] + n[j] - both)
-
+    found = []
     for i in range(len(n)) if own else np.flatnonzero(side == 0):
         j = two[np.searchsorted(n[two], least[i], "left"):np.searchsorted(n[two], most[i], "right")]
         j = j[(comp[j] != comp[i]) & (j > i)] if own else j[comp[j] != comp[i]]
-        if len(j):
-            j = j[fits(i, j, np.bitwise_count(maps[j] & maps[i]).sum(axis=1, dtype=np.int64), ones)]
-        if len(j) and bits < 1 << 16:
-            j = j[fits(i, j, np.array([len(np.intersect1d(values[i], values[k], assume_unique=True)) for k in j]), many)]
-        if len(j):
-            yield np.full(len(j), node[i]), node[j]
+        if not len(j):
+            continue
+        both = np.bitwise_count(maps[j] & maps[i]).sum(axis=1, dtype=np.int64) + np.minimum(n[i] - ones[i], n[j] - ones[j])
+        for k in j[100 * both >= threshold * (n[i] + n[j] - both)]:
+            if comp[k] == comp[i]:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+            if 100 * shared >= threshold * (n[i] + n[k] - shared):
+                found.append((node[i], node[k]))
+                comp[comp == comp[k]] = comp[i]
+    return found
 
 
 def compare_blocks(threshold: int):
-    """Sweeps rows sorted by signature and pair of blocks; holds one pair of blocks at a time."""
-    names = ["sig", "x", "y", "side", "node", "comp", "n", "prints"]
+    """Sweeps rows sorted by group and pair of blocks; holds one pair of blocks at a time."""
+    names = ["grp", "x", "y", "side", "node", "comp", "n", "tokens"]
 
-    def pairs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found = list(block_pairs(*(rows[c] for c in ("node", "comp", "n", "prints", "side")), threshold))
+    def links(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = block_links(*(rows[c] for c in ("node", "comp", "n", "tokens", "side")), threshold)
         if found:
-            a, b = (np.concatenate(v) for v in zip(*found, strict=True))
-            a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            a, b = np.array(found, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches):
         rest = None
@@ -350,13 +370,13 @@ def compare_blocks(threshold: int):
             cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
             if rest is not None:
                 cols = {c: np.concatenate([rest[c], cols[c]]) for c in names}
-            change = np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in ("sig", "x", "y")])
-            cuts = [0, *(np.flatnonzero(change) + 1), len(cols["sig"])]
+            change = np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in ("grp", "x", "y")])
+            cuts = [0, *(np.flatnonzero(change) + 1), len(cols["grp"])]
             for lo, hi in zip(cuts[:-2], cuts[1:-1], strict=True):
-                yield from pairs({c: v[lo:hi] for c, v in cols.items()})
+                yield from links({c: v[lo:hi] for c, v in cols.items()})
             rest = {c: v[cuts[-2]:] for c, v in cols.items()}
-        if rest is not None and len(rest["sig"]):
-            yield from pairs(rest)
+        if rest is not None and len(rest["grp"]):
+            yield from links(rest)
     return run
 
 
@@ -455,20 +475,24 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
     nodes = stage(members.join(labels.select("node"), "node", "left_semi").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("histogram")), "jaccard-histograms")
 
-    def linked(pairs: DataFrame, fetched: list[DataFrame], told: bool = False) -> DataFrame | None:
-        """Links among the pairs (a, b); sets are made for nodes of possible (``told``: all) pairs only, once."""
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """node, tokens of the wanted nodes (node); rows of other nodes may be among them."""
+        ids = stage(nodes.select("node", "doc_id").join(wanted, "node", "left_semi").select("doc_id"), "jaccard-wanted")
+        fresh = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("doc_id", word_hashes("text"))
+        return fresh.mapInArrow(packed_sets(size), "node long, tokens binary")
+
+    def linked(pairs: DataFrame, fetched: list[DataFrame]) -> DataFrame | None:
+        """Links among the pairs (a, b); sets are made for nodes of possible pairs only, once."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         with batch_rows(spark, HISTOGRAM_ROWS):
-            pairs = stage(pairs if told else possible(pairs, nodes, threshold), "jaccard-pairs")
+            pairs = stage(possible(pairs, nodes, threshold), "jaccard-pairs")
         if not pairs.take(1):
             return None
         new = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         for done in fetched:
             new = new.join(done.select("node"), "node", "left_anti")
-        ids = stage(nodes.select("node", "doc_id").join(new, "node", "left_semi").select("doc_id"), "jaccard-wanted")
-        fresh = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("doc_id", word_hashes("text"))
         with batch_rows(spark, DOC_ROWS):
-            fetched.append(stage(fresh.mapInArrow(packed_sets(size), "node long, tokens binary"), "jaccard-sets"))
+            fetched.append(stage(sets_of(new), "jaccard-sets"))
         sets = fetched[0]
         for more in fetched[1:]:
             sets = sets.unionByName(more)
@@ -477,45 +501,42 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
 
     def pairs_of(members_: DataFrame) -> DataFrame:
         """Pairs of signatures with at most ``small`` members."""
-        left = members_.select("sig", F.col("node").alias("a"))
-        right = members_.select("sig", F.col("node").alias("b"))
-        return left.join(right, "sig").where(F.col("a") < F.col("b"))
-
-    def pairs_in_blocks(here: DataFrame) -> DataFrame:
-        """Possible pairs between different components among the members of each signature (sig, node, comp, m)."""
-        ids = stage(nodes.select("node", "doc_id").join(here.select("node").distinct(), "node", "left_semi").select("doc_id"), "jaccard-apart")
-        fresh = texts.join(ids, texts["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("doc_id", word_hashes("text"))
-        with batch_rows(spark, DOC_ROWS):
-            sets = stage(fresh.mapInArrow(printed_sets(size), "node long, n int, prints binary").dropDuplicates(["node"]), "jaccard-prints")
-        blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
-        rows = here.join(sets, "node")
-        rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        rows = rows.select("sig", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                           (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp", "n", "prints")
+        left = members_.select("sig", F.col("node").alias("a"), F.col("n").alias("na"))
+        right = members_.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"))
+        return left.join(right, "sig").where((F.col("a") < F.col("b")) & near("na", "nb", threshold)).select("a", "b")
+
+    def links_in_blocks(here: DataFrame) -> DataFrame:
+        """Links that join the different components among the members of each group (grp, node, n, comp, blocks)."""
+        rows = here.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
+        rows = rows.select("grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                           (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp", "n")
+        rows = rows.join(sets_of(here.select("node").distinct()).dropDuplicates(["node"]), "node")
         parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        with batch_rows(spark, PRINT_ROWS):
-            return stage(rows.repartition(parts, "sig", "x", "y").sortWithinPartitions("sig", "x", "y")
-                         .mapInArrow(compare_blocks(threshold), "a long, b long"), "jaccard-blocks")
+        with batch_rows(spark, BLOCK_ROWS):
+            return stage(rows.repartition(parts, "grp", "x", "y").sortWithinPartitions("grp", "x", "y")
+                         .mapInArrow(compare_blocks(threshold), "a long, b long").distinct(), "jaccard-blocks")
 
     fetched: list[DataFrame] = []
-    big = F.col("members") > small
+    sized = shared.join(nodes.select("node", "n"), "node")
+    groups = bundles(sized.where(F.col("members") > small))
     for k in range(rounds + 1):
-        here = shared.where(big).join(labels, "node")
-        split = here.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
-                                        F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("o"), "node", "comp")).alias("c"))
-        split = stage(split.where("lo <> hi").select("sig", "m", "c"), "jaccard-split")
+        here = groups.join(labels, "node")
+        split = here.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_TOKENS)).alias("blocks"),
+                                        F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("o"), "node", "n", "comp")).alias("c"))
+        split = stage(split.where("lo <> hi").select("grp", "blocks", "c"), "jaccard-split")
         if k and not split.take(1):
-            break  # every signature's members are in one component
-        here = here.join(split, "sig")
+            break  # every group's members are in one component
+        here = here.join(split, "grp")
         if k < rounds:
-            pairs = here.where(F.col("comp") != F.col("c.comp")).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+            apart = (F.col("comp") != F.col("c.comp")) & near("n", "c.n", threshold)
+            pairs = here.where(apart).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
             if k == 0:
-                few = shared.where(~big).select("sig", "node")
-                pairs = pairs.unionByName(pairs_of(few).select("a", "b"))
+                pairs = pairs.unionByName(pairs_of(sized.where(F.col("members") <= small)))
+            links = linked(pairs, fetched)
         else:
-            pairs = pairs_in_blocks(here.select("sig", "node", "comp", "m"))
-        links = linked(pairs, fetched, told=k == rounds)
+            links = links_in_blocks(here.select("grp", "node", "n", "comp", "blocks"))
         if links is not None:  # without possible pairs, other centres or the exact rest may have some
             labels = components(labels, links)
     named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
