@@ -287,26 +287,26 @@ def possible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
 
 
 def bundles(members: DataFrame) -> DataFrame:
-    """grp, node, n: signatures (sig, node, n) with the same hub as one group.
+    """grp, node: signatures (sig, node) with the same hub as one group.
 
     A pair under a signature is a pair of its group. Signatures stay by themselves where
     their union would neither fit a block nor cost no more than they do one by one.
     """
-    members = members.select("sig", "node", "n")
+    members = members.select("sig", "node")
     degree = members.groupBy("node").agg(F.count(F.lit(1)).alias("d"))
     hubs = (members.join(degree, "node").groupBy("sig")
             .agg(F.min(F.struct(-F.col("d"), F.xxhash64("node"), "node")).alias("first"), F.count(F.lit(1)).cast("double").alias("m"))
             .select("sig", F.col("first.node").alias("hub"), "m"))
     hubs = stage(hubs, "jaccard-hubs")
     rows = members.join(hubs, "sig")
-    union = stage(rows.select("hub", "node", "n").distinct(), "jaccard-unions")
+    union = stage(rows.select("hub", "node").distinct(), "jaccard-unions")
     size = union.groupBy("hub").agg(F.count(F.lit(1)).alias("u"))
     cost = hubs.groupBy("hub").agg(F.sum(F.col("m") * F.col("m")).alias("cost"))
     alone = size.join(cost, "hub").where((F.col("u") > BLOCK) & (F.col("u") * F.col("u").cast("double") > F.col("cost"))).select("hub")
     alone = stage(alone, "jaccard-alone")
-    whole = union.join(alone, "hub", "left_anti").select(F.col("hub").alias("grp"), "node", "n")
-    own = rows.join(alone, "hub", "left_semi").select(F.col("sig").alias("grp"), "node", "n").distinct()
-    return stage(whole.unionByName(own), "jaccard-groups")
+    whole = union.join(alone, "hub", "left_anti").select(F.col("hub").alias("grp"), "node")
+    own = rows.join(alone, "hub", "left_semi").select(F.col("sig").alias("grp"), "node").distinct()
+    return whole.unionByName(own)
 
 
 def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
@@ -518,8 +518,8 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
                          .mapInArrow(compare_blocks(threshold), "a long, b long").distinct(), "jaccard-blocks")
 
     fetched: list[DataFrame] = []
-    sized = shared.join(nodes.select("node", "n"), "node")
-    groups = bundles(sized.where(F.col("members") > small))
+    sizes = nodes.select("node", "n")
+    groups = stage(bundles(shared.where(F.col("members") > small)).join(sizes, "node"), "jaccard-groups")
     for k in range(rounds + 1):
         here = groups.join(labels, "node")
         split = here.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
@@ -533,7 +533,7 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
             apart = (F.col("comp") != F.col("c.comp")) & near("n", "c.n", threshold)
             pairs = here.where(apart).select(F.col("c.node").alias("a"), F.col("node").alias("b"))
             if k == 0:
-                pairs = pairs.unionByName(pairs_of(sized.where(F.col("members") <= small)))
+                pairs = pairs.unionByName(pairs_of(shared.where(F.col("members") <= small).join(sizes, "node")))
             links = linked(pairs, fetched)
         else:
             links = links_in_blocks(here.select("grp", "node", "n", "comp", "blocks"))

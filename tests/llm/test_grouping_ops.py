@@ -294,6 +294,22 @@ def test_signature_of_many_nodes_has_a_print(spark):
     assert [tuple(r) for r in got] == [(0, 20_000)]  # of two signatures with the same nodes one is left
 
 
+def test_bundles_hold_every_pair_of_a_signature(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 12)
+    # signatures 0-5: one passage each of the same ten nodes; 10-13: node 100 with six others each, dear as one group
+    rows = [(s, n) for s in range(6) for n in range(10) if n != s] + [(10 + s, n) for s in range(4) for n in [100, *range(200 + 6 * s, 206 + 6 * s)]]
+    got = [tuple(r) for r in jaccard.bundles(spark.createDataFrame(rows, "sig long, node long")).select("grp", "node").collect()]
+    assert len(got) == len(set(got)) < len(rows)
+
+    def together(pairs):
+        of = {}
+        for g, n in pairs:
+            of.setdefault(g, set()).add(n)
+        return {(a, b) for v in of.values() for a in v for b in v if a < b}
+
+    assert together(rows) == together(got)
+
+
 def test_jaccard_empty_and_null_ids(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (2, None)], "doc_id long, text string")
     got = jaccard.link_components(df).collect()
