@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from sensorbay.plans import catalog
 from sensorbay.sources.tables import Interval, job_interval, parse_duration, scan_lookback, scan_range
 
 
@@ -33,3 +34,15 @@ def test_scans_are_half_open_and_prune_date_partitions(spark, tmpdir_path):
         assert sorted(r.seq for r in got.collect()) == list(range(lo, hi))
         plan = got._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(date" in plan, plan
+
+
+def test_lookback_query_reads_its_35_days(spark, tmpdir_path):
+    """The window is ``[2023-12-27, 2024-01-31)``: both ends cut, nothing between them does."""
+    first, stop = dt.datetime(2023, 12, 27), dt.datetime(2024, 1, 31)
+    times = [first - dt.timedelta(microseconds=1), *(first + dt.timedelta(hours=7 * i) for i in range(120)),
+             stop - dt.timedelta(microseconds=1), stop, stop + dt.timedelta(days=3), None]
+    rows = [(i, t, i % 5, "view", float(i), "{}") for i, t in enumerate(times)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .write.parquet(f"{tmpdir_path}/events.parquet")
+    got = catalog.QUERIES["lookback_scan"](spark, tmpdir_path)
+    assert sorted(r.seq for r in got.collect()) == list(range(1, 122))
