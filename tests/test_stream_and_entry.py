@@ -23,6 +23,25 @@ def test_stream_equals_batch(spark):
     assert sorted(map(repr, stream.select(cols).collect())) == sorted(map(repr, batch.select(cols).collect()))
 
 
+@pytest.mark.parametrize("query, module, start", [("stream_ingest", "IG", "start_ingest"), ("stream_hourly_mean", "SH", "start_hourly_stream")])
+def test_stream_source_grows_with_its_rows(spark, monkeypatch, query, module, start):
+    """The files of a source, and of a micro-batch, follow the rows; a micro-batch never has more than the bound."""
+    seen, begin = {}, getattr(getattr(catalog, module), start)
+
+    def spy(spark, source, *args, max_files_per_trigger):
+        seen.update(files=len([f for f in os.listdir(source) if f.endswith(".parquet")]), per=max_files_per_trigger)
+        return begin(spark, source, *args, max_files_per_trigger=max_files_per_trigger)
+
+    monkeypatch.setattr(getattr(catalog, module), start, spy)
+    monkeypatch.setattr(catalog, "SOURCE_ROWS", 50, raising=False)
+    monkeypatch.setattr(catalog, "BATCH_FILES", 8, raising=False)
+    n = T.load(spark, SF_SMALL, "events").where("ts IS NOT NULL").count()
+    out = catalog.QUERIES[query](spark, SF_SMALL)
+    assert seen == {"files": -(-n // 50), "per": min(-(-seen["files"] // 4), 8)}
+    batch = catalog.QUERIES["payload_route" if query == "stream_ingest" else "hourly_mean"](spark, SF_SMALL)
+    assert out.count() == batch.count()
+
+
 def test_run_batch_end_to_end(spark, tmpdir_path):
     ev = T.load(spark, SF_SMALL, "events")
     raw = T.readings_from_events(ev, "type")
