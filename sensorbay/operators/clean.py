@@ -76,10 +76,11 @@ def hampel(df: DataFrame, value: str = "v0", out: str = "v1", window: int = C.HA
     w = Window.partitionBy(key, CHUNK).orderBy(POS)
     vals = F.collect_list(value).over(w.rangeBetween(-(window // 2), window // 2))
     if enabled:
-        # one column per step, so the sorted window and its median are computed once per row
-        h = h.withColumn("_hw", F.array_sort(vals))
+        # one column per step, so the sorted window and its median are computed once per row;
+        # sort_array is compiled, array_sort calls its comparator for each pair of values
+        h = h.withColumn("_hw", F.sort_array(vals))
         h = h.withColumn("_hm", _median_sorted(F.col("_hw")))
-        h = h.withColumn("_hd", _median_sorted(F.array_sort(F.transform("_hw", lambda x: F.abs(x - F.col("_hm"))))))
+        h = h.withColumn("_hd", _median_sorted(F.sort_array(F.transform("_hw", lambda x: F.abs(x - F.col("_hm"))))))
         flag = ((F.size("_hw") >= 3) & (F.col("_hd") > 0)
                 & (F.abs(F.col(value) - F.col("_hm")) > F.lit(float(n_sigma)) * F.col("_hd")))
         h = h.withColumn(out, F.when(F.col(value).isNotNull() & ~flag, F.col(value))).drop("_hw", "_hm", "_hd")

@@ -34,7 +34,7 @@ FINEST = 4
 OUT = "{key} string, _h int, gap_start timestamp_ntz, gap_end timestamp_ntz, _m double, windows array<struct<lo:double,hi:double>>"
 
 
-def at_rank(value: np.ndarray, below: np.ndarray, rank: int) -> float:
+def at_rank(value: np.ndarray, below: np.ndarray, rank: int | np.ndarray) -> float | np.ndarray:
     """The ``rank``-th smallest of sorted values, ``below`` the running sum of their counts."""
     return value[np.searchsorted(below, rank, "left")]
 
@@ -110,6 +110,30 @@ def _fold_group(sensor: str, hour: int, part: dict[str, np.ndarray]) -> Iterator
         yield sensor, hour, pd.Timestamp(g), pd.Timestamp(e), None if np.isnan(m) else float(m), None
 
 
+def single_gaps(cuts: np.ndarray, part: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The groups (between ``cuts``) with one gap and exact bins only, a row of each one's gap, and its median.
+
+    Nothing is replaced before a group's first gap, so these need no fold and are taken
+    all at once; most groups of short series are such.
+    """
+    at, group = cuts[:-1], np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    start, late, has = part["gap_start"], ~np.isnat(part["gap_start"]), part["c"] > 0
+    row = np.minimum.reduceat(np.where(late, np.arange(len(start)), len(start)), at)  # the group's first row in a gap
+    single = row < len(start)
+    row = np.where(single, row, 0)
+    single &= np.add.reduceat((late & (start != start[row][group])) | (has & (part["lo"] != part["hi"])), at) == 0
+    used = np.flatnonzero(has & single[group])
+    used = used[np.lexsort((part["lo"][used], group[used]))]
+    value, below = part["lo"][used], np.cumsum(part["c"][used])
+    n = np.bincount(group[used], weights=part["c"][used], minlength=len(at)).astype(np.int64)[single]
+    before = np.cumsum(n) - n
+    median = np.full(len(n), np.nan)
+    some = n > 0
+    a, z = (at_rank(value, below, (before + r)[some]) for r in ((n + 1) // 2, n // 2 + 1))
+    median[some] = (a + z) / 2
+    return single, row[single], median
+
+
 def _sweep(key: str):
     """Folds the groups of a sorted partition, of which many pass through each batch."""
     names = ["n", "c", "lo", "hi", "gap_start", "gap_end"]
@@ -125,11 +149,16 @@ def _sweep(key: str):
             if rest is not None:
                 pdf = pd.concat([rest, pdf], ignore_index=True)
             sensor, hour = pdf[key].to_numpy(), pdf["_h"].to_numpy()
-            cuts = [0, *(np.flatnonzero((sensor[1:] != sensor[:-1]) | (hour[1:] != hour[:-1])) + 1), len(pdf)]
-            done = columns(pdf)
-            found = [r for a, b in zip(cuts[:-2], cuts[1:-1], strict=True)
+            cuts = np.concatenate([[0], np.flatnonzero((sensor[1:] != sensor[:-1]) | (hour[1:] != hour[:-1])) + 1, [len(pdf)]])
+            rest, cuts = pdf.iloc[cuts[-2]:], cuts[:-1]
+            if len(cuts) < 2:
+                continue
+            done = {c: v[:cuts[-1]] for c, v in columns(pdf).items()}
+            single, row, median = single_gaps(cuts, done)
+            yield pd.DataFrame({key: sensor[row], "_h": hour[row], "gap_start": done["gap_start"][row],
+                                "gap_end": done["gap_end"][row], "_m": median, "windows": None})
+            found = [r for a, b in zip(cuts[:-1][~single], cuts[1:][~single], strict=True)
                      for r in _fold_group(sensor[a], hour[a], {c: v[a:b] for c, v in done.items()})]
-            rest = pdf.iloc[cuts[-2]:]
             yield _frame(found, key)
         if rest is not None and len(rest):
             yield _frame(list(_fold_group(rest[key].iloc[0], rest["_h"].iloc[0], columns(rest))), key)

@@ -87,13 +87,11 @@ def with_halo(df: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
     if chunk_rows < 2 * halo + 1:
         raise ValueError("chunk_rows must exceed twice the halo")
     off = (F.col(POS) - 1) % F.lit(chunk_rows)
-    ids = F.array(
-        F.col(CHUNK),
-        F.when((off < halo) & (F.col(CHUNK) > 0), F.col(CHUNK) - 1),
-        F.when(off >= chunk_rows - halo, F.col(CHUNK) + 1),
-    )
-    return (df.withColumn("_home", F.col(CHUNK))
-            .withColumn(CHUNK, F.explode(F.filter(ids, lambda c: c.isNotNull()))))
+    # a row is near one edge of its chunk at most
+    ids = (F.when((off < halo) & (F.col(CHUNK) > 0), F.array(F.col(CHUNK), F.col(CHUNK) - 1))
+           .when(off >= chunk_rows - halo, F.array(F.col(CHUNK), F.col(CHUNK) + 1))
+           .otherwise(F.array(F.col(CHUNK))))
+    return df.withColumn("_home", F.col(CHUNK)).withColumn(CHUNK, F.explode(ids))
 
 
 def carry_nearest(df: DataFrame, value: str, name: str, key: str = KEY,

@@ -240,6 +240,37 @@ def test_fold_bins_against_plain_lists(width):
     assert told == 200 if width in (0.0, 0.5) else 0 < told
 
 
+def test_groups_with_one_gap_are_not_folded(monkeypatch):
+    """A sweep takes the medians of groups with one gap and exact bins at once, as the fold would give them."""
+    import pandas as pd
+
+    from sensorbay.operators import medians as M
+    rng = np.random.default_rng(7)
+    names = ["sensor_id", "_h", "n", "c", "lo", "hi", "gap_start", "gap_end"]
+    t0 = pd.Timestamp("2024-01-01")
+    rows = []
+    for g in range(300):
+        gaps = 1 if g % 5 else 2
+        for k in range(int(rng.integers(gaps, 9))):
+            gap = k + 1 if k < gaps else 0
+            c = int(rng.integers(0, 3)) if gap else int(rng.integers(1, 4))
+            lo = float(rng.integers(0, 6)) / 2 if c else None
+            hi = lo if lo is None or g % 7 else lo + 1
+            when = t0 + pd.Timedelta(hours=gap)
+            rows.append((f"s{g // 24:02d}", g % 24, max(c, 1), c, lo, hi, when if gap else None, when + pd.Timedelta(minutes=9) if gap else None))
+    whole = pd.DataFrame(rows, columns=names).astype({"lo": float, "hi": float, "gap_start": "datetime64[us]", "gap_end": "datetime64[us]"})
+    parts = {c: whole[c].to_numpy() for c in names[2:]}
+    want = []
+    for (sensor, hour), own in whole.groupby(["sensor_id", "_h"], sort=False):
+        want += M._fold_group(sensor, hour, {c: v[own.index] for c, v in parts.items()})
+    folded, fold = [], M._fold_group
+    monkeypatch.setattr(M, "_fold_group", lambda s, h, part: folded.append((s, h)) or fold(s, h, part))
+    got = pd.concat([f for f in M._sweep("sensor_id")([whole.iloc[a:a + 250] for a in range(0, len(whole), 250)]) if len(f)])
+    plain = lambda f: sorted(map(repr, f.astype(object).where(f.notna(), None).itertuples(index=False, name=None)))
+    assert plain(got) == plain(M._frame(want, "sensor_id"))
+    assert 60 <= len(folded) < 120
+
+
 @pytest.mark.parametrize("bins", [1, 3, 4_096])
 def test_late_medians_refine_their_windows(spark, monkeypatch, bins):
     """However coarse the bins are, the medians of late gaps are exact, and no group is seen whole with fine ones."""
