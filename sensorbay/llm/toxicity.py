@@ -278,8 +278,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         after = F.transform("ws", lambda w, i: F.struct(w.alias("w"), F.coalesce(F.get("ws", i - 1), F.lit("")).alias("p")))
         cores = F.filter(F.regexp_extract_all(F.lower("t"), F.lit(JVM_CORE)), lambda w: w.rlike(r"[^\p{L}]"))
         whole = F.transform("cs", lambda w, i: F.struct(w.alias("w"), F.coalesce(F.get("cs", i - 1), F.lit("")).alias("p")))
+        # repeats go in the grouping: array_distinct compares structs pair by pair, in the square of a text's words
         df = (sample.select("y", found.alias("ws"), cores.alias("cs"))
-              .select("y", F.inline(F.array_distinct(F.concat(after, whole)))).distinct()
+              .select("y", F.inline(F.concat(after, whole))).distinct()
               .groupBy("w").agg(F.sum("y").alias("k1"), F.sum(1 - F.col("y")).alias("k0"))).persist()
         c0, c1 = df.agg(F.sum("k0"), F.sum("k1")).first()
         k, p1 = F.col("k1") + F.col("k0"), (c1 or 0) / max((c0 or 0) + (c1 or 0), 1)

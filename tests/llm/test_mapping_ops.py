@@ -2,6 +2,7 @@
 import collections
 import math
 import re
+import time
 
 import numpy as np
 import pytest
@@ -275,6 +276,20 @@ def test_toxicity_held_out(spark):
     assert (clean["predicted"] == 0).mean() > 0.99 and (bad["predicted"] == 1).mean() > 0.8
 
 
+def test_toxicity_fit_is_linear_in_a_long_text(spark):
+    """A text of 150,000 different words is learnt from without comparing its words pair by pair."""
+    def word(i):
+        return "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+
+    long = " ".join(word(i) for i in range(150_000))
+    docs = spark.createDataFrame([(1, long), (2, "a plain text"), (3, "you vile thing"), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (4, 1)], "doc_id long, toxic int")
+    before = time.monotonic()
+    model = toxicity.fit(docs, labels)
+    assert time.monotonic() - before < 40
+    assert model.terms == {} and 0 <= len(model.clean) <= toxicity.MAX_CLEAN
+
+
 def test_toxicity_without_labels(spark, edge):
     labels = spark.createDataFrame([(4, 1), (6, None)], "doc_id long, toxic int")
     for own, want in ((labels, 1.0), (labels.limit(0), 0.0)):
