@@ -11,7 +11,8 @@ Where the prefix reaches into the frequent tokens it is extended: these are deal
 hash classes, and pairs of tokens of one class are indexed. A class of k prefix tokens
 can miss at most one shared token without sharing a pair, so the prefix grows until
 ``rare + sum(k - 1)`` reaches t; partners then share a single or a pair. The number of
-classes follows the set's size band; a set near a band's edge is indexed for both.
+classes follows the size band of the smaller set of a pair, so a set is indexed for its
+own band and, near the lower edge, for that of its smallest partner.
 
 Frequent tokens are counted over all documents (a task drops what it saw once; equal
 sets count once per task). The most frequent ``MAX_FREQUENT`` are shipped; any choice
@@ -24,11 +25,13 @@ share a passage share many of them: those with the same hub (the member with the
 signatures) are one group, so two nodes meet once and not under every signature they
 share. A group's members are first compared with one of them, the star's centre, under
 ``ROUNDS`` centres: only components are asked for, so members that came together need
-no further pair. What is still apart after that is compared in blocks: a group's members,
-with their whole token sets, are dealt over blocks of at most about ``BLOCK`` nodes and
-``BLOCK_TOKENS`` tokens; a task holds two blocks, goes through the pairs whose sizes allow
-a link, verifies what bitmaps of the tokens' leading bits leave possible, and gives on a
-link only where it joins what the block's earlier links did not: fewer rows than nodes.
+no further pair. What is still apart after that is compared in blocks: a group's members
+are dealt over blocks of at most about ``BLOCK`` nodes and ``BLOCK_TOKENS`` tokens, and a
+task holds two blocks. A first sweep holds histograms and keeps the members that some
+other component's member may link with; a second one, of those only, holds whole token
+sets: it goes through the pairs whose sizes allow a link, verifies what bitmaps of the
+tokens' leading bits leave possible, and gives on a link only where it joins what the
+block's earlier links did not: fewer rows than nodes.
 So no link between different components is lost, and no join makes a row per pair. A
 signature with more than ``HOT`` members in a task is settled there (its first member
 goes on to the shuffle, the others beside it), so no reducer gets a whole hot signature.
@@ -103,13 +106,13 @@ def node_ids(token: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def set_groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
-    """(record batch slice, tokens, starts, nodes) of about GROUP_WORDS words of documents at a time."""
+    """(record batch slice, tokens, starts, nodes) of about a quarter of GROUP_WORDS words of documents at a time."""
     for batch in batches:
         lists = batch.column(1)
         offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
         at = 0
         while at < batch.num_rows:
-            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + GROUP_WORDS, "right")) - 1)
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + GROUP_WORDS // 4, "right")) - 1)
             bounds = offsets[at:stop + 1].astype(np.int64)
             token, starts = token_sets(values[bounds[0]:bounds[-1]], bounds - bounds[0], size)
             yield batch.slice(at, stop - at), token, starts, node_ids(token, starts)
@@ -136,31 +139,35 @@ def survey(size: int):
         return pa.nulls(n, kind)
 
     def settle(parts):
-        nodes = np.concatenate([p[0] for p in parts])
-        sizes = np.concatenate([p[1] for p in parts])
-        token = np.concatenate([p[2] for p in parts])
-        first = np.zeros(len(nodes), bool)
-        first[np.unique(nodes, return_index=True)[1]] = True
-        token, df = np.unique(token[np.repeat(first, sizes)], return_counts=True)
-        token, df = token[df > 1].view(np.int64), df[df > 1]
+        token = np.concatenate(parts)
+        parts.clear()
+        token.sort()
+        same = np.zeros(len(token) + 1, bool)  # as the one before
+        same[1:-1] = token[1:] == token[:-1]
+        first, last = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
+        token, df = token[first].view(np.int64), last - first + 1
         n = len(df)
         return pa.RecordBatch.from_arrays([nothing(n, pa.int64()), nothing(n, pa.int64()), nothing(n, pa.int32()),
                                            nothing(n, pa.binary()), pa.array(token), pa.array(df)],
                                           names=["doc_id", "node", "n", "histogram", "token", "df"])
 
     def run(batches):
-        parts, held = [], 0
+        parts, held, known = [], 0, np.zeros(0, np.int64)
         for part, token, starts, nodes in set_groups(batches, size):
             k = len(nodes)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(nodes), pa.array(np.diff(starts).astype(np.int32)),
                  pa.array(histograms(token, starts), pa.binary()), nothing(k, pa.int64()), nothing(k, pa.int64())],
                 names=["doc_id", "node", "n", "histogram", "token", "df"])
-            parts.append((nodes, np.diff(starts), token))
+            first = np.zeros(k, bool)
+            first[np.unique(nodes, return_index=True)[1]] = True
+            first &= ~np.isin(nodes, known)  # equal sets count once
+            parts.append(token[np.repeat(first, np.diff(starts))])
+            known = np.concatenate([known, nodes[first]])
             held += len(token)
             if held >= 4 * GROUP_WORDS:
                 yield settle(parts)
-                parts, held = [], 0
+                held, known = 0, known[:0]
         if parts:
             yield settle(parts)
 
@@ -176,7 +183,10 @@ def classes(band: int) -> int:
 
 
 def signatures(token: np.ndarray, rank: np.ndarray, threshold: int) -> np.ndarray:
-    """Signatures of one set. ``token`` is sorted; ``rank`` is 0 for rare tokens, else the order among frequent ones."""
+    """Signatures of one set. ``token`` is sorted; ``rank`` is 0 for rare tokens, else the order among frequent ones.
+
+    Two sets meet in the band of the smaller one: its own, and one from the larger one's least partner on.
+    """
     n = len(token)
     need = n - least_overlap(n, threshold) + 1
     rare = token[rank == 0]
@@ -185,8 +195,7 @@ def signatures(token: np.ndarray, rank: np.ndarray, threshold: int) -> np.ndarra
     often = token[rank > 0][np.argsort(rank[rank > 0], kind="stable")]
     need -= len(rare)
     out, band = [rare], n.bit_length() - 1
-    bands = {band, least_overlap(n, threshold).bit_length() - 1, (n * 100 // threshold).bit_length() - 1}
-    for b in sorted(bands):
+    for b in range(least_overlap(n, threshold).bit_length() - 1, band + 1):
         c = (mix(often + np.uint64(b)) % np.uint64(classes(b))).astype(np.int64)
         order = np.argsort(c, kind="stable")
         place = np.empty(len(often), np.int64)  # of a token among its class, in prefix order
@@ -217,9 +226,10 @@ def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray
         sig, node = sig[new], node[new]
         head = np.ones(len(sig), bool)
         head[1:] = sig[1:] != sig[:-1]
-        lead = np.maximum.accumulate(np.where(head, np.arange(len(sig)), 0))
-        many = np.bincount(lead, minlength=len(sig))[lead] > hot
-        key = np.where(many & ~head, mix(sig * np.uint64(31) + node.view(np.uint64)), sig)
+        count = np.diff(np.append(np.flatnonzero(head), len(sig)))
+        many = np.repeat(count > hot, count)
+        key, beside = sig.copy(), many & ~head
+        key[beside] = mix(sig[beside] * np.uint64(31) + node[beside].view(np.uint64))
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(node), pa.array(sig.view(np.int64), mask=~many)],
                                           names=["key", "node", "sig"])
 
@@ -354,15 +364,46 @@ def block_links(node: np.ndarray, comp: np.ndarray, n: np.ndarray, tokens: np.nd
     return found
 
 
-def compare_blocks(threshold: int):
-    """Sweeps rows sorted by group and pair of blocks; holds one pair of blocks at a time."""
-    names = ["grp", "x", "y", "side", "node", "comp", "n", "tokens"]
+def folded(rows: np.ndarray, length: int) -> np.ndarray:
+    """Histograms by fewer leading bits."""
+    return rows if rows.shape[1] == length else rows.reshape(len(rows), length, -1).sum(axis=2, dtype=np.int32)
+
+
+def block_possible(comp: np.ndarray, n: np.ndarray, histogram: np.ndarray, side: np.ndarray, threshold: int) -> np.ndarray:
+    """Which rows of one block (side 0 only) or of two may link with a row of another component, by their histograms."""
+    n, own = n.astype(np.int64), not side.any()
+    out = np.zeros(len(n), bool)
+    length = np.array([0 if h is None else len(h) for h in histogram])  # 0: nothing known, whatever the sizes allow is possible
+    by_length = {int(k): (at := np.flatnonzero(length == k))[np.argsort(n[at], kind="stable")] for k in np.unique(length)}
+    rows = {k: np.frombuffer(b"".join(histogram[at]), np.uint8).reshape(len(at), k) for k, at in by_length.items() if k}
+    for k, left in by_length.items():
+        for m, right in by_length.items():
+            if own and m < k:
+                continue  # both ways round in one block, once
+            a, b = (left if own else left[side[left] == 0]), (right if own else right[side[right] == 1])
+            if not len(a) or not len(b):
+                continue
+            short = min(k, m)
+            if short:
+                x, y = (folded(rows[w][np.isin(at, of)], short) for w, at, of in ((k, left, a), (m, right, b)))
+            lo = np.searchsorted(n[b], -(-n[a] * threshold // 100), "left")
+            hi = np.searchsorted(n[b], n[a] * 100 // threshold, "right")
+            for p, i in enumerate(a):
+                at = np.arange(lo[p], hi[p])
+                at = at[(comp[b[at]] != comp[i]) & ~(out[i] & out[b[at]])]
+                if not len(at):
+                    continue
+                if short:
+                    both = np.minimum(x[p], y[at]).sum(axis=1, dtype=np.int64)
+                    at = at[100 * both >= threshold * (n[i] + n[b[at]] - both)]
+                if len(at):
+                    out[i] = out[b[at]] = True
+    return out
 
-    def links(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found = block_links(*(rows[c] for c in ("node", "comp", "n", "tokens", "side")), threshold)
-        if found:
-            a, b = np.array(found, np.int64).T
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+def sweep(work, names: list[str]):
+    """Applies ``work`` to rows sorted by group and pair of blocks; holds one pair of blocks at a time."""
+    names = ["grp", "x", "y", "side", "node", "comp", "n", *names]
 
     def run(batches):
         rest = None
@@ -373,13 +414,39 @@ def compare_blocks(threshold: int):
             change = np.logical_or.reduce([cols[c][1:] != cols[c][:-1] for c in ("grp", "x", "y")])
             cuts = [0, *(np.flatnonzero(change) + 1), len(cols["grp"])]
             for lo, hi in zip(cuts[:-2], cuts[1:-1], strict=True):
-                yield from links({c: v[lo:hi] for c, v in cols.items()})
+                yield from work({c: v[lo:hi] for c, v in cols.items()})
             rest = {c: v[cuts[-2]:] for c, v in cols.items()}
         if rest is not None and len(rest["grp"]):
-            yield from links(rest)
+            yield from work(rest)
     return run
 
 
+def compare_blocks(threshold: int):
+    """Links (a, b) of each pair of blocks."""
+    def links(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = block_links(*(rows[c] for c in ("node", "comp", "n", "tokens", "side")), threshold)
+        if found:
+            a, b = np.array(found, np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return sweep(links, ["tokens"])
+
+
+def sift_blocks(threshold: int):
+    """Rows (grp, node) of each pair of blocks that a row of another component may link with."""
+    def kept(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        may = block_possible(*(rows[c] for c in ("comp", "n", "histogram", "side")), threshold)
+        if may.any():
+            yield pa.RecordBatch.from_arrays([pa.array(rows[c][may]) for c in ("grp", "node")], names=["grp", "node"])
+
+    return sweep(kept, ["histogram"])
+
+
+def block_count() -> Column:
+    """Blocks of the grouped rows, by their number and their tokens."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_TOKENS))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) of nodes that link."""
     @F.pandas_udf("boolean")
@@ -505,17 +572,26 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
         right = members_.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"))
         return left.join(right, "sig").where((F.col("a") < F.col("b")) & near("na", "nb", threshold)).select("a", "b")
 
-    def links_in_blocks(here: DataFrame) -> DataFrame:
-        """Links that join the different components among the members of each group (grp, node, n, comp, blocks)."""
+    def in_blocks(here: DataFrame, held: DataFrame, run, kind: str, name: str) -> DataFrame:
+        """Distinct rows that ``run`` finds in the pairs of blocks of each group (grp, node, n, comp, blocks), with ``held`` by node."""
         rows = here.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
         rows = rows.select("grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
                            (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "comp", "n")
-        rows = rows.join(sets_of(here.select("node").distinct()).dropDuplicates(["node"]), "node")
         parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
         with batch_rows(spark, BLOCK_ROWS):
-            return stage(rows.repartition(parts, "grp", "x", "y").sortWithinPartitions("grp", "x", "y")
-                         .mapInArrow(compare_blocks(threshold), "a long, b long").distinct(), "jaccard-blocks")
+            return stage(rows.join(held, "node").repartition(parts, "grp", "x", "y").sortWithinPartitions("grp", "x", "y")
+                         .mapInArrow(run, kind).distinct(), name)
+
+    def links_in_blocks(here: DataFrame) -> DataFrame | None:
+        """Links that join the different components among the members of each group (grp, node, n, comp, blocks)."""
+        may = in_blocks(here, nodes.select("node", "histogram"), sift_blocks(threshold), "grp long, node long", "jaccard-sifted")
+        if not may.take(1):
+            return None
+        here = stage(here.drop("blocks").join(may, ["grp", "node"]), "jaccard-apart")
+        here = here.join(here.groupBy("grp").agg(block_count().alias("blocks")), "grp")
+        sets = sets_of(may.select("node").distinct()).dropDuplicates(["node"])
+        return in_blocks(here, sets, compare_blocks(threshold), "a long, b long", "jaccard-blocks")
 
     fetched: list[DataFrame] = []
     sizes = nodes.select("node", "n")
@@ -523,7 +599,7 @@ def _link(docs: DataFrame, id_col: str, text_col: str, size: int, threshold: int
     for k in range(rounds + 1):
         here = groups.join(labels, "node")
         split = here.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_TOKENS)).alias("blocks"),
+                                        block_count().alias("blocks"),
                                         F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("o"), "node", "n", "comp")).alias("c"))
         split = stage(split.where("lo <> hi").select("grp", "blocks", "c"), "jaccard-split")
         if k and not split.take(1):

@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 import string
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -275,6 +277,81 @@ def test_signatures_meet_for_every_similar_pair():
         assert len(np.intersect1d(*sig)), (len(x), len(y), both)
 
 
+def test_sets_are_signed_for_the_band_of_the_smaller_one(monkeypatch):
+    bands, classes = [], jaccard.classes
+    monkeypatch.setattr(jaccard, "classes", lambda b: bands.append(b) or classes(b))
+    for n in (33, 41, 43, 60, 63):
+        jaccard.signatures(np.arange(n, dtype=np.uint64), np.arange(1, n + 1), 75)
+    assert bands == [4, 5, 4, 5, 5, 5, 5]  # its own and its least partner's, none above
+
+
+def test_survey_memory_and_counts(monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_WORDS", 100_000)
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 62, (1_000, 404))
+    words[500] = words[3]  # an equal set
+    words[600, :50] = words[700, 100:150] = words[4, 10:60]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(1_000)), pa.array(list(words), pa.list_(pa.int64()))], names=["doc_id", "h"])
+    tracemalloc.start()
+    out = list(jaccard.survey(5)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12_000_000, peak  # 400,000 tokens of 8 bytes are held twice, and a quarter of a group's arrays
+    rows = pa.Table.from_batches(out).to_pandas()
+    assert rows["doc_id"].notna().sum() == 1_000 and rows["node"].dropna().nunique() == 999
+    assert sorted(rows["df"].dropna()) == [3] * 46
+
+
+def test_blocks_keep_what_histograms_leave_possible():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        base = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+        sets = []
+        for _ in range(40):
+            n = int(rng.integers(3, 300))
+            own = rng.integers(0, 1 << 63, int(rng.integers(0, n))).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([base[:n], own])))
+        n = np.array([len(x) for x in sets])
+        made = jaccard.histograms(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]))
+        histogram = np.array([None if rng.random() < 0.1 else h for h in made], object)
+        comp = rng.integers(0, 12, len(n))
+
+        def may(i, j):
+            a, b = histogram[i], histogram[j]
+            if comp[i] == comp[j] or 100 * min(n[i], n[j]) < 75 * max(n[i], n[j]):
+                return False
+            if a is None or b is None:
+                return True
+            k = min(len(a), len(b))
+            a, b = (np.frombuffer(x, np.uint8).reshape(k, -1).sum(axis=1, dtype=int) for x in (a, b))
+            both = np.minimum(a, b).sum()
+            return 100 * both >= 75 * (n[i] + n[j] - both)
+
+        for side in (np.zeros(len(n), int), rng.integers(0, 2, len(n))):
+            got = jaccard.block_possible(comp, n, histogram, side, 75)
+            want = [any(may(i, j) and (side[i] != side[j] or not side.any()) for j in range(len(n))) for i in range(len(n))]
+            assert got.tolist() == want
+
+
+def test_token_sets_go_to_blocks_only_where_a_link_is_possible(spark, monkeypatch):
+    """Documents of frequent passages, any two with one of five in common, are told apart by their histograms."""
+    monkeypatch.setattr(jaccard, "FREQUENT_FROM", 3)
+    passage = {(x, y): " ".join(f"p{x}q{y}w{i}" for i in range(40)) for x in range(5) for y in range(5)}
+    lines = [[(x, (m * x + c) % 5) for x in range(5)] for m in range(5) for c in range(5)] + [[(c, y) for y in range(5)] for c in range(5)]
+    rows = [(i, " ".join(passage[at] for at in line)) for i, line in enumerate(lines)]
+
+    def never(threshold):
+        def run(batches):
+            for batch in batches:
+                assert not batch.num_rows, "whole sets of documents that cannot link"
+                yield from ()
+        return run
+
+    monkeypatch.setattr(jaccard, "compare_blocks", never)
+    got = jaccard.link_components(frame(spark, rows), rounds=0, small=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i for i, _ in rows}
+
+
 def test_jaccard_goes_on_when_no_centre_is_possible(spark, monkeypatch):
     # all documents share one large signature; sizes rule out every pair but 0 and 1, which are no centres in rounds 0 and 1
     def one(signed):
