@@ -72,6 +72,8 @@ SMALL = 16
 BLOCK, BLOCK_TOKENS = 1_024, 2_000_000
 #: Rows a Python batch takes: of documents, of pairs of histograms, of blocks, of pairs of whole sets.
 DOC_ROWS, HISTOGRAM_ROWS, BLOCK_ROWS, SET_ROWS = 2_000, 4_000, 512, 256
+#: Rows of tokens or signatures that a task gives on at once.
+OUT_ROWS = 65_536
 
 
 def word_hashes(text_col: str) -> Column:
@@ -133,6 +135,11 @@ def histograms(token: np.ndarray, starts: np.ndarray) -> list[bytes | None]:
     return [None if o else raw[a:z] for o, a, z in zip(over, base[:-1], base[1:], strict=True)]
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, OUT_ROWS):
+        yield batch.slice(at, OUT_ROWS)
+
+
 def survey(size: int):
     """A row per document (node, n, histogram), and a row per token that a task holds in two different sets or more."""
     def nothing(n, kind):
@@ -166,10 +173,10 @@ def survey(size: int):
             known = np.concatenate([known, nodes[first]])
             held += len(token)
             if held >= 4 * GROUP_WORDS:
-                yield settle(parts)
+                yield from slices(settle(parts))
                 held, known = 0, known[:0]
         if parts:
-            yield settle(parts)
+            yield from slices(settle(parts))
 
     return run
 
@@ -219,6 +226,7 @@ def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray
     signature's own key, the others to keys of their own; ``sig`` is set on the rows of such signatures."""
     def settle(parts):
         sig, node = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
         order = np.lexsort((node, sig))
         sig, node = sig[order], node[order]
         new = np.ones(len(sig), bool)
@@ -246,10 +254,10 @@ def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray
                     parts.append((sig, np.full(len(sig), nodes[k])))
                     held += len(sig)
             if held >= GROUP_WORDS:
-                yield settle(parts)
-                parts, held = [], 0
+                yield from slices(settle(parts))
+                held = 0
         if parts:
-            yield settle(parts)
+            yield from slices(settle(parts))
 
     return run
 

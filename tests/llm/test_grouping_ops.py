@@ -302,6 +302,14 @@ def test_survey_memory_and_counts(monkeypatch):
     assert sorted(rows["df"].dropna()) == [3] * 46
 
 
+def test_signatures_are_given_on_in_small_batches():
+    rng = np.random.default_rng(5)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(900)), pa.array(list(rng.integers(0, 1 << 62, (900, 404))), pa.list_(pa.int64()))],
+                                       names=["doc_id", "h"])
+    out = list(jaccard.sign_sets(5, 75, np.zeros(0, np.uint64), np.zeros(0, np.int32), 32)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 65_536 and sum(b.num_rows for b in out) == 900 * 101
+
+
 def test_blocks_keep_what_histograms_leave_possible():
     rng = np.random.default_rng(4)
     for _ in range(30):
