@@ -11,18 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorbay.llm import jaccard, langid, mixing, pieces, substrings
-from sensorbay.llm.common import stage, table
+from sensorbay.llm.common import batch_rows, stage, table
 
 #: A document whose best language has a smaller posterior than this is rejected.
 MIN_LANGUAGE_SCORE = 0.5
+#: Whole texts that a Python batch takes.
+TEXT_ROWS = 1_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters or without a clear language; learns from the rows' own labels."""
     model = langid.fit(docs)
-    judged = langid.identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                                         F.col("text").alias("t")), model, text_col="t", out_col="p")
-    return judged.where((F.col("p.lang_pred") != langid.UNKNOWN) & (F.col("p.score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+    digest = F.unhex(F.sha2(F.col("text"), 256))
+    judged = langid.identify(docs.select(F.col("doc_id").alias("_keep"), digest.alias("_digest"), F.col("text").alias("t")),
+                             model, text_col="t", out_col="p")
+    clear = judged.where((F.col("p.lang_pred") != langid.UNKNOWN) & (F.col("p.score") >= MIN_LANGUAGE_SCORE)).select("_keep", "_digest")
+    with batch_rows(spark, TEXT_ROWS):  # holds while the job runs, so it runs here; what it writes is narrow
+        clear = stage(clear, "pipeline-languages", keep=True)
+    rows = docs.select(F.col("doc_id").alias("_id"), digest.alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(clear, F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_text") == F.col("_digest")), "left_semi").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,9 +71,11 @@ SMALL = 16
 #: Nodes of a group that one task compares with as many others, and their tokens.
 BLOCK, BLOCK_TOKENS = 1_024, 2_000_000
 #: Rows a Python batch takes: of documents, of pairs of histograms, of blocks, of pairs of whole sets.
-DOC_ROWS, HISTOGRAM_ROWS, BLOCK_ROWS, SET_ROWS = 2_000, 4_000, 512, 256
+DOC_ROWS, HISTOGRAM_ROWS, BLOCK_ROWS, SET_ROWS = 500, 4_000, 512, 256
 #: Rows of tokens or signatures that a task gives on at once.
 OUT_ROWS = 65_536
+#: A task sorts its tokens or signatures in so many parts, by their last bits (signatures are tokens with small leading bits).
+PARTS = 8
 
 
 def word_hashes(text_col: str) -> Column:
@@ -108,13 +110,13 @@ def node_ids(token: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def set_groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple]:
-    """(record batch slice, tokens, starts, nodes) of about a quarter of GROUP_WORDS words of documents at a time."""
+    """(record batch slice, tokens, starts, nodes) of about an eighth of GROUP_WORDS words of documents at a time."""
     for batch in batches:
         lists = batch.column(1)
         offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
         at = 0
         while at < batch.num_rows:
-            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + GROUP_WORDS // 4, "right")) - 1)
+            stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + GROUP_WORDS // 8, "right")) - 1)
             bounds = offsets[at:stop + 1].astype(np.int64)
             token, starts = token_sets(values[bounds[0]:bounds[-1]], bounds - bounds[0], size)
             yield batch.slice(at, stop - at), token, starts, node_ids(token, starts)
@@ -140,14 +142,19 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, OUT_ROWS)
 
 
+def by_hash(held: list[tuple[np.ndarray, ...]]) -> Iterator[list[np.ndarray]]:
+    """The columns of all that is held, in PARTS parts by the first column, a hash; equal hashes come together."""
+    for k in range(PARTS):
+        inside = [h[0] % np.uint64(PARTS) == k for h in held]
+        yield [np.concatenate([c[i] for c, i in zip(cols, inside, strict=True)]) for cols in zip(*held, strict=True)]
+
+
 def survey(size: int):
     """A row per document (node, n, histogram), and a row per token that a task holds in two different sets or more."""
     def nothing(n, kind):
         return pa.nulls(n, kind)
 
-    def settle(parts):
-        token = np.concatenate(parts)
-        parts.clear()
+    def settle(token):
         token.sort()
         same = np.zeros(len(token) + 1, bool)  # as the one before
         same[1:-1] = token[1:] == token[:-1]
@@ -169,14 +176,16 @@ def survey(size: int):
             first = np.zeros(k, bool)
             first[np.unique(nodes, return_index=True)[1]] = True
             first &= ~np.isin(nodes, known)  # equal sets count once
-            parts.append(token[np.repeat(first, np.diff(starts))])
+            parts.append((token[np.repeat(first, np.diff(starts))],))
             known = np.concatenate([known, nodes[first]])
             held += len(token)
             if held >= 4 * GROUP_WORDS:
-                yield from slices(settle(parts))
-                held, known = 0, known[:0]
+                for cols in by_hash(parts):
+                    yield from slices(settle(*cols))
+                parts, held, known = [], 0, known[:0]
         if parts:
-            yield from slices(settle(parts))
+            for cols in by_hash(parts):
+                yield from slices(settle(*cols))
 
     return run
 
@@ -224,9 +233,7 @@ def signatures(token: np.ndarray, rank: np.ndarray, threshold: int) -> np.ndarra
 def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray, hot: int):
     """A row per signature and set. Of a signature that is hot in a task the first set goes to the
     signature's own key, the others to keys of their own; ``sig`` is set on the rows of such signatures."""
-    def settle(parts):
-        sig, node = (np.concatenate(x) for x in zip(*parts, strict=True))
-        parts.clear()
+    def settle(sig, node):
         order = np.lexsort((node, sig))
         sig, node = sig[order], node[order]
         new = np.ones(len(sig), bool)
@@ -247,17 +254,19 @@ def sign_sets(size: int, threshold: int, frequent: np.ndarray, ranks: np.ndarray
             at = np.minimum(np.searchsorted(frequent, token), max(len(frequent) - 1, 0))
             rank = np.where(frequent[at] == token, ranks[at], 0) if len(frequent) else np.zeros(len(token), np.int64)
             sizes = np.diff(starts)
-            for k in np.unique(nodes, return_index=True)[1]:
-                if sizes[k] > 2:  # sets of one or two tokens link with equal sets only
-                    own = slice(starts[k], starts[k + 1])
-                    sig = signatures(token[own], rank[own], threshold)
-                    parts.append((sig, np.full(len(sig), nodes[k])))
-                    held += len(sig)
+            once = np.unique(nodes, return_index=True)[1]
+            once = once[sizes[once] > 2]  # sets of one or two tokens link with equal sets only
+            if len(once):
+                found = [signatures(token[a:z], rank[a:z], threshold) for a, z in zip(starts[once], starts[once + 1], strict=True)]
+                parts.append((np.concatenate(found), np.repeat(nodes[once], [len(x) for x in found])))
+                held += len(parts[-1][0])
             if held >= GROUP_WORDS:
-                yield from slices(settle(parts))
-                held = 0
+                for cols in by_hash(parts):
+                    yield from slices(settle(*cols))
+                parts, held = [], 0
         if parts:
-            yield from slices(settle(parts))
+            for cols in by_hash(parts):
+                yield from slices(settle(*cols))
 
     return run
 

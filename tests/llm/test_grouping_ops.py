@@ -7,6 +7,7 @@ import string
 import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -310,6 +311,23 @@ def test_signatures_are_given_on_in_small_batches():
     assert max(b.num_rows for b in out) <= 65_536 and sum(b.num_rows for b in out) == 900 * 101
 
 
+def test_tokens_and_signatures_are_sorted_in_parts(monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP_WORDS", 400_000)
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 1 << 62, (4_000, 400))
+    words[1::2, :200] = words[::2, :200]
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.arange(len(w))), pa.array(list(w), pa.list_(pa.int64()))], names=["doc_id", "h"])
+               for w in np.split(words, 40)]
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    for run, most, rows in ((jaccard.survey(5), 21_000_000, 4_000 + 2_000 * 196), (jaccard.sign_sets(5, 75, *none, 32), 15_000_000, 4_000 * 100)):
+        tracemalloc.start()
+        given = sum(b.num_rows for b in run(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert given == rows
+        assert peak < most, peak  # 1,584,000 tokens of 8 bytes, or 400,000 signatures and nodes, are held, an eighth of them twice
+
+
 def test_blocks_keep_what_histograms_leave_possible():
     rng = np.random.default_rng(4)
     for _ in range(30):
@@ -438,6 +456,20 @@ def test_neighbours_few_candidates(spark):
 
 # ------------------------------------------------------------------ pipeline
 
+def test_language_id_takes_texts_in_small_batches(spark, monkeypatch):
+    @F.pandas_udf("lang_pred string, score double")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"lang_pred": "en", "score": float(len(texts) <= 1_000)}, index=texts.index)
+
+    monkeypatch.setattr(langid, "fit", lambda docs: None)
+    monkeypatch.setattr(langid, "identify", lambda docs, model, text_col, out_col: docs.withColumn(out_col, judge(text_col)))
+    docs = spark.range(0, 5_000, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = corpus_pipeline.language_id(spark, docs, "")
+    assert out.columns == docs.columns and out.count() == 5_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(SF_SMALL + "/documents.parquet")
     out = corpus_pipeline.run(spark, SF_SMALL).collect()
